@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
-from functools import partial
+from functools import cache, partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ledgerlake import Lake, Settings
 from ledgerlake.context import literal_rows
 from ledgerlake.schemas import SEEDS
+from ledgerlake.session import light_plans
 from ledgerlake.sources.landing import all_text
 
 AS_OF = date(2001, 11, 4)
@@ -93,11 +94,17 @@ c = F.col
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    light_plans(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def cents(column: str) -> Column:
-    return c(column).cast("decimal(12,2)")
+    """Two-decimal double to whole cents. Whole numbers add up exactly and stay cheap."""
+    return F.rint(c(column) * 100).cast("bigint")
+
+
+def money(cents_column: Column) -> Column:
+    return (cents_column.cast("decimal(20,0)") * F.lit("0.01").cast("decimal(2,2)")).cast("decimal(22,2)")
 
 
 def day(column: str) -> Column:
@@ -115,21 +122,22 @@ def text(column: str) -> Column:
 class Feeds:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
-        self.read = partial(table, spark, sf_dir)
+        self.read = cache(partial(table, spark, sf_dir))
 
     # -- personal finance --
 
     def mm_transactions(self) -> DataFrame:
-        merchants = (
-            self.read("supplier")
+        # Price after discount in hundredths of a cent, rounded half up to thousandths.
+        fine = cents("l_extendedprice") * (F.lit(100) - cents("l_discount"))
+        mills = F.floor((fine + 5) / 10).cast("decimal(15,0)")
+        net = (mills * F.lit("0.001").cast("decimal(3,3)")).cast("decimal(18,3)")
+        inflow = (c("n_regionkey") == 1) != (c("l_returnflag") == "R")
+        lines = (
+            self.read("lineitem")
+            .join(self.read("supplier"), c("l_suppkey") == c("s_suppkey"))
             .join(self.read("nation"), c("s_nationkey") == c("n_nationkey"))
-            .select("s_suppkey", "s_name", "s_nationkey", "n_name", "n_regionkey")
-        )
-        net = (cents("l_extendedprice") * (F.lit(1) - c("l_discount").cast("decimal(4,2)"))).cast(
-            "decimal(18,3)"
         )
-        inflow = (c("n_regionkey") == 1) != (c("l_returnflag") == "R")
-        return self.read("lineitem").join(merchants, c("l_suppkey") == c("s_suppkey")).select(
+        return lines.select(
             F.concat(text("l_orderkey"), F.lit("-"), text("l_linenumber")).alias("id"),
             day("l_shipdate").alias("date"),
             F.when(inflow, net).otherwise(-net).alias("amount"),
@@ -140,9 +148,7 @@ class Feeds:
             F.concat(F.lit("Ledger "), c("l_linestatus")).alias("account__display_name"),
             (c("l_returnflag") == "A").alias("is_recurring"),
             (c("l_linestatus") == "O").alias("pending"),
-            (c("l_tax").cast("decimal(4,2)") == F.lit("0.08").cast("decimal(4,2)")).alias(
-                "hide_from_reports"
-            ),
+            (cents("l_tax") == 8).alias("hide_from_reports"),
         )
 
     def mm_categories(self) -> DataFrame:
@@ -174,7 +180,7 @@ class Feeds:
         return self.read("customer").select(
             text("c_custkey").alias("id"),
             F.concat("c_mktsegment", F.lit(" "), "c_name").alias("display_name"),
-            cents("c_acctbal").alias("current_balance"),
+            money(cents("c_acctbal")).alias("current_balance"),
             (c("c_acctbal") >= 0).alias("is_asset"),
             ((segment != "MACHINERY") | (c("c_nationkey") != 3)).alias("include_in_net_worth"),
             kind.alias("type__display"),
@@ -183,7 +189,8 @@ class Feeds:
         )
 
     def mm_recurring(self) -> DataFrame:
-        amount = F.when(c("o_orderstatus") == "P", cents("o_totalprice")).otherwise(-cents("o_totalprice"))
+        price = cents("o_totalprice")
+        amount = money(F.when(c("o_orderstatus") == "P", price).otherwise(-price))
         return self.read("orders").select(
             F.date_add(day("o_orderdate"), 120).alias("date"),
             amount.alias("amount"),
@@ -197,7 +204,7 @@ class Feeds:
         return (
             self.read("orders")
             .groupBy(day("o_orderdate").alias("date"))
-            .agg(F.sum(cents("o_totalprice")).alias("balance"))
+            .agg(money(F.sum(cents("o_totalprice"))).alias("balance"))
         )
 
     def mm_holdings(self) -> DataFrame:
@@ -219,10 +226,10 @@ class Feeds:
             F.when(~unmatched, c("p_brand")).alias("ticker"),
             c("p_name").alias("name"),
             kind.alias("security_type"),
-            (cents("p_retailprice") * c("p_size")).cast("decimal(18,3)").alias("market_value"),
+            money(cents("p_retailprice") * size).alias("market_value"),
             text("p_size").alias("quantity"),
-            cents("p_retailprice").alias("basis"),
-            (cents("p_retailprice") - F.lit(950)).cast("decimal(18,3)").alias("change_pct"),
+            money(cents("p_retailprice")).alias("basis"),
+            money(cents("p_retailprice") - 95000).alias("change_pct"),
         )
 
     # -- macro and long history --
@@ -241,7 +248,7 @@ class Feeds:
             .groupBy(day("o_orderdate").alias("obs_date"), "o_orderpriority", "o_orderstatus")
             .agg(F.sum(cents("o_totalprice")).alias("total"))
         )
-        scaled = F.sum("total") * F.lit("0.0002").cast("decimal(4,4)")
+        scaled = money(F.sum("total")) * F.lit("0.0002").cast("decimal(4,4)")
         return (
             daily.join(F.broadcast(cells), ["o_orderpriority", "o_orderstatus"])
             .groupBy("series", "series_id", "obs_date")
@@ -262,10 +269,10 @@ class Feeds:
             .join(self.read("customer").select("c_custkey", "c_nationkey"), c("o_custkey") == c("c_custkey"))
             .groupBy("c_nationkey", step.alias("year"))
             .agg(
-                F.sum(price).alias("house_prices_nominal"),
+                money(F.sum(price)).alias("house_prices_nominal"),
                 F.count(F.lit(1)).alias("cpi"),
-                F.sum(price).alias("nominal_gdp"),
-                F.sum(F.when(c("o_orderstatus") != "P", price)).alias("total_loans"),
+                money(F.sum(price)).alias("nominal_gdp"),
+                money(F.sum(F.when(c("o_orderstatus") != "P", price))).alias("total_loans"),
                 F.count_if(c("o_orderpriority") == "1-URGENT").alias("public_debt_to_gdp"),
             )
         )
@@ -286,7 +293,7 @@ class Feeds:
         monthly = (
             self.read("orders")
             .groupBy(F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("period"))
-            .agg(F.sum(price).alias("price"), F.count(F.lit(1)).alias("cpi"))
+            .agg(money(F.sum(price)).alias("price"), F.count(F.lit(1)).alias("cpi"))
             .select(
                 F.lit("USA").alias("entity"),
                 "year",
@@ -302,7 +309,7 @@ class Feeds:
         yearly = (
             self.read("orders")
             .groupBy(F.year("o_orderdate").alias("year"))
-            .agg(F.sum(cents("o_totalprice")).alias("public_debt"), F.count(F.lit(1)).alias("bank_rate"))
+            .agg(money(F.sum(cents("o_totalprice"))).alias("public_debt"), F.count(F.lit(1)).alias("bank_rate"))
             .select(F.lit("GBR").alias("entity"), "year", F.lit(0).alias("period"), "public_debt", "bank_rate")
         )
         return self._panel(yearly, ["entity", "year", "period"], ["public_debt", "bank_rate"])
@@ -310,13 +317,13 @@ class Feeds:
     # -- revenue --
 
     def stripe_charges(self) -> DataFrame:
-        amount = (cents("o_totalprice") * 100).cast("bigint")
+        amount = cents("o_totalprice")
         failed = c("o_orderpriority") == "4-NOT SPECIFIED"
         partial_refund = c("o_orderstatus") == "P"
         return self.read("orders").select(
             F.concat(F.lit("ch_"), text("o_orderkey")).alias("id"),
             amount.alias("amount"),
-            F.when(partial_refund, F.expr("cast(cast(o_totalprice as decimal(12,2)) * 100 as bigint) div 2"))
+            F.when(partial_refund, F.floor(amount / 2).cast("bigint"))
             .otherwise(F.lit(0).cast("bigint"))
             .alias("amount_refunded"),
             F.lit("usd").alias("currency"),
@@ -436,10 +443,13 @@ def lake(spark: SparkSession, sf_dir: str, text_bronze: bool = False, settings:
         make = getattr(feeds, name)
         return (lambda: all_text(make())) if text_bronze else make
 
+    def seed(name: str, rows) -> Callable[[], DataFrame]:
+        return lambda: literal_rows(spark, SEEDS[name], rows)
+
     seeds = {
-        "budget_targets": literal_rows(spark, SEEDS["budget_targets"], BUDGET_TARGETS),
-        "review_cadence": literal_rows(spark, SEEDS["review_cadence"], REVIEW_CADENCE),
-        "security_map": literal_rows(spark, SEEDS["security_map"], SECURITY_MAP),
+        "budget_targets": seed("budget_targets", BUDGET_TARGETS),
+        "review_cadence": seed("review_cadence", REVIEW_CADENCE),
+        "security_map": seed("security_map", SECURITY_MAP),
     }
     return Lake(
         spark,

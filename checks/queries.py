@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import feeds, oracle
-from checks.feeds import AS_OF, SETTINGS, cents, day, table
+from checks.feeds import AS_OF, SETTINGS, cents, day, money, table
 from ledgerlake import MODELS, Settings
 from ledgerlake import fixed_values as fixed
 from ledgerlake.context import literal_rows
@@ -192,7 +192,7 @@ def asof_change_by_customer(spark, sf):
     daily = (
         table(spark, sf, "orders")
         .groupBy("o_custkey", day("o_orderdate").alias("d"))
-        .agg(F.sum(cents("o_totalprice")).cast("double").alias("v"))
+        .agg(money(F.sum(cents("o_totalprice"))).cast("double").alias("v"))
     )
     looked = asof_lookback(daily, ["o_custkey"], "d", "v", {"prior": ("days", 90)})
     return change_metrics(looked, "latest_value", "prior")
@@ -209,7 +209,7 @@ def asof_multi_offset(spark, sf):
     daily = (
         table(spark, sf, "orders")
         .groupBy("o_orderpriority", day("o_orderdate").alias("d"))
-        .agg(F.sum(cents("o_totalprice")).cast("double").alias("v"))
+        .agg(money(F.sum(cents("o_totalprice"))).cast("double").alias("v"))
     )
     offsets = {"m3": ("months", 3), "m12": ("months", 12), "m15": ("months", 15)}
     return asof_lookback(daily, ["o_orderpriority"], "d", "v", offsets)
@@ -281,7 +281,7 @@ def _daily_revenue(spark, sf):
     return (
         table(spark, sf, "orders")
         .groupBy("o_orderpriority", n.alias("n"))
-        .agg(F.sum(cents("o_totalprice")).cast("double").alias("v"))
+        .agg(money(F.sum(cents("o_totalprice"))).cast("double").alias("v"))
     )
 
 
@@ -319,7 +319,7 @@ def lag_five_rows(spark, sf):
 def deflated_series(spark, sf):
     lines = table(spark, sf, "lineitem")
     revenue = lines.groupBy(day("l_shipdate").alias("d")).agg(
-        F.sum(cents("l_extendedprice")).cast("double").alias("revenue")
+        money(F.sum(cents("l_extendedprice"))).cast("double").alias("revenue")
     )
     units = lines.groupBy(day("l_shipdate").alias("d")).agg(F.sum("l_quantity").alias("units"))
     return deflate(revenue, units, ["d"], "revenue", "units", "per_unit").drop("units")
@@ -357,7 +357,7 @@ def effective_dated_rates(spark, sf):
     with b as (select p_brand, p_type, sum(p_retailprice::decimal(12,2)) as v from part group by all)
     select p_brand, p_type, v::double as v, {oracle.pct('v', '(select sum(v) from b)', 1)} as share_pct from b""")
 def brand_share_of_total(spark, sf):
-    brands = table(spark, sf, "part").groupBy("p_brand", "p_type").agg(F.sum(cents("p_retailprice")).alias("v"))
+    brands = table(spark, sf, "part").groupBy("p_brand", "p_type").agg(money(F.sum(cents("p_retailprice"))).alias("v"))
     return _plain(share_of_total(brands, "v", "share_pct"))
 
 
@@ -434,7 +434,7 @@ def daily_snapshot_append(spark, sf):
     daily = (
         table(spark, sf, "orders")
         .groupBy(day("o_orderdate").alias("snapshot_date"))
-        .agg(F.round(F.sum(cents("o_totalprice"))).cast("double").alias("total"), F.count(F.lit(1)).alias("n"))
+        .agg(F.round(money(F.sum(cents("o_totalprice")))).cast("double").alias("total"), F.count(F.lit(1)).alias("n"))
     )
     taken = daily.where(c("snapshot_date") < F.lit("1999-01-01").cast("date"))
     again = daily.unionByName(taken.withColumn("n", F.lit(-1).cast("bigint")))
@@ -545,7 +545,7 @@ def unpivot_monthly_sheet(spark, sf):
         table(spark, sf, "orders")
         .groupBy(F.regexp_replace(stamp, r"\.10$", ".1").alias("Date"))
         .agg(
-            F.sum(cents("o_totalprice")).cast("string").alias("P"),
+            money(F.sum(cents("o_totalprice"))).cast("string").alias("P"),
             F.count(F.lit(1)).cast("string").alias("D"),
         )
         .withColumn("CAPE", F.lit("NA"))
@@ -564,7 +564,7 @@ def unpivot_country_panel(spark, sf):
         .join(table(spark, sf, "nation"), c("n_nationkey") == c("c_nationkey"))
         .groupBy(c("n_name").alias("country"), F.year("o_orderdate").alias("year"))
         .agg(
-            F.sum(cents("o_totalprice")).alias("gdp"),
+            money(F.sum(cents("o_totalprice"))).alias("gdp"),
             F.count_if(c("o_orderstatus") == "F").alias("tloans"),
             F.lit(None).cast("double").alias("ltrate"),
         )
@@ -580,7 +580,7 @@ def header_checked_unpivot(spark, sf):
     data = (
         table(spark, sf, "orders")
         .groupBy(F.year("o_orderdate").alias("y"))
-        .agg(F.count(F.lit(1)).alias("a"), F.sum(cents("o_totalprice")).alias("b"))
+        .agg(F.count(F.lit(1)).alias("a"), money(F.sum(cents("o_totalprice"))).alias("b"))
         .select(F.lit(1).alias("__block"), *[c(n).cast("string").alias(n) for n in ("y", "a", "b")])
     )
     heading = literal_rows(

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ledgerlake import fixed_values as fixed
 from ledgerlake import schemas
 from ledgerlake.operators.periods import Month
+from ledgerlake.session import cut_lineage, light_plans
 
 Model = Callable[["Lake"], DataFrame]
 MODELS: dict[str, tuple[str, Model]] = {}
@@ -78,18 +79,20 @@ class Lake:
         self,
         spark: SparkSession,
         bronze: Mapping[str, DataFrame | Callable[[], DataFrame]],
-        seeds: Mapping[str, DataFrame] | None = None,
+        seeds: Mapping[str, DataFrame | Callable[[], DataFrame]] | None = None,
         load_log: DataFrame | Callable[[], DataFrame] | None = None,
         as_of: date | None = None,
         settings: Settings = Settings(),
     ):
         self.spark = spark
+        light_plans(spark)
         self.as_of = as_of or spark.sql("select current_date()").head()[0]
         self.settings = settings
         self._bronze = dict(bronze)
         self._seeds = dict(seeds or {})
         self._load_log = load_log
         self._built: dict[str, DataFrame] = {}
+        self._settled: set[str] = set()
 
     # -- inputs --
 
@@ -104,7 +107,8 @@ class Lake:
     def seed(self, name: str) -> DataFrame:
         columns = schemas.SEEDS[name]
         if name in self._seeds:
-            return schemas.conform(self._seeds[name], columns)
+            given = self._seeds[name]
+            return schemas.conform(given() if callable(given) else given, columns)
         if name == "security_map":
             return literal_rows(self.spark, columns, fixed.SECURITY_MAP)
         return self.spark.createDataFrame([], schemas.text_schema(columns))
@@ -121,6 +125,22 @@ class Lake:
             self._built[name] = MODELS[name][1](self)
         return self._built[name]
 
+    def settle(self, *names: str) -> None:
+        """Compute small tables once, now, and let later refs read the result.
+
+        For one- to few-row tables that several others build on: without this each of
+        them would repeat the scan behind it.
+        """
+        for name in names:
+            if name not in self._settled:
+                self._built[name] = cut_lineage(self.ref(name))
+                self._settled.add(name)
+
+    def use(self, name: str, df: DataFrame) -> None:
+        """Read a table from where it was written instead of building it again."""
+        self._built[name] = df
+        self._settled.add(name)
+
     # -- dates --
 
     @property
@@ -135,7 +155,22 @@ class Lake:
         return F.lit(self.as_of - timedelta(days=days))
 
 
+def sql_literal(value: Any) -> str:
+    if value is None:
+        return "null"
+    if isinstance(value, bool):
+        return str(value).lower()
+    if isinstance(value, float):
+        return f"{value!r}D"
+    if isinstance(value, date):
+        return f"date'{value.isoformat()}'"
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return str(value)
+
+
 def literal_rows(spark: SparkSession, columns: Sequence[str], rows: Sequence[Sequence[Any]]) -> DataFrame:
-    """A small fixed relation as a JVM-side plan (no Python rows to ship)."""
-    structs = [F.struct(*[F.lit(v).alias(c) for c, v in zip(columns, r, strict=True)]) for r in rows]
-    return spark.range(1).select(F.inline(F.array(*structs)))
+    """A small fixed relation: a local scan whose size the planner knows."""
+    body = ", ".join("(" + ", ".join(map(sql_literal, row)) + ")" for row in rows)
+    names = ", ".join(f"`{c}`" for c in columns)
+    return spark.sql(f"select * from values {body} as fixed({names})")

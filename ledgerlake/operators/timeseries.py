@@ -40,9 +40,13 @@ def asof_lookback(
     in one pass. A key with nothing that old gets null. Two hash aggregates and one
     join on the key; the rows of a key are never sorted or gathered.
     """
-    latest = df.groupBy(*keys).agg(F.max(date).alias("__last"))
+    # The first pass also takes the latest value: both passes then need the same columns
+    # and share one exchange where the input is itself an aggregate.
+    latest = df.groupBy(*keys).agg(
+        F.max(date).alias("__last"), F.max_by(value, date).alias("__value")
+    )
     bounded = df.join(latest, list(keys))
-    picks = [F.max_by(value, date).alias("latest_value"), F.max("__last").alias("latest_date")]
+    picks = [F.max("__value").alias("latest_value"), F.max("__last").alias("latest_date")]
     for name, step in offsets.items():
         eligible = F.when(F.col(date) <= shift_back(F.col("__last"), step), F.col(date))
         picks.append(F.max_by(value, eligible).alias(name))
@@ -62,21 +66,42 @@ def change_metrics(df: DataFrame, now: str, before: str, digits: int = 2) -> Dat
     )
 
 
-def percentile_of(df: DataFrame, keys: Sequence[str], value: str, at: DataFrame, at_value: str) -> DataFrame:
+def percentile_of(
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    at: DataFrame,
+    at_value: str,
+    extra: Mapping[str, Column] | None = None,
+) -> DataFrame:
     """Where one value per key sits in that key's history.
 
-    `at` holds one row per key. Adds pctile = (rows below) / (rows − 1), n_obs. One
-    join and one partially aggregated count; no ranking of the history.
+    `at` holds one row per key. Adds pctile = (rows below) / (rows − 1), n_obs and any
+    extra aggregates of the same pass. One join and one partially aggregated count; no
+    ranking of the history.
     """
     below = F.count_if(F.col(value) < F.col("__at"))
-    probe = at.select(*keys, F.col(at_value).alias("__at"))
+    carried = [name for name in at.columns if name not in keys]
+    probe = at.select(
+        *keys, F.col(at_value).alias("__at"), F.struct(*carried).alias("__carried")
+    )
     if keys:
         joined = df.join(probe, list(keys))
     else:
         joined = df.crossJoin(F.broadcast(probe))  # a single row
-    counts = joined.groupBy(*keys).agg(below.alias("__below"), F.count(value).alias("n_obs"))
-    ranked = counts.withColumn("pctile", rank_share(F.col("__below"), F.col("n_obs"))).drop("__below")
-    return at.join(ranked, list(keys)) if keys else at.crossJoin(F.broadcast(ranked))
+    counts = joined.groupBy(*keys).agg(
+        below.alias("__below"),
+        F.count(value).alias("n_obs"),
+        F.any_value("__carried").alias("__carried"),
+        *[agg.alias(name) for name, agg in (extra or {}).items()],
+    )
+    return counts.select(
+        *keys,
+        "__carried.*",
+        "n_obs",
+        rank_share(F.col("__below"), F.col("n_obs")).alias("pctile"),
+        *(extra or {}),
+    )
 
 
 def rank_share(below: Column, total: Column) -> Column:

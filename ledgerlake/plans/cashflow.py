@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,16 +51,43 @@ def int_transactions(lake: Lake) -> DataFrame:
     )
 
 
+def monthly_totals(lake: Lake, since: date | None = None) -> DataFrame:
+    """int_transactions summed to month × category group, for everything monthly.
+
+    Rows are summed per (month, category id, sign) before the category join, so the fact
+    table is reduced map-side, one exact sum per row, and only totals reach the join.
+    """
+    amount = F.col("amount")
+    txns = lake.ref("stg_transactions").where(~F.col("hide_from_reports"))
+    if since:
+        txns = txns.where(F.col("txn_date") >= F.lit(since))
+    paycheck = (F.col("category") == lake.settings.paycheck_category) & (amount > 0)
+    totals = txns.groupBy(
+        month_of(F.col("txn_date")).alias("month"),
+        "category_id",
+        paycheck.alias("paycheck"),
+        (amount < 0).alias("outflow"),
+    ).agg(F.sum(amount).alias("total"))
+    categories = lake.ref("stg_categories").select("category_id", "category_group", "group_type")
+    kind, total, zero = F.col("group_type"), F.col("total"), F.lit(0).cast("decimal(28,3)")
+    return (
+        totals.join(categories, "category_id", "left")
+        .where(F.coalesce(kind, F.lit("")) != "transfer")
+        .select(
+            "month",
+            F.coalesce("category_group", F.lit("Uncategorized")).alias("category_group"),
+            F.when(kind == "expense", -total).otherwise(zero).alias("expense"),
+            F.when(kind == "income", total).otherwise(zero).alias("income"),
+            F.when(F.col("paycheck"), total).otherwise(zero).alias("w2"),
+            (F.col("outflow") & (kind == "expense")).alias("is_spend"),
+        )
+    )
+
+
 @model("gold")
 def mart_monthly_cashflow(lake: Lake) -> DataFrame:
-    sums = (
-        lake.ref("int_transactions")
-        .groupBy(month_of(F.col("txn_date")).alias("month"))
-        .agg(
-            F.sum("income_amount").alias("inc"),
-            F.sum("w2_income").alias("w2"),
-            F.sum("expense_amount").alias("exp"),
-        )
+    sums = monthly_totals(lake).groupBy("month").agg(
+        F.sum("income").alias("inc"), F.sum("w2").alias("w2"), F.sum("expense").alias("exp")
     )
     inc, w2, exp = F.col("inc"), F.col("w2"), F.col("exp")
     return sums.select(
@@ -76,10 +105,10 @@ def mart_monthly_cashflow(lake: Lake) -> DataFrame:
 def mart_spend_by_category(lake: Lake) -> DataFrame:
     """Expense rows above zero only: refunds do not lower a category's month here."""
     return (
-        lake.ref("int_transactions")
-        .where(F.col("expense_amount") > 0)
-        .groupBy("category_group", month_of(F.col("txn_date")).alias("month"))
-        .agg(round_money(F.sum("expense_amount")).alias("spend"))
+        monthly_totals(lake)
+        .where("is_spend")
+        .groupBy("category_group", "month")
+        .agg(round_money(F.sum("expense")).alias("spend"))
         .orderBy(F.desc("month"), F.desc("spend"))
     )
 
@@ -106,13 +135,13 @@ def mart_top_merchants(lake: Lake) -> DataFrame:
 def _recent_spend(lake: Lake) -> DataFrame:
     """Per category group, one pass: this month's spend and the three before it, summed."""
     start = F.lit(lake.month.start)
+    running = F.col("month") >= start
     return (
-        lake.ref("int_transactions")
-        .where(F.col("txn_date") >= F.lit(lake.month.back(3)))
+        monthly_totals(lake, since=lake.month.back(3))
         .groupBy("category_group")
         .agg(
-            F.sum(F.when(F.col("txn_date") >= start, F.col("expense_amount"))).alias("mtd"),
-            F.sum(F.when(F.col("txn_date") < start, F.col("expense_amount"))).alias("prior"),
+            F.sum(F.when(running, F.col("expense"))).alias("mtd"),
+            F.sum(F.when(~running, F.col("expense"))).alias("prior"),
         )
     )
 
@@ -199,30 +228,7 @@ def mart_safe_to_spend(lake: Lake) -> DataFrame:
     Targets are those in force this month. Settings.legacy_targets sums every dated row
     instead, expired ones included, and lets a flexible group count once per row.
     """
-    month, txns = lake.month, lake.ref("int_transactions")
-    start = F.lit(month.start)
-    newest = (
-        txns.where(F.col("txn_date") < start)
-        .groupBy(month_of(F.col("txn_date")).alias("mo"))
-        .agg(
-            F.sum("income_amount").alias("income"),
-            F.sum("w2_income").alias("w2"),
-            F.sum("expense_amount").alias("spend"),
-        )
-        .orderBy(F.desc("mo"))
-        .limit(3)
-    )
-
-    def average(name: str):
-        total = F.sum(name).cast("double") / F.nullif(F.count(name), F.lit(0))
-        return F.coalesce(total, F.lit(0.0))
-
-    averages = newest.agg(
-        average("income").alias("avg_income"),
-        average("w2").alias("avg_w2"),
-        average("spend").alias("avg_spend"),
-    )
-
+    start = F.lit(lake.month.start)
     targets = budget_targets(lake)
     if not lake.settings.legacy_targets:
         targets = targets.where(in_force(targets, start))
@@ -233,20 +239,49 @@ def mart_safe_to_spend(lake: Lake) -> DataFrame:
     )
     weight = F.count(F.lit(1)) if lake.settings.legacy_targets else F.max(F.lit(1))
     flexible_groups = targets.where(flexible).groupBy("category_group").agg(weight.alias("times"))
-    this_month = (
-        txns.where(F.col("txn_date") >= start)
-        .groupBy("category_group")
-        .agg(F.sum("expense_amount").alias("exp"), F.sum("income_amount").alias("inc"))
+
+    # One scan of the transactions: totals per month and group, then per month, then the
+    # single row. The last step holds one entry per calendar month.
+    times = F.coalesce("times", F.lit(0)).cast("int")
+    by_month = (
+        monthly_totals(lake)
         .join(flexible_groups, "category_group", "left")
+        .groupBy(F.col("month").alias("mo"))
         .agg(
-            F.coalesce(F.sum("exp"), F.lit(0)).alias("spent"),
-            F.coalesce(F.sum("inc"), F.lit(0)).alias("earned"),
-            F.coalesce(
-                F.sum(F.col("exp") * F.coalesce("times", F.lit(0)).cast("int")), F.lit(0)
-            ).alias("flex_spent"),
+            F.sum("income").alias("income"),
+            F.sum("w2").alias("w2"),
+            F.sum("expense").alias("spend"),
+            F.sum(F.col("expense") * times).alias("flex"),
         )
     )
-    row = averages.crossJoin(F.broadcast(totals)).crossJoin(F.broadcast(this_month))
+    complete = F.when(F.col("mo") < start, F.struct("mo", "income", "w2", "spend"))
+    running = F.col("mo") >= start
+
+    def month_to_date(name: str):
+        return F.coalesce(F.sum(F.when(running, F.col(name))), F.lit(0))
+
+    sums = by_month.agg(
+        F.slice(F.sort_array(F.collect_list(complete), asc=False), 1, 3).alias("newest"),
+        month_to_date("spend").alias("spent"),
+        month_to_date("income").alias("earned"),
+        month_to_date("flex").alias("flex_spent"),
+    )
+
+    def average(name: str):
+        known = F.filter(F.col("newest")[name], lambda x: x.isNotNull())
+        added = F.aggregate(known, F.lit(0).cast("decimal(38,3)"), lambda acc, x: (acc + x).cast("decimal(38,3)"))
+        return F.coalesce(
+            added.cast("double") / F.nullif(F.size(known).cast("double"), F.lit(0.0)), F.lit(0.0)
+        )
+
+    row = sums.select(
+        average("income").alias("avg_income"),
+        average("w2").alias("avg_w2"),
+        average("spend").alias("avg_spend"),
+        "spent",
+        "earned",
+        "flex_spent",
+    ).crossJoin(F.broadcast(totals))
     income, spend = F.col("avg_income"), F.col("avg_spend")
     total = F.col("total_target").cast("double")
     return row.select(

@@ -6,7 +6,7 @@ the calendar; entities are what grows, and they are what the plans partition by.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake import fixed_values as fixed
@@ -22,9 +22,9 @@ from ledgerlake.operators.timeseries import (
     intervals,
     latest_by,
     local_minima,
-    percentile_of,
     pivot_series,
     rank_quantiles,
+    value_percentiles,
 )
 from ledgerlake.plans.macro import mean_of, observations
 
@@ -48,10 +48,18 @@ def mart_valuation(lake: Lake) -> DataFrame:
         round_to(mean_of("cape"), 1).alias("mean_cape"),
         round_to(F.max("cape"), 1).alias("max_cape"),
     )
-    placed = percentile_of(hist, ["series"], "cape", summary, "now")
-    median = rank_quantiles(hist, ["series"], "cape", {"median": 0.50}, small_groups=True)
-    pctile = F.col("pctile")
-    return placed.join(median, "series").select(
+    ranks = value_percentiles(hist, ["series"], "cape", small_groups=True)
+    here, pctile = F.col("cape") == F.col("now"), F.col("pctile")
+    placed = (
+        ranks.join(summary, "series")
+        .groupBy(*summary.columns)
+        .agg(
+            F.max(F.when(here, pctile)).alias("pctile"),
+            F.min(F.when(pctile >= 0.50, F.col("cape"))).alias("median"),
+            F.max("n_obs").alias("n_obs"),
+        )
+    )
+    return placed.select(
         round_to(F.col("now"), 1).alias("cape"),
         round_to(pctile * 100.0).alias("percentile"),
         F.floor(F.col("__when") / 100).cast("int").alias("as_of_year"),
@@ -91,25 +99,25 @@ def mart_credit_cycle(lake: Lake) -> DataFrame:
     credit = panel.select(
         "entity",
         "year",
-        ratio(F.col("loans"), F.col("gdp"), 100).alias("credit"),
+        ratio(F.col("loans"), F.col("gdp"), 100).alias("now"),
         (F.col("pub") * 100).alias("public"),
     )
-    six = latest_by(credit, ["entity"], ["year"], rows=6)
-    newest = six.groupBy("entity").agg(
-        F.max("year").alias("as_of_year"),
-        F.max_by("credit", "year").alias("now"),
-        F.max_by("public", "year").alias("public"),
-        F.when(F.count(F.lit(1)) == 6, F.min_by("credit", "year")).alias("before"),
-    )
-    span = credit.groupBy("entity").agg(
-        F.min("year").alias("since_year"), F.max("year").alias("until_year")
-    )
-    placed = percentile_of(credit, ["entity"], "credit", newest, "now").join(span, "entity")
+    # The pivot leaves one row per entity and year, so these windows are bounded by the
+    # calendar, and one pass gives rank, lag and newest row together.
+    entity = Window.partitionBy("entity")
+    placed = credit.select(
+        "*",
+        F.percent_rank().over(entity.orderBy("now")).alias("pctile"),
+        F.lag("now", 5).over(entity.orderBy("year")).alias("before"),
+        F.count(F.lit(1)).over(entity).alias("n_obs"),
+        F.min("year").over(entity).alias("since_year"),
+        F.max("year").over(entity).alias("until_year"),
+    ).where(F.col("year") == F.col("until_year"))
     change, pctile = F.col("now") - F.col("before"), F.col("pctile")
     step = fixed.CREDIT_TREND_STEP
     return placed.select(
         "entity",
-        "as_of_year",
+        F.col("year").alias("as_of_year"),
         round_to(F.col("now"), 1).alias("credit_to_gdp"),
         round_to(change, 1).alias("credit_change_5y"),
         round_to(pctile * 100.0).alias("credit_percentile"),

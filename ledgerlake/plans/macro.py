@@ -223,11 +223,12 @@ def mart_news_climate(lake: Lake) -> DataFrame:
     )
     obs = observations(lake, *[row[0] for row in fixed.CLIMATE_LABELS])
     newest = obs.groupBy("series").agg(
-        F.max_by("value", "obs_date").alias("value"),
+        F.max_by("value", "obs_date").alias("now"),
         F.max("obs_date").alias("latest_date"),
-        F.min("obs_date").alias("since_date"),
     )
-    placed = percentile_of(obs, ["series"], "value", newest, "value")
+    placed = percentile_of(
+        obs, ["series"], "value", newest, "now", {"since_date": F.min("obs_date")}
+    )
     pctile = F.col("pctile")
     return (
         placed.join(F.broadcast(labels), "series")  # five fixed rows
@@ -236,7 +237,7 @@ def mart_news_climate(lake: Lake) -> DataFrame:
             "label",
             "explanation",
             "series",
-            round_to(F.col("value"), 2).alias("latest_value"),
+            round_to(F.col("now"), 2).alias("latest_value"),
             "latest_date",
             round_to(pctile * 100.0).alias("percentile"),
             "n_obs",

@@ -169,6 +169,8 @@ def mart_review_digest(lake: Lake) -> DataFrame:
 def mart_review_snapshot(lake: Lake) -> DataFrame:
     """The one row of today; sinks.tables.append_snapshot adds it once per day."""
     c = F.col
+    # Read here, by the runway and by the actions: one row and three rows.
+    lake.settle("mart_safe_to_spend", "mart_evidence_bands")
 
     def scope(name: str, column: str):
         return F.max(F.when(c("scope") == name, c(column)))

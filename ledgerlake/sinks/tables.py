@@ -125,11 +125,23 @@ def update_history(
 
 
 def materialise(lake: Lake, name: str) -> None:
-    """Silver models become temp views, gold models tables; ephemeral ones neither."""
+    """Silver models become temp views, gold models tables; ephemeral ones neither.
+
+    A written gold table is what later models of the same lake read.
+    """
     layer = MODELS[name][0]
     if layer == "silver":
         lake.ref(name).createOrReplaceTempView(name)
-    elif name == "mart_review_snapshot":
-        append_snapshot(lake.ref(name), name)
     elif layer == "gold":
-        replace_table(lake.ref(name), "gold", name)
+        df = lake.ref(name)
+        if name == "mart_review_snapshot":
+            append_snapshot(df, name)
+        else:
+            replace_table(df, "gold", name)
+            lake.use(name, lake.spark.table(table_name("gold", name)))
+
+
+def build_all(lake: Lake) -> None:
+    """Every model once, in registration order (which follows the dependencies)."""
+    for name in MODELS:
+        materialise(lake, name)
