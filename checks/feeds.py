@@ -129,7 +129,7 @@ class Feeds:
     def mm_transactions(self) -> DataFrame:
         # Price after discount in hundredths of a cent, rounded half up to thousandths.
         fine = cents("l_extendedprice") * (F.lit(100) - cents("l_discount"))
-        mills = F.floor((fine + 5) / 10).cast("decimal(15,0)")
+        mills = F.call_function("div", fine + 5, F.lit(10)).cast("decimal(15,0)")
         net = (mills * F.lit("0.001").cast("decimal(3,3)")).cast("decimal(18,3)")
         inflow = (c("n_regionkey") == 1) != (c("l_returnflag") == "R")
         lines = (
@@ -323,7 +323,7 @@ class Feeds:
         return self.read("orders").select(
             F.concat(F.lit("ch_"), text("o_orderkey")).alias("id"),
             amount.alias("amount"),
-            F.when(partial_refund, F.floor(amount / 2).cast("bigint"))
+            F.when(partial_refund, F.call_function("div", amount, F.lit(2)))
             .otherwise(F.lit(0).cast("bigint"))
             .alias("amount_refunded"),
             F.lit("usd").alias("currency"),
@@ -418,19 +418,16 @@ class Feeds:
         )
 
     def load_log(self) -> DataFrame:
-        orders = self.read("orders").agg(F.max("o_orderdate").alias("at"))
-        ships = self.read("lineitem").agg(F.max("l_shipdate").alias("at"))
-        events = self.read("events").agg(F.max("ts").alias("at"))
-        rows = [
-            orders.select(F.lit("macro_daily").alias("schema_name"), "at"),
-            orders.select(F.lit("stripe_daily").alias("schema_name"), "at"),
-            ships.select(F.lit("finance_daily").alias("schema_name"), "at"),
-            events.select(F.lit("outreach").alias("schema_name"), "at"),
-        ]
-        out = rows[0]
-        for r in rows[1:]:
-            out = out.unionByName(r)
-        return out.withColumnRenamed("at", "inserted_at")
+        def loads(name: str, stamp: str, *pipelines: str) -> DataFrame:
+            newest = self.read(name).agg(F.max(stamp).alias("inserted_at"))
+            names = F.array(*[F.lit(p) for p in pipelines])
+            return newest.select(F.explode(names).alias("schema_name"), "inserted_at")
+
+        return (
+            loads("orders", "o_orderdate", "macro_daily", "stripe_daily")
+            .unionByName(loads("lineitem", "l_shipdate", "finance_daily"))
+            .unionByName(loads("events", "ts", "outreach"))
+        )
 
 
 BRONZE_FEEDS = [name for name in vars(Feeds) if name.startswith(("mm_", "fred_", "lh_", "stripe_", "leads_", "touch_"))]

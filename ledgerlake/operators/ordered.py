@@ -37,7 +37,7 @@ def running_before(
 
     `order` must be unique within a key.
     """
-    if small_groups and keys:
+    if small_groups:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
         return df.withColumn(out, F.coalesce(F.sum(amount).over(w), F.lit(0).cast("bigint")))
 

@@ -42,7 +42,7 @@ class Month:
         return [self.back(i) for i in range(1, n + 1)]
 
 
-def in_force(targets: DataFrame, on: Column) -> Column:
+def in_force(on: Column) -> Column:
     """Condition for a dated row (effective_from / effective_to, blank end = open)."""
     end = F.coalesce(F.col("effective_to"), F.lit(OPEN_END).cast("date"))
     return (on >= F.col("effective_from")) & (on <= end)
@@ -51,17 +51,17 @@ def in_force(targets: DataFrame, on: Column) -> Column:
 def effective_dated(targets: DataFrame, dates: DataFrame, date_column: str) -> DataFrame:
     """Target rows in force on each date.
 
-    Meant for a short date list (months of a comparison) against a dated dimension;
-    for fact tables use effective_for_facts, which has an equality key.
+    `dates` is a short list (the months of a comparison) and is broadcast against the
+    dated rows; for fact tables use effective_for_facts, which has an equality key.
     """
-    return dates.join(targets, in_force(targets, F.col(date_column)))
+    return targets.join(F.broadcast(dates), in_force(F.col(date_column)))
 
 
 def effective_for_facts(
     facts: DataFrame, targets: DataFrame, keys: Sequence[str], date_column: str
 ) -> DataFrame:
     """Fact rows with the dimension row in force that day: equality on keys, dates residual."""
-    condition = in_force(targets, F.col(date_column))
+    condition = in_force(F.col(date_column))
     for k in keys:
         condition = (facts[k] == targets[k]) & condition
     joined = facts.join(targets, condition, "left")

@@ -32,26 +32,30 @@ def asof_lookback(
     date: str,
     value: str,
     offsets: Mapping[str, tuple[str, int]],
-    extra: Mapping[str, Column] | None = None,
+    totals: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Per key: latest value and date, and the last value at or before latest − offset.
 
     offsets = {"prior": ("days", 90), "year_ago": ("months", 12)}; all offsets are taken
-    in one pass. A key with nothing that old gets null. Two hash aggregates and one
-    join on the key; the rows of a key are never sorted or gathered.
+    in one scan. A key with nothing that old gets null; of several values on one day the
+    largest counts. totals are additive aggregates over all rows of the key.
+
+    Rows are reduced to one per key and calendar day on the map side first, so what is
+    gathered per key afterwards is bounded by the calendar, however hot the key.
     """
-    # The first pass also takes the latest value: both passes then need the same columns
-    # and share one exchange where the input is itself an aggregate.
-    latest = df.groupBy(*keys).agg(
-        F.max(date).alias("__last"), F.max_by(value, date).alias("__value")
+    added = totals or {}
+    daily = (
+        df.where(F.col(value).isNotNull())
+        .groupBy(*keys, date)
+        .agg(F.max(value).alias(value), *[agg.alias(name) for name, agg in added.items()])
     )
-    bounded = df.join(latest, list(keys))
-    picks = [F.max("__value").alias("latest_value"), F.max("__last").alias("latest_date")]
+    last = F.max(date).over(Window.partitionBy(*keys))
+    picks = [F.max_by(value, date).alias("latest_value"), F.max(date).alias("latest_date")]
     for name, step in offsets.items():
         eligible = F.when(F.col(date) <= shift_back(F.col("__last"), step), F.col(date))
         picks.append(F.max_by(value, eligible).alias(name))
-    picks += [agg.alias(name) for name, agg in (extra or {}).items()]
-    return bounded.groupBy(*keys).agg(*picks)
+    picks += [F.sum(name).alias(name) for name in added]
+    return daily.withColumn("__last", last).groupBy(*keys).agg(*picks)
 
 
 def change_metrics(df: DataFrame, now: str, before: str, digits: int = 2) -> DataFrame:
@@ -76,19 +80,18 @@ def percentile_of(
 ) -> DataFrame:
     """Where one value per key sits in that key's history.
 
-    `at` holds one row per key. Adds pctile = (rows below) / (rows − 1), n_obs and any
-    extra aggregates of the same pass. One join and one partially aggregated count; no
-    ranking of the history.
+    `at` holds one row for each of a short, fixed list of series, and is broadcast for
+    that reason; for keys that grow with the data use value_percentiles. Adds pctile =
+    (rows below) / (rows − 1), n_obs and any extra aggregates of the same pass. One
+    partially aggregated count; no ranking of the history.
     """
     below = F.count_if(F.col(value) < F.col("__at"))
     carried = [name for name in at.columns if name not in keys]
     probe = at.select(
         *keys, F.col(at_value).alias("__at"), F.struct(*carried).alias("__carried")
     )
-    if keys:
-        joined = df.join(probe, list(keys))
-    else:
-        joined = df.crossJoin(F.broadcast(probe))  # a single row
+    probe = F.broadcast(probe)
+    joined = df.join(probe, list(keys)) if keys else df.crossJoin(probe)
     counts = joined.groupBy(*keys).agg(
         below.alias("__below"),
         F.count(value).alias("n_obs"),

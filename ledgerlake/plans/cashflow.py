@@ -178,7 +178,7 @@ def budget_targets(lake: Lake) -> DataFrame:
 @model("gold")
 def mart_budget_vs_actual(lake: Lake) -> DataFrame:
     month, targets = lake.month, budget_targets(lake)
-    current = targets.where(in_force(targets, F.lit(month.start))).select(
+    current = targets.where(in_force(F.lit(month.start))).select(
         "category_group", "tier", "note", F.col("monthly_target").alias("target")
     )
     window = literal_rows(lake.spark, ["mo"], [(d,) for d in month.complete_months(3)])
@@ -231,7 +231,7 @@ def mart_safe_to_spend(lake: Lake) -> DataFrame:
     start = F.lit(lake.month.start)
     targets = budget_targets(lake)
     if not lake.settings.legacy_targets:
-        targets = targets.where(in_force(targets, start))
+        targets = targets.where(in_force(start))
     flexible = F.col("tier") == "flexible"
     totals = targets.agg(
         F.sum("monthly_target").alias("total_target"),

@@ -20,7 +20,6 @@ from ledgerlake.functions.columns import (
 )
 from ledgerlake.operators.timeseries import (
     intervals,
-    latest_by,
     local_minima,
     pivot_series,
     rank_quantiles,
@@ -171,25 +170,25 @@ def _cycle_position(lake: Lake) -> DataFrame:
         )
         .where(F.col("nominal").isNotNull() & (F.col("cpi") > 0))
         .select(
-            F.lit("house_prices").alias("series"),
             "obs_date",
             "nominal",
             ratio(F.col("nominal"), F.col("cpi")).alias("real_price"),
         )
     )
+    # The pivot leaves one row per calendar day of one series: small enough for one task.
     troughs = local_minima(
-        real, ["series"], "obs_date", "real_price", lake.settings.trough_half, small_groups=True
+        real, [], "obs_date", "real_price", lake.settings.trough_half, small_groups=True
     )
-    two = latest_by(troughs, ["series"], ["obs_date"], rows=2)
-    anchor = two.groupBy("series").agg(
+    two = troughs.orderBy(F.desc("obs_date")).limit(2)
+    anchor = two.agg(
         F.max("obs_date").alias("trough_date"),
         F.max_by("nominal", "obs_date").alias("trough_value"),
         F.when(F.count(F.lit(1)) == 2, F.min("obs_date")).alias("prior_trough_date"),
-    )
+    ).where(F.col("trough_date").isNotNull())
     since = F.when(F.col("obs_date") >= F.col("trough_date"), F.col("nominal"))
     return (
-        real.join(anchor, "series")
-        .groupBy("series", "trough_date", "trough_value", "prior_trough_date")
+        real.crossJoin(F.broadcast(anchor))  # at most one row
+        .groupBy("trough_date", "trough_value", "prior_trough_date")
         .agg(
             F.max("obs_date").alias("last_date"),
             F.min("obs_date").alias("first_date"),
@@ -215,7 +214,7 @@ def mart_property_cycle(lake: Lake) -> DataFrame:
     measured = (
         lake.ref("mart_property_cycle_intervals")
         .where(F.col("interval_years").isNotNull())
-        .select(F.lit("all").alias("scope"), "entity", F.col("interval_years").alias("v"))
+        .select("entity", F.col("interval_years").alias("v"))
     )
     v, focus = F.col("v"), F.col("entity") == lake.settings.focus_entity
     here = F.when(focus, v)
@@ -233,9 +232,8 @@ def mart_property_cycle(lake: Lake) -> DataFrame:
         F.max(here).alias("usa_max"),
     )
     shares = {"measured_median": 0.50, "measured_p25": 0.25, "measured_p75": 0.75}
-    quantiles = rank_quantiles(measured, ["scope"], "v", shares, small_groups=True).agg(
-        *[F.max(name).alias(name) for name in shares]
-    )
+    # Ranked at distinct-interval grain: as many rows as there are lengths in years.
+    quantiles = rank_quantiles(measured, [], "v", shares, small_groups=True)
     elapsed = F.col("years_since_trough")
 
     def next_low(share: str):

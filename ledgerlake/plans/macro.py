@@ -114,9 +114,13 @@ def mart_macro_regime(lake: Lake) -> DataFrame:
     )
 
 
+def exact_sum(value: str):
+    """Sum in decimal, so partition order cannot change it."""
+    return F.sum(F.col(value).cast("decimal(28,9)"))
+
+
 def mean_of(value: str):
-    """Mean through an exact decimal sum, so partition order cannot change it."""
-    return F.sum(F.col(value).cast("decimal(28,9)")).cast("double") / F.count(value)
+    return exact_sum(value).cast("double") / F.count(value)
 
 
 @model("gold")
@@ -128,8 +132,8 @@ def mart_macro_equilibrium(lake: Lake) -> DataFrame:
         "obs_date",
         "value",
         {"year_ago": ("months", 12)},
-        {"mean_all": mean_of("value"), "n_obs": F.count("value")},
-    )
+        {"total": exact_sum("value"), "n_obs": F.count("value")},
+    ).withColumn("mean_all", F.col("total").cast("double") / F.col("n_obs"))
 
     def pick(name: str, value):
         return F.max(F.when(F.col("series") == name, value))

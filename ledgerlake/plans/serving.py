@@ -9,7 +9,6 @@ from ledgerlake import fixed_values as fixed
 from ledgerlake.context import Lake
 from ledgerlake.functions.columns import percent, ratio, round_money, round_to
 from ledgerlake.operators.history import status_counts
-from ledgerlake.operators.timeseries import latest_by
 
 c = F.col
 
@@ -33,6 +32,7 @@ def last_refresh(lake: Lake) -> DataFrame:
 
 
 def newest_month_spend(lake: Lake, top: int = 8) -> DataFrame:
+    lake.settle("mart_spend_by_category")  # read twice below: months × groups
     spend = lake.ref("mart_spend_by_category")
     newest = spend.agg(F.max("month").alias("month"))
     return (
@@ -147,15 +147,14 @@ def networth_change(lake: Lake, rows_back: int = 30) -> DataFrame:
 
 def complete_months_savings(lake: Lake) -> DataFrame:
     """Mean savings rate of the second to fourth newest months."""
-    four = latest_by(
-        lake.ref("mart_monthly_cashflow").withColumn("one", F.lit(1)), ["one"], ["month"], rows=4
-    )
-    newest = four.agg(F.max("month").alias("newest"))
     rate = F.coalesce("savings_rate_pct", F.lit(0.0))
-    return (
-        four.crossJoin(F.broadcast(newest))
-        .where(c("month") < c("newest"))
-        .agg(round_to(F.coalesce(F.sum(rate) / F.nullif(F.count(rate), F.lit(0)), F.lit(0.0))).alias("savings_rate_pct"))
+    four = lake.ref("mart_monthly_cashflow").orderBy(F.desc("month")).limit(4)
+    newest_first = F.sort_array(F.collect_list(F.struct("month", rate.alias("rate"))), asc=False)
+    complete = F.slice(F.col("newest")["rate"], 2, 3)
+    added = F.aggregate(complete, F.lit(0.0), lambda total, x: total + x)
+    mean = added / F.nullif(F.size(complete).cast("double"), F.lit(0.0))
+    return four.agg(newest_first.alias("newest")).select(
+        round_to(F.coalesce(mean, F.lit(0.0))).alias("savings_rate_pct")
     )
 
 
