@@ -100,6 +100,9 @@ _SERVING_SQL = {
         select sum(spend) as total_spend from (
             select category_group, spend from mart_spend_by_category
             where month = (select max(month) from mart_spend_by_category) order by spend desc, category_group limit 8)""",
+    "top_category_trend": "select * from mart_category_trend order by this_month desc, category_group limit 8",
+    "read_outreach_funnel": """
+        select angle, total_touches, opens, replies, open_rate_pct, reply_rate_pct from mart_outreach_funnel""",
     "upcoming_bills": f"""
         select due_date, merchant, round(abs(amount))::double as amount from stg_recurring
         where due_date >= {oracle.AS_OF} order by 1, 2, 3 limit 6""",

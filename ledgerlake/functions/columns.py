@@ -77,13 +77,15 @@ def one_zero(flag: Column) -> Column:
 def round_to(value: Column, digits: int = 0) -> Column:
     """Round a double half away from zero on its scaled binary value.
 
-    Spark's own round(double, n) goes through the decimal text of the number, which
-    gives another answer for values such as 1.005. Scaling first matches warehouses
-    that round in binary.
+    Spark's own round(double, n) goes through the decimal text of the number, which gives
+    another answer for values such as 1.005. Scaling first matches warehouses that round
+    in binary; like them, a small negative rounds to -0.0.
     """
     scale = float(10**digits)
-    rounded = F.round(value.cast("double") * scale)
-    return rounded / scale if digits else rounded
+    number = value.cast("double")
+    rounded = F.round(number * scale)
+    signed = F.when(number < 0, -F.abs(rounded)).otherwise(rounded)
+    return signed / scale if digits else signed
 
 
 def round_money(value: Column, digits: int = 0) -> Column:

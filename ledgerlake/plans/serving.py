@@ -47,6 +47,10 @@ def shown_spend_total(lake: Lake, top: int = 8) -> DataFrame:
     return newest_month_spend(lake, top).agg(F.sum("spend").alias("total_spend"))
 
 
+def top_category_trend(lake: Lake, top: int = 8) -> DataFrame:
+    return lake.ref("mart_category_trend").orderBy(F.desc("this_month"), "category_group").limit(top)
+
+
 def upcoming_bills(lake: Lake, top: int = 6) -> DataFrame:
     return (
         lake.ref("stg_recurring")
@@ -117,6 +121,10 @@ PASS_THROUGH: dict[str, tuple[str, list[str] | None]] = {
     "indicator_strip": ("mart_macro_indicators", ["series", "latest_value", "change_90d_pct", "direction"]),
     "regime": ("mart_macro_regime", None),
     "spark_lines": ("mart_macro_history", ["series", "obs_date", "value"]),
+    "outreach_funnel": (
+        "mart_outreach_funnel",
+        ["angle", "total_touches", "opens", "replies", "open_rate_pct", "reply_rate_pct"],
+    ),
     "networth_line": ("mart_networth", ["snapshot_date", "net_worth"]),
     "freshness": ("mart_data_freshness", None),
     "actions": ("mart_portfolio_actions", None),
@@ -264,6 +272,7 @@ SERVING = {
     "last_refresh": last_refresh,
     "newest_month_spend": newest_month_spend,
     "shown_spend_total": shown_spend_total,
+    "top_category_trend": top_category_trend,
     "upcoming_bills": upcoming_bills,
     "recent_transactions": recent_transactions,
     "recent_cashflow": recent_cashflow,

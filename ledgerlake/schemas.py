@@ -59,6 +59,30 @@ BRONZE: dict[str, list[str]] = {
     "stripe_customers": ["id", "created", "email", "name", "delinquent", "livemode"],
 }
 
+# Nested landing files, every leaf read as its text: nothing is inferred and no digit is
+# lost. A list declared as string arrives as its JSON text.
+RAW: dict[str, str] = {
+    "accounts": """
+        id string, displayName string, currentBalance string, isAsset string,
+        includeInNetWorth string, type struct<display: string>, institution struct<name: string>,
+        `order` string,
+        portfolio struct<aggregateHoldings: struct<edges: array<struct<node: struct<
+            security: struct<ticker: string, name: string, type: string, typeDisplay: string>,
+            holdings: array<struct<ticker: string, name: string, type: string>>,
+            totalValue: string, quantity: string, basis: string,
+            securityPriceChangePercent: string>>>>>""",
+    "categories": "id string, name string, `group` struct<name: string, type: string>",
+    "transactions": """
+        id string, date string, amount string, category struct<id: string, name: string>,
+        merchant struct<name: string>, account struct<id: string, displayName: string>,
+        isRecurring string, pending string, hideFromReports string""",
+    "recurring": """
+        date string, amount string,
+        stream struct<frequency: string, amount: string, merchant: struct<name: string>>,
+        category struct<id: string, name: string>, account struct<id: string, displayName: string>""",
+    "networth": "date string, balance string",
+}
+
 SEEDS: dict[str, list[str]] = {
     "security_map": ["ticker", "region", "asset_class", "sleeve"],
     "budget_targets": [

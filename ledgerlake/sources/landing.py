@@ -45,9 +45,16 @@ def read_csv_text(spark: SparkSession, path: str, columns: Sequence[str] | None
     return conform(df, columns) if columns else df
 
 
-def read_records(spark: SparkSession, path: str, json_lines: bool = False) -> DataFrame:
-    """A file holding one JSON array of objects (or one object per line)."""
-    return spark.read.option("multiLine", not json_lines).option("prefersDecimal", True).json(path)
+def read_records(
+    spark: SparkSession, path: str, schema: str | None = None, json_lines: bool = False
+) -> DataFrame:
+    """A file holding one JSON array of objects (or one object per line).
+
+    Give a schema (schemas.RAW) for anything large: inference reads the data once more,
+    and an array file is read by one task, so big landings should be JSON lines.
+    """
+    reader = spark.read.option("multiLine", not json_lines).option("mode", "FAILFAST")
+    return (reader.schema(schema) if schema else reader.option("prefersDecimal", True)).json(path)
 
 
 def read_fixed_records(

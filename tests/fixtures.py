@@ -9,7 +9,7 @@ from datetime import date, timedelta
 from pathlib import Path
 
 from ledgerlake import Lake, Settings
-from ledgerlake.schemas import BRONZE, SEEDS
+from ledgerlake.schemas import BRONZE, RAW, SEEDS
 from ledgerlake.sources import landing
 
 AS_OF = date(2026, 8, 20)
@@ -272,12 +272,12 @@ def landed_lake(spark, root: Path, as_of: date = AS_OF, settings: Settings = SET
     write(root)
 
     def records(name, drop=()):
-        return landing.flatten(landing.read_records(spark, f"{root}/{name}.json"), drop)
+        return landing.flatten(landing.read_records(spark, f"{root}/{name}.json", RAW[name]), drop)
 
     def fixed(name, table):
         return landing.read_fixed_records(spark, f"{root}/{name}.json", BRONZE[table])
 
-    raw_accounts = landing.read_records(spark, f"{root}/accounts.json")
+    raw_accounts = landing.read_records(spark, f"{root}/accounts.json", RAW["accounts"])
     raw_obs = landing.read_fixed_records(
         spark, f"{root}/observations.json", ["series", "series_id", "date", "value"]
     )

@@ -42,6 +42,17 @@ def test_flatten(spark, tmp_path):
     assert "tags" not in landing.flatten(landing.read_records(spark, f"{tmp_path}/r.json"), drop=["tags"]).columns
 
 
+def test_declared_schema_keeps_the_text(spark, tmp_path):
+    (tmp_path / "t.json").write_text('[{"id": 7, "amount": -12.50, "tags": [{"a": 1}], "on": true, "extra": 1}]')
+    df = landing.read_records(spark, f"{tmp_path}/t.json", "id string, amount string, tags string, on string")
+    assert df.head().asDict() == {"id": "7", "amount": "-12.50", "tags": '[{"a": 1}]', "on": "true"}
+
+
+def test_json_lines(spark, tmp_path):
+    (tmp_path / "l.json").write_text('{"id": 1}\n{"id": 2}\n')
+    assert landing.read_records(spark, f"{tmp_path}/l.json", "id string", json_lines=True).count() == 2
+
+
 def test_empty_and_missing_inputs(spark, tmp_path):
     (tmp_path / "empty.json").write_text("[]")
     df = landing.read_fixed_records(spark, f"{tmp_path}/empty.json", BRONZE["stripe_subscriptions"])
