@@ -97,18 +97,18 @@ class Lake:
     # -- inputs --
 
     def source(self, name: str) -> DataFrame:
-        """A landed table with exactly its declared columns; empty when it never landed."""
+        """A landed table with all its declared columns; empty when it never landed."""
         columns = schemas.BRONZE[name]
         if name not in self._bronze:
             return self.spark.createDataFrame([], schemas.text_schema(columns))
         given = self._bronze[name]
-        return schemas.conform(given() if callable(given) else given, columns)
+        return schemas.with_missing(given() if callable(given) else given, columns)
 
     def seed(self, name: str) -> DataFrame:
         columns = schemas.SEEDS[name]
         if name in self._seeds:
             given = self._seeds[name]
-            return schemas.conform(given() if callable(given) else given, columns)
+            return schemas.with_missing(given() if callable(given) else given, columns)
         if name == "security_map":
             return literal_rows(self.spark, columns, fixed.SECURITY_MAP)
         return self.spark.createDataFrame([], schemas.text_schema(columns))

@@ -15,33 +15,38 @@ from ledgerlake.functions.columns import round_to
 class Rule:
     """One visible check: it yields an 'act' or an 'ok' row, never nothing."""
 
-    severity: int
-    area: str
-    title: str
-    detail: str
+    key: str
     current: Column
     target: Column
-    unit: str
     act: Column
 
 
-def rule_checks(metrics: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """One row per rule from a one-row frame of metrics, open actions first."""
+def rule_checks(metrics: DataFrame, rules: Sequence[Rule], texts: DataFrame) -> DataFrame:
+    """One row per rule from a one-row frame of metrics, open actions first.
+
+    texts is the fixed rule table: key, severity, area, title, detail, unit.
+    """
     rows = [
         F.struct(
-            F.lit(r.severity).alias("severity"),
-            F.lit(r.area).alias("area"),
-            F.lit(r.title).alias("title"),
-            F.lit(r.detail).alias("detail"),
-            round_to(r.current, 1).alias("current_value"),
-            round_to(r.target, 1).alias("target_value"),
-            F.lit(r.unit).alias("unit"),
-            F.when(r.act, "act").otherwise("ok").alias("status"),
+            F.lit(r.key).alias("key"),
+            r.current.cast("double").alias("current"),
+            r.target.cast("double").alias("target"),
+            r.act.alias("act"),
         )
         for r in rules
     ]
-    checks = metrics.select(F.inline(F.array(*rows)))
-    return checks.orderBy(F.when(F.col("status") == "act", 0).otherwise(1), "severity", "area")
+    checks = metrics.select(F.inline(F.array(*rows))).join(F.broadcast(texts), "key")
+    status = F.when(F.col("act"), "act").otherwise("ok")
+    return checks.select(
+        "severity",
+        "area",
+        "title",
+        "detail",
+        round_to(F.col("current"), 1).alias("current_value"),
+        round_to(F.col("target"), 1).alias("target_value"),
+        "unit",
+        status.alias("status"),
+    ).orderBy(F.when(F.col("status") == "act", 0).otherwise(1), "severity", "area")
 
 
 def freshness_status(age: Column, expected_lag: Column) -> Column:

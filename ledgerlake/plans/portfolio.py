@@ -271,11 +271,12 @@ def mart_portfolio_actions(lake: Lake) -> DataFrame:
         "powder": (c("powder_pct"), F.lit(float(fixed.POWDER_CEILING_PCT)),
                    ~F.coalesce(c("powder_pct") <= fixed.POWDER_CEILING_PCT, F.lit(False))),
     }
-    rules = [
-        Rule(severity, area, title, detail, *tests[key][:2], unit, tests[key][2])
-        for key, (severity, area, title, detail, unit) in fixed.PORTFOLIO_RULES.items()
-    ]
-    checks = rule_checks(metrics, rules)
+    texts = literal_rows(
+        lake.spark,
+        ["key", "severity", "area", "title", "detail", "unit"],
+        [(key, *row) for key, row in fixed.PORTFOLIO_RULES.items()],
+    )
+    checks = rule_checks(metrics, [Rule(key, *test) for key, test in tests.items()], texts)
     # Without an active account there is no geography to judge.
     return checks.where((c("area") != "Geography") | c("current_value").isNotNull())
 

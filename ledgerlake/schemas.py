@@ -103,6 +103,13 @@ def text_schema(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
+def with_missing(df: DataFrame, columns: list[str]) -> DataFrame:
+    """At least `columns`: absent ones are added as null strings."""
+    present = set(df.columns)
+    absent = [c for c in columns if c not in present]
+    return df.withColumns({c: F.lit(None).cast("string") for c in absent}) if absent else df
+
+
 def conform(df: DataFrame, columns: list[str]) -> DataFrame:
     """Exactly `columns`, in order; absent ones are null strings."""
     present = set(df.columns)
