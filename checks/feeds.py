@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from ledgerlake import Lake, Settings
 from ledgerlake.context import literal_rows
 from ledgerlake.schemas import SEEDS
-from ledgerlake.session import light_plans
 from ledgerlake.sources.landing import all_text
 
 AS_OF = date(2001, 11, 4)
@@ -94,7 +93,6 @@ c = F.col
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    light_plans(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -8,14 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 # Recording the Python call site of every column costs more than planning these queries.
+# Static: it has to be set when the session is made.
 CALL_SITES = "spark.python.sql.dataFrameDebugging.enabled"
 
 
-def light_plans(spark: SparkSession) -> None:
-    if spark.conf.get(CALL_SITES, "true") != "false":
-        spark.conf.set(CALL_SITES, "false")
-
-
 def build_session(app: str = "ledgerlake", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the settings the plans rely on; cluster sizing stays with the caller."""
     builder = SparkSession.builder.appName(app)
