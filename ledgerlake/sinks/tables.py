@@ -27,6 +27,16 @@ def ensure_layer(spark: SparkSession, layer: str) -> None:
     spark.sql(f"create schema if not exists {layer}")
 
 
+def table_exists(spark: SparkSession, live: str) -> bool:
+    """Whether the table is there, after bringing it back if a swap died between its renames."""
+    if spark.catalog.tableExists(live):
+        return True
+    if spark.catalog.tableExists(f"{live}__old"):
+        spark.sql(f"alter table {live}__old rename to {live}")
+        return True
+    return False
+
+
 def replace_table(df: DataFrame, layer: str, name: str, partition_by: Sequence[str] = ()) -> None:
     """Full refresh through a second table and a rename."""
     spark = df.sparkSession
@@ -35,8 +45,8 @@ def replace_table(df: DataFrame, layer: str, name: str, partition_by: Sequence[s
     fresh, old = f"{live}__next", f"{live}__old"
     spark.sql(f"drop table if exists {fresh}")
     df.write.format("parquet").partitionBy(*partition_by).saveAsTable(fresh)
-    spark.sql(f"drop table if exists {old}")
-    if spark.catalog.tableExists(live):
+    if table_exists(spark, live):
+        spark.sql(f"drop table if exists {old}")
         spark.sql(f"alter table {live} rename to {old}")
     spark.sql(f"alter table {fresh} rename to {live}")
     spark.sql(f"drop table if exists {old}")
@@ -60,7 +70,7 @@ def log_load(spark: SparkSession, pipeline: str) -> None:
 
 def read_load_log(spark: SparkSession) -> DataFrame:
     name = table_name("bronze", "load_log")
-    if not spark.catalog.tableExists(name):
+    if not table_exists(spark, name):
         return spark.createDataFrame([], LOAD_LOG)
     return spark.table(name)
 
@@ -88,7 +98,7 @@ def append_new(
     spark = batch.sparkSession
     ensure_layer(spark, layer)
     live = table_name(layer, name)
-    if not spark.catalog.tableExists(live):
+    if not table_exists(spark, live):
         batch.dropDuplicates(list(keys)).write.format("parquet").saveAsTable(live)
         return
     fresh = new_rows(spark.table(live), batch, keys, cursor)
@@ -99,7 +109,7 @@ def append_snapshot(row: DataFrame, name: str, key: str = "snapshot_date", repla
     """Add today's row unless the date is there; replace=True lets the newest run win."""
     spark = row.sparkSession
     live = table_name("gold", name)
-    if replace and spark.catalog.tableExists(live):
+    if replace and table_exists(spark, live):
         others = spark.table(live).join(row.select(key), key, "left_anti")
         replace_table(others.unionByName(row), "gold", name)
     else:
@@ -118,7 +128,7 @@ def update_history(
     spark = snapshot.sparkSession
     live = table_name(layer, name)
     require_unique(snapshot, keys)
-    if spark.catalog.tableExists(live):
+    if table_exists(spark, live):
         replace_table(scd2_merge(spark.table(live), snapshot, keys, check, valid_at), layer, name)
     else:
         replace_table(first_history(snapshot, valid_at), layer, name)

@@ -25,6 +25,14 @@ def test_replace_reads_its_own_table(spark):
     assert left == ["self_read"]
 
 
+def test_a_swap_that_died_between_renames_is_mended(spark):
+    tables.replace_table(frame(spark, [(1, None, "a")]), "bronze", "broken")
+    spark.sql("alter table bronze.broken rename to bronze.broken__old")
+    tables.append_new(frame(spark, [(1, None, "a"), (2, None, "b")]), "bronze", "broken", ["id"])
+    assert sorted(r.id for r in spark.table("bronze.broken").collect()) == [1, 2]
+    assert not spark.catalog.tableExists("bronze.broken__old")
+
+
 def test_keyed_load_refuses_repeats_and_logs(spark):
     good = frame(spark, [(1, None, "a"), (2, None, "b")])
     tables.load_table(good, "keyed", "finance_dev", keys=["id"])
