@@ -6,9 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import near_dup
+import public_tokenizers
+
+from ledgerlake.llm import near_dup, packing
 from ledgerlake.llm.common import table
 
+#: The place of a vocabulary file by its name.
+TOKENIZERS = public_tokenizers.path
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -26,3 +31,8 @@ def query(name: str, sql: str | None = None):
 @query("op4_minhash_near_dedup")
 def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op7_cost_balanced_packing")
+def cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"), TOKENIZERS("word_bpe_49k.json"))
