@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from ledgerlake.llm import near_dup, packing
+from ledgerlake.llm import language_mix, near_dup, packing
 from ledgerlake.llm.common import table
 
 #: The place of a vocabulary file by its name.
@@ -36,3 +36,8 @@ def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_cost_balanced_packing")
 def cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), TOKENIZERS("word_bpe_49k.json"))
+
+
+@query("op10_language_mixture")
+def language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_mix.identified(table(spark, sf_dir, "documents"))
