@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from ledgerlake.llm import language_mix, near_dup, packing
+from ledgerlake.llm import language_mix, near_dup, packing, pii
 from ledgerlake.llm.common import table
 
 #: The place of a vocabulary file by its name.
@@ -41,3 +41,8 @@ def cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_language_mixture")
 def language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_mix.identified(table(spark, sf_dir, "documents"))
+
+
+@query("op9_personal_data")
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.detected(table(spark, sf_dir, "documents"))
