@@ -70,6 +70,37 @@ def fold(column: str, folds: int) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary")) % folds
 
 
+#: Words of 64 bits in an id filter: the bound on what it broadcasts, 2^18 rows of two numbers.
+FILTER_WORDS = 1 << 18
+
+
+def _with_filter(rows: DataFrame, ids: DataFrame, column: str) -> tuple[DataFrame, Column]:
+    """``rows`` with two columns more, and whether a row's id may be in ``ids(column)``.
+
+    The ids become bits of a table of a fixed size, which is broadcast: whatever is not listed
+    is told apart, but for a few, without shuffling the rows. A null id is never listed.
+    """
+    word = F.pmod(F.xxhash64(column), F.lit(FILTER_WORDS))
+    bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(xxhash64(`{column}`), 58) as int))")
+    bits = ids.groupBy(word.alias("__word")).agg(F.bit_or(bit).alias("__bits"))
+    held = rows.join(F.broadcast(bits), word == F.col("__word"), "left")
+    listed = F.coalesce(F.col("__bits").bitwiseAND(bit) != 0, F.lit(False)) & F.col(column).isNotNull()
+    return held, listed
+
+
+def with_ids(rows: DataFrame, ids: DataFrame, column: str = "doc_id") -> DataFrame:
+    """The rows whose id is in ``ids(column)``; of the others few are shuffled."""
+    held, listed = _with_filter(rows, ids, column)
+    return held.where(listed).select(*rows.columns).join(ids, column, "left_semi").select(*rows.columns)
+
+
+def without_ids(rows: DataFrame, ids: DataFrame, column: str = "doc_id") -> DataFrame:
+    """The rows whose id is not in ``ids(column)``, null ids included; few are shuffled."""
+    held, listed = _with_filter(rows, ids, column)
+    rest = held.where(listed).select(*rows.columns).join(ids, column, "left_anti")
+    return held.where(~listed).select(*rows.columns).unionAll(rest.select(*rows.columns))
+
+
 def map_arrow(
     frame: DataFrame, work: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str
 ) -> DataFrame:

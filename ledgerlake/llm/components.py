@@ -22,7 +22,7 @@ def _least_neighbour(edges: DataFrame) -> DataFrame:
 def large_star(edges: DataFrame) -> DataFrame:
     """Links every larger neighbour of a node to the least node around it."""
     around = _least_neighbour(edges)
-    return around.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+    return around.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
 
 
 def small_star(edges: DataFrame) -> DataFrame:

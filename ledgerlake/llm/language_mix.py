@@ -171,9 +171,11 @@ class Model:
 SCHEMA = "lang_pred string, score double, languages array<string>, shares array<double>"
 
 
-def predicted(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
+def predicted(docs: DataFrame, model: Model, keep: list[str], prefix: str = "") -> DataFrame:
     """The columns ``keep`` of ``docs`` and lang_pred, score, languages, shares; one row per row.
 
+    ``prefix`` stands before the four new names, so that they don't clash with those kept.
+
     Only ``text`` is read for the prediction. Null texts and texts without a letter are ``und``
     with score 0. Columns of ``docs`` that aren't named in ``keep`` don't matter.
     """
@@ -186,12 +188,12 @@ def predicted(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
         yield pa.RecordBatch.from_arrays(
             [*batch.columns[1:], pa.array(langs, pa.string()), pa.array(scores, pa.float64()),
              pa.array(sets, pa.list_(pa.string())), pa.array(shares, pa.list_(pa.float64()))],
-            names=[*keep, "lang_pred", "score", "languages", "shares"],
+            names=[*keep, *(prefix + name for name in ("lang_pred", "score", "languages", "shares"))],
         )
 
     source = docs.select(whole_text().alias("__text"), *keep)
     schema = ", ".join(f"`{name}` {kind}" for name, kind in source.drop("__text").dtypes)
-    return map_arrow(source, work, f"{schema}, {SCHEMA}")
+    return map_arrow(source, work, ", ".join([schema, *(prefix + field for field in SCHEMA.split(", "))]))
 
 
 def training_rows(docs: DataFrame, folds: int = 4, held_out: int = 2) -> DataFrame:

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import discard, map_arrow, settle, whole_text
+from ledgerlake.llm.common import discard, map_arrow, settle, whole_text, with_ids, without_ids
 from ledgerlake.llm.components import connected_components
 
 WORDS = 5
@@ -130,7 +130,7 @@ def _sets(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 
 def _shingles_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(doc_id, shingles) of the documents in ``wanted(doc_id)``, one row each."""
-    texts = docs.select(F.col("doc_id").cast("long"), whole_text().alias("text")).join(wanted, "doc_id", "left_semi")
+    texts = with_ids(docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")), wanted)
     return map_arrow(texts, _sets, "doc_id long, shingles binary").dropDuplicates(["doc_id"])
 
 
@@ -299,10 +299,15 @@ def classes(docs: DataFrame) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose document is the kept one of its component, all columns as they are.
+    """One row of ``docs`` for each component: that of its kept document, all columns as they are.
 
-    A row with a null doc_id stands for itself and stays.
+    Of repeated rows of a kept document one stays. A row with a null doc_id stands for itself
+    and stays. ``docs`` must not have columns whose names begin with ``__``.
     """
-    dropped = classes(docs.where("doc_id is not null")).where("not kept").select(F.col("doc_id")).distinct()
-    keyed = docs.join(dropped.withColumnRenamed("doc_id", "__dropped"), F.col("doc_id").cast("long") == F.col("__dropped"), "left_anti")
-    return keyed
+    found = settle(classes(docs.where("doc_id is not null")), "classes")
+    dropped = found.where("not kept").select("doc_id").distinct()
+    repeated = found.where("kept").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    kept = without_ids(docs, dropped.select(F.col("doc_id").cast(docs.schema["doc_id"].dataType)))
+    once = repeated.select(F.col("doc_id").cast(docs.schema["doc_id"].dataType))
+    several = with_ids(kept, once).dropDuplicates(["doc_id"])
+    return without_ids(kept, once).unionAll(several)

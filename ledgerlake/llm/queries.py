@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from ledgerlake.llm import language_mix, near_dup, packing, pii
+from ledgerlake.llm import language_mix, near_dup, packing, pii, quality
 from ledgerlake.llm.common import table
 
 #: The place of a vocabulary file by its name.
@@ -46,3 +46,8 @@ def language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_personal_data")
 def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.detected(table(spark, sf_dir, "documents"))
+
+
+@query("op3_quality_network")
+def quality_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
