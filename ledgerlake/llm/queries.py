@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from ledgerlake.llm import language_mix, near_dup, packing, pii, quality
+from ledgerlake.llm import language_mix, main_text, near_dup, packing, pii, quality
 from ledgerlake.llm.common import table
 
 #: The place of a vocabulary file by its name.
@@ -51,3 +51,8 @@ def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_quality_network")
 def quality_network(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op8_site_templates")
+def site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extracted(table(spark, sf_dir, "pages"))
