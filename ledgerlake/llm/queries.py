@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from ledgerlake.llm import language_mix, main_text, near_dup, packing, pii, quality
+from ledgerlake.llm import language_mix, main_text, near_dup, packing, pii, quality, top_k
 from ledgerlake.llm.common import table
 
 #: The place of a vocabulary file by its name.
@@ -56,3 +57,29 @@ def quality_network(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_site_templates")
 def site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text.extracted(table(spark, sf_dir, "pages"))
+
+
+TOP_K = """
+with usable as (
+    select distinct vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as w
+    from embeddings
+    where vec_id is not null and embedding is not null
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+scored as (
+    select q.vec_id as query_id, c.vec_id as vec_id,
+           cast(list_sum(list_transform(list_zip(q.w, c.w, true), lambda p: p[1] * p[2])) as bigint) as score
+    from usable q join usable c on q.vec_id <> c.vec_id
+    where q.vec_id % 20 = 0
+)
+select query_id, cast(rank as integer) as rank, vec_id, score
+from (
+    select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored
+)
+where rank <= 20
+"""
+
+
+@query("op5_exact_top_k", TOP_K)
+def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k.searched(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
