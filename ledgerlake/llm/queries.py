@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from ledgerlake.llm import language_mix, main_text, near_dup, packing, pii, quality, top_k
+from ledgerlake.llm import language_mix, main_text, near_dup, order_minhash, packing, pii, quality, top_k
 from ledgerlake.llm.common import table
 
 #: The place of a vocabulary file by its name.
@@ -83,3 +83,8 @@ where rank <= 20
 @query("op5_exact_top_k", TOP_K)
 def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k.searched(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query("op6_order_minhash")
+def order_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.compared(table(spark, sf_dir, "documents"))
