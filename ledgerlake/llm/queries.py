@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from ledgerlake.llm import language_mix, main_text, near_dup, order_minhash, packing, pii, quality, top_k
+from ledgerlake.llm import language_mix, main_text, near_dup, order_minhash, packing, pii, quality, token_counts, top_k
 from ledgerlake.llm.common import table
 
 #: The place of a vocabulary file by its name.
@@ -88,3 +88,9 @@ def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_order_minhash")
 def order_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.compared(table(spark, sf_dir, "documents"))
+
+
+@query("op1_token_counts")
+def section_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = TOKENIZERS("byte_bpe_50k.tiktoken")
+    return token_counts.attributed(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
