@@ -20,6 +20,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from itertools import chain, islice
 
 import numpy as np
@@ -53,25 +54,27 @@ class _Numbers(dict):
 class WordEncoder:
     """Token ids of whole texts by a word-level BPE that drops white space.
 
-    Its ids for a text are those of the text's words one after the other, so each word is
-    encoded once and looked up from then on. A new word is its part up to the last letter, in
-    lower case, and the punctuation behind it, as the tokenizer splits there; those parts are
-    looked up as well. ``tests/llm`` hold this against the tokenizer.
+    Its ids for a text are those of the text's units one after the other, so each unit is
+    encoded once and looked up from then on. Texts of Latin letters fall into runs of letters
+    and digits, with apostrophes between them, and runs of other marks, in lower case: the
+    tokenizer, which lowers as well, splits at least there. Elsewhere lower case or composed
+    characters may depend on what stands around, and units are what stands between white
+    space. ``tests/llm`` hold the ids against the tokenizer's.
     """
 
     #: White space as the tokenizer's pattern has it: U+001C to U+001F, which Python splits at, aren't.
     _separators = re.compile(r"[^\S\x1c-\x1f]+")
     _odd = re.compile(r"[\x1c-\x1f]")
-    _behind = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+    _beyond_latin = re.compile("[\x1c-\x1f\u0250-\U0010ffff]")
+    _units = re.compile(r"'?[^\W_]+(?:'[^\W_]+)*|(?:[^\w\s]|_)+")
 
-    def __init__(self, path: str, most_words: int = 300_000):
+    def __init__(self, path: str, most_units: int = 500_000):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.most_words = most_words
-        self.parts: dict[str, list[int]] = {}
+        self.most_units = most_units
         self._reset()
 
     def _reset(self) -> None:
@@ -79,38 +82,27 @@ class WordEncoder:
         self.ids = np.zeros(0, np.uint32)
         self.length = self.first = np.zeros(0, np.int64)
 
-    def _words(self, text: str) -> list[str]:
+    def _split(self, text: str) -> list[str]:
+        if not self._beyond_latin.search(text):
+            return self._units.findall(text.lower())
         if self._odd.search(text):
-            return [w for w in self._separators.split(text) if w]
+            return [unit for unit in self._separators.split(text) if unit]
         return text.split()
 
-    def _split(self, word: str) -> tuple[str, str]:
-        stem = word.rstrip(self._behind)
-        if not stem or not stem[-1].isalpha():
-            return word, ""
-        # Beyond Latin letters lower case may depend on what stands around or compose anew.
-        return (stem.lower() if max(stem) < "\u0250" else stem), word[len(stem) :]
-
-    def _encoded(self, words: list[str]) -> list[list[int]]:
-        split = [self._split(word) for word in words]
-        if len(self.parts) > self.most_words:
-            self.parts.clear()
-        fresh = list({part for pair in split for part in pair} - self.parts.keys())
-        encodings = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
-        self.parts.update((part, encoding.ids) for part, encoding in zip(fresh, encodings))
-        return [self.parts[stem] + self.parts[behind] for stem, behind in split]
-
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, as uint32."""
-        if len(self.number) > self.most_words:
+        if len(self.number) > self.most_units:
             self._reset()
         known = len(self.number)
-        words = [self._words(text) for text in texts]
-        numbers = [np.fromiter(map(self.number.__getitem__, w), np.int64, len(w)) for w in words]
+        numbers = []
+        for text in texts:
+            units = self._split(text)
+            numbers.append(np.fromiter(map(self.number.__getitem__, units), np.int64, len(units)))
         if len(self.number) > known:
-            encoded = self._encoded(list(islice(self.number, known, None)))
+            fresh = list(islice(self.number, known, None))
+            encoded = [e.ids for e in self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)]
             self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(encoded), np.uint32)])
-            self.length = np.concatenate([self.length, np.array([len(ids) for ids in encoded], np.int64)])
+            self.length = np.concatenate([self.length, np.fromiter(map(len, encoded), np.int64, len(encoded))])
             self.first = np.cumsum(self.length) - self.length
         return [self._gathered(of_text) for of_text in numbers]
 
@@ -124,6 +116,12 @@ class WordEncoder:
         return self.ids[at]
 
 
+@lru_cache(maxsize=2)
+def word_encoder(path: str) -> WordEncoder:
+    """The encoder of this process: what one task has looked up serves the next one."""
+    return WordEncoder(path)
+
+
 def cost(tokens: int) -> float:
     return LINEAR * tokens + QUADRATIC * tokens * tokens
 
@@ -210,7 +208,7 @@ def packed(docs: DataFrame, tokenizer: str) -> DataFrame:
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer)
+        encoder = word_encoder(tokenizer)
         pool = _Pool(TaskContext.get().partitionId())
         for batch in batches:
             doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()

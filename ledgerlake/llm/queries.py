@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from ledgerlake.llm import language_mix, main_text, near_dup, order_minhash, packing, pii, quality, token_counts, top_k
+from ledgerlake.llm import language_mix, lattice_sampling, main_text, near_dup, order_minhash, packing, pii, quality, token_counts, top_k
 from ledgerlake.llm.common import table
 
 #: The place of a vocabulary file by its name.
@@ -94,3 +94,13 @@ def order_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def section_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = TOKENIZERS("byte_bpe_50k.tiktoken")
     return token_counts.attributed(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+#: Segmentations of each text that the sampling query asks for.
+SEGMENTATIONS = 2
+
+
+@query("op2_sampled_segmentations")
+def sampled_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = TOKENIZERS("piece_bpe_32k.model")
+    return lattice_sampling.sampled(table(spark, sf_dir, "documents"), model, SEGMENTATIONS, ids=False, digest=True)
