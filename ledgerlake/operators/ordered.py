@@ -1,12 +1,15 @@
 """Ordered operators that never confine one key to one task.
 
 A plain window sends a whole key to a single task, and a window without keys sends
-the whole table there. The operators here range-partition on (keys, order), so a key
-holding a third of all rows is spread over as many partitions as its share deserves,
-and combine the partitions through their totals: one row per key and partition.
+the whole table there. The operators here cut the rows, sorted by keys and order, into
+slices at cut points taken from a bounded sample. A row's slice is an expression of its own
+columns, so nothing has to be stored for two reads to agree, also when an executor is
+lost in between; the sample only decides how even the slices are, never a result. Slices
+of a key are combined through their totals: one row per key and slice.
 
 Callers whose groups are bounded by construction (one row per calendar day of a named
-series) pass small_groups=True and get the ordinary window plan.
+series) pass small_groups=True and get the ordinary window plan. Both plans give the same
+rows: null keys form a key of their own, and sums have the type Spark gives them.
 """
 
 from __future__ import annotations
@@ -16,15 +19,54 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.session import cut_lineage
-
 RowFrame = tuple[Column, int, int]
+#: Sampled rows for each slice: the only rows of the data that the driver sees.
+SAMPLED = 32
 
 
 def _partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which null keys meet; the keys come out once, from the left."""
+    renamed = right.withColumnsRenamed({k: f"__right_{k}" for k in keys})
+    condition = F.lit(True)
+    for k in keys:
+        condition = condition & F.col(k).eqNullSafe(F.col(f"__right_{k}"))
+    return left.join(renamed, condition, how).drop(*[f"__right_{k}" for k in keys])
+
+
+def with_slice(df: DataFrame, columns: Sequence[str], out: str = "__slice") -> DataFrame:
+    """Adds the number of the slice a row falls into, rising with `columns` (nulls first)."""
+    slices = _partitions(df)
+    place = F.struct(*[F.col(c) for c in columns])
+    sampled = (
+        df.select(place.alias("place"))
+        .orderBy(F.xxhash64("place"), "place")
+        .limit(SAMPLED * slices)
+        .orderBy("place")
+        .collect()
+    )
+    cuts = [sampled[k].place for k in range(SAMPLED, len(sampled), SAMPLED)]
+    if not cuts:
+        return df.withColumn(out, F.lit(0))
+    kind = df.select(place.alias("place")).schema["place"].dataType
+    points = F.array(
+        *[F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(cut, kind.fields)]) for cut in cuts]
+    )
+    # How many cut points lie at or before the row: a binary search by halving steps.
+    steps = [1 << bit for bit in range(len(cuts).bit_length() - 1, -1, -1)]
+    found = F.aggregate(
+        F.array(*[F.lit(step) for step in steps]),
+        F.lit(0),
+        lambda at, step: F.when(
+            (at + step <= len(cuts)) & (F.get(points, at + step - 1) <= place), at + step
+        ).otherwise(at),
+    )
+    return df.withColumn(out, found)
+
+
 def running_before(
     df: DataFrame,
     keys: Sequence[str],
@@ -33,36 +75,32 @@ def running_before(
     out: str,
     small_groups: bool = False,
 ) -> DataFrame:
-    """Adds `out`: the sum of `amount` over the rows of the key that sort earlier.
+    """Adds `out`: the sum of `amount` over the rows of the key that sort earlier, else 0.
 
     `order` must be unique within a key.
     """
     if small_groups:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-        return df.withColumn(out, F.coalesce(F.sum(amount).over(w), F.lit(0).cast("bigint")))
-
-    # The partition number is read twice (totals and rows); the cut keeps both reads on
-    # one materialised layout, also when an executor is lost in between.
-    ranged = cut_lineage(
-        df.withColumn("__amount", amount)
-        .repartitionByRange(_partitions(df), *[F.col(c) for c in (*keys, *order)])
-        .withColumn("__slice", F.spark_partition_id())
-    )
+        return df.withColumn(out, F.coalesce(F.sum(amount).over(w), F.lit(0)))
+
+    sliced = with_slice(df, [*keys, *order]).withColumn("__amount", amount)
     inside = (
         Window.partitionBy(*keys, "__slice")
         .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    slices = ranged.groupBy(*keys, "__slice").agg(F.sum("__amount").alias("__slice_sum"))
-    # At most one row per key and partition number, so this window stays tiny.
+    slices = sliced.groupBy(*keys, "__slice").agg(F.sum("__amount").alias("__slice_sum"))
+    # At most one row per key and slice, so this window stays tiny.
     earlier = Window.partitionBy(*keys).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = slices.select(
         *keys, "__slice", F.coalesce(F.sum("__slice_sum").over(earlier), F.lit(0)).alias("__start")
     )
+    ran = sliced.withColumn("__inside", F.sum("__amount").over(inside))
+    kind = ran.schema["__inside"].dataType
+    total = F.col("__start") + F.coalesce("__inside", F.lit(0))
     return (
-        ranged.withColumn("__inside", F.coalesce(F.sum("__amount").over(inside), F.lit(0)))
-        .join(starts, [*keys, "__slice"])
-        .withColumn(out, (F.col("__start") + F.col("__inside")).cast("bigint"))
+        join_on(ran, starts, [*keys, "__slice"])
+        .withColumn(out, total.cast(kind))
         .drop("__amount", "__slice", "__inside", "__start")
     )
 

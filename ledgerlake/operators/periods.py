@@ -51,10 +51,11 @@ def in_force(on: Column) -> Column:
 def effective_dated(targets: DataFrame, dates: DataFrame, date_column: str) -> DataFrame:
     """Target rows in force on each date.
 
-    `dates` is a short list (the months of a comparison) and is broadcast against the
-    dated rows; for fact tables use effective_for_facts, which has an equality key.
+    `dates` is a short list (the months of a comparison): a range join has no key to shuffle
+    by, so Spark broadcasts the side it knows to be small. For fact tables use
+    effective_for_facts, which has an equality key.
     """
-    return targets.join(F.broadcast(dates), in_force(F.col(date_column)))
+    return targets.join(dates, in_force(F.col(date_column)))
 
 
 def effective_for_facts(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.columns import change_percent, direction, round_to
-from ledgerlake.operators.ordered import rows_frame, running_before
+from ledgerlake.operators.ordered import join_on, rows_frame, running_before
 
 
 def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: int = 1) -> DataFrame:
@@ -43,6 +43,9 @@ def asof_lookback(
     Rows are reduced to one per key and calendar day on the map side first, so what is
     gathered per key afterwards is bounded by the calendar, however hot the key.
     """
+    kind = df.schema[date].dataType.typeName()
+    if kind != "date":
+        raise TypeError(f"{date} is a {kind}; only dates bound what is gathered for a key")
     added = totals or {}
     daily = (
         df.where(F.col(value).isNotNull())
@@ -80,8 +83,8 @@ def percentile_of(
 ) -> DataFrame:
     """Where one value per key sits in that key's history.
 
-    `at` holds one row for each of a short, fixed list of series, and is broadcast for
-    that reason; for keys that grow with the data use value_percentiles. Adds pctile =
+    `at` holds one row per key; whether it is broadcast is left to its size, without keys it
+    is a single row. For every value of a key use value_percentiles. Adds pctile =
     (rows below) / (rows − 1), n_obs and any extra aggregates of the same pass. One
     partially aggregated count; no ranking of the history.
     """
@@ -90,8 +93,7 @@ def percentile_of(
     probe = at.select(
         *keys, F.col(at_value).alias("__at"), F.struct(*carried).alias("__carried")
     )
-    probe = F.broadcast(probe)
-    joined = df.join(probe, list(keys)) if keys else df.crossJoin(probe)
+    joined = join_on(df, probe, keys) if keys else df.crossJoin(probe)
     counts = joined.groupBy(*keys).agg(
         below.alias("__below"),
         F.count(value).alias("n_obs"),
@@ -126,17 +128,21 @@ def value_percentiles(
         .agg(F.count(F.lit(1)).alias("n"))
     )
     ranked = running_before(hist, keys, [value], F.col("n"), "__below", small_groups)
-    totals = df.groupBy(*keys).agg(F.count(value).alias("n_obs"))
-    joined = ranked.join(totals, list(keys)) if keys else ranked.crossJoin(F.broadcast(totals))
+    totals = hist.groupBy(*keys).agg(F.sum("n").alias("n_obs"))
+    joined = join_on(ranked, totals, keys) if keys else ranked.crossJoin(F.broadcast(totals))
     return joined.withColumn("pctile", rank_share(F.col("__below"), F.col("n_obs"))).drop("__below")
 
 
 def with_percentile(
     df: DataFrame, keys: Sequence[str], value: str, small_groups: bool = False
 ) -> DataFrame:
-    """Every row with a value, with its percent_rank in its key's history."""
+    """Every row with a value, with its percent_rank in its key's history.
+
+    A value that many rows hold is one join key; its rows are spread by Spark's own splitting
+    of skewed joins, as the ranks have one row for it.
+    """
     ranks = value_percentiles(df, keys, value, small_groups).select(*keys, value, "pctile", "n_obs")
-    return df.where(F.col(value).isNotNull()).join(ranks, [*keys, value])
+    return join_on(df.where(F.col(value).isNotNull()), ranks, [*keys, value])
 
 
 def rank_quantiles(
