@@ -97,7 +97,7 @@ def allocated(
         shares[count] += outside / (end - begin)
         best = low + int(np.argmax(held)) if len(held) and held.max() >= outside else count
         tokens[best] += 1
-        crossing[best] += int(len(held) + (outside > 0) > 1)
+        crossing[best] += int((held > 0).sum() + (outside > 0) > 1)
     return tokens, crossing, shares
 
 
