@@ -38,8 +38,11 @@ from ledgerlake.plans.serving import SERVING, lead_status_counts, recent_snapsho
 from ledgerlake.sinks.tables import new_rows
 from ledgerlake.sources.landing import (
     country_panel,
+    csv_lines,
     explode_holdings,
+    fixed_records,
     flatten,
+    json_records,
     macro_observations,
     monthly_equity_history,
     positional_history,
@@ -275,6 +278,33 @@ def running_quantity(spark, sf):
     )
 
 
+@query("""
+    select l_orderkey, l_linenumber, nullif(l_returnflag, 'A') as flag,
+           coalesce(sum(l_extendedprice::decimal(12,2)) over (
+               partition by nullif(l_returnflag, 'A')
+               order by l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice
+               rows between unbounded preceding and 1 preceding), 0)::double as before
+    from lineitem""")
+def running_amount(spark, sf):
+    """Decimal running totals; one key is null."""
+    order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+    lines = table(spark, sf, "lineitem").select(*order, F.nullif(c("l_returnflag"), F.lit("A")).alias("flag"))
+    ran = running_before(lines, ["flag"], order, c("l_extendedprice").cast("decimal(12,2)"), "before")
+    return ran.select("l_orderkey", "l_linenumber", "flag", c("before").cast("double").alias("before"))
+
+
+@query("""
+    select event_id, nullif(event_type, 'click') as kind, value,
+           percent_rank() over (partition by nullif(event_type, 'click') order by value) as pctile,
+           count(*) over (partition by nullif(event_type, 'click')) as n_obs
+    from events""")
+def percentile_null_key(spark, sf):
+    events = table(spark, sf, "events").select(
+        "event_id", F.nullif(c("event_type"), F.lit("click")).alias("kind"), "value"
+    )
+    return with_percentile(events, ["kind"], "value")
+
+
 _DAILY = """(select o_orderpriority, (o_orderdate::date - date '1995-01-01')::int as n,
                    sum(o_totalprice::decimal(12,2))::double as v from orders group by all)"""
 
@@ -419,12 +449,17 @@ def scd2_open_status_counts(spark, sf):
     return lead_status_counts(_history(spark, sf))
 
 
-@query("select event_id, ts::date as d, event_type from events")
+@query("select event_id, if(event_type = 'error', null, ts::date) as d, event_type from events")
 def incremental_append(spark, sf):
-    """A second, overlapping batch appended by cursor and key; the overlap adds nothing."""
-    events = table(spark, sf, "events").select("event_id", "ts", "event_type")
-    landed = events.where(c("ts") < F.lit("2024-01-20").cast("timestamp_ntz"))
-    grown = landed.unionByName(new_rows(landed, events, ["event_id"], cursor="ts"))
+    """A second, overlapping batch by cursor and key: late rows and such without a cursor arrive,
+    what is there already adds nothing."""
+    events = table(spark, sf, "events").select(
+        "event_id", F.when(c("event_type") != "error", c("ts")).alias("ts"), "event_type"
+    )
+    late = c("event_id") % 7 == 0
+    landed = events.where((c("ts") < F.lit("2024-01-20").cast("timestamp_ntz")) & ~late)
+    batch = events.unionByName(events.where(late))
+    grown = landed.unionByName(new_rows(landed, batch, ["event_id"], cursor="ts"))
     return grown.select("event_id", day("ts").alias("d"), "event_type")
 
 
@@ -488,6 +523,34 @@ def dq_table_report(spark, sf):
 # -- landing -------------------------------------------------------------------------------
 
 
+@query("""
+    select o_orderkey::varchar as id, 'order "' || o_orderkey || '", ' || o_orderpriority as note, o_orderstatus as status
+    from orders""")
+def csv_text_scan(spark, sf):
+    """Lines of CSV text with quotes and commas within fields."""
+    note = F.concat(F.lit('"order ""'), c("o_orderkey"), F.lit('"", '), c("o_orderpriority"), F.lit('"'))
+    lines = table(spark, sf, "orders").select(F.concat_ws(",", "o_orderkey", note, "o_orderstatus").alias("value"))
+    return csv_lines(lines, ["id", "note", "status"])
+
+
+@query("select (props->>'$.k')::int as k from events")
+def json_record_scan(spark, sf):
+    return json_records(table(spark, sf, "events"), "k int", "props")
+
+
+@query("select (props->>'$.k') as k, null::varchar as absent from events")
+def fixed_field_scan(spark, sf):
+    """Listed fields as text; one that no record has is a null column."""
+    return fixed_records(table(spark, sf, "events"), ["k", "absent"], "props")
+
+
+@query("select o_orderkey::varchar as id from orders")
+def field_whitelist(spark, sf):
+    """Fields that aren't listed are not parsed."""
+    record = F.to_json(F.struct(c("o_orderkey").alias("id"), c("o_orderpriority").alias("secret"), "o_totalprice"))
+    return fixed_records(table(spark, sf, "orders").select(record.alias("value")), ["id"])
+
+
 @query("""
     select event_id::varchar as event_id, event_type, (props->>'$.k') as props__k, '["' || event_type || '"]' as tags
     from events""")

@@ -153,7 +153,7 @@ def month_of(date: Column) -> Column:
 
 def number_text(value: Column) -> Column:
     """Shortest plain text of a number: 54.0 -> '54.0', 12.5 -> '12.5'."""
-    return F.format_string("%.1f", value.cast("double"))
+    return F.when(value.isNotNull(), F.format_string("%.1f", value.cast("double")))
 
 
 def whole_text(value: Column) -> Column:

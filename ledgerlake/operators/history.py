@@ -28,10 +28,16 @@ def scd2_merge(
     A key whose check columns differ (null-safe) closes its open row at valid_at and
     opens a new one; an unchanged key keeps its open row; a key gone from the snapshot
     stays open. Only open rows take part in the join: closed ones are passed through,
-    so the shuffle grows with the table, not with its history.
+    so the shuffle grows with the table, not with its history. Columns that are new in
+    the snapshot are taken on, null in earlier rows; such that it no longer has stay, null
+    in new rows.
     """
     at = valid_at.cast("timestamp")
+    added = [f for f in snapshot.schema.fields if f.name not in history.columns]
+    history = history.withColumns({f.name: F.lit(None).cast(f.dataType) for f in added})
     columns = [c for c in history.columns if c not in (VALID_FROM, VALID_TO)]
+    gone = [f for f in history.schema.fields if f.name in columns and f.name not in snapshot.columns]
+    snapshot = snapshot.withColumns({f.name: F.lit(None).cast(f.dataType) for f in gone})
     closed = history.where(F.col(VALID_TO).isNotNull())
     current = history.where(F.col(VALID_TO).isNull()).withColumn("__old", F.lit(True)).alias("o")
     incoming = snapshot.select(*columns).withColumn("__new", F.lit(True)).alias("n")

@@ -57,10 +57,11 @@ def column_report(
 
 
 def require_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Gate before a keyed write: raises when a key repeats or is null."""
+    """Gate before a keyed write: raises when a key repeats or is null. One pass."""
     missing = F.lit(False)
     for k in keys:
         missing = missing | F.col(k).isNull()
-    if not not_unique(df, keys).isEmpty() or not df.where(missing).isEmpty():
+    bad = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_records")).where((F.col("n_records") > 1) | missing)
+    if not bad.isEmpty():
         raise QualityError(f"key {list(keys)} is repeated or null")
     return df

@@ -341,16 +341,13 @@ def mart_networth_breakdown(lake: Lake) -> DataFrame:
 
 @model("gold")
 def mart_account_balances(lake: Lake) -> DataFrame:
-    return (
-        lake.ref("stg_accounts")
-        .select(
-            "account",
-            "account_type",
-            F.col("current_balance").cast("double").alias("current_balance"),
-            "is_asset",
-            "include_in_net_worth",
-        )
-        .orderBy(F.desc_nulls_last("current_balance"))
+    """Unordered, as the table has no bound: order belongs to the read that has a limit."""
+    return lake.ref("stg_accounts").select(
+        "account",
+        "account_type",
+        F.col("current_balance").cast("double").alias("current_balance"),
+        "is_asset",
+        "include_in_net_worth",
     )
 
 

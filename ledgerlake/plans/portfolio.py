@@ -34,7 +34,7 @@ def mart_allocation(lake: Lake) -> DataFrame:
 
 @model("gold")
 def mart_positions(lake: Lake) -> DataFrame:
-    """Positions of the active account; the cap test is on the unrounded share."""
+    """Positions of the active account, unordered; the cap test is on the unrounded share."""
     held = (
         lake.ref("stg_holdings")
         .where(_active(lake))
@@ -46,18 +46,14 @@ def mart_positions(lake: Lake) -> DataFrame:
         F.col("sleeve") == "standard", caps["standard"]
     )
     share = ratio(F.col("market_value"), F.col("__total"), 100)
-    return (
-        held.crossJoin(F.broadcast(total))
-        .select(
-            "ticker",
-            "name",
-            "sleeve",
-            round_money(F.col("market_value")).alias("value"),
-            round_to(share, 1).alias("pct_of_active"),
-            cap.alias("cap_pct"),
-            F.coalesce(share > cap, F.lit(False)).alias("over_cap"),
-        )
-        .orderBy(F.desc_nulls_last("value"))
+    return held.crossJoin(F.broadcast(total)).select(
+        "ticker",
+        "name",
+        "sleeve",
+        round_money(F.col("market_value")).alias("value"),
+        round_to(share, 1).alias("pct_of_active"),
+        cap.alias("cap_pct"),
+        F.coalesce(share > cap, F.lit(False)).alias("over_cap"),
     )
 
 

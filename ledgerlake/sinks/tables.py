@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.context import MODELS, Lake
@@ -53,10 +53,15 @@ def replace_table(df: DataFrame, layer: str, name: str, partition_by: Sequence[s
 
 
 def load_table(
-    df: DataFrame, name: str, pipeline: str, layer: str = "bronze", keys: Sequence[str] = ()
+    df: DataFrame,
+    name: str,
+    pipeline: str,
+    layer: str = "bronze",
+    keys: Sequence[str] = (),
+    partition_by: Sequence[str] = (),
 ) -> None:
     """Replace a landed table and record the load; keyed tables are checked first."""
-    replace_table(require_unique(df, keys) if keys else df, layer, name)
+    replace_table(require_unique(df, keys) if keys else df, layer, name, partition_by)
     log_load(df.sparkSession, pipeline)
 
 
@@ -75,21 +80,28 @@ def read_load_log(spark: SparkSession) -> DataFrame:
     return spark.table(name)
 
 
+def one_per_key(batch: DataFrame, keys: Sequence[str], cursor: str | None = None) -> DataFrame:
+    """One row of the batch for each key: the newest by cursor, then the least by a hash of the row."""
+    newest = [F.desc_nulls_last(cursor)] if cursor else []
+    w = Window.partitionBy(*keys).orderBy(*newest, F.xxhash64(*batch.columns))
+    return batch.withColumn("__rank", F.row_number().over(w)).where("__rank = 1").drop("__rank")
+
+
 def new_rows(
     existing: DataFrame, batch: DataFrame, keys: Sequence[str], cursor: str | None = None
 ) -> DataFrame:
     """Rows of the batch whose key is not there yet; re-running a batch adds nothing.
 
-    With a cursor, only batch rows at or after the newest existing value are looked at,
-    and only that recent slice of the existing keys is matched.
+    The cursor of a key must never change. It serves to read less of the existing table:
+    only rows from the batch's own smallest cursor on, and those without one, can hold a key
+    of the batch. Every batch row is looked at, late ones and such without a cursor too.
     """
     seen = existing
     if cursor:
-        newest = existing.agg(F.max(cursor)).head()[0]
-        if newest is not None:
-            batch = batch.where(F.col(cursor) >= F.lit(newest))
-            seen = existing.where(F.col(cursor) >= F.lit(newest))
-    return batch.dropDuplicates(list(keys)).join(seen.select(*keys), list(keys), "left_anti")
+        oldest = batch.agg(F.min(cursor)).head()[0]
+        recent = F.col(cursor).isNull() if oldest is None else F.col(cursor).isNull() | (F.col(cursor) >= F.lit(oldest))
+        seen = existing.where(recent)
+    return one_per_key(batch, keys, cursor).join(seen.select(*keys), list(keys), "left_anti")
 
 
 def append_new(
@@ -99,7 +111,7 @@ def append_new(
     ensure_layer(spark, layer)
     live = table_name(layer, name)
     if not table_exists(spark, live):
-        batch.dropDuplicates(list(keys)).write.format("parquet").saveAsTable(live)
+        one_per_key(batch, keys, cursor).write.format("parquet").saveAsTable(live)
         return
     fresh = new_rows(spark.table(live), batch, keys, cursor)
     fresh.write.format("parquet").mode("append").saveAsTable(live)

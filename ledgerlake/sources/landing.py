@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 
 from ledgerlake import fixed_values as fixed
 from ledgerlake.context import literal_rows
-from ledgerlake.functions.columns import NULL_WORDS
 from ledgerlake.schemas import conform, text_schema
 
 # -- files ------------------------------------------------------------------------------
@@ -26,10 +25,13 @@ def read_csv_text(spark: SparkSession, path: str, columns: Sequence[str] | None
     """Header CSV, every column text; quoted line breaks and carriage returns survive.
 
     Quoted line breaks keep one file in one task, so large logs should land as many
-    files.
+    files. A file of the folder whose header names other columns, or in another order,
+    is an error: its rows are never placed by position.
     """
     df = (
         spark.read.option("header", True)
+        .option("enforceSchema", False)
+        .option("mode", "FAILFAST")
         .option("multiLine", True)
         .option("quote", '"')
         .option("escape", '"')
@@ -62,10 +64,31 @@ def read_fixed_records(
 ) -> DataFrame:
     """Only the listed fields, as text; an empty array still has all columns.
 
-    The schema doubles as a whitelist: fields not listed are never parsed or stored.
+    The schema doubles as a whitelist: fields not listed are never parsed or stored. A file
+    that is cut off or no JSON is an error.
     """
     reader = spark.read.schema(text_schema(list(columns))).option("multiLine", not json_lines)
-    return reader.json(path)
+    return reader.option("mode", "FAILFAST").json(path)
+
+
+def csv_lines(lines: DataFrame, columns: Sequence[str], line: str = "value") -> DataFrame:
+    """The fields of lines of CSV text, as text. For lines that arrive as rows of a table.
+
+    A line with more or fewer fields than columns is an error.
+    """
+    schema = ", ".join(f"`{c}` string" for c in columns)
+    options = {"mode": "FAILFAST", "quote": '"', "escape": '"'}
+    return lines.select(F.from_csv(line, schema, options).alias("row")).select("row.*")
+
+
+def json_records(lines: DataFrame, schema: str, line: str = "value") -> DataFrame:
+    """The objects of lines of JSON text; a line that is no object of the schema is an error."""
+    return lines.select(F.from_json(line, schema, {"mode": "FAILFAST"}).alias("row")).select("row.*")
+
+
+def fixed_records(lines: DataFrame, columns: Sequence[str], line: str = "value") -> DataFrame:
+    """Only the listed fields of lines of JSON text, as text; no lines give no rows of all columns."""
+    return json_records(lines, ", ".join(f"`{c}` string" for c in columns), line)
 
 
 def read_seed(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
@@ -96,10 +119,11 @@ def _leaves(fields: Iterable[T.StructField], path: str, name: str) -> list[tuple
     return out
 
 
-def flatten(df: DataFrame, drop: Sequence[str] = ()) -> DataFrame:
+def flatten(df: DataFrame, drop: Sequence[str] = (), null_words: Sequence[str] = ()) -> DataFrame:
     """Nested objects to `parent__child` columns; lists stay as JSON text; all text.
 
-    Null words that text conversions leave behind become real nulls.
+    Texts among `null_words` become null: for files written by a tool that spells its nulls
+    (columns.NULL_WORDS). Otherwise text stays as it is, a merchant called "None" included.
     """
     dropped = {snake_case(d) for d in drop}
     columns = []
@@ -108,16 +132,19 @@ def flatten(df: DataFrame, drop: Sequence[str] = ()) -> DataFrame:
             continue
         nested = isinstance(kind, (T.ArrayType, T.MapType))
         text = F.to_json(F.col(path)) if nested else F.col(path).cast("string")
-        columns.append(blank_to_null(text).alias(name))
+        columns.append(worded_to_null(text, null_words).alias(name))
     return df.select(*columns)
 
 
-def blank_to_null(text: Column) -> Column:
-    return F.when(~text.isin(*NULL_WORDS), text)
+def worded_to_null(text: Column, null_words: Sequence[str]) -> Column:
+    return F.when(~text.isin(*null_words), text) if null_words else text
 
 
-def all_text(df: DataFrame) -> DataFrame:
-    return df.select(*[blank_to_null(F.col(f"`{c}`").cast("string")).alias(c) for c in df.columns])
+def all_text(df: DataFrame, null_words: Sequence[str] = ()) -> DataFrame:
+    """Every column as text; `null_words` as in flatten."""
+    return df.select(
+        *[worded_to_null(F.col(f"`{c}`").cast("string"), null_words).alias(c) for c in df.columns]
+    )
 
 
 def with_lineage(df: DataFrame, load_id: str) -> DataFrame:
