@@ -26,26 +26,26 @@ def test_every_model_has_rows(lake, name):
 
 def test_leads_are_typed_safely(lake):
     by_id = {r["lead_id"]: r for r in rows(lake.ref("stg_leads"))}
-    assert len(by_id) == 10
-    assert by_id[1]["email"] == "lead1@example.test"
-    assert by_id[3]["found_date"] is None  # a bare year is not a date
-    assert by_id[4]["last_touch_date"] is None
-    assert by_id[1]["last_touch_date"] == date(2026, 2, 1)
-    assert "\r\n" in by_id[5]["notes"] and '"quote"' in by_id[5]["notes"]
-    assert by_id[4]["linkedin_active"] is True and by_id[1]["linkedin_active"] is False
-    assert by_id[3]["linkedin_active"] is None
-    assert by_id[2]["has_team"] is True and by_id[1]["has_team"] is False
+    assert by_id.keys() == {lead["id"] for lead in fixtures.LEADS}
+    assert by_id[31]["email"] == "plain.person@example.test"
+    assert by_id[31]["found_date"] == date(2026, 3, 9)
+    assert by_id[32]["found_date"] is None  # a bare year is not a date
+    assert by_id[33]["last_touch_date"] is None
+    assert by_id[37]["last_touch_date"] == date(2026, 6, 2)
+    assert "\r\n" in by_id[34]["notes"] and '"word"' in by_id[34]["notes"]
+    active = {i: by_id[i]["linkedin_active"] for i in (31, 32, 33, 34)}
+    assert active == {31: False, 32: None, 33: True, 34: True}
+    assert by_id[32]["has_team"] is True and by_id[31]["has_team"] is False
 
 
 def test_touch_measures_and_funnel(lake):
     touches = rows(lake.ref("stg_touches"))
-    assert {t["opened"] for t in touches} == {True, False, None}
-    facts = rows(lake.ref("fact_touch"))
-    assert sum(f["is_open"] for f in facts) == sum(t["opened"] is True for t in touches)
-    funnel = {r["angle"]: r for r in rows(lake.ref("mart_outreach_funnel"))}
-    assert "unassigned" in funnel
-    assert sum(r["total_touches"] for r in funnel.values()) == len(touches)
-    for r in funnel.values():
+    opened = [t["opened"] for t in touches]
+    assert (opened.count(True), opened.count(False), opened.count(None)) == (4, 3, 1)
+    assert sum(f["is_open"] for f in rows(lake.ref("fact_touch"))) == 4
+    funnel = {r["angle"]: (r["total_touches"], r["opens"]) for r in rows(lake.ref("mart_outreach_funnel"))}
+    assert funnel == {"A": (3, 2), "B": (2, 1), "C": (1, 0), "unassigned": (2, 1)}
+    for r in rows(lake.ref("mart_outreach_funnel")):
         assert (r["reply_over_open_rate_pct"] is None) == (r["opens"] == 0)
 
 
@@ -142,8 +142,8 @@ def test_empty_lake_still_builds(spark):
 
 def test_macro_tables(lake):
     regime = one(lake.ref("mart_macro_regime"))
-    assert regime["quadrant"] == "Goldilocks / expansion"
-    assert regime["inflation_yoy"] == 2.4
+    assert regime["quadrant"] == "Reflation / late-cycle"
+    assert regime["inflation_yoy"] == fixtures.INFLATION
     equilibrium = one(lake.ref("mart_macro_equilibrium"))
     assert equilibrium["capacity_n_obs"] == fixtures.MONTHS
     assert equilibrium["stack_shape"] == "upward_sloping"
@@ -160,37 +160,44 @@ def test_macro_tables(lake):
 def test_trough_intervals_are_the_cycle(lake):
     found = rows(lake.ref("mart_property_cycle_intervals"))
     gaps = [r["interval_years"] for r in found if r["interval_years"] is not None]
-    assert (len(found), len(gaps), set(gaps)) == (31, 27, {18})
-    assert rows(serving.interval_histogram(lake)) == [{"bucket": "16-20", "sort_key": 3, "n": 27}]
+    # Lows less than half a window from either end don't count.
+    inner = {e: [y for y in lows if 1880 <= y <= 2015] for e, lows in fixtures.PANEL_LOWS.items()}
+    assert len(found) == sum(map(len, inner.values()))
+    expected = sorted(b - a for lows in inner.values() for a, b in zip(lows, lows[1:]))
+    assert sorted(gaps) == expected and set(expected) == {17, 19}
+    assert rows(serving.interval_histogram(lake)) == [{"bucket": "16-20", "sort_key": 3, "n": len(gaps)}]
 
 
 def test_property_cycle_position(lake):
     position = one(lake.ref("mart_property_cycle"))
-    assert position["trough_date"] == fixtures._month(fixtures.MONTHS - 1 - 270)
-    assert position["prior_trough_date"] == fixtures._month(fixtures.MONTHS - 1 - 90)
-    assert position["last_us_interval_years"] == 15.0
-    assert position["measured_mean"] == 18 and position["pct_within_16_20"] == 100
+    assert position["trough_date"] == fixtures._month(fixtures.LAST - fixtures.HOUSE_LOWS[1])
+    assert position["prior_trough_date"] == fixtures._month(fixtures.LAST - fixtures.HOUSE_LOWS[0])
+    assert position["last_us_interval_years"] == 13.0
+    inner = [[y for y in lows if 1880 <= y <= 2015] for lows in fixtures.PANEL_LOWS.values()]
+    gaps = [b - a for lows in inner for a, b in zip(lows, lows[1:])]
+    assert position["measured_mean"] == round(sum(gaps) / len(gaps), 1) and position["pct_within_16_20"] == 100
     assert position["phase"] == "Expansion"
-    # All intervals are equal here, so every one ranks 0 and no rank reaches a quartile.
-    assert position["measured_median"] is None and position["next_low_earliest"] is None
+    # Intervals of 17 years rank 0, those of 19 by the share of the shorter ones: with fewer
+    # than half of them no rank reaches the median.
+    assert (position["measured_median"] is None) == (gaps.count(17) < len(gaps) / 2)
 
 
 def test_credit_and_valuation(lake):
     credit = {r["entity"]: r for r in rows(lake.ref("mart_credit_cycle"))}
-    assert credit["USA"]["n_obs"] == 151 and credit["USA"]["credit_percentile"] == 100
+    assert credit["USA"]["n_obs"] == len(fixtures.PANEL_YEARS) and credit["USA"]["credit_percentile"] == 100
     assert credit["USA"]["level"] == "extreme" and credit["USA"]["until_year"] == 2020
     value = one(lake.ref("mart_valuation"))
-    assert (value["as_of_year"], value["as_of_month"]) == (2024, 9)
+    assert (value["as_of_year"], value["as_of_month"]) == fixtures.CAPE_UNTIL
     assert len(rows(lake.ref("mart_valuation_reference"))) == 5
     assert rows(serving.valuation_ladder(lake))[0]["cape"] >= value["cape"]
 
 
 def test_revenue_never_counts_test_rows(lake):
     revenue = one(lake.ref("mart_revenue"))
-    assert revenue["net_collected"] == 5000 + 50 - 10.5
+    assert revenue["net_collected"] == 4321 + 80 - 25.5
     assert revenue["paying_customers"] == 2 and revenue["paid_charges"] == 2
-    assert revenue["test_charges"] == 1 and revenue["test_amount"] == 100
-    assert revenue["collected_90d"] == 39.5 and revenue["status"] == "on_target"
+    assert revenue["test_charges"] == 1 and revenue["test_amount"] == 120
+    assert revenue["collected_90d"] == 54.5 and revenue["status"] == "on_target"
     assert revenue["active_subscriptions"] is None and revenue["total_subscriptions"] == 0
     charges = lake.ref("stg_stripe_charges")
     assert "card_number" not in charges.columns
@@ -199,9 +206,9 @@ def test_revenue_never_counts_test_rows(lake):
 @pytest.mark.parametrize(
     ("charges", "as_of", "status"),
     [
-        ([fixtures.charge(1, 100, fixtures.T1, live=False)], date(2026, 8, 20), "test_data_only"),
-        ([fixtures.charge(1, 100, fixtures.T1)], date(2026, 8, 20), "behind"),
-        ([fixtures.charge(1, 100, fixtures.T1)], date(2027, 1, 20), "at_risk"),
+        ([fixtures.charge(1, 100, fixtures.EARLY, livemode=False)], date(2026, 8, 20), "test_data_only"),
+        ([fixtures.charge(1, 100, fixtures.EARLY)], date(2026, 8, 20), "behind"),
+        ([fixtures.charge(1, 100, fixtures.EARLY)], date(2027, 1, 20), "at_risk"),
     ],
 )
 def test_revenue_status(spark, charges, as_of, status):
@@ -215,7 +222,7 @@ def test_freshness_and_digest(lake):
     fresh = {r["source"]: r for r in rows(lake.ref("mart_data_freshness"))}
     assert fresh["Bank transactions"]["last_loaded"] == datetime(2026, 8, 19, 6)
     assert fresh["Bank transactions"]["status"] == "current"
-    assert fresh["Shiller CAPE"]["data_through"] == date(2024, 9, 1)
+    assert fresh["Shiller CAPE"]["data_through"] == date(2025, 4, 1)
     assert fresh["JST macrohistory"]["data_through"] == date(2020, 12, 31)
     assert fresh["JST macrohistory"]["status"] == "stale" and fresh["JST macrohistory"]["last_loaded"] is None
     digest = rows(lake.ref("mart_review_digest"))
@@ -233,7 +240,7 @@ def test_freshness_and_digest(lake):
 def test_snapshot_row(lake):
     snapshot = one(lake.ref("mart_review_snapshot"))
     assert snapshot["snapshot_date"] == fixtures.AS_OF
-    assert snapshot["paying_customers"] == 2 and snapshot["regime"] == "Goldilocks / expansion"
+    assert snapshot["paying_customers"] == 2 and snapshot["regime"] == "Reflation / late-cycle"
 
 
 def test_serving_reads(lake):
