@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake import Lake, Settings
 from ledgerlake.context import literal_rows
-from ledgerlake.schemas import SEEDS
+from ledgerlake.schemas import BRONZE, SEEDS
 from ledgerlake.sources.landing import all_text
 
 AS_OF = date(2001, 11, 4)
@@ -453,4 +453,5 @@ def lake(spark: SparkSession, sf_dir: str, text_bronze: bool = False, settings:
         feeds.load_log,
         AS_OF,
         settings,
+        optional=BRONZE,
     )

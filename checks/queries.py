@@ -34,6 +34,7 @@ from ledgerlake.operators.timeseries import (
     with_percentile,
 )
 from ledgerlake.plans.cashflow import budget_targets
+from ledgerlake.plans.checks import build_report
 from ledgerlake.plans.serving import SERVING, lead_status_counts, recent_snapshots
 from ledgerlake.sinks.tables import new_rows
 from ledgerlake.sources.landing import (
@@ -520,6 +521,34 @@ def dq_table_report(spark, sf):
     return quality.column_report(touches, ["touch_id", "angle"], {"channel": fixed.TOUCH_CHANNELS})
 
 
+_BUILD_CHECKS = {
+    ("stg_leads", "not_null_lead_id"): "select count(*) from stg_leads where lead_id is null",
+    ("stg_leads", "unique_lead_id"): "select count(*) from (select 1 from stg_leads where lead_id is not null group by lead_id having count(*) > 1)",
+    ("stg_touches", "not_null_touch_id"): "select count(*) from stg_touches where touch_id is null",
+    ("stg_touches", "not_null_lead_id"): "select count(*) from stg_touches where lead_id is null",
+    ("stg_touches", "accepted_values_channel"): "select count(*) from stg_touches where channel not in ('email', 'call', 'linkedin')",
+    ("stg_touches", "unique_touch_id"): "select count(*) from (select 1 from stg_touches where touch_id is not null group by touch_id having count(*) > 1)",
+    ("stg_touches", "relationships_lead_id"): "select count(*) from stg_touches t where lead_id is not null and not exists (select 1 from stg_leads l where l.lead_id = t.lead_id)",
+    ("stg_holdings", "not_null_ticker"): "select count(*) from stg_holdings where ticker is null",
+    ("mart_all_weather", "not_null_box"): "select count(*) from mart_all_weather where box is null",
+    ("mart_all_weather", "accepted_values_box"): "select count(*) from mart_all_weather where not regexp_full_match(box, '(rising|falling)_growth_(rising|falling)_inflation')",
+    ("mart_all_weather", "unique_box"): "select count(*) from (select 1 from mart_all_weather group by box having count(*) > 1)",
+    ("mart_debasement_signals", "not_null_criterion_order"): "select count(*) from mart_debasement_signals where criterion_order is null",
+    ("mart_debasement_signals", "unique_criterion_order"): "select count(*) from (select 1 from mart_debasement_signals group by criterion_order having count(*) > 1)",
+}
+
+
+@query(
+    " union all ".join(
+        f"select '{model}' as model, '{check}' as \"check\", ({count}) as failing_rows"
+        for (model, check), count in _BUILD_CHECKS.items()
+    )
+)
+def dq_build_report(spark, sf):
+    """Every check that the build declares, with its number of failing rows."""
+    return build_report(feeds.lake(spark, sf).ref)
+
+
 # -- landing -------------------------------------------------------------------------------
 
 

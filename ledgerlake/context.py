@@ -7,7 +7,7 @@ there is nothing to schedule.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date, timedelta
 from typing import Any
@@ -83,39 +83,47 @@ class Lake:
         load_log: DataFrame | Callable[[], DataFrame] | None = None,
         as_of: date | None = None,
         settings: Settings = Settings(),
+        optional: Iterable[str] = (),
     ):
+        """Inputs not given by hand are read from the tables that were loaded, bronze.<name>,
+        seeds among them, and bronze.load_log. One that is in neither place is an error, unless
+        it is `optional`: then it is empty."""
         self.spark = spark
         self.as_of = as_of or spark.sql("select current_date()").head()[0]
         self.settings = settings
         self._bronze = dict(bronze)
         self._seeds = dict(seeds or {})
         self._load_log = load_log
+        self._optional = set(optional)
         self._built: dict[str, DataFrame] = {}
         self._settled: set[str] = set()
 
     # -- inputs --
 
-    def source(self, name: str) -> DataFrame:
-        """A landed table with all its declared columns; empty when it never landed."""
-        columns = schemas.BRONZE[name]
-        if name not in self._bronze:
+    def _input(self, name: str, given: Mapping, columns: Sequence[str]) -> DataFrame:
+        if name in given:
+            found = given[name]() if callable(given[name]) else given[name]
+        elif self.spark.catalog.tableExists(f"bronze.{name}"):
+            found = self.spark.table(f"bronze.{name}")
+        elif name in self._optional:
             return self.spark.createDataFrame([], schemas.text_schema(columns))
-        given = self._bronze[name]
-        return schemas.with_missing(given() if callable(given) else given, columns)
+        else:
+            raise LookupError(f"{name} was neither given nor loaded, and is not optional")
+        return schemas.with_missing(found, columns)
+
+    def source(self, name: str) -> DataFrame:
+        """A landed table with all its declared columns."""
+        return self._input(name, self._bronze, schemas.BRONZE[name])
 
     def seed(self, name: str) -> DataFrame:
-        columns = schemas.SEEDS[name]
-        if name in self._seeds:
-            given = self._seeds[name]
-            return schemas.with_missing(given() if callable(given) else given, columns)
-        if name == "security_map":
-            return literal_rows(self.spark, columns, fixed.SECURITY_MAP)
-        return self.spark.createDataFrame([], schemas.text_schema(columns))
+        return self._input(name, self._seeds, schemas.SEEDS[name])
 
     def load_log(self) -> DataFrame:
-        if self._load_log is None:
-            return self.spark.createDataFrame([], schemas.LOAD_LOG)
-        return self._load_log() if callable(self._load_log) else self._load_log
+        if self._load_log is not None:
+            return self._load_log() if callable(self._load_log) else self._load_log
+        if self.spark.catalog.tableExists("bronze.load_log"):
+            return self.spark.table("bronze.load_log")
+        return self.spark.createDataFrame([], schemas.LOAD_LOG)
 
     # -- tables --
 

@@ -68,26 +68,6 @@ DESCRIPTION_PREFIX = 18
 
 # --- portfolio -----------------------------------------------------------------------
 
-SECURITY_MAP = [
-    ("VOO", "US", "equity", "passive"),
-    ("VXUS", "Intl", "equity", "passive"),
-    ("IXUS", "Intl", "equity", "passive"),
-    ("IJH", "US", "equity", "passive"),
-    ("IJR", "US", "equity", "passive"),
-    ("VYMI", "Intl", "equity", "defensive"),
-    ("BRK-B", "US", "equity", "conviction"),
-    ("GOOGL", "US", "equity", "conviction"),
-    ("LLY", "US", "equity", "standard"),
-    ("V", "US", "equity", "standard"),
-    ("PG", "US", "equity", "standard"),
-    ("NEE", "US", "equity", "standard"),
-    ("XOM", "US", "equity", "standard"),
-    ("NVDA", "US", "equity", "standard"),
-    ("TSM", "Intl", "equity", "standard"),
-    ("SIEGY", "Intl", "equity", "standard"),
-    ("GLD", "NA", "commodity", "inflation_hedge"),
-    ("SPAXX", "NA", "cash", "dry_powder"),
-]
 SLEEVE_CAPS = {"conviction": 12, "standard": 7}
 US_BAND = (50.0, 55.0)
 EVIDENCE_ZONE = (11.0, 55.0)

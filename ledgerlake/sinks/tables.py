@@ -7,14 +7,15 @@ way leaves the old version readable.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.context import MODELS, Lake
-from ledgerlake.operators.history import first_history, scd2_merge
+from ledgerlake.operators.history import first_history, scd2_merge, status_counts
 from ledgerlake.operators.quality import require_unique
+from ledgerlake.plans import checks
 from ledgerlake.schemas import LOAD_LOG
 
 
@@ -37,14 +38,26 @@ def table_exists(spark: SparkSession, live: str) -> bool:
     return False
 
 
-def replace_table(df: DataFrame, layer: str, name: str, partition_by: Sequence[str] = ()) -> None:
-    """Full refresh through a second table and a rename."""
+def replace_table(
+    df: DataFrame,
+    layer: str,
+    name: str,
+    partition_by: Sequence[str] = (),
+    accept: Callable[[DataFrame], None] | None = None,
+) -> None:
+    """Full refresh through a second table and a rename.
+
+    `accept` sees what was written before it takes the old table's place, and stops the swap
+    by raising.
+    """
     spark = df.sparkSession
     ensure_layer(spark, layer)
     live = table_name(layer, name)
     fresh, old = f"{live}__next", f"{live}__old"
     spark.sql(f"drop table if exists {fresh}")
     df.write.format("parquet").partitionBy(*partition_by).saveAsTable(fresh)
+    if accept is not None:
+        accept(spark.table(fresh))
     if table_exists(spark, live):
         spark.sql(f"drop table if exists {old}")
         spark.sql(f"alter table {live} rename to {old}")
@@ -146,24 +159,46 @@ def update_history(
         replace_table(first_history(snapshot, valid_at), layer, name)
 
 
+LEAD_HISTORY = "scd_leads"
+
+
 def materialise(lake: Lake, name: str) -> None:
     """Silver models become temp views, gold models tables; ephemeral ones neither.
 
-    A written gold table is what later models of the same lake read.
+    The model's declared checks come first: a silver model that fails stops the build, a gold
+    one does so before it replaces the stored table. A written gold table is what later
+    models of the same lake read.
     """
     layer = MODELS[name][0]
     if layer == "silver":
+        checks.require(name, lake.ref(name), lake.ref)
         lake.ref(name).createOrReplaceTempView(name)
     elif layer == "gold":
         df = lake.ref(name)
         if name == "mart_review_snapshot":
             append_snapshot(df, name)
         else:
-            replace_table(df, "gold", name)
+            replace_table(df, "gold", name, accept=lambda written: checks.require(name, written, lake.ref))
             lake.use(name, lake.spark.table(table_name("gold", name)))
 
 
 def build_all(lake: Lake) -> None:
-    """Every model once, in registration order (which follows the dependencies)."""
+    """Every model once, in registration order (which follows the dependencies), and the leads'
+    status history."""
     for name in MODELS:
         materialise(lake, name)
+        if name == "stg_leads" and not lake.ref(name).isEmpty():
+            update_history(lake.ref(name), LEAD_HISTORY, ["lead_id"], ["status"], lake.today)
+
+
+def lead_history(lake: Lake) -> DataFrame:
+    """The stored status history of the leads; before the first build, the leads as they are."""
+    live = table_name("silver", LEAD_HISTORY)
+    if table_exists(lake.spark, live):
+        return lake.spark.table(live)
+    return first_history(lake.ref("stg_leads"), lake.today)
+
+
+def open_status_counts(lake: Lake, top: int = 10) -> DataFrame:
+    """Leads per status by the open rows of the stored history."""
+    return status_counts(lead_history(lake), "status", top)

@@ -168,6 +168,16 @@ CADENCE = [
     ("Monthly review", "30", "2026-08-01", "plan", "Read the month"),
 ]
 
+SECURITIES = [
+    ("VOO", "US", "equity", "passive"),
+    ("VXUS", "Intl", "equity", "passive"),
+    ("VYMI", "Intl", "equity", "defensive"),
+    ("GOOGL", "US", "equity", "conviction"),
+    ("XOM", "US", "equity", "standard"),
+    ("GLD", "NA", "commodity", "inflation_hedge"),
+    ("SPAXX", "NA", "cash", "dry_powder"),
+]
+
 # -- macro and long history -----------------------------------------------------------------
 
 
@@ -319,6 +329,7 @@ def write(root: Path) -> None:
     to_csv("leads.csv", leads(), BRONZE["leads_master"])
     to_csv("touches.csv", touches(), BRONZE["touch_log"])
     to_csv("budget_targets.csv", [dict(zip(SEEDS["budget_targets"], r)) for r in BUDGET], SEEDS["budget_targets"])
+    to_csv("security_map.csv", [dict(zip(SEEDS["security_map"], r)) for r in SECURITIES], SEEDS["security_map"])
     to_csv("review_cadence.csv", [dict(zip(SEEDS["review_cadence"], r)) for r in CADENCE], SEEDS["review_cadence"])
     categories = [{"id": i, "name": n, "group": {"name": g, "type": k}} for i, n, g, k in CATEGORIES]
     files = {
@@ -361,11 +372,9 @@ def landed_lake(spark, root: Path, as_of: date = AS_OF, settings: Settings = SET
         "stripe_subscriptions": fixed("subscriptions", "stripe_subscriptions"),
         "stripe_customers": fixed("customers", "stripe_customers"),
     }
-    seeds = {
-        name: landing.read_seed(spark, f"{root}/{name}.csv", SEEDS[name]) for name in ("budget_targets", "review_cadence")
-    }
+    seeds = {name: landing.read_seed(spark, f"{root}/{name}.csv", SEEDS[name]) for name in SEEDS}
     log = spark.sql(
         "select * from values ('finance_dev', timestamp'2026-08-19 06:00:00'),"
         " ('outreach_dev', timestamp'2026-08-18 06:00:00') as t(schema_name, inserted_at)"
     )
-    return Lake(spark, bronze, seeds, log, as_of, settings)
+    return Lake(spark, bronze, seeds, log, as_of, settings, optional=["stripe_invoices"])

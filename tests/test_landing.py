@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 from datetime import date
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerlake.schemas import BRONZE
@@ -32,7 +33,7 @@ def test_flatten(spark, tmp_path):
         {"displayName": "B", "type": None, "tags": [], "isAsset": False, "x": ""},
     ]
     (tmp_path / "r.json").write_text(json.dumps(records))
-    df = landing.flatten(landing.read_records(spark, f"{tmp_path}/r.json"), drop=["x2"])
+    df = landing.flatten(landing.read_records(spark, f"{tmp_path}/r.json"), ["x2"], null_words=("nan", ""))
     rows = {r.display_name: r.asDict() for r in df.collect()}
     assert rows["A"] == {
         "display_name": "A", "is_asset": "true", "tags": '[{"a":1}]', "type__deep__inner_key": "1",
@@ -114,3 +115,23 @@ def test_positional_sheet_refuses_shifted_columns(spark, tmp_path):
     columns = {1: ("cpi", "Consumer price index"), 2: ("bank_rate", "Bank Rate"), 9: ("x", "Absent")}
     got = [(r.entity, r.year, r.series, r.value) for r in landing.positional_history(sheet, 3, columns).collect()]
     assert got == [("GBR", 1700, "cpi", 1.5)]
+
+
+def test_words_stay_unless_asked_for(spark):
+    df = spark.createDataFrame([("None", ""), ("nan", "x")], "merchant string, note string")
+    assert sorted(map(tuple, landing.all_text(df).collect())) == [("None", ""), ("nan", "x")]
+    assert sorted(map(tuple, landing.all_text(df, ("None",)).collect()), key=repr) == [("nan", "x"), (None, "")]
+
+
+def test_a_header_in_another_order_is_an_error(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("id,name\n1,ann\n")
+    (tmp_path / "in" / "b.csv").write_text("name,id\nbob,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        landing.read_csv_text(spark, f"{tmp_path}/in", ["id", "name"]).collect()
+
+
+def test_a_cut_file_is_an_error(spark, tmp_path):
+    (tmp_path / "cut.json").write_text('[{"id": 1, "amount": 5}, {"id": 2, "amo')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        landing.read_fixed_records(spark, f"{tmp_path}/cut.json", ["id", "amount"]).collect()

@@ -6,6 +6,7 @@ import pytest
 
 from ledgerlake import MODELS, Lake, Settings
 from ledgerlake.plans import serving
+from ledgerlake.schemas import BRONZE, SEEDS
 from tests import fixtures
 
 
@@ -125,14 +126,15 @@ def test_portfolio_tables(lake):
 def test_an_uncovered_box_stays_as_none(spark):
     lake = Lake(spark, {"mm_holdings": spark.createDataFrame(
         [("Active Investing", "VOO", "100")], "account string, ticker string, market_value string")},
-        as_of=fixtures.AS_OF)
+        {"security_map": spark.createDataFrame(fixtures.SECURITIES, SEEDS["security_map"])},
+        as_of=fixtures.AS_OF, optional=BRONZE)
     boxes = {r["box"]: r["coverage"] for r in rows(lake.ref("mart_all_weather"))}
     assert boxes["rising_growth_falling_inflation"] == "covered"
     assert boxes["falling_growth_rising_inflation"] == "none" and len(boxes) == 4
 
 
 def test_empty_lake_still_builds(spark):
-    lake = Lake(spark, {}, as_of=fixtures.AS_OF)
+    lake = Lake(spark, {}, as_of=fixtures.AS_OF, optional=[*BRONZE, *SEEDS])
     for name in ("mart_safe_to_spend", "mart_macro_regime", "mart_macro_equilibrium", "mart_data_freshness", "mart_revenue"):
         assert lake.ref(name).count() >= 1
     assert one(lake.ref("mart_macro_regime"))["quadrant"] == "Unknown"
@@ -140,6 +142,13 @@ def test_empty_lake_still_builds(spark):
     assert lake.ref("mart_property_cycle").isEmpty()
 
 
+def test_an_input_that_is_nowhere_is_an_error(spark):
+    with pytest.raises(LookupError, match="mm_accounts"):
+        Lake(spark, {}, as_of=fixtures.AS_OF).ref("stg_accounts")
+    empty = Lake(spark, {}, as_of=fixtures.AS_OF, optional=[*BRONZE, *SEEDS])
+    assert all(r["value"] != "n%" for r in rows(empty.ref("mart_review_digest")))
+
+
 def test_macro_tables(lake):
     regime = one(lake.ref("mart_macro_regime"))
     assert regime["quadrant"] == "Reflation / late-cycle"
@@ -215,7 +224,7 @@ def test_revenue_status(spark, charges, as_of, status):
     text = [{k: None if v is None else str(v) for k, v in c.items()} for c in charges]
     columns = list(text[0])
     df = spark.createDataFrame([tuple(c.values()) for c in text], ", ".join(f"{c} string" for c in columns))
-    assert one(Lake(spark, {"stripe_charges": df}, as_of=as_of).ref("mart_revenue"))["status"] == status
+    assert one(Lake(spark, {"stripe_charges": df}, as_of=as_of, optional=BRONZE).ref("mart_revenue"))["status"] == status
 
 
 def test_freshness_and_digest(lake):

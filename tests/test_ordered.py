@@ -166,3 +166,21 @@ def test_asof_lookback(spark):
     }
     # 2026-03-31 minus 60 days is 2026-01-30, a day before the first row
     assert got["x"][2] is None
+
+
+@pytest.mark.parametrize("kind", ["decimal(12,2)", "double"])
+def test_both_plans_agree_on_null_keys_and_fractions(spark, kind):
+    rows = [(k, t, t * 1.25) for t in range(300) for k in (None, "a", "b")[: 1 + t % 3]]
+    df = spark.createDataFrame(rows, "k string, t int, v double").withColumn("v", F.col("v").cast(kind)).repartition(5)
+
+    def both(run):
+        plans = [run(small) for small in (True, False)]
+        assert plans[0].schema == plans[1].schema
+        found = [sorted(map(tuple, plan.collect()), key=repr) for plan in plans]
+        assert found[0] == found[1]
+        return found[0]
+
+    ran = both(lambda small: running_before(df, ["k"], ["t"], F.col("v"), "s", small))
+    assert len(ran) == len(rows) and any(float(r[3]) % 1 for r in ran)
+    assert len(both(lambda small: with_percentile(df, ["k"], "v", small))) == len(rows)
+    assert len(both(lambda small: with_lag(df, ["k"], "t", {"p": "v"}, 3, small))) == len(rows)

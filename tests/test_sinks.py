@@ -82,7 +82,7 @@ def test_build_all_writes_gold_and_reads_it_back(spark, tmp_path):
     gold = {name for name, (layer, _) in MODELS.items() if layer == "gold"}
     assert gold <= {t.name for t in spark.catalog.listTables("gold")}
     assert spark.table("gold.mart_big_cycle").count() == 6
-    assert spark.table("stg_leads").count() == 10  # temp view
+    assert spark.table("stg_leads").count() == len(fixtures.LEADS)  # temp view
     again = fixtures.landed_lake(spark, tmp_path)
     tables.materialise(again, "mart_review_snapshot")
     assert spark.table("gold.mart_review_snapshot").count() == 1
@@ -114,3 +114,58 @@ def test_stream_funnel_windows(spark, tmp_path):
     query.awaitTermination()
     (row,) = spark.table("funnel_windows").collect()
     assert (row.angle, row.total_touches, row.opens, row.replies) == ("A", 1, 1, 0)
+
+
+def test_late_rows_and_rows_without_cursor_arrive(spark):
+    stored = frame(spark, [(1, date(2026, 1, 5), "a"), (2, date(2026, 1, 9), "b"), (7, None, "n")])
+    batch = frame(
+        spark,
+        [(2, date(2026, 1, 9), "b"), (3, date(2026, 1, 10), "c"), (4, date(2026, 1, 6), "late"), (5, None, "none"),
+         (7, None, "n"), (8, date(2026, 1, 1), "old"), (8, date(2026, 1, 2), "newer")],
+    )
+    fresh = {r.id: r.v for r in tables.new_rows(stored, batch, ["id"], "d").collect()}
+    assert fresh == {3: "c", 4: "late", 5: "none", 8: "newer"}
+
+
+def test_history_takes_on_new_columns(spark):
+    from ledgerlake.operators.history import first_history, scd2_merge
+
+    old = first_history(spark.createDataFrame([(1, "a"), (2, "a")], "id int, status string"), F.lit("2026-01-01"))
+    new = spark.createDataFrame([(1, "b", "x"), (2, "a", "y")], "id int, status string, note string")
+    merged = scd2_merge(old, new, ["id"], ["status"], F.lit("2026-02-01"))
+    assert sorted((r.id, r.status, r.note, r.valid_to is None) for r in merged.collect()) == [
+        (1, "a", None, False), (1, "b", "x", True), (2, "a", None, True),
+    ]
+
+
+def test_a_failed_check_stops_the_build(spark, tmp_path):
+    lake = fixtures.landed_lake(spark, tmp_path)
+    lake._bronze["leads_master"] = lake.source("leads_master").unionAll(lake.source("leads_master").limit(1))
+    with pytest.raises(QualityError, match="unique_lead_id"):
+        tables.materialise(lake, "stg_leads")
+
+
+def test_sources_come_from_loaded_tables(spark):
+    from ledgerlake import Lake
+    from ledgerlake.schemas import BRONZE
+
+    rows = spark.createDataFrame([("2026-01-31", "10")], BRONZE["mm_networth"])
+    tables.load_table(rows, "mm_networth", "finance_dev")
+    try:
+        assert Lake(spark, {}, as_of=date(2026, 2, 1)).ref("stg_networth").count() == 1
+    finally:
+        spark.sql("drop table bronze.mm_networth")
+
+
+def test_the_build_keeps_the_leads_history(spark, tmp_path):
+    """A second build on a later day closes the row of a lead whose status has changed."""
+    spark.sql("drop table if exists silver.scd_leads")
+    for day, status in ((date(2026, 7, 1), "warm"), (date(2026, 8, 1), "won")):
+        lake = fixtures.landed_lake(spark, tmp_path, as_of=day)
+        changed = F.when(F.col("id") == 31, status).otherwise(F.col("status"))
+        lake._bronze["leads_master"] = lake.source("leads_master").withColumn("status", changed)
+        tables.update_history(lake.ref("stg_leads"), tables.LEAD_HISTORY, ["lead_id"], ["status"], lake.today)
+    history = tables.lead_history(lake)
+    assert history.count() == len(fixtures.LEADS) + 1
+    assert [r.status for r in history.where("lead_id = 31").orderBy("valid_from").collect()] == ["warm", "won"]
+    assert sum(r.leads for r in tables.open_status_counts(lake).collect()) == len(fixtures.LEADS)
