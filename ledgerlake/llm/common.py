@@ -105,10 +105,22 @@ def without_ids(rows: DataFrame, ids: DataFrame, column: str = "doc_id") -> Data
     return held.where(~listed).select(*rows.columns).unionAll(rest.select(*rows.columns))
 
 
+#: Rows in a batch that a task hands to Python, where the session allows more.
+BATCH_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the memory of batches: rows are whole documents here, not a few numbers."""
+    if not 0 < int(spark.conf.get(_BATCH)) <= BATCH_ROWS:
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
+
+
 def map_arrow(
     frame: DataFrame, work: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str
 ) -> DataFrame:
     """``mapInArrow`` for a function of one batch that yields batches."""
+    small_batches(frame.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

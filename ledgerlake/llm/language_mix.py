@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import fold, map_arrow, spans_of_texts, whole_text
+from ledgerlake.llm.common import fold, map_arrow, small_batches, spans_of_texts, whole_text
 
 BUCKETS = 1 << 16
 LONGEST = 4
@@ -78,6 +78,7 @@ def cells(text: str) -> np.ndarray:
 
 def ngram_counts(labelled: DataFrame) -> DataFrame:
     """(lang, cell, n) over all rows of ``labelled(text, lang)`` with neither null."""
+    small_batches(labelled.sparkSession)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}

@@ -53,7 +53,7 @@ class _WordHashes(dict):
     """64-bit hash of each word met; emptied when it has grown large."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import spans_of_texts, whole_text
+from ledgerlake.llm.common import small_batches, spans_of_texts, whole_text
 
 LENGTH = 2048
 POOL = 512
@@ -68,7 +68,7 @@ class WordEncoder:
     _beyond_latin = re.compile("[\x1c-\x1f\u0250-\U0010ffff]")
     _units = re.compile(r"'?[^\W_]+(?:'[^\W_]+)*|(?:[^\w\s]|_)+")
 
-    def __init__(self, path: str, most_units: int = 500_000):
+    def __init__(self, path: str, most_units: int = 250_000):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -207,6 +207,8 @@ def packed(docs: DataFrame, tokenizer: str) -> DataFrame:
     given. An empty table gives no row.
     """
 
+    small_batches(docs.sparkSession)
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(tokenizer)
         pool = _Pool(TaskContext.get().partitionId())

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import fold, map_arrow, settle, spans_of_texts, whole_text
+from ledgerlake.llm.common import fold, map_arrow, settle, small_batches, spans_of_texts, whole_text
 
 CELLS = 1 << 14
 AGAIN = 0
@@ -46,7 +46,7 @@ class _Cells(dict):
     """The cell of each word met; emptied when it has grown large."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 300_000:
+        if len(self) > 200_000:
             self.clear()
         cell = self[word] = 1 + zlib.crc32(word.encode("utf-8", "surrogatepass")) % (CELLS - 1)
         return cell
@@ -76,6 +76,7 @@ def context_sums(texts: list[str], cells: _Cells) -> np.ndarray:
 def word_vectors(docs: DataFrame) -> np.ndarray:
     """The vectors of all cells over all texts, scaled to length 1; a cell not met is zero."""
     names = [f"d{k}" for k in range(DIMENSIONS)]
+    small_batches(docs.sparkSession)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells, sums = _Cells(), np.zeros((CELLS, DIMENSIONS))
