@@ -24,6 +24,8 @@ def build_session(app: str = "ledgerlake", master: str | None = None, **conf: st
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.ui.showConsoleProgress": "false",
+        # Files of cut_lineage go once nothing refers to them.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         CALL_SITES: "false",
         **conf,
     }

@@ -26,12 +26,16 @@ def deduplicated(stream: DataFrame, keys: Sequence[str], event_time: str, late:
 
 
 def append_available(
-    stream: DataFrame, layer: str, name: str, keys: Sequence[str], checkpoint: str
+    stream: DataFrame, layer: str, name: str, keys: Sequence[str], checkpoint: str, cursor: str | None = None
 ) -> None:
-    """Consume everything that has landed, then stop."""
+    """Consume everything that has landed, then stop.
+
+    With a cursor (see sinks.tables.new_rows) a micro-batch is matched only with the stored
+    rows from its own smallest cursor on.
+    """
 
     def write(batch: DataFrame, _: int) -> None:
-        append_new(batch, layer, name, keys)
+        append_new(batch, layer, name, keys, cursor)
 
     query = (
         stream.writeStream.foreachBatch(write)
