@@ -80,8 +80,9 @@ def _with_filter(rows: DataFrame, ids: DataFrame, column: str) -> tuple[DataFram
     The ids become bits of a table of a fixed size, which is broadcast: whatever is not listed
     is told apart, but for a few, without shuffling the rows. A null id is never listed.
     """
-    word = F.pmod(F.xxhash64(column), F.lit(FILTER_WORDS))
-    bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(xxhash64(`{column}`), 58) as int))")
+    hashed = f"xxhash64(cast(`{column}` as string))"  # whatever kind of integer the id is
+    word = F.expr(f"pmod({hashed}, {FILTER_WORDS})")
+    bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned({hashed}, 58) as int))")
     bits = ids.groupBy(word.alias("__word")).agg(F.bit_or(bit).alias("__bits"))
     held = rows.join(F.broadcast(bits), word == F.col("__word"), "left")
     listed = F.coalesce(F.col("__bits").bitwiseAND(bit) != 0, F.lit(False)) & F.col(column).isNotNull()

@@ -150,3 +150,5 @@ def test_id_filter_is_exact(spark):
     assert with_ids(rows, ids).count() == 1000
     assert without_ids(rows, ids).count() == 2001
     assert without_ids(rows, ids.where(F.lit(False))).count() == 3001
+    narrow = rows.withColumn("doc_id", F.col("doc_id").cast("int"))
+    assert with_ids(narrow, ids).count() == 1000 and without_ids(narrow, ids).count() == 2001
