@@ -186,6 +186,11 @@ PARTS: dict[str, str] = {
                if(t.category = 'NATION_6' and amount > 0, amount, 0)::decimal(18,3) as w2_income
         from stg_transactions t left join stg_categories k using (category_id)
         where not hide_from_reports and k.group_type is distinct from 'transfer'""",
+    "int_monthly_totals": """
+        select date_trunc('month', txn_date)::date as month, category_group,
+               group_type = 'expense' and amount < 0 as is_spend,
+               sum(expense_amount) as expense, sum(income_amount) as income, sum(w2_income) as w2
+        from int_transactions group by all""",
     "month_sums": """
         select date_trunc('month', txn_date)::date as month, sum(income_amount) as inc, sum(w2_income) as w2,
                sum(expense_amount) as exp
@@ -628,6 +633,7 @@ _DECIMALS = {
     "stg_holdings": ["market_value", "change_pct"],
     "stg_stripe_charges": ["amount", "amount_refunded"],
     "int_transactions": ["amount", "expense_amount", "income_amount", "w2_income"],
+    "int_monthly_totals": ["expense", "income", "w2"],
 }
 
 

@@ -143,6 +143,10 @@ class Lake:
                 self._built[name] = cut_lineage(self.ref(name))
                 self._settled.add(name)
 
+    def is_settled(self, name: str) -> bool:
+        """Whether the table is read from what was computed or written before."""
+        return name in self._settled
+
     def use(self, name: str, df: DataFrame) -> None:
         """Read a table from where it was written instead of building it again."""
         self._built[name] = df

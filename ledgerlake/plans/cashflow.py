@@ -84,9 +84,31 @@ def monthly_totals(lake: Lake, since: date | None = None) -> DataFrame:
     )
 
 
+@model("gold")
+def int_monthly_totals(lake: Lake) -> DataFrame:
+    """Expense, income and paycheck per month and category group, spending and refunds apart.
+
+    The build stores it by month; the monthly tables then read it in place of the transactions.
+    """
+    spend = F.coalesce("is_spend", F.lit(False)).alias("is_spend")
+    return (
+        monthly_totals(lake)
+        .groupBy("month", "category_group", spend)
+        .agg(*[F.sum(name).alias(name) for name in ("expense", "income", "w2")])
+    )
+
+
+def totals_since(lake: Lake, since: date | None = None) -> DataFrame:
+    """Monthly totals from their stored table where there is one: a read of the months asked for."""
+    if not lake.is_settled("int_monthly_totals"):
+        return monthly_totals(lake, since)
+    stored = lake.ref("int_monthly_totals")
+    return stored.where(F.col("month") >= F.lit(since)) if since else stored
+
+
 @model("gold")
 def mart_monthly_cashflow(lake: Lake) -> DataFrame:
-    sums = monthly_totals(lake).groupBy("month").agg(
+    sums = totals_since(lake).groupBy("month").agg(
         F.sum("income").alias("inc"), F.sum("w2").alias("w2"), F.sum("expense").alias("exp")
     )
     inc, w2, exp = F.col("inc"), F.col("w2"), F.col("exp")
@@ -105,7 +127,7 @@ def mart_monthly_cashflow(lake: Lake) -> DataFrame:
 def mart_spend_by_category(lake: Lake) -> DataFrame:
     """Expense rows above zero only: refunds do not lower a category's month here."""
     return (
-        monthly_totals(lake)
+        totals_since(lake)
         .where("is_spend")
         .groupBy("category_group", "month")
         .agg(round_money(F.sum("expense")).alias("spend"))
@@ -137,7 +159,7 @@ def _recent_spend(lake: Lake) -> DataFrame:
     start = F.lit(lake.month.start)
     running = F.col("month") >= start
     return (
-        monthly_totals(lake, since=lake.month.back(3))
+        totals_since(lake, since=lake.month.back(3))
         .groupBy("category_group")
         .agg(
             F.sum(F.when(running, F.col("expense"))).alias("mtd"),
@@ -244,7 +266,7 @@ def mart_safe_to_spend(lake: Lake) -> DataFrame:
     # single row. The last step holds one entry per calendar month.
     times = F.coalesce("times", F.lit(0)).cast("int")
     by_month = (
-        monthly_totals(lake)
+        totals_since(lake)
         .join(flexible_groups, "category_group", "left")
         .groupBy(F.col("month").alias("mo"))
         .agg(

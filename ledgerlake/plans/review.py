@@ -104,6 +104,7 @@ def _section(df: DataFrame, section: str, order: int, headline, detail, value, s
 @model("gold")
 def mart_review_digest(lake: Lake) -> DataFrame:
     c, text = F.col, F.lit
+    lake.settle("int_monthly_totals")  # months × groups; the budget and the actions read it
     seed = lake.seed("review_cadence")
     t = Typed(seed)
     cadence = cadence_due(
@@ -170,7 +171,7 @@ def mart_review_snapshot(lake: Lake) -> DataFrame:
     """The one row of today; sinks.tables.append_snapshot adds it once per day."""
     c = F.col
     # Read here, by the runway and by the actions: one row and three rows.
-    lake.settle("mart_safe_to_spend", "mart_evidence_bands")
+    lake.settle("int_monthly_totals", "mart_safe_to_spend", "mart_evidence_bands")
 
     def scope(name: str, column: str):
         return F.max(F.when(c("scope") == name, c(column)))

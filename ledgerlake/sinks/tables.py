@@ -160,6 +160,8 @@ def update_history(
 
 
 LEAD_HISTORY = "scd_leads"
+#: Columns by which the build stores a gold table in folders.
+PARTITIONED = {"int_monthly_totals": ["month"]}
 
 
 def materialise(lake: Lake, name: str) -> None:
@@ -178,7 +180,8 @@ def materialise(lake: Lake, name: str) -> None:
         if name == "mart_review_snapshot":
             append_snapshot(df, name)
         else:
-            replace_table(df, "gold", name, accept=lambda written: checks.require(name, written, lake.ref))
+            folders = PARTITIONED.get(name, ())
+            replace_table(df, "gold", name, folders, accept=lambda written: checks.require(name, written, lake.ref))
             lake.use(name, lake.spark.table(table_name("gold", name)))
 
 
