@@ -127,6 +127,8 @@ def map_arrow(
         for batch in batches:
             if batch.num_rows:
                 yield from work(batch)
+        # Workers outlive their tasks: hand back what only the pool still holds.
+        pa.default_memory_pool().release_unused()
 
     return frame.mapInArrow(run, schema)
 

@@ -53,19 +53,22 @@ class _WordHashes(dict):
     """64-bit hash of each word met; emptied when it has grown large."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 200_000:
+        if len(self) >= 100_000:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
 
 
-def shingle_set(text: str, hashes: _WordHashes | None = None) -> np.ndarray:
+#: One for all tasks of a process: small, so that it may stay.
+_HASHES = _WordHashes()
+
+
+def shingle_set(text: str) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the text's shingles; empty without words."""
     words = text.encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return np.zeros(0, np.uint64)
-    hashes = _WordHashes() if hashes is None else hashes
-    of_word = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+    of_word = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
     width = min(WORDS, len(words))
     count = len(words) - width + 1
     mixed = np.full(count, width, np.uint64)
@@ -88,11 +91,10 @@ def minima(shingles: np.ndarray) -> np.ndarray:
 
 
 def _signed(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    hashes = _WordHashes()
     sizes, digests, signatures = [], [], []
     bands = np.zeros((batch.num_rows, BANDS), np.uint64)
     for row, text in enumerate(batch.column(1).to_pylist()):
-        shingles = shingle_set(text, hashes)
+        shingles = shingle_set(text)
         sizes.append(len(shingles))
         if not len(shingles):
             digests.append(None)
@@ -123,8 +125,7 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 
 def _sets(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    hashes = _WordHashes()
-    packed = [shingle_set(text, hashes).tobytes() for text in batch.column(1).to_pylist()]
+    packed = [shingle_set(text).tobytes() for text in batch.column(1).to_pylist()]
     yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["doc_id", "shingles"])
 
 

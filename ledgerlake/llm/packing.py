@@ -68,7 +68,7 @@ class WordEncoder:
     _beyond_latin = re.compile("[\x1c-\x1f\u0250-\U0010ffff]")
     _units = re.compile(r"'?[^\W_]+(?:'[^\W_]+)*|(?:[^\w\s]|_)+")
 
-    def __init__(self, path: str, most_units: int = 250_000):
+    def __init__(self, path: str, most_units: int = 150_000):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"

@@ -46,25 +46,29 @@ class _Cells(dict):
     """The cell of each word met; emptied when it has grown large."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 200_000:
+        if len(self) >= 100_000:
             self.clear()
         cell = self[word] = 1 + zlib.crc32(word.encode("utf-8", "surrogatepass")) % (CELLS - 1)
         return cell
 
 
-def word_cells(text: str, cells: _Cells) -> np.ndarray:
+#: One for all tasks of a process: small, so that it may stay.
+_CELL_OF = _Cells()
+
+
+def word_cells(text: str) -> np.ndarray:
     words = _WORD.findall(text)
-    found = np.fromiter(map(cells.__getitem__, words), np.int64, len(words))
+    found = np.fromiter(map(_CELL_OF.__getitem__, words), np.int64, len(words))
     marked = found.copy()
     for back in (1, 2):
         marked[back:][found[back:] == found[:-back]] = AGAIN
     return marked
 
 
-def context_sums(texts: list[str], cells: _Cells) -> np.ndarray:
+def context_sums(texts: list[str]) -> np.ndarray:
     """By cell, the sums of the index vectors around its words in these texts."""
     gap = np.full(WINDOW, CELLS)
-    words = np.concatenate([part for text in texts for part in (word_cells(text, cells), gap)])
+    words = np.concatenate([part for text in texts for part in (word_cells(text), gap)])
     sums = np.zeros((CELLS + 1) * DIMENSIONS)
     for offset in range(1, WINDOW + 1):
         for at, near in ((words[offset:], words[:-offset]), (words[:-offset], words[offset:])):
@@ -79,11 +83,11 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
     small_batches(docs.sparkSession)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells, sums = _Cells(), np.zeros((CELLS, DIMENSIONS))
+        sums = np.zeros((CELLS, DIMENSIONS))
         for batch in batches:
             texts = batch.column(0).to_pylist()
             for begin, end in spans_of_texts(texts):
-                sums += context_sums(texts[begin:end], cells)
+                sums += context_sums(texts[begin:end])
         met = np.flatnonzero(sums.any(axis=1))
         columns = [pa.array(sums[met, k].astype(np.int64)) for k in range(DIMENSIONS)]
         yield pa.RecordBatch.from_arrays([pa.array(met), *columns], names=["cell", *names])
@@ -99,9 +103,9 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
     return (vectors / np.where(length > 0, length, 1)).astype(np.float32)
 
 
-def pooled(text: str, vectors: np.ndarray, cells: _Cells) -> np.ndarray:
+def pooled(text: str, vectors: np.ndarray) -> np.ndarray:
     """Mean and standard deviation of the text's word vectors; zeros without words."""
-    words = word_cells(text, cells)
+    words = word_cells(text)
     if not len(words):
         return np.zeros(2 * DIMENSIONS, np.float32)
     cell, count = np.unique(words, return_counts=True)
@@ -117,8 +121,7 @@ def features(docs: DataFrame, vectors: np.ndarray) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(vectors)
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        cells = _Cells()
-        packed = [pooled(text, sent.value, cells).tobytes() for text in batch.column(1).to_pylist()]
+        packed = [pooled(text, sent.value).tobytes() for text in batch.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["doc_id", "features"])
 
     return map_arrow(docs.select(F.col("doc_id").cast("long"), whole_text().alias("text")), work, "doc_id long, features binary")
