@@ -9,6 +9,7 @@
 3. A page's text are the blocks of its article (of its body, if it has no article or main
    element) without templates and without what is no article by its element, class, id or
    role: menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts, styles.
+   A form or an element of such a name that holds the article is its wrapper, not noise.
 
 Counts are pre-aggregated before they are shuffled, as pairs of two numbers. A host has fewer
 than (subtrees of a page) / ``SHARE_OUTSIDE`` templates, so its list is small; it is joined to the
@@ -34,6 +35,8 @@ from ledgerlake.llm.common import map_arrow, settle
 LEAST_PAGES = 5
 SHARE_OUTSIDE = 0.1
 SHARE_INSIDE = 0.5
+#: Share of a page's text that makes a form or an element of a noisy name its wrapper, if it has no article.
+WRAPS = 0.75
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp noframes".split())
@@ -57,6 +60,8 @@ NOISE_TAGS = frozenset(
     "head nav footer aside form dialog menu noscript iframe template button select option svg canvas object audio "
     "video map search fieldset datalist label".split()
 )
+#: Nothing in these is the page's article: they are not shown, or not as text.
+NEVER_SHOWN = frozenset("head noscript iframe template select option datalist button svg canvas object audio video map".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog alertdialog menu menubar".split())
 NOISE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising advertorial banner sponsor sponsored promo promotion cookie "
@@ -76,26 +81,60 @@ _PART = re.compile(r"[a-z]+|[0-9]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
-def _traits(attributes: str) -> tuple[bool, bool, bool]:
-    """Whether class, id and role say noise, reader comment, main content."""
-    noise = comment = main = False
+def _traits(attributes: str) -> tuple[bool, bool, bool, bool]:
+    """Whether class and id say noise (or role a form), role noise, either reader comment, main content."""
+    noise = by_role = comment = main = False
     for name, *values in _ATTRIBUTE.findall(attributes):
         value = html_text.unescape("".join(values))
         words = _PART.findall(_CAMEL.sub(" ", value).lower())
         if name.lower() == "role":
-            noise = noise or value.strip().lower() in NOISE_ROLES
+            noise = noise or value.strip().lower() == "form"
+            by_role = by_role or value.strip().lower() in NOISE_ROLES - {"form"}
             main = main or value.strip().lower() == "main"
         else:
             noise = noise or not NOISE_WORDS.isdisjoint(words)
             comment = comment or "comment" in words or "comments" in words
-    return noise, comment, main
+    return noise, by_role, comment, main
+
+
+class _Noise:
+    """An element that is noise by its tag, class, id or role, in the one around it.
+
+    ``named``: a form, or noise by class or id alone; such an element may be a wrapper of the article.
+    ``within`` is the noise that the article around it stands in.
+    """
+
+    __slots__ = ("outer", "within", "named", "only_named")
+
+    def __init__(self, outer: _Noise | None, within: _Noise | None, named: bool):
+        self.outer, self.within, self.named = outer, within, named
+        self.only_named = named and (outer is None or outer.only_named)
+
+    def path(self) -> Iterator[_Noise]:
+        at: _Noise | None = self
+        while at is not None:
+            yield at
+            at = at.outer
+
+
+class _Region:
+    """What an article or main element holds, or the body outside them.
+
+    ``named``: a main element or role. ``noise`` is what it stands in, ``chars`` its text without noise.
+    """
+
+    __slots__ = ("main", "named", "noise", "chars")
+
+    def __init__(self, main: bool, named: bool, noise: _Noise | None):
+        self.main, self.named, self.noise = main, named, noise
+        self.chars = 0
 
 
 class _Element:
-    __slots__ = ("tag", "noise", "main", "begin", "parts")
+    __slots__ = ("tag", "noise", "region", "closed", "begin", "parts")
 
-    def __init__(self, tag: str, noise: bool, main: bool, begin: int):
-        self.tag, self.noise, self.main, self.begin = tag, noise, main, begin
+    def __init__(self, tag: str, noise: _Noise | None, region: _Region, closed: bool, begin: int):
+        self.tag, self.noise, self.region, self.closed, self.begin = tag, noise, region, closed, begin
         self.parts: list[str] = []
 
 
@@ -110,17 +149,25 @@ class Page:
         self.blocks: list[tuple[str, bool, bool]] = []
         self.subtrees: list[tuple[int, bool, int, int]] = []
         self.has_main = False
-        self._open = [_Element("", False, False, 0)]
+        self._body = _Region(False, False, None)
+        self._regions: list[_Region] = []
+        self._found: list[tuple[str, _Region, _Noise | None]] = []
+        self._trees: list[tuple[int, _Region, int, int]] = []
+        self._noises: list[_Noise] = []
+        self._open = [_Element("", None, self._body, False, 0)]
         self._count: Counter[str] = Counter()
         self._text: list[str] = []
         self._read(html)
+        self._judge()
 
     def _flush(self) -> None:
         text = " ".join("".join(self._text).split())
         self._text.clear()
         if text:
             top = self._open[-1]
-            self.blocks.append((text, top.main, top.noise))
+            self._found.append((text, top.region, top.noise))
+            if top.noise is top.region.noise:
+                top.region.chars += len(text)
             top.parts.append(text)
 
     def _start(self, tag: str, attributes: str) -> None:
@@ -136,14 +183,24 @@ class Page:
         if tag in VOID:
             return
         parent = self._open[-1]
-        noise, comment, main = _traits(attributes) if attributes else (False, False, False)
-        main = (main or tag in ("article", "main")) and not comment and not parent.noise
-        noise = parent.noise or tag in NOISE_TAGS or (noise and not main and tag not in ("html", "body"))
-        noise = noise or (tag == "header" and not parent.main and not main)
-        if (noise or main) and tag not in BLOCK and (noise, main) != (parent.noise, parent.main):
+        by_name, by_role, comment, main = _traits(attributes) if attributes else (False, False, False, False)
+        if tag in ("html", "body"):
+            by_name = by_role = comment = False
+        named = main or tag == "main"
+        main = (named or tag == "article") and not comment and not parent.closed
+        region, noise = parent.region, parent.noise
+        if main and (not region.main or noise is not region.noise):
+            # It ends the noise around it for what it holds, if it turns out to be the page's article.
+            region = _Region(True, named, noise)
+            self._regions.append(region)
+        if not main and (tag in NOISE_TAGS or by_name or by_role or (tag == "header" and not region.main)):
+            noise = _Noise(noise, region.noise, not comment and (tag == "form" or tag not in NOISE_TAGS | {"header"} and not by_role))
+            self._noises.append(noise)
+        changed = region is not parent.region or (noise is None) != (parent.noise is None)
+        if changed and tag not in BLOCK:
             self._flush()
-        self.has_main = self.has_main or main
-        self._open.append(_Element(tag, noise, parent.main or main, len(self.blocks)))
+        closed = parent.closed or comment or tag in NEVER_SHOWN
+        self._open.append(_Element(tag, noise, region, closed, len(self._found)))
         self._count[tag] += 1
 
     def _end_within(self, tags: frozenset[str], barriers: frozenset[str]) -> None:
@@ -166,7 +223,7 @@ class Page:
         """Ends the element at this depth and all within it."""
         while len(self._open) > at:
             top = self._open[-1]
-            if top.tag in BLOCK or (top.noise, top.main) != (self._open[-2].noise, self._open[-2].main):
+            if top.tag in BLOCK or (top.noise, top.region) != (self._open[-2].noise, self._open[-2].region):
                 self._flush()
             self._open.pop()
             self._count[top.tag] -= 1
@@ -175,7 +232,7 @@ class Page:
                 continue
             if top.tag in BLOCK:
                 key = xxhash.xxh3_64_intdigest("\x00".join([top.tag, *top.parts]).encode("utf-8", "surrogatepass"))
-                self.subtrees.append((key, top.main, top.begin, len(self.blocks)))
+                self._trees.append((key, top.region, top.begin, len(self._found)))
                 parent.parts.append(format(key, "x"))
             else:
                 parent.parts.extend(top.parts)
@@ -187,7 +244,7 @@ class Page:
             if found is None:
                 break
             if found.start() > at:
-                self._text.append(html_text.unescape(html[at : found.start()]))
+                self._add(html[at : found.start()])
             at = found.end()
             tag = (found[2] or found[5] or "").lower()
             if not tag:
@@ -202,10 +259,54 @@ class Page:
                 continue
             self._start(tag, attributes)
         if at < len(html):
-            self._text.append(html_text.unescape(html[at:]))
+            self._add(html[at:])
         self._close(1)
         self._flush()
 
+    def _add(self, text: str) -> None:
+        self._text.append(html_text.unescape(text))
+
+    def _judge(self) -> None:
+        """Decides what is the article and which noise only wraps it; fills blocks and subtrees.
+
+        Articles outside noise always are. One within noise is if it has more text than what
+        is there without it (or is a main element, and the only one): then what it stands in is
+        no noise for it, nor for others in the same. Without any, a wrapper that holds at
+        least ``WRAPS`` of the text outside menus and comments is no noise.
+        """
+        wraps: set[_Noise] = set()
+        clean = [r for r in self._regions if r.noise is None]
+        noisy = [r for r in self._regions if r.noise is not None]
+        if noisy:
+            best = max(noisy, key=lambda r: (r.named and not clean, r.chars))
+            there = sum(r.chars for r in clean) if clean else self._body.chars
+            if (best.named and not clean) or best.chars > there:
+                wraps.update(best.noise.path())
+        shown = {r: r.noise is None or r.noise in wraps for r in self._regions}
+        self.has_main = any(shown.values())
+        if not self.has_main:
+            held: Counter[_Noise | None] = Counter()
+            for text, _, noise in self._found:
+                if noise is None or noise.only_named:
+                    held[noise] += len(text)
+            for noise in reversed(self._noises):
+                held[noise.outer] += held[noise]
+            wraps.update(n for n in self._noises if held[n] and held[n] >= WRAPS * held[None])
+        # From the outer to the inner: noise that is no wrapper, and all within it up to the next article.
+        hides: set[_Noise] = set()
+        for noise in self._noises:
+            if noise not in wraps or not noise.named or (noise.outer is not noise.within and noise.outer in hides):
+                hides.add(noise)
+
+        def hidden(region: _Region, noise: _Noise | None) -> bool:
+            return noise is not region.noise and noise in hides
+
+        self.blocks = [
+            (text, shown.get(region, False), hidden(region, noise) or not shown.get(region, region is self._body))
+            for text, region, noise in self._found
+        ]
+        self.subtrees = [(key, shown.get(region, False), begin, end) for key, region, begin, end in self._trees]
+
     def _end_tag(self, tag: str) -> None:
         if tag in BLOCK:
             self._flush()

@@ -70,3 +70,16 @@ def test_odd_rows(spark):
     assert found.columns == ["page_id", "url", "text", "n_chars"]
     assert sorted(r.n_chars for r in found.collect()) == [0, 0, 1, 1, 399_999]
     assert main_text.extracted(pages.where("false")).count() == 0
+
+
+def test_article_within_noise():
+    """A form or a noisy-named wrapper around the article is none; teasers and comments stay out."""
+    assert Page("<body><form id=form1><div>menu</div><article><h1>T</h1><p>a</article></form>").text() == "T\n\na"
+    for name in ("class='wrapper with-sidebar'", "class='site nav-open'", "id=has-header"):
+        assert Page(f"<body><div {name}><nav>n</nav><article><p>a<div class=share>s</div></article></div>").text() == "a"
+        assert Page(f"<main><div {name}><h1>T</h1><article><p>a long one</article></div></main>").text() == "T\n\na long one"
+    assert Page("<div class=with-sidebar><div role=main><p>a</div><aside><article>x</article></aside></div>").text() == "a"
+    assert Page("<article><p>story</article><div class=related><article>tip</article></div>").text() == "story"
+    assert Page("<p>a story<aside><article>tip</article></aside>").text() == "a story"
+    assert Page("<p>a<div class=comments><article>a long comment</article></div>").text() == "a"
+    assert Page("<body><form id=form1><nav>menu</nav><p>no article element</p></form>").text() == "no article element"
