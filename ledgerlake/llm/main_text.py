@@ -60,6 +60,8 @@ NOISE_TAGS = frozenset(
     "head nav footer aside form dialog menu noscript iframe template button select option svg canvas object audio "
     "video map search fieldset datalist label".split()
 )
+#: What may stand in a head; anything else that starts ends an open one.
+IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 #: Nothing in these is the page's article: they are not shown, or not as text.
 NEVER_SHOWN = frozenset("head noscript iframe template select option datalist button svg canvas object audio video map".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog alertdialog menu menubar".split())
@@ -171,6 +173,8 @@ class Page:
             top.parts.append(text)
 
     def _start(self, tag: str, attributes: str) -> None:
+        if self._count["head"] and (tag == "body" or self._open[-1].tag == "head" and tag not in IN_HEAD):
+            self._end("head")
         if tag in BLOCK:
             self._flush()
             if tag in ENDS_PARAGRAPH and self._count["p"]:
@@ -264,6 +268,8 @@ class Page:
         self._flush()
 
     def _add(self, text: str) -> None:
+        if self._open[-1].tag == "head" and not text.isspace():
+            self._end("head")
         self._text.append(html_text.unescape(text))
 
     def _judge(self) -> None:

@@ -83,3 +83,10 @@ def test_article_within_noise():
     assert Page("<p>a story<aside><article>tip</article></aside>").text() == "a story"
     assert Page("<p>a<div class=comments><article>a long comment</article></div>").text() == "a"
     assert Page("<body><form id=form1><nav>menu</nav><p>no article element</p></form>").text() == "no article element"
+
+
+def test_head_without_end_tag():
+    assert Page("<html><head><title>t</title><body><p>x").text() == "x"
+    assert Page("<html><head><meta charset=utf-8><link rel=x><p>x<div>y").text() == "x\n\ny"
+    assert Page("<head><script>s</script><noscript><style>a</style><img></noscript> plain").text() == "plain"
+    assert Page("<head><noscript><p>n<body><p>x").text() == "x"
