@@ -5,16 +5,21 @@
 2. Spark counts, per host, on how many pages each subtree occurs. A template is a subtree on
    at least ``LEAST_PAGES`` pages of a host that hold at least a share of the host's pages:
    ``SHARE_OUTSIDE`` outside the page's article, ``SHARE_INSIDE`` within it, since copied
-   articles recur too.
+   articles recur too. However large the host, it also is one if it has ``MANY`` different
+   surroundings and these are at least ``DIFFERENT`` of its pages: a part of a copied article
+   has the same ones each time. Surroundings are the page's longest block (the article's, for
+   what is in it); what holds that block is no template this way. Lone cells, items and headings recur as words do, and go by
+   the share alone.
 3. A page's text are the blocks of its article (of its body, if it has no article or main
    element) without templates and without what is no article by its element, class, id or
    role: menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts, styles.
    A form or an element of such a name that holds the article is its wrapper, not noise.
 
-Counts are pre-aggregated before they are shuffled, as pairs of two numbers. A host has fewer
-than (subtrees of a page) / ``SHARE_OUTSIDE`` templates, so its list is small; it is joined to the
-host's pages by whatever join the sizes call for, which Spark may split at a host with very
-many pages.
+Counts are pre-aggregated before they are shuffled, as numbers: by subtree and surroundings,
+then by subtree. A host has fewer than (subtrees of a page) / ``SHARE_OUTSIDE`` templates by
+share and (subtrees of its pages) / ``MANY`` others; the list is joined to the host's pages by
+whatever join the sizes call for, which Spark may split at a host with very many pages, and
+made a set once for all pages of a host that follow each other.
 """
 
 from __future__ import annotations
@@ -35,6 +40,8 @@ from ledgerlake.llm.common import map_arrow, settle
 LEAST_PAGES = 5
 SHARE_OUTSIDE = 0.1
 SHARE_INSIDE = 0.5
+MANY = 500
+DIFFERENT = 0.25
 #: Share of a page's text that makes a form or an element of a noisy name its wrapper, if it has no article.
 WRAPS = 0.75
 
@@ -56,6 +63,9 @@ SIBLINGS = [
 ENDS_PARAGRAPH = BLOCK - frozenset("td th tr tbody thead tfoot caption body html head legend summary".split())
 KEEPS_PARAGRAPH = frozenset("td th caption body html article main section div li blockquote button".split())
 
+#: Elements that are no template by ``MANY``.
+LONE = frozenset("li dt dd td th tr caption figcaption legend summary h1 h2 h3 h4 h5 h6".split())
+
 NOISE_TAGS = frozenset(
     "head nav footer aside form dialog menu noscript iframe template button select option svg canvas object audio "
     "video map search fieldset datalist label".split()
@@ -144,7 +154,7 @@ class Page:
     """The blocks of a page and the hashed subtrees that hold them.
 
     ``blocks``: (text, whether in the article, whether noise). ``subtrees``: (hash, whether
-    in the article, first block, block after the last).
+    in the article, first block, block after the last). ``lone``: the hashes of cells, items and headings.
     """
 
     def __init__(self, html: str):
@@ -156,6 +166,7 @@ class Page:
         self._found: list[tuple[str, _Region, _Noise | None]] = []
         self._trees: list[tuple[int, _Region, int, int]] = []
         self._noises: list[_Noise] = []
+        self.lone: set[int] = set()
         self._open = [_Element("", None, self._body, False, 0)]
         self._count: Counter[str] = Counter()
         self._text: list[str] = []
@@ -237,6 +248,8 @@ class Page:
             if top.tag in BLOCK:
                 key = xxhash.xxh3_64_intdigest("\x00".join([top.tag, *top.parts]).encode("utf-8", "surrogatepass"))
                 self._trees.append((key, top.region, top.begin, len(self._found)))
+                if top.tag in LONE:
+                    self.lone.add(key)
                 parent.parts.append(format(key, "x"))
             else:
                 parent.parts.extend(top.parts)
@@ -318,6 +331,21 @@ class Page:
             self._flush()
         self._end(tag)
 
+    def surroundings(self) -> dict[tuple[int, bool], int]:
+        """By (hash, whether in the article) of a subtree, a hash of the longest block, 0 if that is part of it."""
+        found: dict[tuple[int, bool], int] = {}
+        longest = []
+        for within in (False, True):
+            sizes = [len(text) if not noise and (inside or not within) else 0 for text, inside, noise in self.blocks]
+            at = max(range(len(sizes)), key=sizes.__getitem__, default=-1)
+            held = at >= 0 and sizes[at] > 0
+            text = self.blocks[at][0] if held else ""
+            longest.append((at, xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) if held else 0))
+        for key, inside, begin, end in self.subtrees:
+            at, hashed = longest[inside]
+            found.setdefault((key, inside), 0 if begin <= at < end or key in self.lone else hashed)
+        return found
+
     def text(self, templates: frozenset[tuple[int, bool]] = frozenset()) -> str:
         gone = np.zeros(len(self.blocks) + 1, np.int64)
         for key, inside, begin, end in self.subtrees:
@@ -337,23 +365,30 @@ def _signed(key: int) -> int:
 
 
 def _subtree_rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    hosts, keys, insides = [], [], []
+    hosts, keys, insides, beside = [], [], [], []
     for host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-        for key, inside in {(key, inside) for key, inside, _, _ in Page(html).subtrees}:
+        for (key, inside), around in Page(html).surroundings().items():
             hosts.append(host)
             keys.append(_signed(key))
             insides.append(inside)
+            beside.append(_signed(around))
     yield pa.RecordBatch.from_arrays(
-        [pa.array(hosts, pa.int64()), pa.array(keys, pa.int64()), pa.array(insides, pa.bool_())],
-        names=["host", "subtree", "inside"],
+        [pa.array(hosts, pa.int64()), pa.array(keys, pa.int64()), pa.array(insides, pa.bool_()), pa.array(beside, pa.int64())],
+        names=["host", "subtree", "inside", "beside"],
     )
 
 
 def _texts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     out = []
     keep = batch.columns[:-3]
-    for html, keys, insides in zip(*(column.to_pylist() for column in batch.columns[-3:])):
-        templates = frozenset((key % (1 << 64), inside) for key, inside in zip(keys or (), insides or ()))
+    ends = batch.column(batch.num_columns - 2).offsets.to_numpy()
+    all_keys, all_insides = (column.values.to_numpy(zero_copy_only=False) for column in batch.columns[-2:])
+    last, templates = b"", frozenset()
+    for k, html in enumerate(batch.columns[-3].to_pylist()):
+        keys = all_keys[ends[k] : ends[k + 1]]
+        if (packed := keys.tobytes()) != last:
+            insides = all_insides[ends[k] : ends[k + 1]].tolist()
+            last, templates = packed, frozenset((key % (1 << 64), inside) for key, inside in zip(keys.tolist(), insides))
         out.append(Page(html).text(templates))
     yield pa.RecordBatch.from_arrays(
         [*keep, pa.array(out, pa.string()), pa.array(list(map(len, out)), pa.int64())],
@@ -371,10 +406,15 @@ def site_templates(pages: DataFrame) -> DataFrame:
     """(host, subtrees, insides): the template subtrees of each host that has any."""
     keyed = pages.select(host_of("url").alias("host"), F.coalesce("html", F.lit("")).alias("html")).where("host is not null")
     per_host = keyed.groupBy("host").agg(F.count("*").alias("pages"))
-    counted = map_arrow(keyed, _subtree_rows, "host long, subtree long, inside boolean").groupBy("host", "subtree", "inside")
-    frequent = counted.agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_PAGES)
+    subtrees = map_arrow(keyed, _subtree_rows, "host long, subtree long, inside boolean, beside long")
+    counted = subtrees.groupBy("host", "subtree", "inside", "beside").agg(F.count("*").alias("n"))
+    # No surroundings, 0, are no different ones.
+    different = F.sum((F.col("beside") != 0).cast("long"))
+    frequent = counted.groupBy("host", "subtree", "inside").agg(F.sum("n").alias("n"), different.alias("different"))
+    frequent = frequent.where(F.col("n") >= LEAST_PAGES)
     share = F.when(F.col("inside"), SHARE_INSIDE).otherwise(SHARE_OUTSIDE)
-    found = frequent.join(per_host, "host").where(F.col("n") >= share * F.col("pages"))
+    many = (F.col("different") >= MANY) & (F.col("different") >= DIFFERENT * F.col("n"))
+    found = frequent.join(per_host, "host").where((F.col("n") >= share * F.col("pages")) | many)
     return found.groupBy("host").agg(F.collect_list("subtree").alias("subtrees"), F.collect_list("inside").alias("insides"))
 
 

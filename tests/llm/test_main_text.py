@@ -90,3 +90,18 @@ def test_head_without_end_tag():
     assert Page("<html><head><meta charset=utf-8><link rel=x><p>x<div>y").text() == "x\n\ny"
     assert Page("<head><script>s</script><noscript><style>a</style><img></noscript> plain").text() == "plain"
     assert Page("<head><noscript><p>n<body><p>x").text() == "x"
+
+
+def test_templates_of_a_large_host(spark, monkeypatch):
+    """Below the share, what has many different surroundings goes, and copied articles stay."""
+    monkeypatch.setattr(main_text, "MANY", 20)
+    box, copy = "<div>Our magazine</div>", "<p>A copied story that is long</p><p>and ends</p>"
+    rows = [(k, "http://h/", f"<body>{box if k < 30 else ''}<p>the story of number {k}</p><h2>So</h2></body>") for k in range(500)]
+    rows += [(1000 + k, "http://h/", f"<body><div>on day {k}</div>{copy}</body>") for k in range(40)]
+    rows += [(2000 + k, "http://h/", f"<article>{box if k < 99 else ''}<p>the tale of number {k}</article>") for k in range(200)]
+    rows += [(3000 + k, "http://h/", f"<div>on day {k}</div><article>{copy}</article>") for k in range(40)]
+    found = {r.page_id: r.text for r in main_text.extracted(spark.createDataFrame(rows, PAGES)).collect()}
+    assert all(found[k].split("\n\n")[0] == f"the story of number {k}" for k in range(500))
+    assert all(found[1000 + k] == f"on day {k}\n\nA copied story that is long\n\nand ends" for k in range(40))
+    assert all(found[2000 + k] == f"the tale of number {k}" for k in range(200))
+    assert all(found[3000 + k] == "A copied story that is long\n\nand ends" for k in range(40))
