@@ -9,8 +9,9 @@ Base kinds, leftmost and non-overlapping for each kind, as the fixed patterns ha
 
 Added kinds:
 
-* ``iban``: country letters, check digits and 11 to 30 letters or digits, in groups or not,
-  that pass mod 97.
+* ``iban``: country letters, check digits and as many letters or digits as the country has,
+  in groups or not, that pass mod 97. Of a country not listed, 11 to 30, as many of the groups
+  as pass.
 * ``card_part``: a group of 13 to 19 digits in a longer run of digit groups (such as a number
   given twice) that passes Luhn; the run as a whole is no card.
 * ``ssn``: three, two and four digits with hyphens, other than the ranges never issued.
@@ -40,6 +41,24 @@ LEAST = 0.6
 
 Check = Callable[[Column], Column]
 
+#: Lengths of account numbers by country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban_pattern() -> str:
+    listed = []
+    for length, countries in IBAN_LENGTHS.items():
+        groups, rest = divmod(length - 4, 4)
+        tail = rf"[ ]?[A-Z0-9]{{{rest}}}" if rest else ""
+        listed.append(rf"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?:[ ]?[A-Z0-9]{{4}}){{{groups}}}{tail}")
+    others = rf"(?!{'|'.join(IBAN_LENGTHS.values()).replace(' ', '|')})[A-Z]{{2}}[0-9]{{2}}(?:[ ]?[A-Z0-9]{{4}}){{2,7}}(?:[ ]?[A-Z0-9]{{1,3}})?"
+    return rf"\b(?:{'|'.join(listed)}|{others})\b"
+
 
 def _digits(match: Column) -> Column:
     return F.regexp_replace(match, "[^0-9]", "")
@@ -73,6 +92,14 @@ def mod_97(match: Column) -> Column:
     return rest == 1
 
 
+def _account_in(match: Column) -> Column:
+    """The longest beginning of ``match``, up to the end of a group, that passes mod 97; null if none."""
+    groups = F.split(match, " ")
+    beginnings = F.transform(F.sequence(F.size(groups), F.lit(1), F.lit(-1)), lambda n: F.array_join(F.slice(groups, 1, n), " "))
+    long_enough = F.filter(beginnings, lambda part: F.length(F.replace(part, F.lit(" "), F.lit(""))) >= min(IBAN_LENGTHS))
+    return F.get(F.filter(long_enough, mod_97), F.lit(0))
+
+
 def _parts_at_most_255(match: Column) -> Column:
     numbers = F.transform(F.split(match, r"\."), lambda p: F.regexp_replace(p, "^0+(?=.)", ""))
     return F.forall(numbers, lambda p: (F.length(p) < 3) | ((F.length(p) == 3) & (p <= F.lit("255"))))
@@ -87,6 +114,7 @@ class Kind:
     """A kind of personal data.
 
     ``gate``: a pattern that every text with a match of this kind has, cheap to look for.
+    ``part``: what of a match the span is, a beginning of it; null if it is none.
     """
 
     name: str
@@ -96,6 +124,7 @@ class Kind:
     worth: float
     words: str
     base: bool = False
+    part: Callable[[Column], Column] | None = None
 
 
 _LOCAL = "[A-Za-z0-9._%+-]"
@@ -111,7 +140,7 @@ KINDS = [
     Kind("phone", r"\+[0-9]", r"\+[0-9][ ().0-9-]+[0-9]", _digit_count(9, 15), 0.8,
          "phone|call|tel|mobile|fax", base=True),
     Kind("iban", r"[A-Z]{2}[0-9]{2}",
-         r"\b[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?\b", mod_97, 0.8, "iban|account|konto|bank"),
+         _iban_pattern(), None, 0.8, "iban|account|konto|bank", part=_account_in),
     Kind("card_part", "[0-9]{13}[ -][0-9]|[0-9][ -][0-9]{13}",
          r"(?<![0-9])[0-9]{13,19}(?=[ -][0-9])|(?<=[0-9][ -])[0-9]{13,19}(?![0-9])", luhn, 0.6, "card|visa|credit|pay"),
     Kind("ssn", "[0-9]{3}-[0-9]{2}-[0-9]{4}",
@@ -150,6 +179,15 @@ def _confirmed(text: Column, kind: Kind) -> Column:
     found = _candidates(text, kind)
     if kind.check is not None:
         found = F.filter(found, lambda span: kind.check(span["match"]))
+    if kind.part is not None:
+        parts = F.transform(found, lambda span: F.struct(span["start"].alias("start"), kind.part(span["match"]).alias("match")))
+        parts = F.filter(parts, lambda span: span["match"].isNotNull())
+        found = F.transform(
+            parts,
+            lambda span: F.struct(
+                span["start"].alias("start"), (span["start"] + F.length(span["match"])).alias("end"), span["match"].alias("match")
+            ),
+        )
     rank = next(k for k, other in enumerate(KINDS) if other.name == kind.name)
 
     def scored(span: Column) -> Column:

@@ -121,3 +121,20 @@ def test_native(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     plan = pii.detected(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Exchange" not in plan
+
+
+def test_account_number_before_a_word(spark):
+    """Numbers of whole groups of four, followed by a short word, a number or another account number."""
+    numbers = ["ES91 2100 0418 4502 0005 1332", "AT61 1904 3002 3457 3201", "BE68 5390 0754 7034", "SE45 5000 0000 0583 9825 7466",
+               "PL61 1090 1014 0000 0712 1981 2874", "CZ65 0800 0000 1920 0014 5399", "NO93 8601 1117 947", "DE89 3704 0044 0532 0130 00"]
+    numbers += [number.replace(" ", "") for number in numbers]
+    # A country that is not listed: check digits for 24 characters.
+    other = "ZZ" + str(98 - int("1234" * 5 + "353500") % 97).zfill(2) + " 1234" * 5
+    texts, expected = {}, {}
+    for k, number in enumerate([*numbers, other]):
+        for j, after in enumerate((" BIC CAIXESBB", " 7", " ABCD x", " 2024 ONE", ",", "")):
+            texts[10 * k + j], expected[10 * k + j] = f"IBAN {number}{after}", f"iban:5:{5 + len(number)}"
+    texts[999], expected[999] = f"{numbers[0]} {numbers[1]}", "iban:0:29,iban:30:54"
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r.doc_id: ",".join(s for s in r.spans.split(",") if s.startswith("iban")) for r in pii.detected(docs).collect()} == expected
+    assert pii.masked(docs.where("doc_id = 0")).first().text == "IBAN [IBAN] BIC CAIXESBB"
