@@ -60,6 +60,9 @@ class WordEncoder:
     tokenizer, which lowers as well, splits at least there. Elsewhere lower case or composed
     characters may depend on what stands around, and units are what stands between white
     space. ``tests/llm`` hold the ids against the tokenizer's.
+
+    With ``added``, as the operator has it, texts are first cut at the tokenizer's added tokens,
+    such as <|endoftext|>, each one id; else these are spelled out.
     """
 
     #: White space as the tokenizer's pattern has it: U+001C to U+001F, which Python splits at, aren't.
@@ -68,12 +71,13 @@ class WordEncoder:
     _beyond_latin = re.compile("[\x1c-\x1f\u0250-\U0010ffff]")
     _units = re.compile(r"'?[^\W_]+(?:'[^\W_]+)*|(?:[^\w\s]|_)+")
 
-    def __init__(self, path: str, most_units: int = 150_000):
+    def __init__(self, path: str, most_units: int = 150_000, added: bool = False):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added
+        self._added = self._added_tokens() if added else None
         self.most_units = most_units
         self._reset()
 
@@ -82,6 +86,20 @@ class WordEncoder:
         self.ids = np.zeros(0, np.uint32)
         self.length = self.first = np.zeros(0, np.int64)
 
+    def _added_tokens(self) -> re.Pattern | None:
+        tokens = self.tokenizer.get_added_tokens_decoder().values()
+        if any(token.normalized or token.lstrip or token.rstrip or token.single_word for token in tokens):
+            raise ValueError("added tokens that are matched other than as they stand")
+        longest_first = sorted((token.content for token in tokens), key=len, reverse=True)
+        return re.compile(f"({'|'.join(map(re.escape, longest_first))})") if longest_first else None
+
+    def _units_of(self, text: str) -> list[str]:
+        """The units of a text, added tokens among them: no other unit is spelled as one."""
+        if self._added is None or not self._added.search(text):
+            return self._split(text)
+        parts = self._added.split(text)
+        return list(chain.from_iterable([part] if k % 2 else self._split(part) for k, part in enumerate(parts)))
+
     def _split(self, text: str) -> list[str]:
         if not self._beyond_latin.search(text):
             return self._units.findall(text.lower())
@@ -96,7 +114,7 @@ class WordEncoder:
         known = len(self.number)
         numbers = []
         for text in texts:
-            units = self._split(text)
+            units = self._units_of(text)
             numbers.append(np.fromiter(map(self.number.__getitem__, units), np.int64, len(units)))
         if len(self.number) > known:
             fresh = list(islice(self.number, known, None))
@@ -119,7 +137,7 @@ class WordEncoder:
 @lru_cache(maxsize=2)
 def word_encoder(path: str) -> WordEncoder:
     """The encoder of this process: what one task has looked up serves the next one."""
-    return WordEncoder(path)
+    return WordEncoder(path, added=True)
 
 
 def cost(tokens: int) -> float:

@@ -84,3 +84,17 @@ def test_balance():
     shared, _ = packing.balanced([500] * 4, [2048, 2048])
     assert sorted(s for _, _, _, s, _ in shared) == [0, 0, 1, 1]
     assert packing.powers(777) == [512, 256, 8, 1]
+
+
+def test_added_tokens(spark):
+    """Added tokens are one id, as the tokenizer has them with add_special_tokens=False and nothing else set."""
+    plain = Tokenizer.from_file(PATH)
+    draw = random.Random(4)
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "|>", "endoftext", "a", "B's", " ", "\n", "日本", "É", "e\u0301", "\u0301"]
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "<|startoftext|>x<|endoftext|><|endoftext|>"]
+    texts += ["".join(draw.choices(parts, k=draw.randint(1, 12))) for _ in range(2000)]
+    expected = [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
+    assert expected[0] == [320, 49407, 321]
+    assert [x.tolist() for x in packing.word_encoder(PATH).encode(texts)] == expected
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    check(packing.packed(docs, PATH).collect(), list(enumerate(expected)))
