@@ -1,7 +1,10 @@
 """Order MinHash fingerprints: sensitive to edits, as they hash k-mers together with their order.
 
 A text's k-mers are its runs of ``WORDS`` words, a word being at most ``LONGEST`` characters
-other than white space; a shorter text is one k-mer. Each k-mer is numbered by how often it
+other than white space; a shorter text is one k-mer. Runs of more than ``LONG_RUN`` characters
+without white space, as in Chinese, Japanese or Thai, are first cut where a hash of the four
+characters around a place says so: what is inserted or deleted moves the cuts around it only.
+Each k-mer is numbered by how often it
 occurred before. Of the numbered k-mers' hashes the leading bits choose one of ``BINS`` bins, the
 others rank them within it. In each bin the ``TUPLE`` least are selected, put back into their
 order in the text, and hashed as a tuple: one entry of the fingerprint. Dealing one hash into
@@ -25,6 +28,9 @@ from ledgerlake.llm.common import whole_text
 
 WORDS = 3
 LONGEST = 16
+LONG_RUN = 64
+#: One place in so many of a long run is a cut.
+CUT_EVERY = 8
 BIN_BITS = 5
 BINS = 1 << BIN_BITS
 TUPLE = 2
@@ -49,6 +55,29 @@ def _bin_of(packed: Column) -> Column:
     return F.shiftright(packed, 64 - BIN_BITS)
 
 
+def _with_cuts(run: Column) -> Column:
+    """A run of characters with blanks at its cuts; none between equal characters."""
+
+    def cut(chars: Column) -> Column:
+        def put(char: Column, i: Column) -> Column:
+            following = F.get(chars, i + 1)
+            around = F.xxhash64(F.get(chars, i - 1), char, following, F.get(chars, i + 2))
+            here = (char != following) & (F.pmod(around, F.lit(CUT_EVERY)) == 0)
+            return F.when(here, F.concat(char, F.lit(" "))).otherwise(char)
+
+        return F.array_join(F.transform(chars, put), "")
+
+    # Within an array of one, so that the characters are taken apart once and not at each place.
+    return F.get(F.transform(F.array(F.regexp_extract_all(run, F.lit("(?s)."), F.lit(0))), cut), F.lit(0))
+
+
+def _cut_up(text: Column) -> Column:
+    """``text`` with cuts in its long runs; other texts as they are."""
+    runs = F.regexp_extract_all(text, F.lit(r"\S+"), F.lit(0))
+    cut = F.transform(runs, lambda run: F.when(F.length(run) > LONG_RUN, _with_cuts(run)).otherwise(run))
+    return F.when(text.rlike(rf"(?<!\S)\S{{{LONG_RUN + 1}}}"), F.array_join(cut, " ")).otherwise(text)
+
+
 def with_fingerprint(frame: DataFrame, text: str, into: str) -> DataFrame:
     """``frame`` with the fingerprint of ``text``: ``bin-hash`` entries joined by dots.
 
@@ -57,7 +86,7 @@ def with_fingerprint(frame: DataFrame, text: str, into: str) -> DataFrame:
     keep = frame.columns
     at = F.col
 
-    frame = frame.withColumn("__words", F.regexp_extract_all(whole_text(text), F.lit(rf"\S{{1,{LONGEST}}}"), F.lit(0)))
+    frame = frame.withColumn("__words", F.regexp_extract_all(_cut_up(whole_text(text)), F.lit(rf"\S{{1,{LONGEST}}}"), F.lit(0)))
     count = F.size("__words")
     starts = F.slice("__words", 1, F.greatest(count - (WORDS - 1), F.least(count, F.lit(1))))
     frame = frame.withColumn(

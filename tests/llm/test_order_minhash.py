@@ -111,3 +111,16 @@ def test_odd_rows(spark):
 def test_native(spark):
     plan = om.compared(odd_docs(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan
+
+
+def test_insertion_into_a_text_without_blanks(spark):
+    """One character put in, or taken out, anywhere changes the entries around it only."""
+    draw = random.Random(3)
+    texts = ["".join(chr(draw.randint(0x4E00, 0x9FA5)) for _ in range(3000)), "".join(draw.choices("ACGT", k=3000)),
+             "".join(draw.choices("\u0e01\u0e02\U00020000x", k=3000))]
+    pairs = [(t, edited) for t in texts for edited in ("\u4e00" + t, t[:1500] + "\u4e00" + t[1500:], t[1:], t[:700] + t[701:])]
+    found = om.with_fingerprint(om.with_fingerprint(spark.createDataFrame(pairs, "t string, u string"), "t", "a"), "u", "b")
+    assert min(r[0] for r in found.select(om.likeness("a", "b")).collect()) > 0.75
+    others = spark.createDataFrame([(texts[0], texts[0][::-1])], "t string, u string")
+    others = om.with_fingerprint(om.with_fingerprint(others, "t", "a"), "u", "b")
+    assert others.select(om.likeness("a", "b")).first()[0] < 0.2
