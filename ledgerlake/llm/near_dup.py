@@ -17,8 +17,8 @@ if 100 * |A & B| >= 75 * |A | B|; every link that is used is confirmed on the fu
    product that counts all common shingles exactly and returns a spanning forest of its links.
 5. Components by alternating large-star and small-star.
 
-Cost: buckets that fall into one component by step 3 cost one comparison a member. Only what
-of a large bucket stays apart is compared block by block.
+Cost: buckets that fall into one component by step 3 cost one comparison a member. A large
+bucket of which any member stays apart is compared whole, block by block.
 """
 
 from __future__ import annotations
