@@ -31,7 +31,6 @@ from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -236,26 +235,32 @@ def leading_terms(kept: DataFrame, groups: DataFrame, top: int = TOP) -> DataFra
 
 
 def _block_differences(sources: int):
-    def differences(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    names = ["lang", "one", "other", "difference"]
+    kinds = pa.schema(list(zip(names, [pa.string(), pa.int64(), pa.int64(), pa.int64()])))
+
+    def differences(key: tuple, rows: pa.Table) -> pa.Table:
         """For the sources of two blocks and some terms: the sums of the differences of their shares,
         less those of the shares of the count 0. Rows without a term list the sources."""
-        lang, one, other, _ = key
-        listed = rows[rows["term"].isna()].sort_values("place")
-        cells = rows[rows["term"].notna()]
-        places, zero = listed["place"].to_numpy(), listed["share"].to_numpy()
-        code, spellings = pd.factorize(cells["term"])
-        shares = np.repeat(zero[None, :], len(spellings), axis=0)
-        shares[code, np.searchsorted(places, cells["place"].to_numpy())] = cells["share"].to_numpy()
+        lang, one, other, _ = (part.as_py() for part in key)
+        place, share = rows["place"].to_numpy(), rows["share"].to_numpy()
+        spelled = rows["term"].combine_chunks().dictionary_encode()
+        spelled = spelled.combine_chunks() if isinstance(spelled, pa.ChunkedArray) else spelled
+        is_cell = np.asarray(spelled.is_valid())
+        code = np.asarray(spelled.indices.fill_null(0))[is_cell]
+        order = np.argsort(place[~is_cell])
+        places, zero = place[~is_cell][order], share[~is_cell][order]
+        shares = np.repeat(zero[None, :], len(spelled.dictionary), axis=0)
+        shares[code, np.searchsorted(places, place[is_cell])] = share[is_cell]
         second = np.flatnonzero(places // sources == other)
         pairs = [np.empty((3, 0), np.int64)]
         for k in np.flatnonzero(places // sources == one):
             beside = second[second > k]
             if len(beside):
                 sums = np.abs(shares[:, beside] - shares[:, k : k + 1]).sum(0)
-                sums -= len(spellings) * np.abs(zero[beside] - zero[k])
+                sums -= len(shares) * np.abs(zero[beside] - zero[k])
                 pairs.append(np.stack([np.full(len(beside), places[k]), places[beside], sums]))
-        first, second, sums = np.concatenate(pairs, axis=1)
-        return pd.DataFrame({"lang": [lang] * len(sums), "one": first, "other": second, "difference": sums})
+        pairs = np.concatenate(pairs, axis=1)
+        return pa.Table.from_arrays([pa.array([lang] * pairs.shape[1], pa.string()), *map(pa.array, pairs)], schema=kinds)
 
     return differences
 
@@ -289,7 +294,7 @@ def source_pairs(kept: DataFrame, groups: DataFrame, block: int = SOURCES, block
     )
     sums = (
         dealt.groupBy("lang", "one", "other", "part")
-        .applyInPandas(_block_differences(block), "lang string, one long, other long, difference long")
+        .applyInArrow(_block_differences(block), "lang string, one long, other long, difference long")
         .groupBy("lang", "one", "other")
         .agg(F.sum("difference").alias("difference"))
     )
