@@ -51,15 +51,42 @@ class _Numbers(dict):
         return number
 
 
+class _Table:
+    """Runs of ids by number, and the numbers of the keys they belong to."""
+
+    def __init__(self) -> None:
+        self.number = _Numbers()
+        self.ids = np.zeros(0, np.uint32)
+        self.length = self.first = np.zeros(0, np.int64)
+
+    def add(self, ids: np.ndarray, lengths: np.ndarray) -> None:
+        """The runs of the next keys, in order."""
+        self.ids = np.concatenate([self.ids, ids])
+        self.length = np.concatenate([self.length, lengths])
+        self.first = np.cumsum(self.length) - self.length
+
+    def gathered(self, numbers: np.ndarray) -> np.ndarray:
+        """The runs of ``numbers``, one after the other."""
+        if not len(numbers):
+            return np.zeros(0, np.uint32)
+        lengths = self.length[numbers]
+        ends = np.cumsum(lengths)
+        at = np.repeat(self.first[numbers] - ends + lengths, lengths)
+        at += np.arange(ends[-1])
+        return self.ids[at]
+
+
 class WordEncoder:
     """Token ids of whole texts by a word-level BPE that drops white space.
 
-    Its ids for a text are those of the text's units one after the other, so each unit is
-    encoded once and looked up from then on. Texts of Latin letters fall into runs of letters
-    and digits, with apostrophes between them, and runs of other marks, in lower case: the
-    tokenizer, which lowers as well, splits at least there. Elsewhere lower case or composed
-    characters may depend on what stands around, and units are what stands between white
-    space. ``tests/llm`` hold the ids against the tokenizer's.
+    Its ids for a text are those of what stands between white space, one after the other, so
+    each such chunk is encoded once and looked up from then on. Chunks of Latin letters are put
+    in lower case first, as the tokenizer does, and a new one falls into units: runs of letters
+    and digits, with apostrophes between them, and runs of other marks; the tokenizer splits at
+    least there. Units are encoded once as well; those of lower-case ASCII letters need nothing
+    but the tokenizer's merges. Elsewhere lower case or composed characters may depend on what
+    stands around, and chunks are encoded as they are. ``tests/llm`` hold the ids against the
+    tokenizer's.
 
     With ``added``, as the operator has it, texts are first cut at the tokenizer's added tokens,
     such as <|endoftext|>, each one id; else these are spelled out.
@@ -70,68 +97,89 @@ class WordEncoder:
     _odd = re.compile(r"[\x1c-\x1f]")
     _beyond_latin = re.compile("[\x1c-\x1f\u0250-\U0010ffff]")
     _units = re.compile(r"'?[^\W_]+(?:'[^\W_]+)*|(?:[^\w\s]|_)+")
+    #: Stops and commas after other marks, which may be one unit with them.
+    _marks = re.compile(r"[^\w\s][.,]|_[.,]")
 
-    def __init__(self, path: str, most_units: int = 150_000, added: bool = False):
+    def __init__(self, path: str, most_units: int = 500_000, added: bool = False):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not added
-        self._added = self._added_tokens() if added else None
+        self._added = self._added_tokens() if added else {}
+        longest_first = sorted(self._added, key=len, reverse=True)
+        self._cut_added = re.compile(f"({'|'.join(map(re.escape, longest_first))})")
         self.most_units = most_units
         self._reset()
 
     def _reset(self) -> None:
-        self.number = _Numbers()
-        self.ids = np.zeros(0, np.uint32)
-        self.length = self.first = np.zeros(0, np.int64)
+        self.chunks, self.units = _Table(), _Table()
 
-    def _added_tokens(self) -> re.Pattern | None:
-        tokens = self.tokenizer.get_added_tokens_decoder().values()
-        if any(token.normalized or token.lstrip or token.rstrip or token.single_word for token in tokens):
+    def _added_tokens(self) -> dict[str, int]:
+        tokens = self.tokenizer.get_added_tokens_decoder()
+        if any(token.normalized or token.lstrip or token.rstrip or token.single_word for token in tokens.values()):
             raise ValueError("added tokens that are matched other than as they stand")
-        longest_first = sorted((token.content for token in tokens), key=len, reverse=True)
-        return re.compile(f"({'|'.join(map(re.escape, longest_first))})") if longest_first else None
+        return {token.content: k for k, token in tokens.items()}
 
-    def _units_of(self, text: str) -> list[str]:
-        """The units of a text, added tokens among them: no other unit is spelled as one."""
-        if self._added is None or not self._added.search(text):
+    def _chunks_of(self, text: str) -> list[str]:
+        """The chunks of a text, added tokens among them: no other chunk is spelled as one."""
+        if not any(token in text for token in self._added):
             return self._split(text)
-        parts = self._added.split(text)
+        parts = self._cut_added.split(text)
         return list(chain.from_iterable([part] if k % 2 else self._split(part) for k, part in enumerate(parts)))
 
     def _split(self, text: str) -> list[str]:
-        if not self._beyond_latin.search(text):
-            return self._units.findall(text.lower())
+        plain = text.isascii() and not any(mark in text for mark in "\x1c\x1d\x1e\x1f")
+        if plain or not self._beyond_latin.search(text):
+            text = text.lower()
+            if not self._marks.search(text):
+                # A stop or comma after a letter or number is a unit, and so may stand apart.
+                text = text.replace(". ", " . ").replace(", ", " , ").replace(".\n", " .\n").replace(",\n", " ,\n")
+            return text.split()
         if self._odd.search(text):
-            return [unit for unit in self._separators.split(text) if unit]
+            return [chunk for chunk in self._separators.split(text) if chunk]
         return text.split()
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, as uint32."""
-        if len(self.number) > self.most_units:
+        if len(self.chunks.number) > self.most_units or len(self.units.number) > self.most_units:
             self._reset()
-        known = len(self.number)
+        known = len(self.chunks.number)
         numbers = []
         for text in texts:
-            units = self._units_of(text)
-            numbers.append(np.fromiter(map(self.number.__getitem__, units), np.int64, len(units)))
-        if len(self.number) > known:
-            fresh = list(islice(self.number, known, None))
-            encoded = [e.ids for e in self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)]
-            self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(encoded), np.uint32)])
-            self.length = np.concatenate([self.length, np.fromiter(map(len, encoded), np.int64, len(encoded))])
-            self.first = np.cumsum(self.length) - self.length
-        return [self._gathered(of_text) for of_text in numbers]
-
-    def _gathered(self, numbers: np.ndarray) -> np.ndarray:
-        if not len(numbers):
-            return np.zeros(0, np.uint32)
-        lengths = self.length[numbers]
-        ends = np.cumsum(lengths)
-        at = np.repeat(self.first[numbers] - ends + lengths, lengths)
-        at += np.arange(ends[-1])
-        return self.ids[at]
+            chunks = self._chunks_of(text)
+            numbers.append(np.fromiter(map(self.chunks.number.__getitem__, chunks), np.int64, len(chunks)))
+        self._learn_chunks(list(islice(self.chunks.number, known, None)))
+        return [self.chunks.gathered(of_text) for of_text in numbers]
+
+    def _learn_chunks(self, fresh: list[str]) -> None:
+        """A chunk's ids are those of its units; added tokens and chunks beyond Latin are one unit."""
+        if not fresh:
+            return
+        number, known, added, beyond = self.units.number, len(self.units.number), self._added, self._beyond_latin.search
+        of_chunks, sizes = [], []
+        for chunk in fresh:
+            if chunk.isalpha() or chunk in added or beyond(chunk):
+                of_chunks.append(number[chunk])
+                sizes.append(1)
+            else:
+                parts = self._units.findall(chunk)
+                of_chunks.extend(map(number.__getitem__, parts))
+                sizes.append(len(parts))
+        self._learn_units(list(islice(number, known, None)))
+        units = np.array(of_chunks, np.int64)
+        ends = np.concatenate([[0], np.cumsum(self.units.length[units])])
+        last = np.cumsum(sizes)
+        self.chunks.add(self.units.gathered(units), ends[last] - ends[last - sizes])
+
+    def _learn_units(self, fresh: list[str]) -> None:
+        merged = self.tokenizer.model.tokenize
+        ids = [[t.id for t in merged(unit)] if unit.isascii() and unit.isalpha() and unit.islower() else None for unit in fresh]
+        others = [k for k, found in enumerate(ids) if found is None]
+        encoded = self.tokenizer.encode_batch_fast([fresh[k] for k in others], add_special_tokens=False)
+        for k, of_unit in zip(others, encoded):
+            ids[k] = of_unit.ids
+        self.units.add(np.fromiter(chain.from_iterable(ids), np.uint32), np.fromiter(map(len, ids), np.int64, len(ids)))
 
 
 @lru_cache(maxsize=2)
