@@ -122,11 +122,11 @@ class WordEncoder:
         return {token.content: k for k, token in tokens.items()}
 
     def _chunks_of(self, text: str) -> list[str]:
-        """The chunks of a text, added tokens among them: no other chunk is spelled as one."""
+        """The chunks of a text, added tokens among them: after a space, as no other chunk is spelled."""
         if not any(token in text for token in self._added):
             return self._split(text)
         parts = self._cut_added.split(text)
-        return list(chain.from_iterable([part] if k % 2 else self._split(part) for k, part in enumerate(parts)))
+        return list(chain.from_iterable([f" {part}"] if k % 2 else self._split(part) for k, part in enumerate(parts)))
 
     def _split(self, text: str) -> list[str]:
         plain = text.isascii() and not any(mark in text for mark in "\x1c\x1d\x1e\x1f")
@@ -156,14 +156,14 @@ class WordEncoder:
         """A chunk's ids are those of its units; added tokens and chunks beyond Latin are one unit."""
         if not fresh:
             return
-        number, known, added, beyond = self.units.number, len(self.units.number), self._added, self._beyond_latin.search
+        number, known, beyond = self.units.number, len(self.units.number), self._beyond_latin.search
         of_chunks, sizes = [], []
         for chunk in fresh:
-            if chunk.isalpha() or chunk in added or beyond(chunk):
+            if chunk.isalpha() or chunk[0] == " " or beyond(chunk):
                 of_chunks.append(number[chunk])
                 sizes.append(1)
             else:
-                parts = self._units.findall(chunk)
+                parts = self._units.findall(chunk.lower())  # not yet in lower case where a text has more than Latin
                 of_chunks.extend(map(number.__getitem__, parts))
                 sizes.append(len(parts))
         self._learn_units(list(islice(number, known, None)))
