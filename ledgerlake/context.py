@@ -74,6 +74,16 @@ class Settings:
     )
 
 
+def table_exists(spark: SparkSession, live: str) -> bool:
+    """Whether the table is there, after bringing it back if a swap died between its renames."""
+    if spark.catalog.tableExists(live):
+        return True
+    if spark.catalog.tableExists(f"{live}__old"):
+        spark.sql(f"alter table {live}__old rename to {live}")
+        return True
+    return False
+
+
 class Lake:
     def __init__(
         self,
@@ -103,7 +113,7 @@ class Lake:
     def _input(self, name: str, given: Mapping, columns: Sequence[str]) -> DataFrame:
         if name in given:
             found = given[name]() if callable(given[name]) else given[name]
-        elif self.spark.catalog.tableExists(f"bronze.{name}"):
+        elif table_exists(self.spark, f"bronze.{name}"):
             found = self.spark.table(f"bronze.{name}")
         elif name in self._optional:
             return self.spark.createDataFrame([], schemas.text_schema(columns))
@@ -121,7 +131,7 @@ class Lake:
     def load_log(self) -> DataFrame:
         if self._load_log is not None:
             return self._load_log() if callable(self._load_log) else self._load_log
-        if self.spark.catalog.tableExists("bronze.load_log"):
+        if table_exists(self.spark, "bronze.load_log"):
             return self.spark.table("bronze.load_log")
         return self.spark.createDataFrame([], schemas.LOAD_LOG)
 

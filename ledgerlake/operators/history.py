@@ -16,39 +16,36 @@ def first_history(snapshot: DataFrame, valid_at: Column) -> DataFrame:
     return snapshot.withColumns({VALID_FROM: at, VALID_TO: F.lit(None).cast("timestamp")})
 
 
-def scd2_merge(
-    history: DataFrame,
-    snapshot: DataFrame,
-    keys: Sequence[str],
-    check: Sequence[str],
-    valid_at: Column,
+def with_columns_of(history: DataFrame, snapshot: DataFrame) -> DataFrame:
+    """The history with the columns that are new in the snapshot, null in its rows."""
+    added = [f for f in snapshot.schema.fields if f.name not in history.columns]
+    return history.withColumns({f.name: F.lit(None).cast(f.dataType) for f in added})
+
+
+def scd2_step(
+    current: DataFrame, snapshot: DataFrame, keys: Sequence[str], check: Sequence[str], valid_at: Column
 ) -> DataFrame:
-    """New history after seeing `snapshot`.
+    """What becomes of the open rows of a history: rows that stay open, closed ones and new ones.
 
     A key whose check columns differ (null-safe) closes its open row at valid_at and
     opens a new one; an unchanged key keeps its open row; a key gone from the snapshot
-    stays open. Only open rows take part in the join: closed ones are passed through,
-    so the shuffle grows with the table, not with its history. Columns that are new in
-    the snapshot are taken on, null in earlier rows; such that it no longer has stay, null
-    in new rows.
+    stays open. Null key parts equal each other.
     """
     at = valid_at.cast("timestamp")
-    added = [f for f in snapshot.schema.fields if f.name not in history.columns]
-    history = history.withColumns({f.name: F.lit(None).cast(f.dataType) for f in added})
-    columns = [c for c in history.columns if c not in (VALID_FROM, VALID_TO)]
-    gone = [f for f in history.schema.fields if f.name in columns and f.name not in snapshot.columns]
+    current = with_columns_of(current, snapshot)
+    columns = [c for c in current.columns if c not in (VALID_FROM, VALID_TO)]
+    gone = [f for f in current.schema.fields if f.name in columns and f.name not in snapshot.columns]
     snapshot = snapshot.withColumns({f.name: F.lit(None).cast(f.dataType) for f in gone})
-    closed = history.where(F.col(VALID_TO).isNotNull())
-    current = history.where(F.col(VALID_TO).isNull()).withColumn("__old", F.lit(True)).alias("o")
+    held = current.withColumn("__old", F.lit(True)).alias("o")
     incoming = snapshot.select(*columns).withColumn("__new", F.lit(True)).alias("n")
 
     on = F.lit(True)
     for k in keys:
-        on = on & (F.col(f"o.{k}") == F.col(f"n.{k}"))
+        on = on & F.col(f"o.{k}").eqNullSafe(F.col(f"n.{k}"))
     same = F.lit(True)
     for c in check:
         same = same & F.col(f"o.{c}").eqNullSafe(F.col(f"n.{c}"))
-    paired = current.join(incoming, on, "full_outer")
+    paired = held.join(incoming, on, "full_outer")
 
     has_old, has_new = F.col("o.__old").isNotNull(), F.col("n.__new").isNotNull()
     changed = has_old & has_new & ~same
@@ -66,8 +63,25 @@ def scd2_merge(
         F.array(F.when(has_old, old_row), F.when(has_new & (changed | ~has_old), new_row)),
         lambda r: r.isNotNull(),
     )
-    merged = paired.select(F.explode(rows).alias("row")).select("row.*")
-    return closed.select(*merged.columns).unionByName(merged)
+    return paired.select(F.explode(rows).alias("row")).select("row.*")
+
+
+def scd2_merge(
+    history: DataFrame,
+    snapshot: DataFrame,
+    keys: Sequence[str],
+    check: Sequence[str],
+    valid_at: Column,
+) -> DataFrame:
+    """New history after seeing `snapshot`.
+
+    Only open rows take part in the join: closed ones are passed through, so the shuffle grows
+    with the table, not with its history. Columns that are new in the snapshot are taken on,
+    null in earlier rows; such that it no longer has stay, null in new rows.
+    """
+    history = with_columns_of(history, snapshot)
+    merged = scd2_step(history.where(F.col(VALID_TO).isNull()), snapshot, keys, check, valid_at)
+    return history.where(F.col(VALID_TO).isNotNull()).select(*merged.columns).unionByName(merged)
 
 
 def current_rows(history: DataFrame) -> DataFrame:

@@ -100,7 +100,7 @@ def running_before(
     total = F.col("__start") + F.coalesce("__inside", F.lit(0))
     return (
         join_on(ran, starts, [*keys, "__slice"])
-        .withColumn(out, total.cast(kind))
+        .withColumn(out, F.coalesce(total.cast(kind), F.lit(0).cast(kind)))
         .drop("__amount", "__slice", "__inside", "__start")
     )
 

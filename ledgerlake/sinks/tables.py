@@ -7,13 +7,16 @@ way leaves the old version readable.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.context import MODELS, Lake
-from ledgerlake.operators.history import first_history, scd2_merge, status_counts
+from ledgerlake.context import MODELS, Lake, table_exists
+from ledgerlake.operators.history import first_history, scd2_step, status_counts
 from ledgerlake.operators.quality import require_unique
 from ledgerlake.plans import checks
 from ledgerlake.schemas import LOAD_LOG
@@ -28,16 +31,6 @@ def ensure_layer(spark: SparkSession, layer: str) -> None:
     spark.sql(f"create schema if not exists {layer}")
 
 
-def table_exists(spark: SparkSession, live: str) -> bool:
-    """Whether the table is there, after bringing it back if a swap died between its renames."""
-    if spark.catalog.tableExists(live):
-        return True
-    if spark.catalog.tableExists(f"{live}__old"):
-        spark.sql(f"alter table {live}__old rename to {live}")
-        return True
-    return False
-
-
 def replace_table(
     df: DataFrame,
     layer: str,
@@ -62,6 +55,8 @@ def replace_table(
         spark.sql(f"drop table if exists {old}")
         spark.sql(f"alter table {live} rename to {old}")
     spark.sql(f"alter table {fresh} rename to {live}")
+    if partition_by:  # not every catalog moves the places of partitions along
+        spark.sql(f"msck repair table {live} sync partitions")
     spark.sql(f"drop table if exists {old}")
 
 
@@ -107,14 +102,17 @@ def new_rows(
 
     The cursor of a key must never change. It serves to read less of the existing table:
     only rows from the batch's own smallest cursor on, and those without one, can hold a key
-    of the batch. Every batch row is looked at, late ones and such without a cursor too.
+    of the batch. Every batch row is looked at, late ones and such without a cursor too. A null
+    in a key equals a null: rows without a key are one key, which is stored once.
     """
     seen = existing
     if cursor:
         oldest = batch.agg(F.min(cursor)).head()[0]
         recent = F.col(cursor).isNull() if oldest is None else F.col(cursor).isNull() | (F.col(cursor) >= F.lit(oldest))
         seen = existing.where(recent)
-    return one_per_key(batch, keys, cursor).join(seen.select(*keys), list(keys), "left_anti")
+    kept = seen.select(*[F.col(k).alias(f"__seen_{k}") for k in keys])
+    known = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__seen_{k}")) for k in keys])
+    return one_per_key(batch, keys, cursor).join(kept, known, "left_anti")
 
 
 def append_new(
@@ -141,6 +139,72 @@ def append_snapshot(row: DataFrame, name: str, key: str = "snapshot_date", repla
         append_new(row, "gold", name, [key])
 
 
+#: Where a row of a stored history lies: `open`, or the month in which it was closed and the run that did it.
+PART, RUN, OPEN = "history_part", "history_run", "open"
+
+
+def _pending(spark: SparkSession, layer: str, name: str) -> list[str]:
+    """Steps of a history that were computed whole and may not have been put in place, oldest first."""
+    if not spark.catalog.databaseExists(layer):
+        return []
+    mark = f"{name}__step_"
+    found = [t.name for t in spark.catalog.listTables(layer) if not t.isTemporary]
+    return sorted(table_name(layer, t) for t in found if t.startswith(mark))
+
+
+def overwrite_parts(rows: DataFrame, live: str) -> None:
+    """Replaces the partitions of a table that `rows` has rows of, and leaves the others alone."""
+    conf, mode = rows.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
+    before = conf.get(mode)
+    conf.set(mode, "dynamic")
+    try:
+        rows.write.mode("overwrite").insertInto(live)
+    finally:
+        conf.set(mode, before)
+
+
+def _put_in_place(spark: SparkSession, step: str, live: str) -> None:
+    """Replaces the parts that a step holds; doing it again gives the same table."""
+    columns = spark.table(live).columns
+    rows = spark.table(step)
+    missing = [f for f in rows.schema.fields if f.name not in columns]
+    if missing:
+        added = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in missing)
+        spark.sql(f"alter table {live} add columns ({added})")
+        columns = spark.table(live).columns
+    overwrite_parts(rows.select(*columns), live)
+    spark.sql(f"drop table if exists {step}")
+
+
+def _in_parts(rows: DataFrame, run: str) -> DataFrame:
+    closed = F.col("valid_to").isNotNull()
+    return rows.withColumns(
+        {
+            PART: F.when(closed, F.date_format("valid_to", "yyyy-MM")).otherwise(OPEN),
+            RUN: F.when(closed, F.lit(run)).otherwise(F.lit(OPEN)),
+        }
+    )
+
+
+def _stored_history(spark: SparkSession, layer: str, name: str) -> DataFrame | None:
+    """The table of a history with its parts, after finishing what a dead run had begun."""
+    live = table_name(layer, name)
+    if not table_exists(spark, live):
+        return None
+    for step in _pending(spark, layer, name):
+        _put_in_place(spark, step, live)
+    stored = spark.table(live)
+    if PART not in stored.columns:  # stored in one piece by earlier versions
+        replace_table(_in_parts(stored, "earlier"), layer, name, [PART, RUN])
+    return spark.table(live)
+
+
+def read_history(spark: SparkSession, name: str, layer: str = "silver") -> DataFrame | None:
+    """A stored history, open and closed rows; None before its first run."""
+    stored = _stored_history(spark, layer, name)
+    return None if stored is None else stored.drop(PART, RUN)
+
+
 def update_history(
     snapshot: DataFrame,
     name: str,
@@ -149,14 +213,25 @@ def update_history(
     valid_at: Column,
     layer: str = "silver",
 ) -> None:
-    """Type-2 history of a keyed table; duplicate keys in the input are refused."""
+    """Type-2 history of a keyed table; duplicate keys in the input are refused.
+
+    The history is stored in parts: the open rows, and the closed ones by the month of closing
+    and the run that closed them. A run reads and rewrites the open part and adds what it has
+    closed; files of closed rows are not read and never touched again. Its step is written whole
+    to a table of its own first and then put in place, part by part: a job that dies in between
+    leaves the step, and whoever comes next, reader or writer, puts it in place again.
+    """
     spark = snapshot.sparkSession
-    live = table_name(layer, name)
     require_unique(snapshot, keys)
-    if table_exists(spark, live):
-        replace_table(scd2_merge(spark.table(live), snapshot, keys, check, valid_at), layer, name)
-    else:
-        replace_table(first_history(snapshot, valid_at), layer, name)
+    stored = _stored_history(spark, layer, name)
+    if stored is None:
+        replace_table(_in_parts(first_history(snapshot, valid_at), OPEN), layer, name, [PART, RUN])
+        return
+    run = uuid.uuid4().hex
+    current = stored.where(F.col(PART) == OPEN).drop(PART, RUN)
+    step = table_name(layer, f"{name}__step_{run}")
+    _in_parts(scd2_step(current, snapshot, keys, check, valid_at), run).write.format("parquet").saveAsTable(step)
+    _put_in_place(spark, step, table_name(layer, name))
 
 
 LEAD_HISTORY = "scd_leads"
@@ -196,10 +271,8 @@ def build_all(lake: Lake) -> None:
 
 def lead_history(lake: Lake) -> DataFrame:
     """The stored status history of the leads; before the first build, the leads as they are."""
-    live = table_name("silver", LEAD_HISTORY)
-    if table_exists(lake.spark, live):
-        return lake.spark.table(live)
-    return first_history(lake.ref("stg_leads"), lake.today)
+    stored = read_history(lake.spark, LEAD_HISTORY)
+    return first_history(lake.ref("stg_leads"), lake.today) if stored is None else stored
 
 
 def open_status_counts(lake: Lake, top: int = 10) -> DataFrame:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from datetime import date
+from urllib.parse import unquote
 
 import pytest
 from pyspark.sql import functions as F
@@ -169,3 +170,116 @@ def test_the_build_keeps_the_leads_history(spark, tmp_path):
     assert history.count() == len(fixtures.LEADS) + 1
     assert [r.status for r in history.where("lead_id = 31").orderBy("valid_from").collect()] == ["warm", "won"]
     assert sum(r.leads for r in tables.open_status_counts(lake).collect()) == len(fixtures.LEADS)
+
+
+def _files(spark, name: str) -> dict[str, float]:
+    """Paths and times of the files of a table."""
+    import os
+
+    files = [unquote(f).removeprefix("file://") for f in spark.table(name).inputFiles()]
+    return {f: os.path.getmtime(f) for f in files}
+
+
+def _leads(spark, leads: dict) -> object:
+    return spark.createDataFrame(list(leads.items()), "lead_id int, status string")
+
+
+def _rows(history) -> list[tuple]:
+    return sorted((r.lead_id, r.status, str(r.valid_from.date()), r.valid_to and str(r.valid_to.date())) for r in history.collect())
+
+
+RUNS = [
+    ("2026-01-01", {1: "a", 2: "a", 3: "a"}),
+    ("2026-01-20", {1: "b", 2: "a", 3: "a"}),
+    ("2026-02-10", {1: "b", 2: "c", 3: "a", 4: "n"}),
+    ("2026-02-20", {1: "a", 2: "c", 3: "d", 4: "n"}),
+]
+
+
+def test_closed_history_is_never_touched_again(spark):
+    from ledgerlake.operators.history import first_history, scd2_merge
+
+    expected = None
+    for day, leads in RUNS:
+        before = _files(spark, "silver.hist_parts") if expected is not None else {}
+        tables.update_history(_leads(spark, leads), "hist_parts", ["lead_id"], ["status"], F.lit(day))
+        after = _files(spark, "silver.hist_parts")
+        closed = {f: t for f, t in before.items() if f"{tables.PART}=open" not in f}
+        assert {f: after.get(f) for f in closed} == closed
+        at = F.lit(day)
+        expected = first_history(_leads(spark, leads), at) if expected is None else scd2_merge(expected, _leads(spark, leads), ["lead_id"], ["status"], at)
+        assert _rows(tables.read_history(spark, "hist_parts")) == _rows(expected)
+    parts = {r[tables.PART] for r in spark.table("silver.hist_parts").select(tables.PART).distinct().collect()}
+    assert parts == {"open", "2026-01", "2026-02"}
+    # A run reads the open part alone.
+    current = spark.table("silver.hist_parts").where(F.col(tables.PART) == "open")
+    assert all(f"{tables.PART}=open" in unquote(f) for f in current.inputFiles())
+    spark.sql("drop table silver.hist_parts")
+
+
+@pytest.mark.parametrize("died", ["before", "between"])
+def test_a_step_of_a_dead_run_is_put_in_place(spark, monkeypatch, died):
+    name = f"hist_{died}"
+    for day, leads in RUNS[:2]:
+        tables.update_history(_leads(spark, leads), name, ["lead_id"], ["status"], F.lit(day))
+    put = tables._put_in_place
+
+    def dies(spark, step, live):
+        if died == "between":  # what was closed is there, the open part is still the old one
+            rows = spark.table(step).where(F.col(tables.PART) != "open")
+            tables.overwrite_parts(rows, live)
+        raise RuntimeError("gone")
+
+    monkeypatch.setattr(tables, "_put_in_place", dies)
+    day, leads = RUNS[2]
+    with pytest.raises(RuntimeError):
+        tables.update_history(_leads(spark, leads), name, ["lead_id"], ["status"], F.lit(day))
+    monkeypatch.setattr(tables, "_put_in_place", put)
+    # The next run comes later and finds the dead one's state, with its dates.
+    day, leads = RUNS[3]
+    tables.update_history(_leads(spark, leads), name, ["lead_id"], ["status"], F.lit(day))
+    whole = f"{name}_whole"
+    for day, leads in RUNS:
+        tables.update_history(_leads(spark, leads), whole, ["lead_id"], ["status"], F.lit(day))
+    assert _rows(tables.read_history(spark, name)) == _rows(tables.read_history(spark, whole))
+    assert not tables._pending(spark, "silver", name)
+    for t in (name, whole):
+        spark.sql(f"drop table silver.{t}")
+
+
+def test_a_history_in_parts_takes_on_columns_and_old_tables(spark):
+    from ledgerlake.operators.history import first_history
+
+    tables.replace_table(first_history(_leads(spark, {1: "a", 2: "a"}), F.lit("2026-01-01")), "silver", "hist_old")
+    wider = _leads(spark, {1: "b", 2: "a"}).withColumn("note", F.lit("x"))
+    tables.update_history(wider, "hist_old", ["lead_id"], ["status"], F.lit("2026-02-01"))
+    rows = sorted((r.lead_id, r.status, r.note) for r in tables.read_history(spark, "hist_old").collect())
+    assert rows == [(1, "a", None), (1, "b", "x"), (2, "a", None)]
+    tables.update_history(_leads(spark, {}), "hist_old", ["lead_id"], ["status"], F.lit("2026-03-01"))
+    assert tables.read_history(spark, "hist_old").count() == 3  # nothing seen closes nothing
+    spark.sql("drop table silver.hist_old")
+
+
+def test_null_keys_are_one_key(spark):
+    stored = spark.createDataFrame([(None, 1)], "id int, v int")
+    batch = spark.createDataFrame([(None, 1), (None, 2), (1, 3)], "id int, v int")
+    assert [(r.id, r.v) for r in tables.new_rows(stored, batch, ["id"]).collect()] == [(1, 3)]
+    for _ in range(3):
+        tables.append_new(batch, "bronze", "null_keys", ["id"])
+        assert sorted(spark.table("bronze.null_keys").collect(), key=repr) == sorted(
+            tables.one_per_key(batch, ["id"]).collect(), key=repr
+        )
+    spark.sql("drop table bronze.null_keys")
+
+
+def test_inputs_survive_a_dead_swap(spark):
+    """A table between its two renames is found by the lake, also where it is optional."""
+    from ledgerlake import Lake
+    from ledgerlake.schemas import BRONZE
+
+    rows = spark.createDataFrame([("2026-01-31", "10")], BRONZE["mm_networth"])
+    tables.load_table(rows, "mm_networth", "finance_dev")
+    spark.sql("alter table bronze.mm_networth rename to bronze.mm_networth__old")
+    lake = Lake(spark, {}, as_of=date(2026, 2, 1), optional=["mm_networth"])
+    assert lake.source("mm_networth").count() == 1
+    spark.sql("drop table bronze.mm_networth")
