@@ -6,9 +6,10 @@ read the whole tables.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import feeds, oracle
@@ -20,8 +21,9 @@ from ledgerlake.functions.columns import percent
 from ledgerlake.operators import quality
 from ledgerlake.operators.history import first_history, scd2_merge
 from ledgerlake.operators.ordered import running_before
-from ledgerlake.operators.periods import effective_for_facts, share_of_total
+from ledgerlake.operators.periods import effective_for_facts, interval_join, share_of_total
 from ledgerlake.operators.timeseries import (
+    asof_join,
     asof_lookback,
     change_metrics,
     deflate,
@@ -36,7 +38,8 @@ from ledgerlake.operators.timeseries import (
 from ledgerlake.plans.cashflow import budget_targets
 from ledgerlake.plans.checks import build_report
 from ledgerlake.plans.serving import SERVING, lead_status_counts, recent_snapshots
-from ledgerlake.sinks.tables import new_rows
+from ledgerlake.session import cut_lineage
+from ledgerlake.sinks.tables import new_rows, read_history, update_history
 from ledgerlake.sources.landing import (
     country_panel,
     csv_lines,
@@ -336,10 +339,76 @@ def local_minima_daily(spark, sf):
     select o_orderpriority, n, v, lag(n) over w as previous, n - lag(n) over w as gap
     from kept window w as (partition by o_orderpriority order by n)""")
 def trough_intervals_daily(spark, sf):
-    kept = local_minima(_daily_revenue(spark, sf), ["o_orderpriority"], "n", "v", 5, 7)
+    kept = local_minima(_daily_revenue(spark, sf), ["o_orderpriority"], "n", "v", 5, 7, keep_slice=True)
     return intervals(kept, ["o_orderpriority"], "n", "previous", "gap")
 
 
+@query("""
+    select l_returnflag, n, v from (
+        select l_returnflag, (l_shipdate::date - date '1995-01-01')::int as n, sum(l_quantity::bigint)::bigint as v
+        from lineitem group by all)
+    window f as (partition by l_returnflag order by n rows between 60 preceding and 60 following)
+    qualify v = min(v) over f and count(*) over f = 121""")
+def wide_minima_daily(spark, sf):
+    """Minima of 60 rows to either side."""
+    n = F.datediff(day("l_shipdate"), F.lit("1995-01-01").cast("date")).alias("n")
+    daily = table(spark, sf, "lineitem").groupBy("l_returnflag", n).agg(F.sum(c("l_quantity").cast("bigint")).alias("v"))
+    return local_minima(daily, ["l_returnflag"], "n", "v", 60)
+
+
+@query("""
+    with r as (
+        select l_returnflag, v, percent_rank() over (partition by l_returnflag order by v) as p
+        from (select l_returnflag, (l_quantity::decimal(12,2) / 8)::decimal(12,1) as v from lineitem))
+    select l_returnflag, min(v) filter (p >= 0.05)::double as p5, min(v) filter (p >= 0.5)::double as p50,
+           min(v) filter (p >= 1)::double as p100
+    from r group by 1""")
+def rank_quantiles_of_ties(spark, sf):
+    """Decimals of which each stands for very many rows."""
+    v = (c("l_quantity").cast("decimal(12,2)") / 8).cast("decimal(12,1)").alias("v")
+    shares = {"p5": 0.05, "p50": 0.5, "p100": 1.0}
+    return _plain(rank_quantiles(table(spark, sf, "lineitem").select("l_returnflag", v), ["l_returnflag"], "v", shares))
+
+
+@query("""
+    with prices as (
+        select l_linestatus as status, l_shipdate::date as priced_on, max(l_extendedprice) as price from lineitem
+        where (l_shipdate::date - date '1995-01-01')::int % 3 = 0 group by all)
+    select o_orderkey, status_of as status, ordered_on, priced_on, price
+    from (select o_orderkey, nullif(o_orderstatus, 'P') as status_of, o_orderdate::date as ordered_on from orders) o
+    asof left join prices p on o.status_of = p.status and o.ordered_on >= p.priced_on""")
+def orders_asof_prices(spark, sf):
+    """Orders with the newest price of their status; two statuses hold nearly all rows, one is null."""
+    shipped = day("l_shipdate")
+    prices = table(spark, sf, "lineitem").where(F.datediff(shipped, F.lit("1995-01-01").cast("date")) % 3 == 0)
+    prices = prices.select(c("l_linestatus").alias("status"), shipped.alias("priced_on"), c("l_extendedprice").alias("price"))
+    newest = prices.groupBy("status", "priced_on").agg(F.max("price").alias("price"))
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey", F.nullif(c("o_orderstatus"), F.lit("P")).alias("status"), day("o_orderdate").alias("ordered_on")
+    )
+    return asof_join(orders, newest, ["status"], "ordered_on", "priced_on", ["priced_on", "price"])
+
+
+@query("""
+    with promotions as (
+        select p_partkey, timestamp '2024-01-01' + to_minutes((p_partkey * 37 % 43200)::int) as starts,
+               if(p_partkey % 500 = 0, null, timestamp '2024-01-01' + to_minutes((p_partkey * 37 % 43200)::int + p_size)) as ends
+        from part)
+    select event_id, p_partkey from events join promotions on ts >= starts and (ends is null or ts <= ends)""")
+def events_in_promotions(spark, sf):
+    """Events against dated promotions, some without an end; the two have no column in common."""
+
+    def after(minutes) -> Column:
+        return F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), minutes.cast("int"))
+
+    first = c("p_partkey") * 37 % 43200
+    promotions = table(spark, sf, "part").select(
+        "p_partkey", after(first).alias("starts"), F.when(c("p_partkey") % 500 != 0, after(first + c("p_size"))).alias("ends")
+    )
+    events = table(spark, sf, "events").select("event_id", "ts")
+    return interval_join(events, promotions, "ts", "starts", "ends").select("event_id", "p_partkey")
+
+
 @query(f"""
     select o_orderpriority, n, v, lag(v, 5) over (partition by o_orderpriority order by n) as v_5_rows_ago from {_DAILY}""")
 def lag_five_rows(spark, sf):
@@ -445,6 +514,21 @@ def scd2_status_history(spark, sf):
     return _history(spark, sf)
 
 
+@query(_HISTORY_SQL + " select * from scd")
+def stored_status_history(spark, sf):
+    """The same history as a table in parts below the session's warehouse, one run per batch."""
+    name = f"status_history_{uuid.uuid4().hex}"
+    for batch in _BATCHES:
+        update_history(_status_at(spark, sf, batch), name, ["lead_id"], ["status"], F.lit(batch))
+    history = cut_lineage(
+        read_history(spark, name).select(
+            "lead_id", "status", c("valid_from").cast("date").alias("valid_from"), c("valid_to").cast("date").alias("valid_to")
+        )
+    )
+    spark.sql(f"drop table silver.{name}")
+    return history
+
+
 @query(_HISTORY_SQL + " select status, count(*) as leads from scd where valid_to is null group by 1 order by 2 desc, 1 nulls last limit 10")
 def scd2_open_status_counts(spark, sf):
     return lead_status_counts(_history(spark, sf))

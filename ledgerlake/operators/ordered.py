@@ -14,7 +14,7 @@ rows: null keys form a key of their own, and sums have the type Spark gives them
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,17 +38,21 @@ def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
 
 
 def with_slice(df: DataFrame, columns: Sequence[str], out: str = "__slice") -> DataFrame:
-    """Adds the number of the slice a row falls into, rising with `columns` (nulls first)."""
+    """Adds the number of the slice a row falls into, rising with `columns` (nulls first).
+
+    The cut points are every SAMPLED-th of the places whose hash lies below a bound, which a
+    count of the rows sets: no more than the sample leaves its partition.
+    """
     slices = _partitions(df)
     place = F.struct(*[F.col(c) for c in columns])
-    sampled = (
-        df.select(place.alias("place"))
-        .orderBy(F.xxhash64("place"), "place")
-        .limit(SAMPLED * slices)
-        .orderBy("place")
-        .collect()
-    )
-    cuts = [sampled[k].place for k in range(SAMPLED, len(sampled), SAMPLED)]
+    wanted, rows = SAMPLED * slices, df.count()
+    drawn = df.select(place.alias("place"))
+    if rows > 2 * wanted:
+        bound = -(1 << 63) + (wanted << 64) // rows
+        drawn = drawn.where(F.xxhash64("place") < bound)
+    sampled = drawn.distinct().agg(F.sort_array(F.collect_list("place"))).head()[0]
+    step = max(1, len(sampled) // slices)
+    cuts = sampled[step::step]
     if not cuts:
         return df.withColumn(out, F.lit(0))
     kind = df.select(place.alias("place")).schema["place"].dataType
@@ -77,13 +81,14 @@ def running_before(
 ) -> DataFrame:
     """Adds `out`: the sum of `amount` over the rows of the key that sort earlier, else 0.
 
-    `order` must be unique within a key.
+    `order` must be unique within a key. Rows that have a slice by (keys, order) keep it.
     """
     if small_groups:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
         return df.withColumn(out, F.coalesce(F.sum(amount).over(w), F.lit(0)))
 
-    sliced = with_slice(df, [*keys, *order]).withColumn("__amount", amount)
+    has_slice = "__slice" in df.columns
+    sliced = (df if has_slice else with_slice(df, [*keys, *order])).withColumn("__amount", amount)
     inside = (
         Window.partitionBy(*keys, "__slice")
         .orderBy(*order)
@@ -101,7 +106,63 @@ def running_before(
     return (
         join_on(ran, starts, [*keys, "__slice"])
         .withColumn(out, F.coalesce(total.cast(kind), F.lit(0).cast(kind)))
-        .drop("__amount", "__slice", "__inside", "__start")
+        .drop("__amount", "__inside", "__start", *([] if has_slice else ["__slice"]))
+    )
+
+
+def previous_row(df: DataFrame, keys: Sequence[str], order: str, columns: Mapping[str, str]) -> DataFrame:
+    """Adds each column's value in the row of the key before this one: columns = {new: old}.
+
+    `df` has slices by (keys, order) and keeps them. The first row of a slice takes the last one
+    of the slice before, which is one row per key and slice.
+    """
+    values = F.struct(*[F.col(old).alias(new) for new, old in columns.items()])
+    inside = Window.partitionBy(*keys, "__slice").orderBy(order)
+    ends = df.groupBy(*keys, "__slice").agg(F.max_by(values, order).alias("__slice_end"))
+    slices = Window.partitionBy(*keys).orderBy("__slice")
+    carried = ends.select(*keys, "__slice", F.lag("__slice_end").over(slices).alias("__slice_start"))
+    lagged = df.withColumn("__lagged", F.lag(values).over(inside))
+    before = F.coalesce("__lagged", "__slice_start")
+    return (
+        join_on(lagged, carried, [*keys, "__slice"])
+        .withColumns({new: before[new] for new in columns})
+        .drop("__lagged", "__slice_start")
+    )
+
+
+def centred_minima(
+    df: DataFrame, keys: Sequence[str], order: str, value: str, half: int, chunk_rows: int = 1 << 18
+) -> DataFrame:
+    """Rows with `half` rows of their key on either side, and `__low`, the least value of these.
+
+    `df` has slices by (keys, order) and keeps them. Rows are cut into blocks as long as the
+    window: a window meets two of them, and its minimum is the lesser of the minimum from its
+    first row to the end of that block and of that from the start of the next block to its last
+    row. Both are running minima, so a row costs the same however wide the window is. Chunks of
+    whole blocks are spread over tasks, with `half` rows more at their ends.
+    """
+    width = 2 * half + 1
+    size = width * max(4, chunk_rows // width)
+    numbered = running_before(df, keys, [order], F.lit(1).cast("bigint"), "__row")
+    copies = F.sequence(
+        F.floor(F.greatest(F.col("__row") - half, F.lit(0)) / size), F.floor((F.col("__row") + half) / size)
+    )
+    spread = numbered.withColumn("__block", F.floor(F.col("__row") / width)).withColumn("__chunk", F.explode(copies))
+    block = Window.partitionBy(*keys, "__chunk", "__block")
+    chunk = Window.partitionBy(*keys, "__chunk").orderBy("__block", "__row")
+    return (
+        spread.withColumn("__to_end", F.min(value).over(block.orderBy(F.desc("__row")).rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn("__from_start", F.min(value).over(block.orderBy("__row").rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumns(
+            {
+                "__low": F.least(F.lag("__to_end", half).over(chunk), F.lead("__from_start", half).over(chunk)),
+                "__first": F.lag("__row", half).over(chunk),
+                "__last": F.lead("__row", half).over(chunk),
+            }
+        )
+        .where(F.col("__chunk") == F.floor(F.col("__row") / size))
+        .where(F.col("__first").isNotNull() & F.col("__last").isNotNull())
+        .drop("__row", "__block", "__chunk", "__to_end", "__from_start", "__first", "__last")
     )
 
 

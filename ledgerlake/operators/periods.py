@@ -71,6 +71,48 @@ def effective_for_facts(
     return joined
 
 
+#: Buckets that an interval may meet before it goes to a level of wider ones, and the levels.
+MOST_BUCKETS, LEVELS = 64, 4
+
+
+def interval_join(
+    facts: DataFrame, spans: DataFrame, at: str, start: str, end: str, width: int = 3600
+) -> DataFrame:
+    """Pairs of a fact and a span with start <= at <= end, both sides large and without a common key.
+
+    Time is cut into buckets of `width` seconds; a span goes into every bucket it meets, a fact
+    into its own, and the buckets are the key of an equality join with the exact test behind it.
+    A span that would meet more than MOST_BUCKETS of them goes to a level of buckets that are
+    MOST_BUCKETS times as wide, and so on; a fact has one bucket on each of the LEVELS. So every
+    pair meets in one bucket of one level. Spans are cut to the time that the facts cover: an
+    open end (null) costs no more than that. A null time or start meets nothing.
+    """
+    seconds = {c: F.unix_micros(F.col(c).cast("timestamp")) for c in (at, start, end)}
+    covered = facts.agg(F.min(seconds[at]).alias("__from"), F.max(seconds[at]).alias("__to"))
+    wide = [width * 1_000_000 * MOST_BUCKETS**level for level in range(LEVELS)]
+
+    def bucket(micros: Column, level: Column) -> Column:
+        return F.floor(micros / F.get(F.array(*[F.lit(w) for w in wide]), level)).cast("long")
+
+    levels = F.array(*[F.lit(level) for level in range(LEVELS)])
+    dealt = facts.where(F.col(at).isNotNull()).withColumn("__level", F.explode(levels))
+    dealt = dealt.withColumn("__bucket", bucket(seconds[at], F.col("__level")))
+
+    cut = spans.crossJoin(F.broadcast(covered)).withColumns(
+        {"__from": F.greatest(seconds[start], "__from"), "__to": F.least(F.coalesce(seconds[end], "__to"), "__to")}
+    )
+    cut = cut.where(F.col(start).isNotNull() & (F.col("__from") <= F.col("__to")))
+    length = F.col("__to") - F.col("__from")
+    level = F.lit(LEVELS - 1)
+    for k in range(LEVELS - 2, -1, -1):
+        level = F.when(length < wide[k] * (MOST_BUCKETS - 1), F.lit(k)).otherwise(level)
+    met = cut.withColumn("__level", level)
+    first, last = bucket(F.col("__from"), F.col("__level")), bucket(F.col("__to"), F.col("__level"))
+    met = met.withColumn("__bucket", F.explode(F.sequence(first, last))).drop("__from", "__to")
+    inside = (F.col(at) >= F.col(start)) & (F.col(end).isNull() | (F.col(at) <= F.col(end)))
+    return dealt.join(met, ["__level", "__bucket"]).where(inside).drop("__level", "__bucket")
+
+
 def pace_projection(spent: Column, month: Month, skip: Column) -> Column:
     """Month-end spend at the current daily pace; null where pacing makes no sense."""
     whole = spent * F.lit(month.days)

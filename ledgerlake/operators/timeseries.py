@@ -3,12 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlake.functions.columns import change_percent, direction, round_to
-from ledgerlake.operators.ordered import join_on, rows_frame, running_before
+from ledgerlake.operators.ordered import (
+    centred_minima,
+    join_on,
+    previous_row,
+    rows_frame,
+    running_before,
+    with_slice,
+)
+from ledgerlake.session import cut_lineage
 
 
 def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: int = 1) -> DataFrame:
@@ -145,6 +156,10 @@ def with_percentile(
     return join_on(df.where(F.col(value).isNotNull()), ranks, [*keys, value])
 
 
+#: Buckets of a pass of the selection, values left that are counted one by one, passes at most.
+BUCKETS, FEW, PASSES = 4096, 10_000, 6
+
+
 def rank_quantiles(
     df: DataFrame,
     keys: Sequence[str],
@@ -152,10 +167,122 @@ def rank_quantiles(
     shares: Mapping[str, float],
     small_groups: bool = False,
 ) -> DataFrame:
-    """Smallest value whose percent_rank reaches each share (discrete, upper)."""
-    ranks = value_percentiles(df, keys, value, small_groups)
-    picks = [F.min(F.when(F.col("pctile") >= p, F.col(value))).alias(name) for name, p in shares.items()]
-    return ranks.groupBy(*keys).agg(*picks)
+    """Smallest value whose percent_rank reaches each share (discrete, upper).
+
+    Numbers are selected, not sorted: the value of the rank a share asks for is narrowed down by
+    counting the values between two bounds in equal buckets, each with its own least and greatest
+    value, which are the next bounds. A pass is one aggregate that shuffles at most a row per
+    bucket and partition. When few values are left they are counted one by one; so are those
+    that PASSES passes could not part, in slices.
+    """
+    numeric = isinstance(df.schema[value].dataType, (T.NumericType,))
+    if small_groups or not numeric:
+        ranks = value_percentiles(df, keys, value, small_groups)
+        picks = [F.min(F.when(F.col("pctile") >= p, F.col(value))).alias(name) for name, p in shares.items()]
+        return ranks.groupBy(*keys).agg(*picks)
+
+    rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("__v"))
+    whole = rows.groupBy(*keys).agg(F.count("__v").alias("__inside"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
+    kind = whole.schema["__lo"].dataType
+    # So many rows have to lie below: the least number whose share of the others reaches p.
+    others = F.col("__inside") - 1
+
+    def least_below(p: float) -> Column:
+        near = F.ceil(F.lit(p) * others).cast("long")
+        reaches = [F.when(n.cast("double") / others.cast("double") >= p, n) for n in (near - 1, near, near + 1)]
+        return F.greatest(F.when(others > 0, F.coalesce(*reaches)).otherwise(F.lit(int(p > 0)).cast("long")), F.lit(0))
+
+    targets = [F.struct(F.lit(k).alias("__target"), (least_below(p) - 1).alias("__rank")) for k, p in enumerate(shares.values())]
+    state = whole.select("*", F.inline(F.array(*targets))).withColumn("__above", F.lit(None).cast(kind))
+    is_open = (F.col("__lo") < F.col("__hi")) & (F.col("__rank") >= 0)
+    left = FEW + 1
+    for _ in range(PASSES):
+        state = cut_lineage(state)
+        left = state.where(is_open).agg(F.max("__inside")).head()[0] or 0
+        if left <= FEW:
+            break
+        state = state.where(~F.coalesce(is_open, F.lit(False))).unionByName(_narrowed(rows, state.where(is_open), keys))
+    else:
+        state = cut_lineage(state)
+
+    marked = [*keys, "__target"]
+    counted = _inside(rows, state.where(is_open), keys).groupBy(*marked, "__rank", "__v").agg(F.count(F.lit(1)).alias("__n"))
+    ran = running_before(counted, marked, ["__v"], F.col("__n"), "__below", small_groups=left <= FEW)
+    found = ran.groupBy(*marked).agg(F.min(F.when(F.col("__below") > F.col("__rank"), F.col("__v"))).alias("__next"))
+    answer = F.when(F.col("__rank") < 0, F.col("__lo")).otherwise(F.coalesce("__next", "__above"))
+    answered = join_on(state, found, marked, "left").withColumn("__answer", answer)
+    picks = [F.max(F.when(F.col("__target") == k, F.col("__answer"))).alias(name) for k, name in enumerate(shares)]
+    return answered.groupBy(*keys).agg(*picks)
+
+
+def _inside(rows: DataFrame, state: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The values between the bounds of each key and target, with the row of the state."""
+    between = F.col("__v").between(F.col("__lo"), F.col("__hi"))
+    if not keys:  # one row per share
+        return rows.join(F.broadcast(state), between)
+    return join_on(rows, state, keys).where(between)
+
+
+def _narrowed(rows: DataFrame, state: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The state with the bounds of the bucket that holds the rank, and the rank within it."""
+    v, lo, hi = (F.col(c).cast("double") for c in ("__v", "__lo", "__hi"))
+    span = hi - lo
+    parts = (span > 0) & (span < float("inf"))
+    bucket = F.when(parts, F.least(F.floor((v - lo) / span * BUCKETS), F.lit(BUCKETS - 1).cast("long"))).otherwise(F.lit(0))
+    marked = [*keys, "__target"]
+    counted = (
+        _inside(rows, state, keys)
+        .groupBy(*marked, "__rank", "__above", bucket.alias("__bucket"))
+        .agg(F.count(F.lit(1)).alias("__inside"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
+    )
+    # At most BUCKETS rows per key and target.
+    rising = Window.partitionBy(*marked).orderBy("__bucket")
+    return (
+        counted.withColumn("__before", F.coalesce(F.sum("__inside").over(rising.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+        .withColumn("__above", F.coalesce(F.lead("__lo").over(rising), F.col("__above")))
+        .where((F.col("__before") <= F.col("__rank")) & (F.col("__rank") < F.col("__before") + F.col("__inside")))
+        .withColumn("__rank", F.col("__rank") - F.col("__before"))
+        .select(*keys, "__inside", "__lo", "__hi", "__target", "__rank", "__above")
+    )
+
+
+def asof_join(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], left_time: str, right_time: str, columns: Sequence[str]
+) -> DataFrame:
+    """Every row of `left` with `columns` of the newest row of `right` at or before it, else nulls.
+
+    Of right rows with the same key and time the one with the greatest `columns`, in their order,
+    counts. A null key or time meets nothing. Both sides are put in one order and cut into
+    slices; a right row's values are carried on within a slice, and from slice to slice through
+    one row per key and slice: no key, and no time of a key, is confined to one task.
+    """
+    values = F.struct(*[F.col(c) for c in columns])
+    known = reduce(and_, [F.col(k).isNotNull() for k in [*keys, right_time]])
+    newest = (
+        right.where(known)
+        .groupBy(*keys, F.col(right_time).alias("__time"))
+        .agg(F.max(values).alias("__values"))
+        .withColumns({"__side": F.lit(0), "__tie": F.lit(0).cast("long")})
+    )
+    rows = left.select(
+        *keys,
+        F.col(left_time).alias("__time"),
+        F.lit(1).alias("__side"),
+        F.xxhash64(*left.columns).alias("__tie"),
+        F.struct(*left.columns).alias("__row"),
+    )
+    both = rows.unionByName(newest, allowMissingColumns=True)
+    order = ["__time", "__side", "__tie"]
+    sliced = with_slice(both, [*keys, *order])
+    inside = Window.partitionBy(*keys, "__slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    ends = sliced.groupBy(*keys, "__slice").agg(
+        F.max_by("__values", F.when(F.col("__side") == 0, F.col("__time"))).alias("__slice_end")
+    )
+    slices = Window.partitionBy(*keys).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(*keys, "__slice", F.last("__slice_end", True).over(slices).alias("__slice_start"))
+    met = join_on(sliced.withColumn("__met", F.last("__values", True).over(inside)), carried, [*keys, "__slice"])
+    picked = F.coalesce("__met", "__slice_start")
+    return met.where("__side = 1").select("__row.*", *[picked[c].alias(c) for c in columns])
 
 
 def local_minima(
@@ -166,12 +293,24 @@ def local_minima(
     half: int,
     min_gap: int | None = None,
     small_groups: bool = False,
+    keep_slice: bool = False,
 ) -> DataFrame:
     """Rows that are the minimum of the `half` rows either side, with a full window.
 
     With min_gap, a hit no further than min_gap after the previous hit is dropped; the
     comparison is to the previous hit, kept or not, so a flat bottom counts once.
+
+    Beyond small groups one slicing serves the minima, the gaps and, with keep_slice, the
+    intervals after them; the hits of which gaps are taken are few and settled first.
     """
+    if not small_groups:
+        sliced = with_slice(df, [*keys, order])
+        hits = centred_minima(sliced, keys, order, value, half).where(F.col(value) == F.col("__low")).drop("__low")
+        if min_gap is not None:
+            chained = previous_row(cut_lineage(hits), keys, order, {"__previous": order})
+            gap = F.col(order) - F.col("__previous")
+            hits = chained.where(F.col("__previous").isNull() | (gap > min_gap)).drop("__previous")
+        return hits if keep_slice else hits.drop("__slice")
     windowed = rows_frame(
         df,
         keys,
@@ -208,7 +347,11 @@ def with_lag(
 def intervals(
     troughs: DataFrame, keys: Sequence[str], order: str, previous: str, gap: str, small_groups: bool = False
 ) -> DataFrame:
-    lagged = with_lag(troughs, keys, order, {previous: order}, 1, small_groups)
+    """Adds the previous trough of the key and the distance to it; slices of troughs are used up."""
+    if "__slice" in troughs.columns:
+        lagged = previous_row(troughs, keys, order, {previous: order}).drop("__slice")
+    else:
+        lagged = with_lag(troughs, keys, order, {previous: order}, 1, small_groups)
     return lagged.withColumn(gap, F.col(order) - F.col(previous))
 
 
