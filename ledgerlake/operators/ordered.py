@@ -37,16 +37,20 @@ def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
     return left.join(renamed, condition, how).drop(*[f"__right_{k}" for k in keys])
 
 
-def with_slice(df: DataFrame, columns: Sequence[str], out: str = "__slice") -> DataFrame:
+def with_slice(
+    df: DataFrame, columns: Sequence[str], out: str = "__slice", sampled_from: DataFrame | None = None
+) -> DataFrame:
     """Adds the number of the slice a row falls into, rising with `columns` (nulls first).
 
+    `sampled_from` has the same columns and is cheaper to read, such as the rows behind a count.
     The cut points are every SAMPLED-th of the places whose hash lies below a bound, which a
     count of the rows sets: no more than the sample leaves its partition.
     """
     slices = _partitions(df)
     place = F.struct(*[F.col(c) for c in columns])
-    wanted, rows = SAMPLED * slices, df.count()
-    drawn = df.select(place.alias("place"))
+    source = df if sampled_from is None else sampled_from
+    wanted, rows = SAMPLED * slices, source.count()
+    drawn = source.select(place.alias("place"))
     if rows > 2 * wanted:
         bound = -(1 << 63) + (wanted << 64) // rows
         drawn = drawn.where(F.xxhash64("place") < bound)

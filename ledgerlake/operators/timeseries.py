@@ -133,12 +133,10 @@ def value_percentiles(
     Equal values are counted map-side first, so a value held by a third of the rows
     leaves each partition as one row.
     """
-    hist = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*keys, value)
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    ranked = running_before(hist, keys, [value], F.col("n"), "__below", small_groups)
+    rows = df.where(F.col(value).isNotNull())
+    hist = rows.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
+    sliced = hist if small_groups else with_slice(hist, [*keys, value], sampled_from=rows)
+    ranked = running_before(sliced, keys, [value], F.col("n"), "__below", small_groups).drop("__slice")
     totals = hist.groupBy(*keys).agg(F.sum("n").alias("n_obs"))
     joined = join_on(ranked, totals, keys) if keys else ranked.crossJoin(F.broadcast(totals))
     return joined.withColumn("pctile", rank_share(F.col("__below"), F.col("n_obs"))).drop("__below")
