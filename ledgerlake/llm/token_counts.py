@@ -14,6 +14,7 @@ Tasks work text by text, so memory is bounded by the longest text and its tokens
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -27,6 +28,8 @@ from ledgerlake.llm.common import map_arrow, whole_text
 SCHEMA = (
     "doc_id long, section int, begin long, end long, n_tokens long, n_crossing long, token_share double, doc_tokens long"
 )
+#: Runs of white space that do not go through the pattern; U+001C to U+001F are none to it.
+_LONG_BLANKS = re.compile(r"[^\S\x1c-\x1f]{50000,}")
 Sections = Callable[[str], tuple[np.ndarray, np.ndarray]]
 
 
@@ -43,9 +46,22 @@ class Encoder:
         for token, rank in ranks.items():
             self.byte_length[rank] = len(token)
 
+    def _ids(self, text: str) -> np.ndarray:
+        """The ids of a text. The pattern takes a run of white space for one word, but for its last
+        character where something follows, and its matcher can't take in runs of a million:
+        long ones skip it."""
+        found, at = [], 0
+        for run in _LONG_BLANKS.finditer(text):
+            end = run.end() - (run.end() < len(text))
+            found.append(self.encoding.encode_to_numpy(text[at : run.start()]))
+            found.append(np.array(self.encoding._encode_single_piece(text[run.start() : end]), np.uint32))
+            at = end
+        rest = self.encoding.encode_to_numpy(text[at:])
+        return np.concatenate([*found, rest]) if found else rest
+
     def spans(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """ids, first character and character behind the last of each token."""
-        ids = self.encoding.encode_to_numpy(text)
+        ids = self._ids(text)
         ends = np.cumsum(self.byte_length[ids])
         begins = ends - self.byte_length[ids]
         if text.isascii() or not len(ids):

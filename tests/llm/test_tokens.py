@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import math
+import random
+import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -162,3 +165,25 @@ def test_sampling_query_and_decoding(spark):
     per_doc = Counter(r.doc_id for r in decoded)
     assert per_doc[1] == per_doc[2] == 1 and per_doc[6] == 4
     assert lattice.sampled(no_docs(spark), MODEL, 2).count() == 0
+
+
+def test_long_runs_of_blanks_are_whole_words(monkeypatch):
+    """As the pattern has them where it can take them, and without an error where it can't."""
+    encode = token_counts.encoder(TOKENIZERS("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    draw = random.Random(5)
+    marks = [" ", "\t", "\n", "\r\n", "\u3000", "\x85"]
+    texts = []
+    for _ in range(300):
+        runs = ["".join(draw.choices(marks[: draw.randint(1, 6)], k=draw.randint(5, 40))) for _ in range(3)]
+        words = [draw.choice(["", "a", "it's", "42", "--", "日本", "\x1c", "\x1c \x1d"]) for _ in range(4)]
+        texts.append("".join(x for pair in zip(words, [*runs, ""]) for x in pair))
+    monkeypatch.setattr(token_counts, "_LONG_BLANKS", re.compile(r"[^\S\x1c-\x1f]{5,}"))
+    for text in texts:
+        assert encode._ids(text).tolist() == encode.encoding.encode_ordinary(text), repr(text)
+    monkeypatch.undo()
+    begun = time.monotonic()
+    for blank in (" ", "\n", "\t \n"):
+        for text in (blank * 1_200_000, "word" + blank * 1_200_000 + "word"):
+            ids, begins, ends = encode.spans(text)
+            assert ends[-1] == len(text) and begins[0] == 0 and (begins[1:] == ends[:-1]).all()
+    assert time.monotonic() - begun < 60
