@@ -186,6 +186,9 @@ PARTS: dict[str, str] = {
                if(t.category = 'NATION_6' and amount > 0, amount, 0)::decimal(18,3) as w2_income
         from stg_transactions t left join stg_categories k using (category_id)
         where not hide_from_reports and k.group_type is distinct from 'transfer'""",
+    "int_monthly_parts": """
+        select date_trunc('month', txn_date)::date as month, category_id, category, amount < 0 as outflow, sum(amount) as total
+        from stg_transactions where not hide_from_reports group by all""",
     "int_monthly_totals": """
         select date_trunc('month', txn_date)::date as month, category_group,
                group_type = 'expense' and amount < 0 as is_spend,
@@ -633,6 +636,7 @@ _DECIMALS = {
     "stg_holdings": ["market_value", "change_pct"],
     "stg_stripe_charges": ["amount", "amount_refunded"],
     "int_transactions": ["amount", "expense_amount", "income_amount", "w2_income"],
+    "int_monthly_parts": ["total"],
     "int_monthly_totals": ["expense", "income", "w2"],
 }
 

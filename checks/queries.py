@@ -9,12 +9,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from checks import feeds, oracle
 from checks.feeds import AS_OF, SETTINGS, cents, day, money, table
-from ledgerlake import MODELS, Settings
+from ledgerlake import MODELS, Lake, Settings
 from ledgerlake import fixed_values as fixed
 from ledgerlake.context import literal_rows
 from ledgerlake.functions.columns import percent
@@ -35,11 +35,12 @@ from ledgerlake.operators.timeseries import (
     with_lag,
     with_percentile,
 )
-from ledgerlake.plans.cashflow import budget_targets
+from ledgerlake.plans.cashflow import budget_targets, month_parts
 from ledgerlake.plans.checks import build_report
 from ledgerlake.plans.serving import SERVING, lead_status_counts, recent_snapshots
 from ledgerlake.session import cut_lineage
 from ledgerlake.sinks.tables import new_rows, read_history, update_history
+from ledgerlake.sinks.upkeep import append_load, refresh_months
 from ledgerlake.sources.landing import (
     country_panel,
     csv_lines,
@@ -564,6 +565,32 @@ def daily_snapshot_append(spark, sf):
     return recent_snapshots(taken.unionByName(new_rows(taken, again, ["snapshot_date"])), 30)
 
 
+@query("""
+    select * replace (expense::double as expense, income::double as income, w2::double as w2) from int_monthly_totals""")
+def monthly_totals_by_change(spark, sf):
+    """Two loads below the session's warehouse, the second of late rows, a few new months and rows that
+    are there already; monthly sums are brought up after each, and the totals read them. Lines of the
+    test tables repeat their ids, hence the number of the copy."""
+    name = f"transactions_{uuid.uuid4().hex}"
+    lake = feeds.lake(spark, sf)
+    rows = lake.source("mm_transactions")
+    rows = rows.withColumn("copy", F.row_number().over(Window.partitionBy("id").orderBy(*[n for n in rows.columns if n != "id"])))
+    month = F.date_format("date", "yyyy-MM")
+    late = month.isin("1997-03", "1999-11") & (F.pmod(F.xxhash64("id"), F.lit(3)) == 0)
+    second, again = F.coalesce(late | (month >= "2001-08"), F.lit(False)), month == "2001-07"
+
+    def sums(found: DataFrame) -> DataFrame:
+        return month_parts(Lake(spark, {"mm_transactions": found}, as_of=AS_OF, settings=SETTINGS))
+
+    for load in (rows.where(~second), rows.where(second | again)):
+        append_load(load, "bronze", name, ["id", "copy"], c("date"))
+        refresh_months(spark, f"bronze.{name}", "gold", name, sums, c("month"))
+    lake.use("int_monthly_parts", cut_lineage(spark.table(f"gold.{name}")))
+    for stored in (f"bronze.{name}", f"gold.{name}", f"gold.{name}__loads"):
+        spark.sql(f"drop table {stored}")
+    return _plain(lake.ref("int_monthly_totals"))
+
+
 # -- data quality --------------------------------------------------------------------------
 
 

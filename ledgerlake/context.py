@@ -121,6 +121,10 @@ class Lake:
             raise LookupError(f"{name} was neither given nor loaded, and is not optional")
         return schemas.with_missing(found, columns)
 
+    def is_given(self, name: str) -> bool:
+        """Whether a landed table was handed in instead of being read from where it was loaded."""
+        return name in self._bronze
+
     def source(self, name: str) -> DataFrame:
         """A landed table with all its declared columns."""
         return self._input(name, self._bronze, schemas.BRONZE[name])

@@ -51,23 +51,41 @@ def int_transactions(lake: Lake) -> DataFrame:
     )
 
 
-def monthly_totals(lake: Lake, since: date | None = None) -> DataFrame:
-    """int_transactions summed to month × category group, for everything monthly.
+def month_parts(lake: Lake, since: date | None = None) -> DataFrame:
+    """Visible transactions summed to month, category and sign: one exact sum a row, reduced map-side.
 
-    Rows are summed per (month, category id, sign) before the category join, so the fact
-    table is reduced map-side, one exact sum per row, and only totals reach the join.
+    No table but the transactions goes in, so a month's sums change by its transactions alone.
     """
-    amount = F.col("amount")
     txns = lake.ref("stg_transactions").where(~F.col("hide_from_reports"))
     if since:
         txns = txns.where(F.col("txn_date") >= F.lit(since))
-    paycheck = (F.col("category") == lake.settings.paycheck_category) & (amount > 0)
-    totals = txns.groupBy(
+    return txns.groupBy(
         month_of(F.col("txn_date")).alias("month"),
         "category_id",
-        paycheck.alias("paycheck"),
-        (amount < 0).alias("outflow"),
-    ).agg(F.sum(amount).alias("total"))
+        "category",
+        (F.col("amount") < 0).alias("outflow"),
+    ).agg(F.sum("amount").alias("total"))
+
+
+@model("ephemeral")
+def int_monthly_parts(lake: Lake) -> DataFrame:
+    """Kept up by change where transactions land in loads (`sinks/upkeep.py`), computed elsewhere."""
+    return month_parts(lake)
+
+
+def monthly_totals(lake: Lake, since: date | None = None) -> DataFrame:
+    """int_transactions summed to month × category group, for everything monthly.
+
+    Rows are summed per (month, category, sign) before the category join, so only totals reach
+    the join.
+    """
+    if lake.is_settled("int_monthly_parts"):
+        totals = lake.ref("int_monthly_parts")
+        if since:
+            totals = totals.where(F.col("month") >= F.lit(since))
+    else:
+        totals = month_parts(lake, since)
+    paycheck = (F.col("category") == lake.settings.paycheck_category) & ~F.col("outflow")
     categories = lake.ref("stg_categories").select("category_id", "category_group", "group_type")
     kind, total, zero = F.col("group_type"), F.col("total"), F.lit(0).cast("decimal(28,3)")
     return (
@@ -78,7 +96,7 @@ def monthly_totals(lake: Lake, since: date | None = None) -> DataFrame:
             F.coalesce("category_group", F.lit("Uncategorized")).alias("category_group"),
             F.when(kind == "expense", -total).otherwise(zero).alias("expense"),
             F.when(kind == "income", total).otherwise(zero).alias("income"),
-            F.when(F.col("paycheck"), total).otherwise(zero).alias("w2"),
+            F.when(paycheck, total).otherwise(zero).alias("w2"),
             (F.col("outflow") & (kind == "expense")).alias("is_spend"),
         )
     )

@@ -1,12 +1,14 @@
 """Writes: full refresh, keyed append, daily snapshot, status history, load log.
 
-Tables live in the session catalog, one schema per layer. A table that is computed from
-itself is written beside the old one and swapped in by rename, so a job that dies half
-way leaves the old version readable.
+Tables live in the session catalog, one schema per layer. Built gold tables are views over
+versions. A landed table, or one that is computed from itself, is written beside the old one and
+swapped in by rename: between the two renames a reader finds nothing under its name, and whoever
+comes next through this module finds the old version.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable, Sequence
 from functools import reduce
@@ -60,6 +62,51 @@ def replace_table(
     spark.sql(f"drop table if exists {old}")
 
 
+#: Versions of a published table that stay besides the newest, for readers that still use them.
+KEPT_VERSIONS = 2
+
+
+def _versions(spark: SparkSession, layer: str, name: str) -> list[str]:
+    """Stored versions of a published table, oldest first."""
+    mark = f"{name}__version_"
+    return sorted(table_name(layer, t.name) for t in spark.catalog.listTables(layer) if t.name.startswith(mark))
+
+
+def publish_table(
+    df: DataFrame,
+    layer: str,
+    name: str,
+    partition_by: Sequence[str] = (),
+    accept: Callable[[DataFrame], None] | None = None,
+) -> None:
+    """Full refresh as a new version, to which a view is then turned by one change in the catalog.
+
+    Readers use the view and find the old or the new version at any time; nothing is renamed or
+    moved. A job that dies leaves the view on the old version. Versions before the last few go;
+    one that a dead job left counts among these. `accept` sees the version before the view does.
+    A table that earlier releases stored under the view's name is moved aside once.
+    """
+    spark = df.sparkSession
+    ensure_layer(spark, layer)
+    live = table_name(layer, name)
+    version = f"{live}__version_{time.time_ns():020d}_{uuid.uuid4().hex[:8]}"
+    df.write.format("parquet").partitionBy(*partition_by).saveAsTable(version)
+    if accept is not None:
+        accept(spark.table(version))
+    there = table_exists(spark, live)
+    if there and spark.catalog.getTable(live).tableType == "VIEW":
+        # Not `create or replace`, which drops the view first.
+        spark.sql(f"alter view {live} as select * from {version}")
+    else:
+        if there:
+            spark.sql(f"drop table if exists {live}__old")
+            spark.sql(f"alter table {live} rename to {live}__old")
+        spark.sql(f"create view {live} as select * from {version}")
+        spark.sql(f"drop table if exists {live}__old")
+    for old in [v for v in _versions(spark, layer, name) if v != version][:-KEPT_VERSIONS]:
+        spark.sql(f"drop table if exists {old}")
+
+
 def load_table(
     df: DataFrame,
     name: str,
@@ -163,16 +210,21 @@ def overwrite_parts(rows: DataFrame, live: str) -> None:
         conf.set(mode, before)
 
 
-def _put_in_place(spark: SparkSession, step: str, live: str) -> None:
-    """Replaces the parts that a step holds; doing it again gives the same table."""
+def widen(live: str, rows: DataFrame) -> DataFrame:
+    """Adds columns to a table that only `rows` has; gives `rows` with the table's columns, in order."""
+    spark = rows.sparkSession
     columns = spark.table(live).columns
-    rows = spark.table(step)
     missing = [f for f in rows.schema.fields if f.name not in columns]
     if missing:
         added = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in missing)
         spark.sql(f"alter table {live} add columns ({added})")
-        columns = spark.table(live).columns
-    overwrite_parts(rows.select(*columns), live)
+    types = dict(spark.table(live).dtypes)
+    return rows.select(*[F.col(f"`{n}`") if n in rows.columns else F.lit(None).cast(t).alias(n) for n, t in types.items()])
+
+
+def _put_in_place(spark: SparkSession, step: str, live: str) -> None:
+    """Replaces the parts that a step holds; doing it again gives the same table."""
+    overwrite_parts(widen(live, spark.table(step)), live)
     spark.sql(f"drop table if exists {step}")
 
 
@@ -256,13 +308,17 @@ def materialise(lake: Lake, name: str) -> None:
             append_snapshot(df, name)
         else:
             folders = PARTITIONED.get(name, ())
-            replace_table(df, "gold", name, folders, accept=lambda written: checks.require(name, written, lake.ref))
+            publish_table(df, "gold", name, folders, accept=lambda written: checks.require(name, written, lake.ref))
             lake.use(name, lake.spark.table(table_name("gold", name)))
 
 
 def build_all(lake: Lake) -> None:
     """Every model once, in registration order (which follows the dependencies), and the leads'
-    status history."""
+    status history. Where transactions land in loads, monthly sums are brought up by touched months."""
+    from ledgerlake.sinks import upkeep
+
+    if upkeep.grows_by_loads(lake):
+        upkeep.refresh_monthly_parts(lake)
     for name in MODELS:
         materialise(lake, name)
         if name == "stg_leads" and not lake.ref(name).isEmpty():
