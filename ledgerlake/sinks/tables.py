@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.context import MODELS, Lake, table_exists
 from ledgerlake.operators.history import first_history, scd2_step, status_counts
+from ledgerlake.operators.keyfilter import likely_in
 from ledgerlake.operators.quality import require_unique
 from ledgerlake.plans import checks
 from ledgerlake.schemas import LOAD_LOG
@@ -150,14 +151,16 @@ def new_rows(
     The cursor of a key must never change. It serves to read less of the existing table:
     only rows from the batch's own smallest cursor on, and those without one, can hold a key
     of the batch. Every batch row is looked at, late ones and such without a cursor too. A null
-    in a key equals a null: rows without a key are one key, which is stored once.
+    in a key equals a null: rows without a key are one key, which is stored once. Stored keys go
+    through a bitmap of the batch's keys first, so that about as many are shuffled as the batch has.
     """
     seen = existing
+    oldest = F.min(cursor) if cursor else F.lit(None)
+    count, oldest = batch.agg(F.count(F.lit(1)), oldest).head()
     if cursor:
-        oldest = batch.agg(F.min(cursor)).head()[0]
         recent = F.col(cursor).isNull() if oldest is None else F.col(cursor).isNull() | (F.col(cursor) >= F.lit(oldest))
         seen = existing.where(recent)
-    kept = seen.select(*[F.col(k).alias(f"__seen_{k}") for k in keys])
+    kept = likely_in(seen.select(*keys), keys, batch, keys, count).select(*[F.col(k).alias(f"__seen_{k}") for k in keys])
     known = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__seen_{k}")) for k in keys])
     return one_per_key(batch, keys, cursor).join(kept, known, "left_anti")
 
