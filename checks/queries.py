@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from ledgerlake import fixed_values as fixed
 from ledgerlake.context import literal_rows
 from ledgerlake.functions.columns import percent
 from ledgerlake.operators import quality
+from ledgerlake.operators.dates import date_table, occurrences, rolling_sums, without_gaps
 from ledgerlake.operators.history import first_history, scd2_merge
 from ledgerlake.operators.ordered import running_before
 from ledgerlake.operators.periods import effective_for_facts, interval_join, share_of_total
@@ -591,6 +593,92 @@ def monthly_totals_by_change(spark, sf):
     return _plain(lake.ref("int_monthly_totals"))
 
 
+# -- calendar additions --------------------------------------------------------------------
+
+
+@query("""
+    select category, day, total::double as total,
+           sum(total) over (w range between interval 6 days preceding and current row)::double as last_7_days,
+           sum(total) over (w range between interval 29 days preceding and current row)::double as last_30_days
+    from (select category, txn_date as day, sum(expense_amount) as total from int_transactions
+          where txn_date is not null and day(txn_date) not in (3, 4, 5, 6, 7, 8, 9, 10) group by 1, 2)
+    window w as (partition by category order by day)""")
+def rolling_spend(spark, sf):
+    """Spend of the last 7 and 30 calendar days by category; the 3rd to 10th of a month have no rows."""
+    txns = feeds.lake(spark, sf).ref("int_transactions").where(~F.dayofmonth("txn_date").between(3, 10))
+    rows = txns.select("category", c("txn_date").alias("day"), "expense_amount")
+    return _plain(rolling_sums(rows, ["category"], "day", "expense_amount", {"last_7_days": 7, "last_30_days": 30}))
+
+
+@query(f"""
+    select day::date as day, year(day)::int as year, quarter(day)::int as quarter, month(day)::int as month,
+           weekofyear(day)::int as iso_week, isodow(day)::int as iso_weekday,
+           date_trunc('month', day)::date as month_start, last_day(day)::date as month_end, isodow(day) >= 6 as is_weekend,
+           coalesce(n, 0) as transactions
+    from (select unnest(generate_series((select min(txn_date) from stg_transactions), {oracle.AS_OF}, interval 1 day))::date as day)
+    left join (select txn_date, count(*) as n from stg_transactions group by 1) on day = txn_date""")
+def dim_date(spark, sf):
+    """Every day from the first transaction on, with the number of its transactions."""
+    lake = feeds.lake(spark, sf)
+    txns = lake.ref("stg_transactions").groupBy(c("txn_date").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    first = txns.agg(F.min("day")).head()[0]
+    days = date_table(spark, first or AS_OF, AS_OF)
+    return days.join(txns, "day", "left").withColumn("transactions", F.coalesce("n", F.lit(0))).drop("n")
+
+
+@query(f"""
+    with sums as (
+        select o_custkey, date_trunc('month', o_orderdate)::date as month, sum(o_totalprice::decimal(12,2)) as spent,
+               arg_max(o_orderstatus, (o_orderdate, o_orderkey)) as status
+        from orders group by 1, 2),
+    spine as (
+        select o_custkey, unnest(generate_series(min(month), greatest(max(month), date_trunc('month', {oracle.AS_OF})::date), interval 1 month))::date as month
+        from sums group by 1)
+    select o_custkey, month, coalesce(spent, 0)::double as spent, spent is null as is_filled,
+           last_value(status ignore nulls) over (partition by o_custkey order by month) as status
+    from spine left join sums using (o_custkey, month)""")
+def customer_months_without_gaps(spark, sf):
+    """What a customer spent in every month, and the last order's status carried forward."""
+    newest = F.max_by("o_orderstatus", F.struct("o_orderdate", "o_orderkey"))
+    sums = (
+        table(spark, sf, "orders")
+        .groupBy("o_custkey", F.trunc("o_orderdate", "month").alias("month"))
+        .agg(money(F.sum(cents("o_totalprice"))).alias("spent"), newest.alias("status"))
+    )
+    until = F.trunc(F.lit(AS_OF), "month")
+    return _plain(without_gaps(sums, ["o_custkey"], "month", until, flows=["spent"], states=["status"]))
+
+
+_FORECAST_LAST = date(2002, 2, 28)
+_ORDER_STEPS = {"1-urgent": (7, "days"), "2-high": (14, "days"), "3-medium": (1, "months"), "4-not specified": (3, "months")}
+
+
+@query(f"""
+    with steps as (
+        select * from (values ('1-URGENT', 7, 0), ('2-HIGH', 14, 0), ('3-MEDIUM', 0, 1), ('4-NOT SPECIFIED', 0, 3)) t(frequency, d, m)),
+    dated as (
+        select amount, (due_date + (k * d)::int + to_months((k * m)::int))::date as occurs_on
+        from stg_recurring join steps using (frequency), range(0, 420) r(k)
+        union all
+        select amount, due_date from stg_recurring where frequency is null or frequency not in (select frequency from steps))
+    select date_trunc('month', occurs_on)::date as month, sum(if(amount > 0, amount, 0))::double as inflow,
+           sum(if(amount < 0, -amount, 0))::double as outflow, sum(amount)::double as net, count(*) as items
+    from dated where occurs_on > {oracle.AS_OF} and occurs_on <= date '{_FORECAST_LAST}' group by 1""")
+def cashflow_forecast(spark, sf):
+    """Recurring items that fall due until the end of the third month from now."""
+    items = feeds.lake(spark, sf).ref("stg_recurring")
+    due = occurrences(items, "due_date", "frequency", AS_OF + timedelta(days=1), _FORECAST_LAST, _ORDER_STEPS)
+    amount, zero = c("amount"), F.lit(0).cast("decimal(18,3)")
+    return _plain(
+        due.groupBy(F.trunc("occurs_on", "month").alias("month")).agg(
+            F.sum(F.when(amount > 0, amount).otherwise(zero)).alias("inflow"),
+            F.sum(F.when(amount < 0, -amount).otherwise(zero)).alias("outflow"),
+            F.sum(amount).alias("net"),
+            F.count(F.lit(1)).alias("items"),
+        )
+    )
+
+
 # -- data quality --------------------------------------------------------------------------
 
 
