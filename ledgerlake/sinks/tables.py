@@ -91,7 +91,8 @@ def publish_table(
     ensure_layer(spark, layer)
     live = table_name(layer, name)
     version = f"{live}__version_{time.time_ns():020d}_{uuid.uuid4().hex[:8]}"
-    df.write.format("parquet").partitionBy(*partition_by).saveAsTable(version)
+    dealt = df.hint("rebalance", *partition_by) if partition_by else df  # few files a folder, large folders split
+    dealt.write.format("parquet").partitionBy(*partition_by).saveAsTable(version)
     if accept is not None:
         accept(spark.table(version))
     there = table_exists(spark, live)

@@ -189,3 +189,12 @@ def test_a_table_of_earlier_releases_becomes_a_view(spark):
     assert spark.table("gold.was_table").count() == 1
     assert not spark.catalog.tableExists("gold.was_table__old")
     drop_published(spark, "was_table")
+
+
+def test_a_published_folder_has_one_file_while_it_is_small(spark):
+    rows = spark.range(0, 4000, numPartitions=4).selectExpr("id", "cast(id % 5 as int) as month")
+    tables.publish_table(rows, "gold", "dealt", ["month"])
+    (version,) = tables._versions(spark, "gold", "dealt")
+    assert len(spark.table(version).inputFiles()) == 5
+    assert spark.table("gold.dealt").where("month = 3").count() == 800
+    drop_published(spark, "dealt")
