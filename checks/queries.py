@@ -244,6 +244,19 @@ def percentile_by_type(spark, sf):
     return with_percentile(events, ["event_type"], "value")
 
 
+_HELD_BY_A_THIRD = "case when l_orderkey % 3 = 0 then 0.0 else l_extendedprice::double end"
+
+
+@query(f"""
+    select l_orderkey, l_linenumber, v, percent_rank() over (order by v) as pctile, count(*) over () as n_obs
+    from (select l_orderkey, l_linenumber, {_HELD_BY_A_THIRD} as v from lineitem)""")
+def percentile_hot_value(spark, sf):
+    """A third of the rows hold one value: its rank goes to the rows, not they to it."""
+    price = F.when(c("l_orderkey") % 3 == 0, 0.0).otherwise(c("l_extendedprice").cast("double"))
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", price.alias("v"))
+    return with_percentile(lines, [], "v")
+
+
 @query("""
     select distinct l_quantity, count(*) over (partition by l_quantity) as n, count(*) over () as n_obs,
            percent_rank() over (order by l_quantity) as pctile

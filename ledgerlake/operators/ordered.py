@@ -24,7 +24,7 @@ RowFrame = tuple[Column, int, int]
 SAMPLED = 32
 
 
-def _partitions(df: DataFrame) -> int:
+def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
@@ -38,18 +38,24 @@ def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
 
 
 def with_slice(
-    df: DataFrame, columns: Sequence[str], out: str = "__slice", sampled_from: DataFrame | None = None
+    df: DataFrame,
+    columns: Sequence[str],
+    out: str = "__slice",
+    sampled_from: DataFrame | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """Adds the number of the slice a row falls into, rising with `columns` (nulls first).
 
-    `sampled_from` has the same columns and is cheaper to read, such as the rows behind a count.
+    `sampled_from` has the same columns and is cheaper to read, such as the rows behind a count;
+    `rows` is the number of its rows, if known.
     The cut points are every SAMPLED-th of the places whose hash lies below a bound, which a
     count of the rows sets: no more than the sample leaves its partition.
     """
-    slices = _partitions(df)
+    slices = partitions(df)
     place = F.struct(*[F.col(c) for c in columns])
     source = df if sampled_from is None else sampled_from
-    wanted, rows = SAMPLED * slices, source.count()
+    wanted = SAMPLED * slices
+    rows = source.count() if rows is None else rows
     drawn = source.select(place.alias("place"))
     if rows > 2 * wanted:
         bound = -(1 << 63) + (wanted << 64) // rows

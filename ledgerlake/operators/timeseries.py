@@ -14,6 +14,7 @@ from ledgerlake.functions.columns import change_percent, direction, round_to
 from ledgerlake.operators.ordered import (
     centred_minima,
     join_on,
+    partitions,
     previous_row,
     rows_frame,
     running_before,
@@ -134,24 +135,55 @@ def value_percentiles(
     leaves each partition as one row.
     """
     rows = df.where(F.col(value).isNotNull())
-    hist = rows.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
-    sliced = hist if small_groups else with_slice(hist, [*keys, value], sampled_from=rows)
+    return _ranked(rows, _counted(rows, keys, value), keys, value, small_groups)
+
+
+def _counted(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    return rows.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _ranked(
+    rows: DataFrame, hist: DataFrame, keys: Sequence[str], value: str, small_groups: bool, total: int | None = None
+) -> DataFrame:
+    sliced = hist if small_groups else with_slice(hist, [*keys, value], sampled_from=rows, rows=total)
     ranked = running_before(sliced, keys, [value], F.col("n"), "__below", small_groups).drop("__slice")
     totals = hist.groupBy(*keys).agg(F.sum("n").alias("n_obs"))
     joined = join_on(ranked, totals, keys) if keys else ranked.crossJoin(F.broadcast(totals))
     return joined.withColumn("pctile", rank_share(F.col("__below"), F.col("n_obs"))).drop("__below")
 
 
+#: A value is hot if more rows hold it than this part of what a partition gets on average.
+HOT_PART = 4
+
+
 def with_percentile(
     df: DataFrame, keys: Sequence[str], value: str, small_groups: bool = False
 ) -> DataFrame:
     """Every row with a value, with its percent_rank in its key's history.
 
-    A value that many rows hold is one join key; its rows are spread by Spark's own splitting
-    of skewed joins, as the ranks have one row for it.
+    The counts of the values tell the hot ones: held by more than 1 / (HOT_PART * partitions) of
+    all rows, so there are fewer than HOT_PART * partitions of them. Their ranks go to the rows
+    where these are, by a broadcast of that proven size; only rows of other values are shuffled to
+    their ranks, and no task gets more of one value than a part of its fair share. Without
+    a hot value there is one join. The rows are the same either way.
     """
-    ranks = value_percentiles(df, keys, value, small_groups).select(*keys, value, "pctile", "n_obs")
-    return join_on(df.where(F.col(value).isNotNull()), ranks, [*keys, value])
+    rows = df.where(F.col(value).isNotNull())
+    place = [*keys, value]
+    hist = _counted(rows, keys, value)
+    if small_groups:
+        ranks = _ranked(rows, hist, keys, value, True).select(*place, "pctile", "n_obs")
+        return join_on(rows, ranks, place)
+    most, total = hist.agg(F.max("n"), F.sum("n")).head()
+    least = (total or 0) // (HOT_PART * partitions(df))
+    ranks = _ranked(rows, hist, keys, value, False, total or 0)
+    if not total or most <= least:
+        return join_on(rows, ranks.select(*place, "pctile", "n_obs"), place)
+    is_hot = F.col("n") > least
+    hot = F.broadcast(ranks.where(is_hot).select(*place, "pctile", "n_obs"))
+    known = F.broadcast(hist.where(is_hot).select(*place))
+    cold = join_on(rows, known, place, "left_anti")
+    others = ranks.where(~is_hot).select(*place, "pctile", "n_obs")
+    return join_on(rows, hot, place).unionByName(join_on(cold, others, place))
 
 
 #: Buckets of a pass of the selection, values left that are counted one by one, passes at most.

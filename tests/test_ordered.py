@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import random
-from collections import defaultdict
+from bisect import bisect_left
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -119,6 +120,27 @@ def test_percentiles_global(df, data):
     assert got == {v: (values.count(v), share(values, v)) for v in set(values)}
 
 
+@pytest.mark.parametrize("hot", [0.0, None])
+def test_percentiles_send_no_hot_value_to_one_task(spark, hot):
+    """A third of the rows, identical ones, hold one value; as a null key too."""
+    key = "b" if hot is not None else None
+    rows = [(key, 7.0)] * 4000 + [("b" if k % 2 else key, k / 7) for k in range(8000)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(8)
+    adaptive = "spark.sql.adaptive.enabled"
+    spark.conf.set(adaptive, "false")
+    try:
+        got = with_percentile(df, ["k"], "v").withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set(adaptive, "true")
+    tasks = Counter(r.task for r in got)
+    assert max(tasks.values()) < 2 * len(rows) / 4  # four shuffle partitions
+    assert max(Counter(r.task for r in got if r.v == 7.0).values()) < 1000  # where they were, over eight
+    values = {k: sorted(v for key, v in rows if key == k) for k in {k for k, _ in rows}}
+    assert Counter((r.k, r.v, r.pctile, r.n_obs) for r in got) == Counter(
+        (k, v, bisect_left(values[k], v) / (len(values[k]) - 1), len(values[k])) for k, v in rows
+    )
+
+
 def test_percentiles_skip_missing_values(spark):
     df = spark.createDataFrame([(1.0,), (None,), (3.0,)], "v double")
     assert {r.v: (r.pctile, r.n_obs) for r in with_percentile(df, [], "v").collect()} == {1.0: (0.0, 2), 3.0: (1.0, 2)}
