@@ -150,8 +150,52 @@ KINDS = [
 ]
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)``, with the value computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+#: Items that are gathered by appending, and characters in a piece of a text.
+STRETCH, PIECE = 256, 256
+
+
+def _running(items: Column, kind: str, step: Callable[[Column, Column], Column]) -> Column:
+    """What ``step(at, item)`` gives for each item, in order: its ``out``, of type ``kind``.
+
+    Its ``at`` is what the next item is given, 0 for the first. Appending copies an array, so
+    items are gathered by stretches, and these are laid end to end.
+    """
+
+    def gathered(array: Column, of: str, at: Column, one: Callable[[Column, Column], Column]) -> Column:
+        start = F.struct(F.array().cast(f"array<{of}>").alias("out"), at.alias("at"))
+
+        def add(seen: Column, item: Column) -> Column:
+            appended = lambda new: F.struct(F.concat(seen["out"], F.array(new["out"])).alias("out"), new["at"].alias("at"))
+            return _let(one(seen["at"], item), appended)
+
+        return F.aggregate(array, start, add)
+
+    def all_of(whole: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.greatest(F.ceil(F.size(whole) / STRETCH).cast("int") - 1, F.lit(0)))
+        stretch = lambda at, k: gathered(F.slice(whole, k * STRETCH + 1, STRETCH), kind, at, step)
+        return F.flatten(gathered(numbers, f"array<{kind}>", F.lit(0).cast("bigint"), stretch)["out"])
+
+    return _let(items, all_of)
+
+
+def _pieces(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+
+def _between(pieces: Column, begin: Column, end: Column) -> Column:
+    """The characters from ``begin`` to before ``end`` of a text in pieces, whatever lies before them."""
+    first, last = F.floor(begin / PIECE), F.floor((end - 1) / PIECE)
+    held = F.slice(pieces, (first + 1).cast("int"), F.greatest(last - first + 1, F.lit(0)).cast("int"))
+    return F.substring(F.array_join(held, ""), (begin - first * PIECE + 1).cast("int"), (end - begin).cast("int"))
+
+
 def _candidates(text: Column, kind: Kind) -> Column:
-    """Arrays ``found`` (start, end, match) of all matches of the kind's pattern, in order.
+    """Array of (start, end, match) of all matches of the kind's pattern, in order.
 
     Start and end are code points, the end exclusive: the pieces between the matches and the
     matches themselves, laid end to end, give the places.
@@ -159,24 +203,21 @@ def _candidates(text: Column, kind: Kind) -> Column:
     between = F.split(text, kind.pattern, -1)
     matches = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
     lengths = F.zip_with(between, matches, lambda gap, match: F.struct(F.length(gap).alias("gap"), match.alias("match")))
+    span = "struct<start:bigint,end:bigint,match:string>"
 
-    none = F.array().cast("array<struct<start:bigint,end:bigint,match:string>>")
-    start = F.struct(none.alias("found"), F.lit(0).cast("bigint").alias("at"))
-
-    def add(seen: Column, one: Column) -> Column:
-        begin = seen["at"] + one["gap"]
+    def place(at: Column, one: Column) -> Column:
+        begin = at + one["gap"]
         end = begin + F.length(one["match"])
-        span = F.struct(begin.alias("start"), end.alias("end"), one["match"].alias("match"))
-        return F.struct(F.concat(seen["found"], F.array(span)).alias("found"), end.alias("at"))
+        found = F.struct(begin.alias("start"), end.alias("end"), one["match"].alias("match"))
+        return F.struct(found.alias("out"), end.alias("at"))
 
     with_match = F.filter(lengths, lambda one: one["match"].isNotNull())
-    found = F.aggregate(with_match, start, add, lambda seen: seen["found"])
-    return F.when(text.rlike(kind.gate), found).otherwise(none)
+    found = _running(with_match, span, place)
+    return F.when(text.rlike(kind.gate), found).otherwise(F.array().cast(f"array<{span}>"))
 
 
-def _confirmed(text: Column, kind: Kind) -> Column:
+def _confirmed(found: Column, pieces: Column, kind: Kind) -> Column:
     """(start, rank, kind, end, score) of the kind's spans that pass its check."""
-    found = _candidates(text, kind)
     if kind.check is not None:
         found = F.filter(found, lambda span: kind.check(span["match"]))
     if kind.part is not None:
@@ -191,8 +232,7 @@ def _confirmed(text: Column, kind: Kind) -> Column:
     rank = next(k for k, other in enumerate(KINDS) if other.name == kind.name)
 
     def scored(span: Column) -> Column:
-        begin = F.greatest(span["start"] - WINDOW, F.lit(0))
-        before = F.substring(text, (begin + 1).cast("int"), (span["start"] - begin).cast("int"))
+        before = _between(pieces, F.greatest(span["start"] - WINDOW, F.lit(0)), span["start"])
         near = before.rlike(f"(?i){kind.words}")
         score = F.least(F.lit(1.0), F.lit(kind.worth) + F.when(near, F.lit(NEARBY)).otherwise(F.lit(0.0)))
         return F.struct(
@@ -209,15 +249,24 @@ def joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
+def _spanned(docs: DataFrame, text: str, into: str) -> DataFrame:
+    """``docs`` with the spans, and the text in pieces as ``__pii_pieces``, null where it has no candidate."""
+    columns = {kind.name: f"__pii_{kind.name}" for kind in KINDS}
+    held = docs.withColumn("__pii_whole", whole_text(text))
+    held = held.withColumns({columns[kind.name]: _candidates(F.col("__pii_whole"), kind) for kind in KINDS})
+    some = F.greatest(*[F.size(c) for c in columns.values()]) > 0
+    held = held.withColumn("__pii_pieces", F.when(some, _pieces(F.col("__pii_whole"))))
+    held = held.withColumns({columns[kind.name]: _confirmed(F.col(columns[kind.name]), F.col("__pii_pieces"), kind) for kind in KINDS})
+    return held.withColumn(into, F.sort_array(F.concat(*columns.values()))).drop("__pii_whole", *columns.values())
+
+
 def with_spans(docs: DataFrame, text: str = "text", into: str = "pii_spans") -> DataFrame:
     """``docs`` with a column of spans: start, rank, kind, end, score, sorted by start, then kind.
 
-    Null texts count as empty and have no span.
+    Null texts count as empty and have no span. The cost of a span doesn't grow with the spans or
+    the text before it. ``docs`` must not have columns that start with ``__pii``.
     """
-    held = docs.withColumn("__whole", whole_text(text))
-    columns = {f"__{kind.name}": _confirmed(F.col("__whole"), kind) for kind in KINDS}
-    held = held.withColumns(columns)
-    return held.withColumn(into, F.sort_array(F.concat(*columns))).drop("__whole", *columns)
+    return _spanned(docs, text, into).drop("__pii_pieces")
 
 
 def _number_of(kind: str) -> Column:
@@ -251,21 +300,15 @@ def masked(docs: DataFrame, text: str = "text") -> DataFrame:
     Where spans overlap, one mark stands for them all, the first one's. Texts without spans,
     null ones too, stay as they are. ``docs`` must not have columns that start with ``__pii``.
     """
-    spanned = with_spans(docs, text, "__pii")
-    whole = whole_text(text)
-    start = F.struct(F.lit("").alias("text"), F.lit(0).cast("bigint").alias("at"))
-
-    def put(seen: Column, span: Column) -> Column:
-        gap = F.substring(whole, (seen["at"] + 1).cast("int"), (span["start"] - seen["at"]).cast("int"))
-        mark = F.concat(seen["text"], gap, F.lit("["), F.upper(span["kind"]), F.lit("]"))
-        fresh = span["start"] >= seen["at"]
-        return F.struct(
-            F.when(fresh, mark).otherwise(seen["text"]).alias("text"),
-            F.greatest(seen["at"], span["end"]).alias("at"),
-        )
-
-    def close(seen: Column) -> Column:
-        return F.concat(seen["text"], F.substring(whole, (seen["at"] + 1).cast("int"), F.lit((1 << 31) - 1)))
-
-    cleaned = F.aggregate("__pii", start, put, close)
-    return spanned.withColumn(text, F.when(F.size("__pii") > 0, cleaned).otherwise(F.col(text))).drop("__pii")
+    spanned = _spanned(docs, text, "__pii")
+    pieces = F.col("__pii_pieces")
+
+    def put(at: Column, span: Column) -> Column:
+        mark = F.concat(_between(pieces, at, span["start"]), F.lit("["), F.upper(span["kind"]), F.lit("]"))
+        part = F.when(span["start"] >= at, mark).otherwise(F.lit(""))
+        return F.struct(part.alias("out"), F.greatest(at, span["end"]).alias("at"))
+
+    last = F.array_max(F.transform("__pii", lambda span: span["end"]))
+    tail = _between(pieces, last, F.length(whole_text(text)).cast("bigint"))
+    cleaned = F.array_join(F.concat(_running(F.col("__pii"), "string", put), F.array(tail)), "")
+    return spanned.withColumn(text, F.when(F.size("__pii") > 0, cleaned).otherwise(F.col(text))).drop("__pii", "__pii_pieces")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 
 from ledgerlake.llm import pii
 from ledgerlake.llm.queries import QUERIES
@@ -138,3 +139,21 @@ def test_account_number_before_a_word(spark):
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     assert {r.doc_id: ",".join(s for s in r.spans.split(",") if s.startswith("iban")) for r in pii.detected(docs).collect()} == expected
     assert pii.masked(docs.where("doc_id = 0")).first().text == "IBAN [IBAN] BIC CAIXESBB"
+
+
+def test_many_spans_cost_linear_time(spark):
+    """Contact lists: beyond several stretches and pieces, with marks over their borders."""
+    people = [f"Büro {k}: call +49 30 {1000000 + k}, mail p{k}@host.example 𝒜" for k in range(30_000)]
+    docs = spark.createDataFrame([(1, "; ".join(people)), (2, "ab@cd.ef, " * 257), (3, "x" * 256 + " a@b.cd")], "doc_id long, text string")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    begun = time.monotonic()
+    rows = pii.detected(docs).collect()
+    masked = {r.doc_id: r.text for r in pii.masked(docs).collect()}
+    assert time.monotonic() - begun < 60
+    assert_base(rows, texts)
+    assert {r.doc_id: (r.n_email, r.n_phone) for r in rows} == {1: (30_000, 30_000), 2: (257, 0), 3: (1, 0)}
+    assert masked[1] == "; ".join(f"Büro {k}: call [PHONE], mail [EMAIL] 𝒜" for k in range(30_000))
+    assert masked[2] == "[EMAIL], " * 257
+    assert masked[3] == "x" * 256 + " [EMAIL]"
+    scores = {s.split(":")[-1] for r in rows if r.doc_id == 1 for s in r.scored_spans.split(",")}
+    assert scores == {"1.00"}  # the words before each span count, right to the last one
