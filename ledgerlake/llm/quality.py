@@ -192,15 +192,31 @@ class Network:
         return network
 
 
+def _hash_bound(ids: DataFrame, usable: DataFrame) -> int:
+    """A bound of the hash of the id that leaves at least ``SAMPLE`` labelled rows, or all if there are fewer."""
+    least, greatest = -(1 << 63), (1 << 63) - 1
+    total = ids.join(usable, "doc_id").count()
+    width = (SAMPLE * 5 // 4 << 64) // max(total, 1)
+    while least + width < greatest:
+        near = F.xxhash64("doc_id") <= least + width
+        if ids.where(near).join(usable.where(near), "doc_id").count() >= SAMPLE:
+            return least + width
+        width *= 2
+    return greatest
+
+
 def training_sample(of_docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int) -> tuple[np.ndarray, np.ndarray]:
     """Features and labels of at most ``SAMPLE`` labelled rows outside the held-out fold.
 
     Rows are ordered by a hash of the id. A document labelled several times counts each time.
+    Only rows below a bound of that hash, somewhat more than the sample, are shuffled and sorted.
     """
     usable = labels.where((fold("doc_id", folds) != held_out) & F.col(label).isin(0, 1))
     usable = usable.select(F.col("doc_id").cast("long"), F.col(label).cast("int").alias("y"))
+    near = F.xxhash64("doc_id") <= _hash_bound(of_docs.select("doc_id"), usable)
     rows = (
-        of_docs.join(usable, "doc_id")
+        of_docs.where(near)
+        .join(usable.where(near), "doc_id")
         .orderBy(F.xxhash64("doc_id"), "doc_id", "y", "features")
         .select("features", "y")
         .limit(SAMPLE)

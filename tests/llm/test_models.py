@@ -5,6 +5,7 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import language_mix, quality
@@ -101,3 +102,19 @@ def test_network_and_temperature():
 def test_repeats_have_a_word_of_their_own():
     assert (quality.word_cells("of of of of")[1:] == quality.AGAIN).all()
     assert quality.AGAIN not in quality.word_cells("the quick brown fox")
+
+
+@pytest.mark.parametrize("most", [1, 7, 40, 1000])
+def test_training_sample_is_the_least_hashes(spark, monkeypatch, most):
+    """The bound of the hash leaves out no row of the sample, repeated ids and unknown ones included."""
+    monkeypatch.setattr(quality, "SAMPLE", most)
+    width = 2 * quality.DIMENSIONS
+    ids = [k // 60 if k < 120 else k for k in range(400)]  # two ids on sixty labelled rows each
+    docs = spark.createDataFrame(
+        [(k, np.full(width, k, np.float32).tobytes()) for k in sorted(set(ids))], "doc_id long, features binary"
+    )
+    labels = spark.createDataFrame([(k, k % 2) for k in [*ids, 5000]] + [(None, 1)], "doc_id long, quality int")
+    x, y = quality.training_sample(docs, labels, "quality", 5, 0)
+    hashes = {r.doc_id: r.h for r in docs.select("doc_id", F.xxhash64("doc_id").alias("h")).collect()}
+    wanted = sorted((k for k in ids if not held_out(k, 5, 0)), key=lambda k: (hashes[k], k))[:most]
+    assert x[:, 0].astype(int).tolist() == wanted and y.astype(int).tolist() == [k % 2 for k in wanted]
