@@ -40,7 +40,7 @@ from ledgerlake.operators.timeseries import (
 from ledgerlake.plans.cashflow import budget_targets, month_parts
 from ledgerlake.plans.checks import build_report
 from ledgerlake.plans.serving import SERVING, lead_status_counts, recent_snapshots
-from ledgerlake.session import cut_lineage
+from ledgerlake.session import cut_lineage, ensure_checkpoint_dir
 from ledgerlake.sinks.tables import new_rows, read_history, update_history
 from ledgerlake.sinks.upkeep import append_load, refresh_months
 from ledgerlake.sources.landing import (
@@ -53,7 +53,10 @@ from ledgerlake.sources.landing import (
     macro_observations,
     monthly_equity_history,
     positional_history,
+    read_csv_text,
+    read_records,
     recent_transactions_window,
+    sheet_headings,
     within_lookback,
 )
 
@@ -774,6 +777,48 @@ def csv_text_scan(spark, sf):
     return csv_lines(lines, ["id", "note", "status"])
 
 
+#: Rows in a landed file: more rows are more files, which are read side by side.
+LANDED_ROWS = 50_000
+
+
+def _landing(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared one for files that a query lands and reads; gone with the session."""
+    ensure_checkpoint_dir(spark)
+    folder = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder
+
+
+@query("""
+    select o_orderkey::varchar as id, 'order "' || o_orderkey || '",' || chr(10) || o_orderpriority as note,
+           case when o_orderkey % 5 <> 0 then o_orderstatus end as status
+    from orders""")
+def csv_file_scan(spark, sf):
+    """CSV files with quotes, commas and line breaks within fields, landed and read again as text."""
+    note = F.concat(F.lit('order "'), c("o_orderkey"), F.lit('",\n'), c("o_orderpriority"))
+    status = F.when(c("o_orderkey") % 5 != 0, c("o_orderstatus"))
+    folder = _landing(spark, "csv-files")
+    rows = table(spark, sf, "orders").select(c("o_orderkey").cast("string").alias("id"), note.alias("note"), status.alias("status"))
+    rows.write.options(header=True, escape='"', maxRecordsPerFile=LANDED_ROWS).csv(folder)
+    return read_csv_text(spark, folder, ["id", "note", "status"])
+
+
+@query("""
+    select o_orderkey::varchar as order_id, o_orderpriority as details__priority, o_custkey::varchar as details__customer__id,
+           '["' || o_orderstatus || '"]' as tags
+    from orders""")
+def json_file_scan(spark, sf):
+    """Files of JSON lines with objects in objects, landed, read by a schema and flattened to text."""
+    customer = F.struct(c("o_custkey").alias("id"))
+    details = F.struct(c("o_orderpriority").alias("priority"), customer.alias("customer"), c("o_totalprice").alias("unlisted"))
+    folder = _landing(spark, "json-files")
+    rows = table(spark, sf, "orders").select(c("o_orderkey").alias("orderId"), details.alias("details"), F.array("o_orderstatus").alias("tags"))
+    rows.write.option("maxRecordsPerFile", LANDED_ROWS).json(folder)
+    schema = "orderId bigint, details struct<priority:string,customer:struct<id:bigint>>, tags array<string>"
+    return flatten(read_records(spark, folder, schema, json_lines=True))
+
+
 @query("select (props->>'$.k')::int as k from events")
 def json_record_scan(spark, sf):
     return json_records(table(spark, sf, "events"), "k int", "props")
@@ -898,6 +943,21 @@ def header_checked_unpivot(spark, sf):
     return positional_history(sheet, description_row=0, columns=positions)
 
 
+@query("""
+    select 'GBR' as entity, o_custkey::int as year, 0 as period, 'cpi' as series, count(*)::double as value
+    from orders group by 2""")
+def sheet_files_unpivot(spark, sf):
+    """A sheet of many files: the headings stand in one that is named, wherever Spark reads it among the others."""
+    folder = _landing(spark, "sheet")
+    heading = ("Description", "Consumer price index (2015=100)", "Unemployment rate")
+    literal_rows(spark, ["y", "a", "b"], [("Title", "", ""), heading]).coalesce(1).write.csv(f"{folder}/headings")
+    data = table(spark, sf, "orders").groupBy(c("o_custkey").alias("y")).agg(F.count(F.lit(1)).alias("a"), F.min("o_orderkey").alias("b"))
+    data.write.option("maxRecordsPerFile", LANDED_ROWS).csv(f"{folder}/rows")
+    sheet = spark.read.schema("y string, a string, b string").csv([f"{folder}/rows", f"{folder}/headings"])
+    positions = {1: ("cpi", "Consumer price index"), 2: ("bank_rate", "Bank Rate")}
+    return positional_history(sheet, 1, positions, headings=sheet_headings(spark, f"{folder}/headings", 2))
+
+
 @query("""
     select event_type as series, event_id::varchar as series_id, ts::date::varchar as obs_date, value::varchar as obs_value
     from events where value >= 1""")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -275,19 +275,38 @@ def checked_positions(
     return kept
 
 
+def sheet_headings(spark: SparkSession, path: str, rows: int) -> list[Row]:
+    """The first `rows` rows of one file: `path`, or of the folder's files the first by name.
+
+    That file is read unsplit and from its start only, so these are its headings, in whichever
+    order Spark reads the other files.
+    """
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.getFileStatus(where).isDirectory():
+        listed = [s.getPath() for s in files.listStatus(where) if s.isFile()]
+        shown = [p for p in listed if not p.getName().startswith(("_", "."))]
+        where = min(shown, key=lambda p: p.getName())
+    return spark.read.option("multiLine", True).option("escape", '"').csv(where.toString()).take(rows)
+
+
 def positional_history(
     sheet: DataFrame,
     description_row: int = 3,
     columns: Mapping[int, tuple[str, str]] = fixed.MILLENNIUM_COLUMNS,
     entity: str = "GBR",
+    headings: Sequence[Sequence[str | None]] | None = None,
 ) -> DataFrame:
     """Header-less sheet of text columns, read by position after checking descriptions.
 
-    Only the heading rows come to the driver; data rows are those with a numeric year
+    `headings` are its first rows (sheet_headings); without them `sheet` has to be one unsplit
+    file, or sorted, as they are taken from its start. Data rows are those with a numeric year
     in the first column.
     """
-    headings = sheet.take(description_row + 1)
-    kept = checked_positions(list(headings[description_row]), columns)
+    first = sheet.take(description_row + 1) if headings is None else headings
+    if len(first) <= description_row:
+        raise ValueError(f"a sheet of {len(first)} heading rows has no row {description_row} of descriptions")
+    kept = checked_positions(list(first[description_row]), columns)
     names = sheet.columns
     year = F.col(names[0]).try_cast("double")
     ids = {"entity": F.lit(entity), "year": year.cast("int"), "period": F.lit(0)}

@@ -117,6 +117,24 @@ def test_positional_sheet_refuses_shifted_columns(spark, tmp_path):
     assert got == [("GBR", 1700, "cpi", 1.5)]
 
 
+def test_headings_come_from_the_named_file(spark, tmp_path):
+    """Data files that sort, and are read, before the one with the headings."""
+    folder = tmp_path / "sheet"
+    folder.mkdir()
+    (folder / "b.csv").write_text('title,,\nYear,"Consumer price\nindex (CPI)",Unemployment rate\n1700,1.5,7\n')
+    for k in range(6):
+        (folder / f"c{k}.csv").write_text("".join(f"{1800 + 10 * k + n},{n},1\n" for n in range(10)))
+    (folder / "_a.csv").write_text("hidden,,\n")
+    columns = {1: ("cpi", "Consumer price"), 2: ("bank_rate", "Bank Rate")}
+    sheet = spark.read.option("multiLine", True).schema("y string, a string, b string").csv(str(folder)).orderBy(F.desc("y"))
+    for named in (folder, folder / "b.csv"):
+        headings = landing.sheet_headings(spark, str(named), 2)
+        got = {(r.year, r.series, r.value) for r in landing.positional_history(sheet, 1, columns, headings=headings).collect()}
+        assert got == {(1700, "cpi", 1.5), *[(1800 + 10 * k + n, "cpi", float(n)) for k in range(6) for n in range(10)]}
+    with pytest.raises(ValueError, match="descriptions"):
+        landing.positional_history(sheet, 3, columns, headings=headings)
+
+
 def test_words_stay_unless_asked_for(spark):
     df = spark.createDataFrame([("None", ""), ("nan", "x")], "merchant string, note string")
     assert sorted(map(tuple, landing.all_text(df).collect())) == [("None", ""), ("nan", "x")]
