@@ -10,9 +10,17 @@
    has the same ones each time. Surroundings are the page's longest block (the article's, for
    what is in it); what holds that block is no template this way. Lone cells, items and headings recur as words do, and go by
    the share alone.
-3. A page's text are the blocks of its article (of its body, if it has no article or main
+3. Menus and footers whose words differ from page to page recur by their shape: path, tags, class
+   names and kinds of leaves, without text, equal children in a row as one. Two kinds of subtrees
+   are counted so, by the same pass: those of ``LINKS`` link-only blocks at least, and, on pages without
+   an article, a last one of short texts without a paragraph or heading beside what holds the longest block.
+   Neither may hold the longest block; outside an article neither may stand beside it in the same parent. A shape is a template at
+   ``SHARE_SHAPE`` of the host's pages, at ``SHARE_NAMED`` if the subtree has a noisy name.
+4. A page's text are the blocks of its article (of its body, if it has no article or main
    element) without templates and without what is no article by its element, class, id or
    role: menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts, styles.
+   Within the article a name alone decides only if a whole class or id is made of noisy words that mean
+   nothing else (``comments``, ``ad-box``); ``entry-header`` or ``discussion`` only lower the share of 3.
    A form or an element of such a name that holds the article is its wrapper, not noise.
 
 Counts are pre-aggregated before they are shuffled, as numbers: by subtree and surroundings,
@@ -42,6 +50,13 @@ SHARE_OUTSIDE = 0.1
 SHARE_INSIDE = 0.5
 MANY = 500
 DIFFERENT = 0.25
+SHARE_SHAPE = 0.5
+SHARE_NAMED = 0.1
+#: Link-only blocks that make a list of links, and characters of a short text.
+LINKS = 3
+SHORT = 200
+#: How a subtree is counted: by its words outside or in the article, by its shape, by its shape with a noisy name.
+OUTSIDE, INSIDE, SHAPE, NAMED = range(4)
 #: Share of a page's text that makes a form or an element of a noisy name its wrapper, if it has no article.
 WRAPS = 0.75
 
@@ -67,11 +82,15 @@ KEEPS_PARAGRAPH = frozenset("td th caption body html article main section div li
 LONE = frozenset("li dt dd td th tr caption figcaption legend summary h1 h2 h3 h4 h5 h6".split())
 
 NOISE_TAGS = frozenset(
-    "head nav footer aside form dialog menu noscript iframe template button select option svg canvas object audio "
-    "video map search fieldset datalist label".split()
+    "head nav footer aside form menu noscript iframe template button select option svg canvas object audio "
+    "video map search".split()
 )
+#: Noise outside the article only.
+NOISE_TAGS_OUTSIDE = frozenset("header dialog fieldset datalist label".split())
 #: What may stand in a head; anything else that starts ends an open one.
 IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
+#: What holds a page's own words; a subtree with one of these is a template by its shape only as a list of links.
+WORDY = frozenset("p pre blockquote h1 h2 h3 h4 h5 h6 article main".split())
 #: Nothing in these is the page's article: they are not shown, or not as text.
 NEVER_SHOWN = frozenset("head noscript iframe template select option datalist button svg canvas object audio video map".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog alertdialog menu menubar".split())
@@ -82,6 +101,16 @@ NOISE_WORDS = frozenset(
     "sidebars aside rail widget widgets header masthead footer foot comment comments respond replies reply disqus "
     "discussion share sharing social related recommended recommendations outbrain taboola toc skip form".split()
 )
+#: Within the article a class or id is noise alone if one of its words is of the first set and all are of either.
+SURE_WORDS = frozenset(
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored cookie cookies gdpr newsletter signup nav navbar "
+    "topnav breadcrumb breadcrumbs pagination pager sidebar sidebars comment comments disqus share sharing popup modal "
+    "outbrain taboola".split()
+)
+BESIDE_SURE = NOISE_WORDS | frozenset(
+    "area bar block box bottom button buttons container count inner item items left link links list page post right site "
+    "slot top unit wrap wrapper".split()
+)
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
@@ -93,20 +122,38 @@ _PART = re.compile(r"[a-z]+|[0-9]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
-def _traits(attributes: str) -> tuple[bool, bool, bool, bool]:
-    """Whether class and id say noise (or role a form), role noise, either reader comment, main content."""
-    noise = by_role = comment = main = False
-    for name, *values in _ATTRIBUTE.findall(attributes):
-        value = html_text.unescape("".join(values))
-        words = _PART.findall(_CAMEL.sub(" ", value).lower())
-        if name.lower() == "role":
-            noise = noise or value.strip().lower() == "form"
-            by_role = by_role or value.strip().lower() in NOISE_ROLES - {"form"}
-            main = main or value.strip().lower() == "main"
-        else:
-            noise = noise or not NOISE_WORDS.isdisjoint(words)
-            comment = comment or "comment" in words or "comments" in words
-    return noise, by_role, comment, main
+class _Traits:
+    """What class, id and role of an element say.
+
+    ``noise``: a noisy word (or a form by its role); ``sure``: a name of nothing but such; ``by_role``:
+    noise by role; ``comment``: reader comments; ``main``: main content. ``names``: its classes without digits.
+    """
+
+    __slots__ = ("noise", "sure", "by_role", "comment", "main", "names")
+
+    def __init__(self, attributes: str):
+        self.noise = self.sure = self.by_role = self.comment = self.main = False
+        self.names = ""
+        for name, *values in _ATTRIBUTE.findall(attributes):
+            value = html_text.unescape("".join(values))
+            name = name.lower()
+            if name == "role":
+                role = value.strip().lower()
+                self.noise = self.noise or role == "form"
+                self.sure = self.sure or role == "form"
+                self.by_role = self.by_role or role in NOISE_ROLES - {"form"}
+                self.main = self.main or role == "main"
+                continue
+            if name == "class":
+                self.names = " ".join(sorted(set(re.sub(r"[0-9]+", "", value).split())))
+            for token in value.split():
+                words = frozenset(_PART.findall(_CAMEL.sub(" ", token).lower()))
+                self.noise = self.noise or not NOISE_WORDS.isdisjoint(words)
+                self.comment = self.comment or "comment" in words or "comments" in words
+                self.sure = self.sure or (not SURE_WORDS.isdisjoint(words) and all(w in BESIDE_SURE or w.isdigit() for w in words))
+
+
+_PLAIN = _Traits("")
 
 
 class _Noise:
@@ -143,23 +190,46 @@ class _Region:
 
 
 class _Element:
-    __slots__ = ("tag", "noise", "region", "closed", "begin", "parts")
+    """An open element; ``kinds`` are its leaves and its children's shapes, ``links``, ``texts`` its leaves by kind.
+
+    ``path`` hashes the block elements from the body down to it with their names, ``noisy`` if its own name is.
+    """
+
+    __slots__ = ("tag", "noise", "region", "closed", "begin", "parts", "path", "noisy", "kinds", "links", "texts", "wordy")
 
-    def __init__(self, tag: str, noise: _Noise | None, region: _Region, closed: bool, begin: int):
+    def __init__(self, tag: str, noise: _Noise | None, region: _Region, closed: bool, begin: int, path: int, noisy: bool):
         self.tag, self.noise, self.region, self.closed, self.begin = tag, noise, region, closed, begin
+        self.path, self.noisy = path, noisy
         self.parts: list[str] = []
+        self.kinds: list[str] = []
+        self.links = self.texts = 0
+        self.wordy = False  # a paragraph, a heading or a long text is in it
+
+    def add_kind(self, kind: str) -> None:
+        if not self.kinds or self.kinds[-1] != kind:
+            self.kinds.append(kind)
+
+
+class _Shape:
+    """A subtree that may be a template by its shape; ``around`` are the first block of its parent and the one after its last."""
+
+    __slots__ = ("key", "region", "begin", "end", "listed", "noisy", "around")
+
+    def __init__(self, key: int, region: _Region, begin: int, end: int, listed: bool, noisy: bool):
+        self.key, self.region, self.begin, self.end, self.listed, self.noisy = key, region, begin, end, listed, noisy
+        self.around = (0, 0)
 
 
 class Page:
     """The blocks of a page and the hashed subtrees that hold them.
 
-    ``blocks``: (text, whether in the article, whether noise). ``subtrees``: (hash, whether
-    in the article, first block, block after the last). ``lone``: the hashes of cells, items and headings.
+    ``blocks``: (text, whether in the article, whether noise). ``subtrees``: (hash, OUTSIDE, INSIDE, SHAPE
+    or NAMED, first block, block after the last). ``lone``: the hashes of cells, items and headings.
     """
 
     def __init__(self, html: str):
         self.blocks: list[tuple[str, bool, bool]] = []
-        self.subtrees: list[tuple[int, bool, int, int]] = []
+        self.subtrees: list[tuple[int, int, int, int]] = []
         self.has_main = False
         self._body = _Region(False, False, None)
         self._regions: list[_Region] = []
@@ -167,7 +237,10 @@ class Page:
         self._trees: list[tuple[int, _Region, int, int]] = []
         self._noises: list[_Noise] = []
         self.lone: set[int] = set()
-        self._open = [_Element("", None, self._body, False, 0)]
+        self._shapes: list[_Shape] = []
+        self._unlinked = False
+        self._open = [_Element("", None, self._body, False, 0, 0, False)]
+        self._within: list[list[_Shape]] = [[]]  # the shapes right below each open element
         self._count: Counter[str] = Counter()
         self._text: list[str] = []
         self._read(html)
@@ -182,6 +255,14 @@ class Page:
             if top.noise is top.region.noise:
                 top.region.chars += len(text)
             top.parts.append(text)
+            if not self._unlinked:
+                top.add_kind("a")
+                top.links += 1
+            else:
+                top.add_kind("s" if len(text) <= SHORT else "t")
+                top.texts += 1
+                top.wordy = top.wordy or len(text) > SHORT
+        self._unlinked = False
 
     def _start(self, tag: str, attributes: str) -> None:
         if self._count["head"] and (tag == "body" or self._open[-1].tag == "head" and tag not in IN_HEAD):
@@ -198,24 +279,32 @@ class Page:
         if tag in VOID:
             return
         parent = self._open[-1]
-        by_name, by_role, comment, main = _traits(attributes) if attributes else (False, False, False, False)
+        traits = _Traits(attributes) if attributes else _PLAIN
+        by_name, by_role, comment = traits.noise, traits.by_role, traits.comment
         if tag in ("html", "body"):
             by_name = by_role = comment = False
-        named = main or tag == "main"
+        named = traits.main or tag == "main"
         main = (named or tag == "article") and not comment and not parent.closed
         region, noise = parent.region, parent.noise
         if main and (not region.main or noise is not region.noise):
             # It ends the noise around it for what it holds, if it turns out to be the page's article.
             region = _Region(True, named, noise)
             self._regions.append(region)
-        if not main and (tag in NOISE_TAGS or by_name or by_role or (tag == "header" and not region.main)):
-            noise = _Noise(noise, region.noise, not comment and (tag == "form" or tag not in NOISE_TAGS | {"header"} and not by_role))
+        if region.main:
+            is_noise = tag in NOISE_TAGS or by_role or by_name and traits.sure and (tag in BLOCK or not comment)
+        else:
+            is_noise = tag in NOISE_TAGS or tag in NOISE_TAGS_OUTSIDE or by_name or by_role
+        if not main and is_noise:
+            named_only = tag == "form" or tag not in NOISE_TAGS | NOISE_TAGS_OUTSIDE and not by_role
+            noise = _Noise(noise, region.noise, not comment and named_only)
             self._noises.append(noise)
         changed = region is not parent.region or (noise is None) != (parent.noise is None)
         if changed and tag not in BLOCK:
             self._flush()
         closed = parent.closed or comment or tag in NEVER_SHOWN
-        self._open.append(_Element(tag, noise, region, closed, len(self._found)))
+        path = _hashed(f"{parent.path:x} {tag} {traits.names}") if tag in BLOCK else parent.path
+        self._open.append(_Element(tag, noise, region, closed, len(self._found), path, by_name))
+        self._within.append([])
         self._count[tag] += 1
 
     def _end_within(self, tags: frozenset[str], barriers: frozenset[str]) -> None:
@@ -241,18 +330,36 @@ class Page:
             if top.tag in BLOCK or (top.noise, top.region) != (self._open[-2].noise, self._open[-2].region):
                 self._flush()
             self._open.pop()
+            within = self._within.pop()
             self._count[top.tag] -= 1
             parent = self._open[-1]
             if not top.parts:
                 continue
             if top.tag in BLOCK:
-                key = xxhash.xxh3_64_intdigest("\x00".join([top.tag, *top.parts]).encode("utf-8", "surrogatepass"))
-                self._trees.append((key, top.region, top.begin, len(self._found)))
+                end = len(self._found)
+                key = _hashed("\x00".join([top.tag, *top.parts]))
+                self._trees.append((key, top.region, top.begin, end))
                 if top.tag in LONE:
                     self.lone.add(key)
                 parent.parts.append(format(key, "x"))
+                for shape in within:
+                    shape.around = (top.begin, end)
+                shape_key = _hashed("\x00".join([format(top.path, "x"), *top.kinds]))
+                parent.add_kind(format(shape_key, "x"))
+                parent.wordy = parent.wordy or top.wordy or top.tag in WORDY
+                listed = top.links >= LINKS and not top.texts
+                if listed or not top.wordy and top.tag not in WORDY:
+                    shape = _Shape(shape_key, top.region, top.begin, end, listed, top.noisy)
+                    self._shapes.append(shape)
+                    self._within[-1].append(shape)
             else:
                 parent.parts.extend(top.parts)
+                for kind in top.kinds:
+                    parent.add_kind(kind)
+                parent.wordy = parent.wordy or top.wordy
+                self._within[-1].extend(within)
+            parent.links += top.links
+            parent.texts += top.texts
 
     def _read(self, html: str) -> None:
         at = 0
@@ -283,7 +390,10 @@ class Page:
     def _add(self, text: str) -> None:
         if self._open[-1].tag == "head" and not text.isspace():
             self._end("head")
-        self._text.append(html_text.unescape(text))
+        text = html_text.unescape(text)
+        if not self._count["a"] and not self._unlinked:
+            self._unlinked = any(map(str.isalnum, text))
+        self._text.append(text)
 
     def _judge(self) -> None:
         """Decides what is the article and which noise only wraps it; fills blocks and subtrees.
@@ -324,32 +434,57 @@ class Page:
             (text, shown.get(region, False), hidden(region, noise) or not shown.get(region, region is self._body))
             for text, region, noise in self._found
         ]
-        self.subtrees = [(key, shown.get(region, False), begin, end) for key, region, begin, end in self._trees]
+        self.subtrees = [(key, INSIDE if shown.get(region, False) else OUTSIDE, begin, end) for key, region, begin, end in self._trees]
+        at = self._longest(self.has_main)
+        last, container = len(self._found), self._container(at)
+        for shape in self._shapes:
+            beside = shape.around == container
+            inside = shown.get(shape.region, False)
+            if shape.begin <= at < shape.end or inside < self.has_main:
+                continue
+            if shape.listed:
+                fits = inside or not beside
+            else:
+                fits = not self.has_main and shape.end == last and shape.around[0] <= at < shape.begin and not beside
+            if fits:
+                self.subtrees.append((shape.key, NAMED if shape.noisy else SHAPE, shape.begin, shape.end))
+
+    def _longest(self, within: bool) -> int:
+        """The longest block that is no noise, of the article or of all; -1 without one."""
+        sizes = [len(text) if not noise and (inside or not within) else 0 for text, inside, noise in self.blocks]
+        at = max(range(len(sizes)), key=sizes.__getitem__, default=-1)
+        return at if at >= 0 and sizes[at] else -1
+
+    def _container(self, at: int) -> tuple[int, int]:
+        """The blocks of the least element that holds this block and others, none if there is no such element."""
+        held = [(end - begin, begin) for _, _, begin, end in self._trees if begin <= at < end and end - begin > 1]
+        size, begin = min(held, default=(0, 0))
+        return begin, begin + size
 
     def _end_tag(self, tag: str) -> None:
         if tag in BLOCK:
             self._flush()
         self._end(tag)
 
-    def surroundings(self) -> dict[tuple[int, bool], int]:
-        """By (hash, whether in the article) of a subtree, a hash of the longest block, 0 if that is part of it."""
-        found: dict[tuple[int, bool], int] = {}
+    def surroundings(self) -> dict[tuple[int, int], int]:
+        """By (hash, kind) of a subtree, a hash of the longest block, 0 if that is part of it and for shapes."""
+        found: dict[tuple[int, int], int] = {}
         longest = []
         for within in (False, True):
-            sizes = [len(text) if not noise and (inside or not within) else 0 for text, inside, noise in self.blocks]
-            at = max(range(len(sizes)), key=sizes.__getitem__, default=-1)
-            held = at >= 0 and sizes[at] > 0
-            text = self.blocks[at][0] if held else ""
-            longest.append((at, xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) if held else 0))
-        for key, inside, begin, end in self.subtrees:
-            at, hashed = longest[inside]
-            found.setdefault((key, inside), 0 if begin <= at < end or key in self.lone else hashed)
+            at = self._longest(within)
+            longest.append((at, _hashed(self.blocks[at][0]) if at >= 0 else 0))
+        for key, kind, begin, end in self.subtrees:
+            if kind in (SHAPE, NAMED):
+                found[key, kind] = 0
+                continue
+            at, hashed = longest[kind == INSIDE]
+            found.setdefault((key, kind), 0 if begin <= at < end or key in self.lone else hashed)
         return found
 
-    def text(self, templates: frozenset[tuple[int, bool]] = frozenset()) -> str:
+    def text(self, templates: frozenset[tuple[int, int]] = frozenset()) -> str:
         gone = np.zeros(len(self.blocks) + 1, np.int64)
-        for key, inside, begin, end in self.subtrees:
-            if (key, inside) in templates:
+        for key, kind, begin, end in self.subtrees:
+            if (key, kind) in templates:
                 gone[begin] += 1
                 gone[end] -= 1
         covered = np.cumsum(gone)
@@ -360,21 +495,25 @@ class Page:
         )
 
 
+def _hashed(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"))
+
+
 def _signed(key: int) -> int:
     return key - (1 << 64) if key >= 1 << 63 else key
 
 
 def _subtree_rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    hosts, keys, insides, beside = [], [], [], []
+    hosts, keys, kinds, beside = [], [], [], []
     for host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-        for (key, inside), around in Page(html).surroundings().items():
+        for (key, kind), around in Page(html).surroundings().items():
             hosts.append(host)
             keys.append(_signed(key))
-            insides.append(inside)
+            kinds.append(kind)
             beside.append(_signed(around))
     yield pa.RecordBatch.from_arrays(
-        [pa.array(hosts, pa.int64()), pa.array(keys, pa.int64()), pa.array(insides, pa.bool_()), pa.array(beside, pa.int64())],
-        names=["host", "subtree", "inside", "beside"],
+        [pa.array(hosts, pa.int64()), pa.array(keys, pa.int64()), pa.array(kinds, pa.int32()), pa.array(beside, pa.int64())],
+        names=["host", "subtree", "kind", "beside"],
     )
 
 
@@ -382,13 +521,13 @@ def _texts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     out = []
     keep = batch.columns[:-3]
     ends = batch.column(batch.num_columns - 2).offsets.to_numpy()
-    all_keys, all_insides = (column.values.to_numpy(zero_copy_only=False) for column in batch.columns[-2:])
+    all_keys, all_kinds = (column.values.to_numpy(zero_copy_only=False) for column in batch.columns[-2:])
     last, templates = b"", frozenset()
     for k, html in enumerate(batch.columns[-3].to_pylist()):
         keys = all_keys[ends[k] : ends[k + 1]]
         if (packed := keys.tobytes()) != last:
-            insides = all_insides[ends[k] : ends[k + 1]].tolist()
-            last, templates = packed, frozenset((key % (1 << 64), inside) for key, inside in zip(keys.tolist(), insides))
+            kinds = all_kinds[ends[k] : ends[k + 1]].tolist()
+            last, templates = packed, frozenset((key % (1 << 64), kind) for key, kind in zip(keys.tolist(), kinds))
         out.append(Page(html).text(templates))
     yield pa.RecordBatch.from_arrays(
         [*keep, pa.array(out, pa.string()), pa.array(list(map(len, out)), pa.int64())],
@@ -403,19 +542,20 @@ def host_of(url: str) -> Column:
 
 
 def site_templates(pages: DataFrame) -> DataFrame:
-    """(host, subtrees, insides): the template subtrees of each host that has any."""
+    """(host, subtrees, kinds): the template subtrees of each host that has any."""
     keyed = pages.select(host_of("url").alias("host"), F.coalesce("html", F.lit("")).alias("html")).where("host is not null")
     per_host = keyed.groupBy("host").agg(F.count("*").alias("pages"))
-    subtrees = map_arrow(keyed, _subtree_rows, "host long, subtree long, inside boolean, beside long")
-    counted = subtrees.groupBy("host", "subtree", "inside", "beside").agg(F.count("*").alias("n"))
+    subtrees = map_arrow(keyed, _subtree_rows, "host long, subtree long, kind int, beside long")
+    counted = subtrees.groupBy("host", "subtree", "kind", "beside").agg(F.count("*").alias("n"))
     # No surroundings, 0, are no different ones.
     different = F.sum((F.col("beside") != 0).cast("long"))
-    frequent = counted.groupBy("host", "subtree", "inside").agg(F.sum("n").alias("n"), different.alias("different"))
+    frequent = counted.groupBy("host", "subtree", "kind").agg(F.sum("n").alias("n"), different.alias("different"))
     frequent = frequent.where(F.col("n") >= LEAST_PAGES)
-    share = F.when(F.col("inside"), SHARE_INSIDE).otherwise(SHARE_OUTSIDE)
+    shares = {OUTSIDE: SHARE_OUTSIDE, INSIDE: SHARE_INSIDE, SHAPE: SHARE_SHAPE, NAMED: SHARE_NAMED}
+    share = F.element_at(F.create_map(*(F.lit(x) for pair in shares.items() for x in pair)), F.col("kind"))
     many = (F.col("different") >= MANY) & (F.col("different") >= DIFFERENT * F.col("n"))
     found = frequent.join(per_host, "host").where((F.col("n") >= share * F.col("pages")) | many)
-    return found.groupBy("host").agg(F.collect_list("subtree").alias("subtrees"), F.collect_list("inside").alias("insides"))
+    return found.groupBy("host").agg(F.collect_list("subtree").alias("subtrees"), F.collect_list("kind").alias("kinds"))
 
 
 def extracted(pages: DataFrame) -> DataFrame:
@@ -427,6 +567,6 @@ def extracted(pages: DataFrame) -> DataFrame:
     """
     templates = settle(site_templates(pages), "templates")
     keyed = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host_of("url").alias("host"))
-    joined = keyed.join(templates, "host", "left").select("page_id", "url", "html", "subtrees", "insides")
+    joined = keyed.join(templates, "host", "left").select("page_id", "url", "html", "subtrees", "kinds")
     schema = ", ".join(f"{name} {kind}" for name, kind in pages.select("page_id", "url").dtypes)
     return map_arrow(joined, _texts, f"{schema}, text string, n_chars long")
