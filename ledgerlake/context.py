@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date, timedelta
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -157,6 +158,19 @@ class Lake:
                 self._built[name] = cut_lineage(self.ref(name))
                 self._settled.add(name)
 
+    def settle_rows(self, *names: str) -> None:
+        """Like settle, for aggregates of exactly one row each: all of them in one job, kept in the plan itself."""
+        wanted = [name for name in names if name not in self._settled]
+        if not wanted:
+            return
+        rows = [self.ref(name).select(F.struct("*").alias(name)) for name in wanted]
+        together = reduce(lambda a, b: a.crossJoin(F.broadcast(b)), rows).limit(2).toArrow()
+        if together.num_rows != 1:
+            raise ValueError(f"{', '.join(wanted)} must have one row each")
+        row = self.spark.createDataFrame(together)
+        for name in wanted:
+            self.use(name, row.select(f"{name}.*"))
+
     def is_settled(self, name: str) -> bool:
         """Whether the table is read from what was computed or written before."""
         return name in self._settled

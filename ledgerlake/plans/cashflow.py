@@ -340,15 +340,24 @@ def mart_safe_to_spend(lake: Lake) -> DataFrame:
     )
 
 
-def liquid_balance(accounts: DataFrame):
-    cash = (F.col("account_type") == "Cash") & F.col("is_asset")
-    return F.coalesce(F.sum(F.when(cash, F.col("current_balance"))), F.lit(0).cast("decimal(18,3)"))
+@model("ephemeral")
+def int_account_sums(lake: Lake) -> DataFrame:
+    """One row: liquid cash and both health accounts' balances."""
+    balance, account = F.col("current_balance"), F.col("account")
+
+    def held(condition):
+        return F.coalesce(F.sum(F.when(condition, balance)), F.lit(0).cast("decimal(18,3)"))
+
+    return lake.ref("stg_accounts").agg(
+        held((F.col("account_type") == "Cash") & F.col("is_asset")).alias("liquid"),
+        held(account.startswith(lake.settings.hsa_cash_prefix)).alias("hsa_cash"),
+        held(account.startswith(lake.settings.hsa_invested_prefix)).alias("hsa_invested"),
+    )
 
 
 @model("gold")
 def mart_runway(lake: Lake) -> DataFrame:
-    accounts = lake.ref("stg_accounts")
-    liquid = accounts.agg(liquid_balance(accounts).alias("liquid"))
+    liquid = lake.ref("int_account_sums").select("liquid")
     burn = lake.ref("mart_safe_to_spend").select(F.col("avg_monthly_spend").alias("burn"))
     return liquid.crossJoin(F.broadcast(burn)).select(
         round_money(F.col("liquid")).alias("liquid_savings"),

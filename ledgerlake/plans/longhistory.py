@@ -26,6 +26,7 @@ from ledgerlake.operators.timeseries import (
     value_percentiles,
 )
 from ledgerlake.plans.macro import mean_of, observations
+from ledgerlake.session import cut_lineage
 
 
 def _cape(lake: Lake) -> DataFrame:
@@ -36,6 +37,20 @@ def _cape(lake: Lake) -> DataFrame:
     )
 
 
+@model("ephemeral")
+def int_newest_cape(lake: Lake) -> DataFrame:
+    """One row: the newest value as the valuation shows it, and year and month (as one number) of the newest row."""
+    when = F.col("year") * 100 + F.col("period")
+    return (
+        lake.ref("stg_lh_shiller")
+        .where(F.col("series") == "cape")
+        .agg(
+            round_to(F.max_by("value", F.when(F.col("value").isNotNull(), when)), 1).alias("cape"),
+            F.max(when).alias("ym"),
+        )
+    )
+
+
 @model("gold")
 def mart_valuation(lake: Lake) -> DataFrame:
     hist = _cape(lake)
@@ -175,7 +190,9 @@ def _cycle_position(lake: Lake) -> DataFrame:
             ratio(F.col("nominal"), F.col("cpi")).alias("real_price"),
         )
     )
-    # The pivot leaves one row per calendar day of one series: small enough for one task.
+    # The pivot leaves one row per calendar day of one series: small enough for one task, and
+    # to be kept for its second reading below.
+    real = cut_lineage(real)
     troughs = local_minima(
         real, [], "obs_date", "real_price", lake.settings.trough_half, small_groups=True
     )
@@ -211,6 +228,7 @@ def mart_property_cycle(lake: Lake) -> DataFrame:
         percent(F.col("peak") - F.col("trough_value"), F.col("trough_value"), 1).alias("pct_off_trough"),
         years("prior_trough_date", "trough_date").alias("last_us_interval_years"),
     )
+    lake.settle("mart_property_cycle_intervals")  # read twice below: entities × cycles
     measured = (
         lake.ref("mart_property_cycle_intervals")
         .where(F.col("interval_years").isNotNull())

@@ -10,7 +10,6 @@ from ledgerlake.context import Lake, literal_rows, model
 from ledgerlake.functions.columns import in_band, percent, ratio, round_money, round_to
 from ledgerlake.operators.periods import share_of_total
 from ledgerlake.operators.rules import Rule, rule_checks
-from ledgerlake.plans.cashflow import liquid_balance
 
 
 def _active(lake: Lake):
@@ -32,15 +31,48 @@ def mart_allocation(lake: Lake) -> DataFrame:
     )
 
 
-@model("gold")
-def mart_positions(lake: Lake) -> DataFrame:
-    """Positions of the active account, unordered; the cap test is on the unrounded share."""
+def _scopes(lake: Lake):
+    return {
+        "Active": _active(lake),
+        "Roth": F.col("account").startswith(lake.settings.roth_prefix),
+        "Combined": F.lit(True),
+    }
+
+
+@model("ephemeral")
+def int_holding_sums(lake: Lake) -> DataFrame:
+    """One row: the active account's total and, per scope, equity held and its US part.
+
+    One conditional aggregate covers the scopes, which overlap, so no row is multiplied.
+    """
+    value = F.col("market_value")
+    equity = (F.col("asset_class") == "equity") & value.isNotNull()
+    us = F.col("region") == "US"
+    sums = [F.sum(F.when(_active(lake), value)).alias("active_total")]
+    for name, member in _scopes(lake).items():
+        sums.append(F.sum(F.when(equity & member, value)).alias(f"{name}_all"))
+        sums.append(F.sum(F.when(equity & member, F.when(us, value).otherwise(0))).alias(f"{name}_us"))
+    return lake.ref("stg_holdings").agg(*sums)
+
+
+def scope_shares(name: str):
+    """Equity of a scope and its US and international shares, from int_holding_sums; null if none is held."""
+    held, held_us = F.col(f"{name}_all"), F.col(f"{name}_us")
+    any_held = held > 0
+    return (
+        F.when(any_held, round_money(held)),
+        F.when(any_held, percent(held_us, held, 1)),
+        F.when(any_held, percent(held - held_us, held, 1)),
+    )
+
+
+def _positions(lake: Lake, *carried: str) -> DataFrame:
     held = (
         lake.ref("stg_holdings")
         .where(_active(lake))
         .select("ticker", "name", "sleeve", "market_value")
     )
-    total = held.agg(F.sum("market_value").alias("__total"))
+    total = lake.ref("int_holding_sums").select(F.col("active_total").alias("__total"), *carried)
     caps = fixed.SLEEVE_CAPS
     cap = F.when(F.col("sleeve") == "conviction", caps["conviction"]).when(
         F.col("sleeve") == "standard", caps["standard"]
@@ -54,9 +86,16 @@ def mart_positions(lake: Lake) -> DataFrame:
         round_to(share, 1).alias("pct_of_active"),
         cap.alias("cap_pct"),
         F.coalesce(share > cap, F.lit(False)).alias("over_cap"),
+        *carried,
     )
 
 
+@model("gold")
+def mart_positions(lake: Lake) -> DataFrame:
+    """Positions of the active account, unordered; the cap test is on the unrounded share."""
+    return _positions(lake)
+
+
 @model("gold")
 def mart_portfolio_signals(lake: Lake) -> DataFrame:
     """All headline ratios from one pass over the holdings."""
@@ -93,50 +132,27 @@ def mart_portfolio_signals(lake: Lake) -> DataFrame:
 
 @model("gold")
 def mart_evidence_bands(lake: Lake) -> DataFrame:
-    """US / international equity split per scope; the scopes overlap.
-
-    One conditional aggregate covers the three scopes, so no row is multiplied.
-    """
-    value = F.col("market_value")
-    scopes = {
-        "Active": _active(lake),
-        "Roth": F.col("account").startswith(lake.settings.roth_prefix),
-        "Combined": F.lit(True),
-    }
-    us = F.col("region") == "US"
-    sums = []
-    for name, member in scopes.items():
-        sums.append(F.sum(F.when(member, value)).alias(f"{name}_all"))
-        sums.append(
-            F.sum(F.when(member, F.when(us, value).otherwise(0))).alias(f"{name}_us")
+    """US / international equity split per scope; the scopes overlap."""
+    rows = []
+    for i, name in enumerate(_scopes(lake), start=1):
+        value, us_share, intl_share = scope_shares(name)
+        rows.append(
+            F.struct(
+                F.lit(name).alias("scope"),
+                F.lit(i).alias("scope_order"),
+                value.alias("equity_value"),
+                us_share.alias("us_pct"),
+                intl_share.alias("intl_pct"),
+                F.col(f"{name}_all").alias("held"),
+            )
         )
-    wide = (
-        lake.ref("stg_holdings")
-        .where((F.col("asset_class") == "equity") & value.isNotNull())
-        .agg(*sums)
-    )
-    rows = [
-        F.struct(
-            F.lit(name).alias("scope"),
-            F.lit(i).alias("scope_order"),
-            F.col(f"{name}_all").alias("held"),
-            F.col(f"{name}_us").alias("held_us"),
-        )
-        for i, name in enumerate(scopes, start=1)
-    ]
-    held, held_us = F.col("held"), F.col("held_us")
     (low, high), (zone_low, zone_high) = fixed.US_BAND, fixed.EVIDENCE_ZONE
     us_pct = F.col("us_pct")
     return (
-        wide.select(F.inline(F.array(*rows)))
-        .where(held > 0)
-        .select(
-            "scope",
-            "scope_order",
-            round_money(held).alias("equity_value"),
-            percent(held_us, held, 1).alias("us_pct"),
-            percent(held - held_us, held, 1).alias("intl_pct"),
-        )
+        lake.ref("int_holding_sums")
+        .select(F.inline(F.array(*rows)))
+        .where(F.col("held") > 0)
+        .drop("held")
         .withColumns(
             {
                 "band_min": F.lit(low),
@@ -213,39 +229,28 @@ def mart_all_weather(lake: Lake) -> DataFrame:
 @model("gold")
 def mart_portfolio_actions(lake: Lake) -> DataFrame:
     c = F.col
-    bands = (
-        lake.ref("mart_evidence_bands")
-        .where(c("scope") == "Active")
-        .agg(F.max("us_pct").alias("us_pct"), F.max("intl_pct").alias("intl_pct"))
-    )
 
     def sleeve(name: str):
         # One-decimal shares summed in decimal: the order of adding cannot show.
         tenths = c("pct_of_active").cast("decimal(9,1)")
         return F.sum(F.when(c("sleeve") == name, tenths).otherwise(0)).cast("double")
 
-    positions = lake.ref("mart_positions").agg(
+    # The sums come along with each position: holdings are read for them and for the positions.
+    # Without a position of the active account they are null, as nothing is held there.
+    _, us_share, intl_share = scope_shares("Active")
+    positions = _positions(lake, "Active_all", "Active_us").agg(
+        F.max("Active_all").alias("Active_all"),
+        F.max("Active_us").alias("Active_us"),
         F.sum(F.when(c("sleeve") == "standard", 1).otherwise(0)).alias("n_standard"),
         F.sum(F.when(c("over_cap"), 1).otherwise(0)).alias("n_over_cap"),
         sleeve("defensive").alias("defensive_pct"),
         sleeve("inflation_hedge").alias("hedge_pct"),
         sleeve("dry_powder").alias("powder_pct"),
         F.sum("value").alias("active_total"),
-    )
-    accounts = lake.ref("stg_accounts")
-    balance, zero = c("current_balance"), F.lit(0).cast("decimal(18,3)")
-
-    def held_in(prefix: str):
-        return F.coalesce(F.sum(F.when(c("account").startswith(prefix), balance)), zero)
-
-    balances = accounts.agg(
-        held_in(lake.settings.hsa_cash_prefix).alias("hsa_cash"),
-        held_in(lake.settings.hsa_invested_prefix).alias("hsa_invested"),
-        liquid_balance(accounts).alias("liquid"),
-    )
+    ).withColumns({"us_pct": us_share, "intl_pct": intl_share})
     burn = lake.ref("mart_safe_to_spend").select(c("avg_monthly_spend").alias("burn"))
-    metrics = balances
-    for one_row in (bands, positions, burn):
+    metrics = lake.ref("int_account_sums")
+    for one_row in (positions, burn):
         metrics = metrics.crossJoin(F.broadcast(one_row))
 
     buffer = c("burn") * fixed.BUFFER_MONTHS

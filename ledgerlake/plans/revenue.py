@@ -10,9 +10,9 @@ from ledgerlake.context import Lake, model
 from ledgerlake.functions.columns import round_to
 
 
-@model("gold")
-def mart_revenue(lake: Lake) -> DataFrame:
-    """One row. Test-mode rows are counted on their own and never as revenue."""
+@model("ephemeral")
+def int_charge_sums(lake: Lake) -> DataFrame:
+    """One row: sums, counts and dates of live charges, sums of test ones, the newest date of all."""
     live = F.col("livemode") & F.col("paid") & (F.col("status") == "succeeded")
     test = ~F.col("livemode")
     zero = F.lit(0).cast("decimal(18,5)")
@@ -22,7 +22,7 @@ def mart_revenue(lake: Lake) -> DataFrame:
     def total(condition, value):
         return F.coalesce(F.sum(F.when(condition, value)), zero).cast("double")
 
-    charges = lake.ref("stg_stripe_charges").agg(
+    return lake.ref("stg_stripe_charges").agg(
         total(live, net).alias("net_collected"),
         F.count_if(live).alias("paid_charges"),
         F.countDistinct(F.when(live, F.col("customer_id"))).alias("paying_customers"),
@@ -31,7 +31,13 @@ def mart_revenue(lake: Lake) -> DataFrame:
         total(recent, net).alias("collected_90d"),
         F.count_if(test).alias("test_charges"),
         total(test, F.col("amount")).alias("test_amount"),
+        F.max("created_date").alias("newest_charge"),
     )
+
+
+@model("gold")
+def mart_revenue(lake: Lake) -> DataFrame:
+    """One row. Test-mode rows are counted on their own and never as revenue."""
     subscriptions = (
         lake.ref("stg_stripe_subscriptions")
         .where("livemode")
@@ -44,7 +50,7 @@ def mart_revenue(lake: Lake) -> DataFrame:
     days_left = (deadline - lake.as_of).days
     at_least, at_most = fixed.CLIENTS_TARGET
     payers = F.col("paying_customers")
-    return charges.crossJoin(F.broadcast(subscriptions)).select(
+    return lake.ref("int_charge_sums").crossJoin(F.broadcast(subscriptions)).select(
         "net_collected", "paid_charges", "paying_customers", "first_payment", "last_payment",
         "collected_90d", "active_subscriptions", "total_subscriptions", "test_charges",
         "test_amount",

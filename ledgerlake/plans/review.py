@@ -11,6 +11,7 @@ from ledgerlake import fixed_values as fixed
 from ledgerlake.context import Lake, literal_rows, model
 from ledgerlake.functions.columns import Typed, number_text, whole_text
 from ledgerlake.operators.rules import cadence_due, freshness_status
+from ledgerlake.plans.portfolio import scope_shares
 
 
 def newest_facts(lake: Lake) -> DataFrame:
@@ -21,14 +22,9 @@ def newest_facts(lake: Lake) -> DataFrame:
         F.min(F.when(F.col("series").isin(fixed.SLOW_SERIES), F.col("latest"))).alias("macro_slow"),
     )
     # Year and month of the same newest row; separate maxima could pair two rows.
-    cape = (
-        lake.ref("stg_lh_shiller")
-        .where(F.col("series") == "cape")
-        .agg(F.max(F.col("year") * 100 + F.col("period")).alias("ym"))
-        .select(
-            F.make_date(F.floor(F.col("ym") / 100).cast("int"), (F.col("ym") % 100).cast("int"), F.lit(1))
-            .alias("valuation")
-        )
+    cape = lake.ref("int_newest_cape").select(
+        F.make_date(F.floor(F.col("ym") / 100).cast("int"), (F.col("ym") % 100).cast("int"), F.lit(1))
+        .alias("valuation")
     )
 
     def year_end(table: str, name: str) -> DataFrame:
@@ -41,7 +37,7 @@ def newest_facts(lake: Lake) -> DataFrame:
         cape,
         year_end("stg_lh_jst", "country_panel"),
         year_end("stg_lh_boe", "millennium"),
-        lake.ref("stg_stripe_charges").agg(F.max("created_date").alias("revenue")),
+        lake.ref("int_charge_sums").select(F.col("newest_charge").alias("revenue")),
         lake.ref("stg_leads").agg(F.max("found_date").alias("leads")),
     ]
     return reduce(lambda a, b: a.crossJoin(F.broadcast(b)), one_row)
@@ -105,6 +101,7 @@ def _section(df: DataFrame, section: str, order: int, headline, detail, value, s
 def mart_review_digest(lake: Lake) -> DataFrame:
     c, text = F.col, F.lit
     lake.settle("int_monthly_totals")  # months × groups; the budget and the actions read it
+    lake.settle_rows("int_charge_sums")  # revenue and freshness read it
     seed = lake.seed("review_cadence")
     t = Typed(seed)
     cadence = cadence_due(
@@ -170,16 +167,14 @@ def mart_review_digest(lake: Lake) -> DataFrame:
 def mart_review_snapshot(lake: Lake) -> DataFrame:
     """The one row of today; sinks.tables.append_snapshot adds it once per day."""
     c = F.col
-    # Read here, by the runway and by the actions: one row and three rows.
-    lake.settle("int_monthly_totals", "mart_safe_to_spend", "mart_evidence_bands")
-
-    def scope(name: str, column: str):
-        return F.max(F.when(c("scope") == name, c(column)))
-
+    # One row each, read here and by the runway, the actions, revenue or freshness.
+    lake.settle_rows(
+        "mart_safe_to_spend", "int_holding_sums", "int_account_sums", "int_charge_sums", "int_newest_cape"
+    )
     one_row = [
-        lake.ref("mart_evidence_bands").agg(
-            scope("Active", "us_pct").alias("active_us_pct"),
-            scope("Combined", "equity_value").alias("combined_equity"),
+        lake.ref("int_holding_sums").select(
+            scope_shares("Active")[1].alias("active_us_pct"),
+            scope_shares("Combined")[0].alias("combined_equity"),
         ),
         lake.ref("mart_portfolio_actions").agg(F.count_if(c("status") == "act").alias("open_actions")),
         lake.ref("mart_safe_to_spend").agg(
@@ -194,7 +189,7 @@ def mart_review_snapshot(lake: Lake) -> DataFrame:
             F.max("net_collected").alias("revenue_collected"),
             F.max("paying_customers").alias("paying_customers"),
         ),
-        lake.ref("mart_valuation").agg(F.max("cape").alias("cape")),
+        lake.ref("int_newest_cape").select("cape"),
         lake.ref("mart_macro_regime").agg(F.max("quadrant").alias("regime")),
         lake.ref("mart_data_freshness").agg(F.count_if(c("status") == "stale").alias("stale_sources")),
     ]

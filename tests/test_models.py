@@ -261,3 +261,17 @@ def test_serving_reads(lake):
     assert pace["days_left"] == 12 and pace["pct_spent"] == 100.0
     for name, read in serving.SERVING.items():
         assert read(lake).columns, name
+
+
+def test_settled_rows_keep_types_and_must_be_single(spark, lake):
+    other = Lake(spark, {}, as_of=lake.as_of)
+    other._built["a"] = spark.sql("select date'2020-01-31' as d, cast(null as decimal(18,3)) as n, 1.250BD as m")
+    other._built["b"] = spark.sql("select 'x' as d, timestamp'2020-01-01 10:00:00' as t")
+    before = [other.ref(n).schema.simpleString() for n in "ab"], [other.ref(n).collect() for n in "ab"]
+    other.settle_rows("a", "b")
+    other.settle_rows("a")
+    assert ([other.ref(n).schema.simpleString() for n in "ab"], [other.ref(n).collect() for n in "ab"]) == before
+    assert other.is_settled("a") and other.is_settled("b")
+    other._built["c"] = spark.range(3)
+    with pytest.raises(ValueError):
+        other.settle_rows("c")

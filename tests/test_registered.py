@@ -45,3 +45,19 @@ def test_filters_and_columns_reach_the_scan(spark):
     plan = QUERIES["latest_order_by_customer"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     (schema,) = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
     assert "o_orderstatus" not in schema and "o_orderpriority" not in schema
+
+
+@needs_data
+@pytest.mark.parametrize(
+    "name, table, scans",
+    [
+        ("mart_portfolio_actions", "part", 2),  # the sums, then the positions measured by them
+        ("mart_review_digest", "part", 2),
+        ("mart_review_snapshot", "part", 1),  # the sums are settled before
+        ("mart_review_snapshot", "lineitem", 1),
+        ("mart_property_cycle", "orders", 0),  # both panels are settled, each read once
+    ],
+)
+def test_sources_are_not_read_again(spark, name, table, scans):
+    plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(rf"FileScan parquet .*/{table}\.parquet\]", plan)) == scans
