@@ -15,10 +15,12 @@ if 100 * |A & B| >= 75 * |A | B|; every link that is used is confirmed on the fu
 4. Buckets whose members are not yet in one component are worked off whole: small ones pair by
    pair between components, large ones in blocks, each pair of blocks one small matrix
    product that counts all common shingles exactly and returns a spanning forest of its links.
+   A component with many members in a bucket has blocks of its own, which are compared with
+   those of others only; the rest share mixed blocks.
 5. Components by alternating large-star and small-star.
 
-Cost: buckets that fall into one component by step 3 cost one comparison a member. A large
-bucket of which any member stays apart is compared whole, block by block.
+Cost: buckets that fall into one component by step 3 cost one comparison a member. In a large
+bucket of which members stay apart, the work is that of all pairs of blocks of different components.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import discard, map_arrow, settle, whole_text, with_ids, without_ids
@@ -213,14 +215,35 @@ def _block_links(block: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(forest, columns=["u", "v"], dtype="int64")
 
 
-def _blockwise_links(members: DataFrame, docs: DataFrame) -> DataFrame:
-    """Links between components within large buckets; ``members(key, n, doc_id, part)``."""
-    dealt = members.withColumn("blocks", F.ceil(F.col("n") / F.lit(BLOCK // 2)).cast("int")).withColumn(
-        "block", F.pmod(F.xxhash64("doc_id", "key"), F.col("blocks")).cast("int")
-    )
-    pairs = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+def _block_pairs(members: DataFrame) -> DataFrame:
+    """(key, low, high, doc_id, part): the pairs of blocks that each of ``members(key, n, doc_id, part)`` is in.
+
+    Blocks 0 to ``mixed`` - 1 of a key hold the members of parts smaller than a block; each larger part
+    has blocks of its own behind them, and no two of these are paired.
+    """
+    size = BLOCK // 2
+    held = members.groupBy("key", "part").agg(F.count("*").alias("held")).where(F.col("held") >= size)
+    before = Window.partitionBy("key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    large = held.withColumn("own", F.ceil(F.col("held") / F.lit(size)).cast("int"))
+    large = large.withColumn("first", F.coalesce(F.sum("own").over(before), F.lit(0)).cast("int"))
+    of_key = large.groupBy("key").agg(F.sum("own").cast("int").alias("owned"), F.sum("held").alias("in_large"))
+    placed = members.join(large.drop("held"), ["key", "part"], "left").join(of_key, "key", "left")
+    rest = F.col("n") - F.coalesce("in_large", F.lit(0))
+    placed = placed.withColumn("mixed", F.ceil(rest / F.lit(size)).cast("int"))
+    placed = placed.withColumn("first", F.col("mixed") + F.col("first"))
+    spread = F.pmod(F.xxhash64("doc_id", "key"), F.coalesce("own", "mixed")).cast("int")
+    blocks = F.sequence(F.lit(0), F.col("mixed") + F.coalesce("owned", F.lit(0)) - 1)
+    own = F.col("own").isNotNull()
+    others = F.filter(blocks, lambda x: ~own | (x < F.col("first")) | (x >= F.col("first") + F.col("own")))
+    dealt = placed.withColumn("block", F.coalesce("first", F.lit(0)) + spread).withColumn("other", F.explode(others))
+    return dealt.select(
         "key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "doc_id", "part"
     )
+
+
+def _blockwise_links(members: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links between components within large buckets; ``members(key, n, doc_id, part)``."""
+    pairs = _block_pairs(members)
     sets = _shingles_of(docs, members.select("doc_id").distinct())
     return (
         pairs.join(sets, "doc_id")

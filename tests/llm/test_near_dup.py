@@ -152,3 +152,20 @@ def test_id_filter_is_exact(spark):
     assert without_ids(rows, ids.where(F.lit(False))).count() == 3001
     narrow = rows.withColumn("doc_id", F.col("doc_id").cast("int"))
     assert with_ids(narrow, ids).count() == 1000 and without_ids(narrow, ids).count() == 2001
+
+
+def test_blocks_meet_across_components_only(spark, monkeypatch):
+    """Every pair of different parts shares a pair of blocks; a large part's own blocks meet no other of its."""
+    monkeypatch.setattr(near_dup, "BLOCK", 16)
+    parts = [0] * 100 + [1] * 30 + [2] * 8 + [3] * 7 + list(range(10, 25))
+    rows = [(7, len(parts), k, part) for k, part in enumerate(parts)] + [(8, 41, 500 + k, int(k == 0)) for k in range(41)]
+    rows += [(9, 40, 600 + k, k % 2) for k in range(40)]
+    members = spark.createDataFrame(rows, "key long, n long, doc_id long, part long")
+    groups = {}
+    for r in near_dup._block_pairs(members).collect():
+        groups.setdefault((r.key, r.low, r.high), []).append((r.doc_id, r.part))
+    met = {(key, *sorted((a[0], b[0]))) for (key, _, _), held in groups.items() for a in held for b in held if a[1] != b[1]}
+    wanted = {(x[0], *sorted((x[2], y[2]))) for x in rows for y in rows if x[0] == y[0] and x[3] != y[3]}
+    assert met == wanted
+    # One member apart from 40: 40 rows and the one with each of their five blocks, not all pairs of blocks.
+    assert sum(len(held) for (key, _, _), held in groups.items() if key == 8) <= 40 + 5 + 1
