@@ -203,7 +203,8 @@ def rank_quantiles(
     counting the values between two bounds in equal buckets, each with its own least and greatest
     value, which are the next bounds. A pass is one aggregate that shuffles at most a row per
     bucket and partition. When few values are left they are counted one by one; so are those
-    that PASSES passes could not part, in slices.
+    that PASSES passes could not part, in slices. The bounds of hot keys go to the rows by a
+    broadcast, as in with_percentile, so no key with a large part of the rows meets in one task.
     """
     numeric = isinstance(df.schema[value].dataType, (T.NumericType,))
     if small_groups or not numeric:
@@ -223,21 +224,21 @@ def rank_quantiles(
         return F.greatest(F.when(others > 0, F.coalesce(*reaches)).otherwise(F.lit(int(p > 0)).cast("long")), F.lit(0))
 
     targets = [F.struct(F.lit(k).alias("__target"), (least_below(p) - 1).alias("__rank")) for k, p in enumerate(shares.values())]
-    state = whole.select("*", F.inline(F.array(*targets))).withColumn("__above", F.lit(None).cast(kind))
+    state = cut_lineage(whole.select("*", F.inline(F.array(*targets))).withColumn("__above", F.lit(None).cast(kind)))
+    total = state.where(F.col("__target") == 0).agg(F.sum("__inside")).head()[0] or 0
+    state = state.withColumn("__hot", F.col("__inside") > total // (HOT_PART * partitions(df)))
     is_open = (F.col("__lo") < F.col("__hi")) & (F.col("__rank") >= 0)
     left = FEW + 1
-    for _ in range(PASSES):
-        state = cut_lineage(state)
-        left = state.where(is_open).agg(F.max("__inside")).head()[0] or 0
-        if left <= FEW:
+    for made in range(PASSES + 1):
+        left, all_hot = state.where(is_open).agg(F.max("__inside"), F.min("__hot")).head()
+        if (left or 0) <= FEW or made == PASSES:
             break
-        state = state.where(~F.coalesce(is_open, F.lit(False))).unionByName(_narrowed(rows, state.where(is_open), keys))
-    else:
-        state = cut_lineage(state)
+        narrowed = _narrowed(rows, state.where(is_open), keys, all_hot)
+        state = cut_lineage(state.where(~F.coalesce(is_open, F.lit(False))).unionByName(narrowed))
 
     marked = [*keys, "__target"]
-    counted = _inside(rows, state.where(is_open), keys).groupBy(*marked, "__rank", "__v").agg(F.count(F.lit(1)).alias("__n"))
-    ran = running_before(counted, marked, ["__v"], F.col("__n"), "__below", small_groups=left <= FEW)
+    counted = _inside(rows, state.where(is_open), keys, all_hot).groupBy(*marked, "__rank", "__v").agg(F.count(F.lit(1)).alias("__n"))
+    ran = running_before(counted, marked, ["__v"], F.col("__n"), "__below", small_groups=(left or 0) <= FEW)
     found = ran.groupBy(*marked).agg(F.min(F.when(F.col("__below") > F.col("__rank"), F.col("__v"))).alias("__next"))
     answer = F.when(F.col("__rank") < 0, F.col("__lo")).otherwise(F.coalesce("__next", "__above"))
     answered = join_on(state, found, marked, "left").withColumn("__answer", answer)
@@ -245,15 +246,23 @@ def rank_quantiles(
     return answered.groupBy(*keys).agg(*picks)
 
 
-def _inside(rows: DataFrame, state: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The values between the bounds of each key and target, with the row of the state."""
+def _inside(rows: DataFrame, state: DataFrame, keys: Sequence[str], all_hot: bool | None) -> DataFrame:
+    """The values between the bounds of each key and target, with the row of the state.
+
+    Hot keys are fewer than HOT_PART * partitions; only rows of other keys are shuffled to their bounds.
+    """
     between = F.col("__v").between(F.col("__lo"), F.col("__hi"))
     if not keys:  # one row per share
         return rows.join(F.broadcast(state), between)
-    return join_on(rows, state, keys).where(between)
+    hot = state.where("__hot")
+    found = join_on(rows, F.broadcast(hot), keys).where(between)
+    if all_hot is not False:  # null: nothing is open
+        return found
+    cold = join_on(rows, F.broadcast(hot.select(*keys).distinct()), keys, "left_anti")
+    return found.unionByName(join_on(cold, state.where(~F.col("__hot")), keys).where(between))
 
 
-def _narrowed(rows: DataFrame, state: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _narrowed(rows: DataFrame, state: DataFrame, keys: Sequence[str], all_hot: bool | None) -> DataFrame:
     """The state with the bounds of the bucket that holds the rank, and the rank within it."""
     v, lo, hi = (F.col(c).cast("double") for c in ("__v", "__lo", "__hi"))
     span = hi - lo
@@ -261,8 +270,8 @@ def _narrowed(rows: DataFrame, state: DataFrame, keys: Sequence[str]) -> DataFra
     bucket = F.when(parts, F.least(F.floor((v - lo) / span * BUCKETS), F.lit(BUCKETS - 1).cast("long"))).otherwise(F.lit(0))
     marked = [*keys, "__target"]
     counted = (
-        _inside(rows, state, keys)
-        .groupBy(*marked, "__rank", "__above", bucket.alias("__bucket"))
+        _inside(rows, state, keys, all_hot)
+        .groupBy(*marked, "__rank", "__above", "__hot", bucket.alias("__bucket"))
         .agg(F.count(F.lit(1)).alias("__inside"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
     )
     # At most BUCKETS rows per key and target.
@@ -272,7 +281,7 @@ def _narrowed(rows: DataFrame, state: DataFrame, keys: Sequence[str]) -> DataFra
         .withColumn("__above", F.coalesce(F.lead("__lo").over(rising), F.col("__above")))
         .where((F.col("__before") <= F.col("__rank")) & (F.col("__rank") < F.col("__before") + F.col("__inside")))
         .withColumn("__rank", F.col("__rank") - F.col("__before"))
-        .select(*keys, "__inside", "__lo", "__hi", "__target", "__rank", "__above")
+        .select(*keys, "__inside", "__lo", "__hi", "__target", "__rank", "__above", "__hot")
     )
 
 

@@ -181,3 +181,30 @@ def test_intervals_use_up_the_slices(spark):
     found = intervals(local_minima(df, ["k"], "t", "v", 5, 7, keep_slice=True), ["k"], "t", "previous", "gap")
     assert found.columns == ["k", "t", "v", "previous", "gap"]
     assert [(r.t, r.gap) for r in found.orderBy("t").collect()][:3] == [(10, None), (30, 20), (50, 20)]
+
+
+def test_rank_quantiles_shuffle_no_rows_of_hot_keys(spark, monkeypatch):
+    """Two keys hold all rows but a few; the rows that a task reads of a shuffle stay far below a key's."""
+    monkeypatch.setattr(timeseries, "FEW", 100)
+    n = 40_000
+    df = spark.range(n, numPartitions=8).selectExpr("if(id % 400 = 0, 'few' || id % 7, if(id % 2 = 0, 'a', 'b')) as k", "(id * 7919) % 30011 as v")
+    plans = []
+    inside = timeseries._inside
+
+    def kept(rows, state, keys, *more):
+        found = inside(rows, state, keys, *more)
+        largest = found.groupBy("k", F.spark_partition_id()).count().agg(F.max("count")).head()[0]
+        plans.append(largest)
+        return found
+
+    monkeypatch.setattr(timeseries, "_inside", kept)
+    found = {r.k: r for r in rank_quantiles(df, ["k"], "v", SHARES).collect()}
+    assert plans and max(plans) <= len(SHARES) * n // 8 // 2
+    values = {}
+    for k, v in df.collect():
+        values.setdefault(k, []).append(v)
+    for k, vs in values.items():
+        vs.sort()
+        for name, p in SHARES.items():
+            below = next(i for i, v in enumerate(vs) if i / (len(vs) - 1) >= p and (i == 0 or vs[i - 1] != v))
+            assert found[k][name] == vs[below], (k, name)
