@@ -22,6 +22,7 @@ from ledgerlake.functions.columns import percent
 from ledgerlake.operators import quality
 from ledgerlake.operators.dates import date_table, occurrences, rolling_sums, without_gaps
 from ledgerlake.operators.history import first_history, scd2_merge
+from ledgerlake.operators.keyfilter import likely_in
 from ledgerlake.operators.ordered import running_before
 from ledgerlake.operators.periods import effective_for_facts, interval_join, share_of_total
 from ledgerlake.operators.timeseries import (
@@ -592,15 +593,22 @@ def monthly_totals_by_change(spark, sf):
     name = f"transactions_{uuid.uuid4().hex}"
     lake = feeds.lake(spark, sf)
     rows = lake.source("mm_transactions")
-    rows = rows.withColumn("copy", F.row_number().over(Window.partitionBy("id").orderBy(*[n for n in rows.columns if n != "id"])))
-    month = F.date_format("date", "yyyy-MM")
-    late = month.isin("1997-03", "1999-11") & (F.pmod(F.xxhash64("id"), F.lit(3)) == 0)
-    second, again = F.coalesce(late | (month >= "2001-08"), F.lit(False)), month == "2001-07"
+    in_copies = Window.partitionBy("id").orderBy(*[n for n in rows.columns if n != "id"])
+
+    def numbered(found: DataFrame) -> DataFrame:
+        return found.withColumn("copy", F.row_number().over(in_copies))
+
+    month = F.trunc("date", "month")
+    late = month.isin(date(1997, 3, 1), date(1999, 11, 1)) & (F.pmod(F.xxhash64("id"), F.lit(3)) == 0)
+    second, again = F.coalesce(late | (month >= date(2001, 8, 1)), F.lit(False)), month == date(2001, 7, 1)
+    # The second load is computed once, and of all rows only those of its ids are put in order for it.
+    ids = rows.where(second | again).select("id")
+    reload = cut_lineage(numbered(likely_in(rows, ["id"], ids, ["id"], ids.count())).where(second | again))
 
     def sums(found: DataFrame) -> DataFrame:
         return month_parts(Lake(spark, {"mm_transactions": found}, as_of=AS_OF, settings=SETTINGS))
 
-    for load in (rows.where(~second), rows.where(second | again)):
+    for load in (numbered(rows).where(~second), reload):
         append_load(load, "bronze", name, ["id", "copy"], c("date"))
         refresh_months(spark, f"bronze.{name}", "gold", name, sums, c("month"))
     lake.use("int_monthly_parts", cut_lineage(spark.table(f"gold.{name}")))

@@ -9,9 +9,11 @@ from urllib.parse import unquote
 
 import pytest
 
+from checks import queries
 from ledgerlake import Lake
 from ledgerlake.schemas import BRONZE
 from ledgerlake.sinks import tables, upkeep
+from tests.test_registered import SF_DIR, needs_data
 
 COLUMNS = ["id", "date", "amount", "category__id", "category__name", "hide_from_reports"]
 FIRST = [
@@ -198,3 +200,24 @@ def test_a_published_folder_has_one_file_while_it_is_small(spark):
     assert len(spark.table(version).inputFiles()) == 5
     assert spark.table("gold.dealt").where("month = 3").count() == 800
     drop_published(spark, "dealt")
+
+
+@needs_data
+def test_the_second_load_is_computed_once(spark, monkeypatch):
+    """Its batch no longer reads the tables, and its copies have the numbers of a count over all rows."""
+    loads = []
+
+    def kept(load, *more):
+        loads.append((load.select("id", "date", "amount", "copy").collect(), load.inputFiles()))
+        append(load, *more)
+
+    append = queries.append_load
+    monkeypatch.setattr(queries, "append_load", kept)
+    queries.QUERIES["monthly_totals_by_change"](spark, SF_DIR)
+    (first, _), (second, files_read) = loads
+    assert first and second and not files_read
+    copies = {}
+    for r in {tuple(r) for r in first + second}:
+        copies.setdefault(r[0], []).append(r[3])
+    assert all(sorted(n) == list(range(1, len(n) + 1)) for n in copies.values())
+    assert len({(r.id, r.copy) for r in first + second}) == queries.table(spark, SF_DIR, "lineitem").count()
