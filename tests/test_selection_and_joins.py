@@ -167,6 +167,32 @@ def test_interval_join(spark, width):
     assert interval_join(a, b.where("false"), "t", "begins", "ends", width).count() == 0
 
 
+def test_interval_join_deals_the_facts_of_wide_spans(spark):
+    """All facts lie in two buckets of a wider level; no task gets half of them, nor a level without spans."""
+    held = {"spark.sql.shuffle.partitions": "16", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    try:
+        facts = spark.range(8000).select("id", F.timestamp_seconds(F.col("id") * 45).alias("t"))
+        spans = spark.range(3).select(F.col("id").alias("span"), F.timestamp_seconds(F.lit(0)).alias("begins"), F.lit(None).cast("timestamp").alias("ends"))
+        joined = interval_join(facts, spans, "t", "begins", "ends")
+        counts = [r[1] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(counts) == 24_000 and max(counts) < 12_000
+
+
+def test_interval_join_deals_a_single_file_of_facts(spark):
+    """Also where the spans are broadcast."""
+    facts = spark.range(2000, numPartitions=1).select("id", F.timestamp_seconds(F.col("id") * 45).alias("t"))
+    spans = spark.range(3).select(F.timestamp_seconds(F.lit(0)).alias("begins"), F.lit(None).cast("timestamp").alias("ends"))
+    joined = interval_join(facts, F.broadcast(spans), "t", "begins", "ends")
+    counts = [r[1] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(counts) == 6000 and len(counts) > 1
+
+
 @needs_data
 def test_interval_join_has_an_equality_key(spark):
     plan = QUERIES["events_in_promotions"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
