@@ -20,13 +20,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import fold, map_arrow, small_batches, spans_of_texts, whole_text
+from ledgerlake.llm.common import fold, hand_back, map_arrow, small_batches, spans_of_texts, whole_text
 
 BUCKETS = 1 << 16
 LONGEST = 4
 MOST_LANGUAGES = 200
 SMOOTHING = 0.5
 ROUNDS = 12
+#: Characters that are counted at once: each is about four cells, 64 bits wide.
+COUNTED_CHARS = 250_000
 UNKNOWN = "und"
 #: Log-likelihood that a further language has to add, per logarithm of the number of n-grams.
 PENALTY = 1.0
@@ -84,7 +86,7 @@ def ngram_counts(labelled: DataFrame) -> DataFrame:
         counts: dict[str, np.ndarray] = {}
         for batch in batches:
             texts, langs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for begin, end in spans_of_texts(texts):
+            for begin, end in spans_of_texts(texts, COUNTED_CHARS):
                 found: dict[str, list[np.ndarray]] = {}
                 for text, lang in zip(texts[begin:end], langs[begin:end]):
                     found.setdefault(lang, []).append(cells(text))
@@ -97,6 +99,8 @@ def ngram_counts(labelled: DataFrame) -> DataFrame:
                 [pa.array([lang] * len(cell), pa.string()), pa.array(cell), pa.array(of_lang[cell])],
                 names=["lang", "cell", "n"],
             )
+        counts.clear()
+        hand_back()
 
     texts = labelled.where("text is not null and lang is not null").select("text", F.col("lang").cast("string"))
     return texts.mapInArrow(run, "lang string, cell long, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n"))

@@ -29,12 +29,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import small_batches, spans_of_texts, whole_text
+from ledgerlake.llm.common import hand_back, small_batches, spans_of_texts, whole_text
 
 LENGTH = 2048
 POOL = 512
 END = 1
 LINEAR, QUADRATIC = 1.0, 1.0 / 1024
+#: Characters that are encoded at once.
+ENCODED_CHARS = 1_000_000
 
 _SCHEMA = pa.schema(
     [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
@@ -100,7 +102,7 @@ class WordEncoder:
     #: Stops and commas after other marks, which may be one unit with them.
     _marks = re.compile(r"[^\w\s][.,]|_[.,]")
 
-    def __init__(self, path: str, most_units: int = 500_000, added: bool = False):
+    def __init__(self, path: str, most_units: int = 250_000, added: bool = False):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -142,8 +144,10 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, as uint32."""
-        if len(self.chunks.number) > self.most_units or len(self.units.number) > self.most_units:
+        if len(self.chunks.number) > self.most_units:
             self._reset()
+        elif len(self.units.number) > self.most_units // 4:
+            self.units = _Table()  # chunks have ids of their own
         known = len(self.chunks.number)
         numbers = []
         for text in texts:
@@ -280,10 +284,12 @@ def packed(docs: DataFrame, tokenizer: str) -> DataFrame:
         pool = _Pool(TaskContext.get().partitionId())
         for batch in batches:
             doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for begin, end in spans_of_texts(texts):
+            for begin, end in spans_of_texts(texts, ENCODED_CHARS):
                 for doc_id, ids in zip(doc_ids[begin:end], encoder.encode(texts[begin:end])):
                     pool.add(doc_id, np.append(ids, np.uint32(END)))
                     yield from pool.full()
         yield from pool.rest()
+        del pool
+        hand_back()
 
     return docs.select(F.col("doc_id").cast("long"), whole_text().alias("text")).mapInArrow(run, SCHEMA)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import fold, map_arrow, settle, small_batches, spans_of_texts, whole_text
+from ledgerlake.llm.common import fold, hand_back, map_arrow, settle, small_batches, spans_of_texts, whole_text
 
 CELLS = 1 << 14
 AGAIN = 0
@@ -34,6 +34,8 @@ WINDOW = 2
 SAMPLE = 20_000
 HIDDEN = 24
 THRESHOLD = 0.3
+#: Characters whose words are summed at once: some ten arrays of a number a word.
+SUMMED_CHARS = 1_000_000
 
 _WORD = re.compile(r"[^\W\d_]+|\d+|(?:[^\w\s]|_)+")
 _DRAW = np.random.default_rng(11)
@@ -86,11 +88,13 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
         sums = np.zeros((CELLS, DIMENSIONS))
         for batch in batches:
             texts = batch.column(0).to_pylist()
-            for begin, end in spans_of_texts(texts):
+            for begin, end in spans_of_texts(texts, SUMMED_CHARS):
                 sums += context_sums(texts[begin:end])
         met = np.flatnonzero(sums.any(axis=1))
         columns = [pa.array(sums[met, k].astype(np.int64)) for k in range(DIMENSIONS)]
         yield pa.RecordBatch.from_arrays([pa.array(met), *columns], names=["cell", *names])
+        del sums, columns
+        hand_back()
 
     schema = "cell long, " + ", ".join(f"{name} long" for name in names)
     partial = docs.select(whole_text().alias("text")).mapInArrow(run, schema)

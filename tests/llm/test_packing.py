@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import random
 import zlib
 
@@ -10,6 +11,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from ledgerlake.llm import packing
+from ledgerlake.llm.common import hand_back
 from ledgerlake.llm.queries import QUERIES, TOKENIZERS
 from tests.llm.common import ODD, SF, no_docs, odd_docs
 
@@ -98,3 +100,25 @@ def test_added_tokens(spark):
     assert [x.tolist() for x in packing.word_encoder(PATH).encode(texts)] == expected
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     check(packing.packed(docs, PATH).collect(), list(enumerate(expected)))
+
+
+def test_tables_of_units_stay_small():
+    """What a worker looked up stays with it, so units are held only while chunks are learned."""
+    encoder = packing.WordEncoder(PATH, 1000)
+    words = [f"{a}{b}{c}" for a in "bdfgk" for b in "aeiou" for c in "lmnprstvxz"]
+    for at in range(0, 250, 50):
+        encoder.encode([" ".join(f"{word}{end}" for word in words[at : at + 50]) for end in ("", "sh", "ck")])
+        assert len(encoder.units.number) <= 1000 // 4 + 150
+    assert len(encoder.chunks.number) == 750
+    assert encoder.encode(["bal dishck"])[0].tolist() == tokenizer().encode("bal dishck", add_special_tokens=False).ids
+
+
+def test_freed_memory_goes_back():
+    def held() -> int:
+        return int(open("/proc/self/statm").read().split()[1]) * os.sysconf("SC_PAGE_SIZE")
+
+    blocks = [bytearray(b"x" * 65_536) for _ in range(1600)]
+    last, full = blocks[-1], held()
+    del blocks  # the last block keeps the heap's end where it is
+    hand_back()
+    assert len(last) == 65_536 and held() < full - 50_000_000
