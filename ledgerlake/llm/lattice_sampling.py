@@ -42,6 +42,8 @@ from ledgerlake.llm.common import map_arrow, spans_of_texts, whole_text
 
 RANK_SHIFT = 10
 SPACE = "▁"
+#: Hash of no characters.
+START = np.uint64(0x51ED270B)
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _MASK = (1 << 64) - 1
 
@@ -88,14 +90,16 @@ class Vocabulary:
         self.log_weight = np.full(self.size, -alpha * np.log(self.size + RANK_SHIFT))
         self.log_weight[ids] = -alpha * np.log(np.array(ids) - first + RANK_SHIFT)
         self.longest = max(map(len, texts), default=1)
-        keys = np.array([self._hash(np.array([list(map(ord, t))], np.uint64))[0] for t in texts], np.uint64)
+        #: By the leading bits of a hash: 1 if a piece may have it, plus 2 if the beginning of a longer piece may.
+        self.kind = np.zeros(1 << 22, np.uint8)
+        keys = self._hashes(texts)
         order = np.argsort(keys)
         self.keys, self.ids = keys[order], np.array(ids)[order]
         if len(np.unique(keys)) < len(keys):
             raise ValueError("two pieces of one hash")
-        #: By the leading bits of a hash, whether a piece may have it.
-        self.maybe = np.zeros(1 << 22, np.bool_)
-        self.maybe[self.keys >> np.uint64(42)] = True
+        #: By the same bits, the first key that has them.
+        self.first_key = np.zeros(1 << 22, np.min_scalar_type(max(len(self.keys), 1)))
+        self.first_key[(self.keys >> np.uint64(42))[::-1]] = np.arange(len(self.keys))[::-1]
         self.lengths = np.array([len(b) for b in self.bytes_of])
         self.flat = np.frombuffer(b"".join(self.bytes_of), np.uint8)
         self.starts = np.cumsum(self.lengths) - self.lengths
@@ -104,11 +108,27 @@ class Vocabulary:
     def _extend(hashed: np.ndarray, points: np.ndarray) -> np.ndarray:
         return (hashed ^ points) * np.uint64(0x2545F4914F6CDD1D) + (hashed >> np.uint64(29))
 
-    def _hash(self, points: np.ndarray) -> np.ndarray:
-        hashed = np.full(len(points), 0x51ED270B, np.uint64)
-        for column in points.T:
-            hashed = self._extend(hashed, column)
-        return hashed
+    def _hashes(self, texts: list[str]) -> np.ndarray:
+        """The pieces' hashes; notes these and those of their beginnings in ``kind``."""
+        points = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).astype(np.uint64)
+        sizes = np.array([len(text) for text in texts], np.int64)
+        first = np.cumsum(sizes) - sizes
+        keys = np.full(len(texts), START, np.uint64)
+        for length in range(1, self.longest + 1):
+            at = np.flatnonzero(sizes >= length)
+            keys[at] = self._extend(keys[at], points[first[at] + length - 1])
+            bits = keys[at] >> np.uint64(42)
+            self.kind[bits[sizes[at] == length]] |= 1
+            self.kind[bits[sizes[at] > length]] |= 2
+        return keys
+
+    def among_keys(self, hashed: np.ndarray) -> np.ndarray:
+        """For hashes that ``kind`` calls a piece's, the place among the keys of each one's equal, or of another key."""
+        slot = self.first_key[hashed >> np.uint64(42)].astype(np.int64)
+        other = np.flatnonzero(self.keys[slot] != hashed)
+        slot[other] = np.searchsorted(self.keys, hashed[other])
+        slot[slot == len(self.keys)] = 0
+        return slot
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The normalised text of a segmentation, in UTF-8."""
@@ -131,6 +151,15 @@ def normalised(text: str) -> str:
 _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 
+def words_of(text: str) -> list[str]:
+    """The words of the normalised text, each without the mark in front that all of them have."""
+    if not text:
+        return []
+    if "  " in text or SPACE in text or text[0] == " " or text[-1] == " ":
+        return [word[1:] for word in _WORD.findall(normalised(text))]
+    return text.split(" ")
+
+
 class Lattices:
     """The lattices of distinct words, laid end to end: a state for each character of each word.
 
@@ -145,39 +174,47 @@ class Lattices:
         sizes = np.array([len(word) for word in words], np.int64)
         self.first = np.cumsum(sizes) - sizes
         states = len(points)
-        left = np.repeat(self.first + sizes, sizes) - np.arange(states)  # characters up to the word's end
+        # Characters up to the word's end.
+        left = (np.repeat(self.first + sizes, sizes) - np.arange(states)).astype(np.int32)
         wide = points.astype(np.uint64)
-        hashed = np.full(states, 0x51ED270B, np.uint64)
-        at = np.arange(states)
-        found_state, found_length, found_piece = [], [], []
+        at, hashed = np.arange(states), np.full(states, START)
+        found = []
+        degree = np.zeros(states, np.int64)
         single = np.zeros(states, np.bool_)
         for length in range(1, vocabulary.longest + 1):
-            at = at[left[at] >= length]
+            inside = left[at] >= length
+            at, hashed = at[inside], hashed[inside]
             if not len(at):
                 break
-            hashed[at] = vocabulary._extend(hashed[at], wide[at + length - 1])
-            near = at[vocabulary.maybe[hashed[at] >> np.uint64(42)]]
-            slot = np.searchsorted(vocabulary.keys, hashed[near])
-            slot[slot == len(vocabulary.keys)] = 0
-            hit = vocabulary.keys[slot] == hashed[near]
+            hashed = vocabulary._extend(hashed, wide[at + length - 1])
+            kind = vocabulary.kind[hashed >> np.uint64(42)]
+            maybe, longer = np.flatnonzero(kind & 1), kind > 1
+            near, of_near = at[maybe], hashed[maybe]
+            at, hashed = at[longer], hashed[longer]
+            slot = vocabulary.among_keys(of_near)
+            hit = vocabulary.keys[slot] == of_near
             near, piece = near[hit], vocabulary.ids[slot[hit]]
             if length == 1:
                 single[near] = True
-            found_state.append(near)
-            found_length.append(np.full(len(near), length))
-            found_piece.append(piece)
+            degree[near] += 1
+            found.append((near, length, piece))
         spelled = np.flatnonzero(~single)
-        found_state.append(spelled)
-        found_length.append(np.ones(len(spelled), np.int64))
-        found_piece.append(-1 - points[spelled].astype(np.int64))
-        state, length, piece = map(np.concatenate, (found_state, found_length, found_piece))
-        weight = vocabulary.log_weight[np.maximum(piece, 0)]
+        degree[spelled] += 1
+        found.append((spelled, 1, -1 - points[spelled].astype(np.int64)))
+        # A state's edges by rising length, one that is spelled last.
+        self.begin = np.append(0, np.cumsum(degree))
+        self.length, self.piece = np.empty(self.begin[-1], np.int16), np.empty(self.begin[-1], np.int32)
+        free = self.begin[:-1].copy()
+        for near, length, piece in found:
+            slot = free[near]
+            self.length[slot], self.piece[slot] = length, piece
+            free[near] = slot + 1
+        state = np.repeat(np.arange(states), degree)
+        weight = vocabulary.log_weight[np.maximum(self.piece, 0)]
         if len(spelled):
-            utf8 = np.digitize(-1 - piece[piece < 0], [0x80, 0x800, 0x10000]) + 1
-            weight[piece < 0] = utf8 * vocabulary.log_weight[vocabulary.byte_id[0]]
-        order = np.argsort(state, kind="stable")  # the lengths come in rising order
-        state, self.length, self.piece, weight = state[order], length[order], piece[order], weight[order]
-        self.begin = np.searchsorted(state, np.arange(states + 1))
+            of_spelled = self.begin[spelled + 1] - 1
+            utf8 = np.digitize(points[spelled], [0x80, 0x800, 0x10000]) + 1
+            weight[of_spelled] = utf8 * vocabulary.log_weight[vocabulary.byte_id[0]]
         self.left = left
         self.states = states
         value = self._backward(state, weight)
@@ -185,9 +222,9 @@ class Lattices:
         self.log_p = np.minimum(weight + value[target] - value[state], 0.0)
         p = np.exp(self.log_p)
         running = np.cumsum(p)
-        before = np.append(0.0, running)[self.begin[state]]
-        total = (np.append(0.0, running)[self.begin[1:]] - np.append(0.0, running)[self.begin[:-1]])[state]
-        self.cumulative = state + np.minimum((running - before) / total, 1.0)
+        until = np.append(0.0, running)[self.begin]
+        total = np.diff(until)
+        self.cumulative = state + np.minimum((running - until[state]) / total[state], 1.0)
         self.cumulative[self.begin[1:] - 1] = np.arange(states) + 1.0
 
     def _backward(self, state: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -209,8 +246,19 @@ class Lattices:
         return value
 
     def draw(self, states: np.ndarray, numbers: np.ndarray) -> np.ndarray:
-        edge = np.searchsorted(self.cumulative, states + numbers, "right")
-        return np.clip(edge, self.begin[states], self.begin[states + 1] - 1)
+        """The first edge of each state whose summed probability passes the number: few steps back from the last one."""
+        first, edge = self.begin[states], self.begin[states + 1] - 1
+        wanted = states + numbers
+        index = np.flatnonzero(edge > first)
+        at, first, wanted = edge[index], first[index], wanted[index]
+        while len(index):
+            back = np.flatnonzero(self.cumulative[at - 1] > wanted)
+            index, at, first, wanted = index[back], at[back] - 1, first[back], wanted[back]
+            edge[index] = at
+            more = np.flatnonzero(at > first)
+            if len(more) < len(at):
+                index, at, first, wanted = index[more], at[more], first[more], wanted[more]
+        return edge
 
 
 class _Numbers(dict):
@@ -228,12 +276,12 @@ class _Run:
         numbers = _Numbers()
         counts, words = [], [np.zeros(0, np.int64)]
         for text in texts:
-            found = _WORD.findall(normalised(text))
+            found = words_of(text)
             words.append(np.fromiter(map(numbers.__getitem__, found), np.int64, len(found)))
             counts.append(len(found))
-        self.lattices = Lattices(list(numbers), vocabulary)
+        self.lattices = Lattices([SPACE + word for word in numbers], vocabulary)
         kinds = np.concatenate(words)
-        sizes = np.fromiter(map(len, numbers), np.int64, len(numbers))
+        sizes = np.fromiter(map(len, numbers), np.int64, len(numbers)) + 1
         self.state = self.lattices.first[kinds] if len(kinds) else kinds
         of_words = sizes[kinds] if len(kinds) else kinds
         self.words = np.append(0, np.cumsum(counts))
@@ -273,19 +321,47 @@ class _Sample:
         self.log_p = float(running[-1]) if len(running) else 0.0
 
 
-def _left_behind(run: _Run, sample: _Sample, since: int, seed: np.uint64, base: int, k: int) -> Iterator[tuple[float, int]]:
-    """Log-arrivals of the k first sets that branch off the sample from token ``since`` on."""
-    edges, states = sample.edge[since:], sample.state[since:]
+#: Below the least logarithm of -log(u) that ``uniform`` can give, u = 1 - 2^-53.
+_LEAST_WAIT = -37.0
+#: Tokens that are looked at first.
+_NEAR = 192
+
+
+def _waits(run: _Run, parts: list[tuple[_Sample, int, int]], seeds: np.ndarray, bases: np.ndarray) -> list[np.ndarray]:
+    """For the tokens since, until of each sample: log of the wait for the set that branches off there."""
+    lattices, sizes = run.lattices, [until - since for _, since, until in parts]
+    edges, states, word, before = (
+        np.concatenate([getattr(sample, name)[since:until] for sample, since, until in parts])
+        for name in ("edge", "state", "word", "before")
+    )
     with np.errstate(divide="ignore"):
-        mass = sample.before[since:] + np.log(-np.expm1(run.lattices.log_p[edges]))
-    counter = 2 * (run.place[sample.word[since:]] + states - run.state[sample.word[since:]] - base) + 1
-    wait = np.log(-np.log(uniform(np.full(len(edges), seed), counter)))
-    single = run.lattices.begin[states + 1] - run.lattices.begin[states] == 1
-    arrival = np.where(single, np.inf, np.logaddexp(sample.arrival, wait - mass))
-    best = np.argpartition(arrival, k - 1)[:k] if len(arrival) > k else np.arange(len(arrival))
+        mass = before + np.log(-np.expm1(lattices.log_p[edges]))
+    counter = 2 * (run.place[word] + states - run.state[word] - np.repeat(bases, sizes)) + 1
+    wait = np.log(-np.log(uniform(np.repeat(seeds, sizes), counter))) - mass
+    wait[lattices.begin[states + 1] - lattices.begin[states] == 1] = np.inf
+    ends = np.cumsum(sizes)
+    return [wait[end - size : end] for size, end in zip(sizes, ends)]
+
+
+def _left_behind(
+    run: _Run, sample: _Sample, since: int, wait: np.ndarray, seed: np.uint64, base: int, k: int
+) -> Iterator[tuple[float, int]]:
+    """Log-arrivals of the k first sets that branch off the sample from token ``since`` on.
+
+    ``wait`` are the waits of the first tokens. A token's set has at most the mass of what the
+    tokens before it left, which only falls: once even the shortest wait for that would come
+    after the k first sets, no later token counts.
+    """
+    while True:
+        until = since + len(wait)
+        best = np.argpartition(wait, k - 1)[:k] if len(wait) > k else np.arange(len(wait))
+        if until == len(sample.edge) or (len(wait) >= k and _LEAST_WAIT - sample.before[until] > wait[best].max()):
+            break
+        until = min(since + 4 * len(wait), len(sample.edge))
+        wait = _waits(run, [(sample, since, until)], np.array([seed]), np.array([base]))[0]
     for at in best:
-        if np.isfinite(arrival[at]):
-            yield float(arrival[at]), int(since + at)
+        if np.isfinite(wait[at]):
+            yield float(np.logaddexp(sample.arrival, wait[at])), int(since + at)
 
 
 def samples(texts: list[str], keys: list[int], k: int, vocabulary: Vocabulary) -> list[list[tuple[np.ndarray, float, float]]]:
@@ -334,10 +410,10 @@ def samples(texts: list[str], keys: list[int], k: int, vocabulary: Vocabulary) -
                 mass = parent.before[at] + np.log(np.exp(lattices.log_p[[e for e in others if e != edge]]).sum())
                 wait = np.log(-np.log(float(uniform(of_sample[text : text + 1], np.array([place + 1]))[0])))
                 heapq.heappush(waiting[text], (float(np.logaddexp(arrival, wait - mass)), parent_number, at, gone))
-            word, rest = int(parent.word[at]), int(lattices.left[state] - lattices.length[edge])
+            word, rest = int(parent.word[at]), int(lattices.left[state]) - int(lattices.length[edge])
             later = np.arange(word + 1, end)
             words_parts.append(np.append(word, later) if rest else later)
-            start_parts.append(np.append(state + lattices.length[edge], run.state[later]) if rest else run.state[later])
+            start_parts.append(np.append(state + int(lattices.length[edge]), run.state[later]) if rest else run.state[later])
             heads.append((text, (parent, at, edge), len(result[text]), arrival))
         if not heads:
             break
@@ -346,6 +422,7 @@ def samples(texts: list[str], keys: list[int], k: int, vocabulary: Vocabulary) -
         owner = np.repeat(np.array([head[0] for head in heads]), sizes)
         index, state, edge = run.descend(words, np.concatenate(start_parts), of_sample[owner], base[owner])
         bounds = np.searchsorted(index, np.append(0, np.cumsum(sizes)))
+        fresh = []
         for head, low, high in zip(heads, bounds[:-1], bounds[1:]):
             text, branch, mine, arrival = head
             word, states, edges = words[index[low:high]], state[low:high], edge[low:high]
@@ -358,8 +435,13 @@ def samples(texts: list[str], keys: list[int], k: int, vocabulary: Vocabulary) -
                 edges = np.concatenate([parent.edge[:at], [taken], edges])
             sample = _Sample(arrival, word, states, edges, lattices.log_p[edges])
             result[text].append(sample)
-            for value, token in _left_behind(run, sample, since, of_sample[text], base[text], k - mine):
-                heapq.heappush(waiting[text], (value, mine, token, (int(edges[token]),)))
+            fresh.append((text, mine, sample, since))
+        parts = [(sample, since, min(since + _NEAR, len(sample.edge))) for _, _, sample, since in fresh]
+        drawn = [text for text, *_ in fresh]
+        waits = _waits(run, parts, of_sample[drawn], base[drawn])
+        for (text, mine, sample, since), wait in zip(fresh, waits):
+            for value, token in _left_behind(run, sample, since, wait, of_sample[text], base[text], k - mine):
+                heapq.heappush(waiting[text], (value, mine, token, (int(sample.edge[token]),)))
     out = []
     for text, found in enumerate(result):
         of_text = []

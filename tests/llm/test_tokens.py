@@ -187,3 +187,28 @@ def test_long_runs_of_blanks_are_whole_words(monkeypatch):
             ids, begins, ends = encode.spans(text)
             assert ends[-1] == len(text) and begins[0] == 0 and (begins[1:] == ends[:-1]).all()
     assert time.monotonic() - begun < 60
+
+
+def test_sampling_looks_at_few_sets(monkeypatch):
+    """Two samples draw each token twice; of the sets that branch off only the first ones can come next."""
+    numbers = []
+    plain = lattice.uniform
+    monkeypatch.setattr(lattice, "uniform", lambda seeds, counters: numbers.append(len(seeds)) or plain(seeds, counters))
+    pieces = lattice.vocabulary(TOKENIZERS("piece_bpe_32k.model"), 0.5)
+    text = " ".join(f"{a}ating {b}er some{a}{b}" for a in ["cre", "rel", "rot", "flo"] for b in ["riv", "tow", "pap"] for _ in range(60))
+    found = lattice.samples([text], [5], 2, pieces)[0]
+    tokens = sum(len(ids) for ids, _, _ in found)
+    assert len(found) == 2 and sum(numbers) < 1.3 * tokens
+
+
+def test_sampling_draws_and_words():
+    pieces = lattice.vocabulary(TOKENIZERS("piece_bpe_32k.model"), 0.5)
+    words = ["▁interesting", "▁", "▁日本é", "▁aaaaaaaaaaaaaaaaaaaaaaaaaaaaa", "▁the"]
+    lattices = lattice.Lattices(words, pieces)
+    states = np.repeat(np.arange(lattices.states), 50)
+    draws = np.tile(np.append(np.linspace(0, 1, 49, endpoint=False), 1 - 2.0**-53), lattices.states)
+    edges = np.searchsorted(lattices.cumulative, states + draws, "right")
+    assert (lattices.draw(states, draws) == np.clip(edges, lattices.begin[states], lattices.begin[states + 1] - 1)).all()
+    for text in ["", " ", "  a", "a  b ", "a ", " a", "▁x ▁", "a\n b\tc", "one two"]:
+        marked = ["▁" + word for word in lattice.words_of(text)]
+        assert marked == re.findall("▁*[^▁]+|▁+", lattice.normalised(text))
