@@ -60,12 +60,26 @@ class _Table:
         self.number = _Numbers()
         self.ids = np.zeros(0, np.uint32)
         self.length = self.first = np.zeros(0, np.int64)
+        self.used = np.zeros(0, np.int64)
 
     def add(self, ids: np.ndarray, lengths: np.ndarray) -> None:
         """The runs of the next keys, in order."""
         self.ids = np.concatenate([self.ids, ids])
         self.length = np.concatenate([self.length, lengths])
         self.first = np.cumsum(self.length) - self.length
+        self.used = np.concatenate([self.used, np.zeros(len(lengths), np.int64)])
+
+    def count(self, numbers: np.ndarray) -> None:
+        """Counts uses, by which ``keep`` goes."""
+        self.used += np.bincount(numbers, minlength=len(self.used))
+
+    def keep(self, most: int) -> None:
+        """Forgets all but the ``most`` keys used most often, of equals the older; counts are halved."""
+        kept = np.argsort(-self.used, kind="stable")[:most]
+        keys = list(self.number)
+        self.number = _Numbers(zip(map(keys.__getitem__, kept.tolist()), range(len(kept))))
+        self.ids, self.length, self.used = self.gathered(kept), self.length[kept], self.used[kept] // 2
+        self.first = np.cumsum(self.length) - self.length
 
     def gathered(self, numbers: np.ndarray) -> np.ndarray:
         """The runs of ``numbers``, one after the other."""
@@ -85,10 +99,11 @@ class WordEncoder:
     each such chunk is encoded once and looked up from then on. Chunks of Latin letters are put
     in lower case first, as the tokenizer does, and a new one falls into units: runs of letters
     and digits, with apostrophes between them, and runs of other marks; the tokenizer splits at
-    least there. Units are encoded once as well; those of lower-case ASCII letters need nothing
-    but the tokenizer's merges. Elsewhere lower case or composed characters may depend on what
+    least there. Units are encoded once as well; those of lower-case Latin letters need nothing
+    but the tokenizer's merges, over the characters its pre-tokenizer spells bytes with. Elsewhere lower case or composed characters may depend on what
     stands around, and chunks are encoded as they are. ``tests/llm`` hold the ids against the
-    tokenizer's.
+    tokenizer's. Tables that have grown to their bound forget what was used least: most words of
+    a text are common ones, and are not encoded again for the sake of many rare ones.
 
     With ``added``, as the operator has it, texts are first cut at the tokenizer's added tokens,
     such as <|endoftext|>, each one id; else these are spelled out.
@@ -100,7 +115,7 @@ class WordEncoder:
     _beyond_latin = re.compile("[\x1c-\x1f\u0250-\U0010ffff]")
     _units = re.compile(r"'?[^\W_]+(?:'[^\W_]+)*|(?:[^\w\s]|_)+")
     #: Stops and commas after other marks, which may be one unit with them.
-    _marks = re.compile(r"[^\w\s][.,]|_[.,]")
+    _marks = re.compile(r"[.,](?<=[^\w\s][.,]|_[.,])")
 
     def __init__(self, path: str, most_units: int = 250_000, added: bool = False):
         from tokenizers import Tokenizer
@@ -112,10 +127,9 @@ class WordEncoder:
         longest_first = sorted(self._added, key=len, reverse=True)
         self._cut_added = re.compile(f"({'|'.join(map(re.escape, longest_first))})")
         self.most_units = most_units
-        self._reset()
-
-    def _reset(self) -> None:
         self.chunks, self.units = _Table(), _Table()
+        pieces = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        self._spelled = {c: pieces(chr(c))[0][0] for c in range(0x80, 0x250) if chr(c).isalpha()}
 
     def _added_tokens(self) -> dict[str, int]:
         tokens = self.tokenizer.get_added_tokens_decoder()
@@ -144,16 +158,17 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, as uint32."""
-        if len(self.chunks.number) > self.most_units:
-            self._reset()
-        elif len(self.units.number) > self.most_units // 4:
-            self.units = _Table()  # chunks have ids of their own
+        for table, most in (self.chunks, self.most_units), (self.units, self.most_units // 4):
+            if len(table.number) > most:
+                table.keep(most // 2)
         known = len(self.chunks.number)
         numbers = []
         for text in texts:
             chunks = self._chunks_of(text)
             numbers.append(np.fromiter(map(self.chunks.number.__getitem__, chunks), np.int64, len(chunks)))
         self._learn_chunks(list(islice(self.chunks.number, known, None)))
+        if numbers:
+            self.chunks.count(np.concatenate(numbers))
         return [self.chunks.gathered(of_text) for of_text in numbers]
 
     def _learn_chunks(self, fresh: list[str]) -> None:
@@ -172,13 +187,26 @@ class WordEncoder:
                 sizes.append(len(parts))
         self._learn_units(list(islice(number, known, None)))
         units = np.array(of_chunks, np.int64)
+        self.units.count(units)
         ends = np.concatenate([[0], np.cumsum(self.units.length[units])])
         last = np.cumsum(sizes)
         self.chunks.add(self.units.gathered(units), ends[last] - ends[last - sizes])
 
+    def _ids_of(self, unit: str) -> list[int] | None:
+        """The ids of a unit that is a known chunk or lower-case Latin letters; None for any other."""
+        known = self.chunks.number.get(unit, len(self.chunks.length))
+        if known < len(self.chunks.length):
+            return self.chunks.ids[self.chunks.first[known] :][: self.chunks.length[known]].tolist()
+        if not (unit.isalpha() and unit.islower()):
+            return None
+        if not unit.isascii():
+            if self._beyond_latin.search(unit):
+                return None
+            unit = unit.translate(self._spelled)
+        return [token.id for token in self.tokenizer.model.tokenize(unit)]
+
     def _learn_units(self, fresh: list[str]) -> None:
-        merged = self.tokenizer.model.tokenize
-        ids = [[t.id for t in merged(unit)] if unit.isascii() and unit.isalpha() and unit.islower() else None for unit in fresh]
+        ids = [self._ids_of(unit) for unit in fresh]
         others = [k for k, found in enumerate(ids) if found is None]
         encoded = self.tokenizer.encode_batch_fast([fresh[k] for k in others], add_special_tokens=False)
         for k, of_unit in zip(others, encoded):

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -122,3 +123,48 @@ def test_freed_memory_goes_back():
     del blocks  # the last block keeps the heap's end where it is
     hand_back()
     assert len(last) == 65_536 and held() < full - 50_000_000
+
+
+class Counted:
+    """A tokenizer and its model that count what they are asked to encode."""
+
+    def __init__(self, loaded: Tokenizer):
+        self.loaded, self.model, self.asked = loaded, self, Counter()
+
+    def tokenize(self, unit: str) -> list:
+        self.asked[unit] += 1
+        return self.loaded.model.tokenize(unit)
+
+    def encode_batch_fast(self, units: list[str], **given) -> list:
+        self.asked.update(units)
+        return self.loaded.encode_batch_fast(units, **given)
+
+
+def test_common_words_are_encoded_once():
+    """A table at its bound gives up rare words and keeps those that come again and again."""
+    encoder, plain = packing.WordEncoder(PATH, 400), tokenizer()
+    encoder.tokenizer = counted = Counted(encoder.tokenizer)
+    common = [f"{a}{b}" for a in "bdfgklmnpr" for b in ("ash", "ish")]
+    rare = [f"{a}{b}{c}{d}" for a in "bdfgklmnpr" for b in "aeiou" for c in "stvxz" for d in ("", "ick", "um", "ol")]
+    for at in range(0, len(rare), 100):
+        # Common words twice in each text; the one before marks is a chunk as well.
+        text = " ".join([*common, *rare[at : at + 100], *common, f"{common[at // 100]}$$$"])
+        assert encoder.encode([text])[0].tolist() == plain.encode(text, add_special_tokens=False).ids
+        assert len(encoder.chunks.number) <= 400 + 150 and len(encoder.units.number) <= 100 + 150
+    assert {word: counted.asked[word] for word in common + rare} == dict.fromkeys(common + rare, 1)
+
+
+def test_latin_letters_equal_tokenizer():
+    """Lower-case Latin words go to the merges by the spelling of their bytes."""
+    letters = [chr(c) for c in range(0x41, 0x250) if chr(c).isalpha()]
+    draw = random.Random(5)
+    words = letters + ["".join(draw.choices(letters, k=draw.randint(2, 9))) for _ in range(4000)]
+    words += [word + draw.choice(["***", "\u0301", "'s", ".", "7"]) for word in words]
+    expected = [e.ids for e in tokenizer().encode_batch(words, add_special_tokens=False)]
+    assert [x.tolist() for x in packing.WordEncoder(PATH).encode(words)] == expected
+
+
+def test_stops_and_commas_after_marks():
+    texts = ["a. b, c", "x*. y", "x_, y", "x). y, z", "é., a", ". a", "a ., b", "á. b", "..", "a,\nb.\nc_.", "½, ²."]
+    expected = [e.ids for e in tokenizer().encode_batch(texts, add_special_tokens=False)]
+    assert [x.tolist() for x in packing.WordEncoder(PATH).encode(texts)] == expected
