@@ -21,7 +21,7 @@ import re
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain, islice
+from itertools import chain, compress, islice
 
 import numpy as np
 import pyarrow as pa
@@ -77,7 +77,11 @@ class _Table:
         """Forgets all but the ``most`` keys used most often, of equals the older; counts are halved."""
         kept = np.argsort(-self.used, kind="stable")[:most]
         keys = list(self.number)
-        self.number = _Numbers(zip(map(keys.__getitem__, kept.tolist()), range(len(kept))))
+        self.number.clear()
+        # No key has a line's end in it. Keys that are made anew lie side by side, and hold no others' room.
+        joined = "\n".join(map(keys.__getitem__, kept.tolist()))
+        del keys
+        self.number.update(zip(joined.split("\n"), range(len(kept))))
         self.ids, self.length, self.used = self.gathered(kept), self.length[kept], self.used[kept] // 2
         self.first = np.cumsum(self.length) - self.length
 
@@ -100,9 +104,9 @@ class WordEncoder:
     in lower case first, as the tokenizer does, and a new one falls into units: runs of letters
     and digits, with apostrophes between them, and runs of other marks; the tokenizer splits at
     least there. Units are encoded once as well; those of lower-case Latin letters need nothing
-    but the tokenizer's merges, over the characters its pre-tokenizer spells bytes with. Elsewhere lower case or composed characters may depend on what
-    stands around, and chunks are encoded as they are. ``tests/llm`` hold the ids against the
-    tokenizer's. Tables that have grown to their bound forget what was used least: most words of
+    but the tokenizer's merges, over the characters its pre-tokenizer spells bytes with. Elsewhere
+    lower case or composed characters may depend on what stands around, and chunks are encoded as
+    they are. ``tests/llm`` hold the ids against the tokenizer's. Tables that have grown to their bound forget what was used least: most words of
     a text are common ones, and are not encoded again for the sake of many rare ones.
 
     With ``added``, as the operator has it, texts are first cut at the tokenizer's added tokens,
@@ -117,7 +121,7 @@ class WordEncoder:
     #: Stops and commas after other marks, which may be one unit with them.
     _marks = re.compile(r"[.,](?<=[^\w\s][.,]|_[.,])")
 
-    def __init__(self, path: str, most_units: int = 250_000, added: bool = False):
+    def __init__(self, path: str, most_units: int = 200_000, added: bool = False):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -129,7 +133,7 @@ class WordEncoder:
         self.most_units = most_units
         self.chunks, self.units = _Table(), _Table()
         pieces = self.tokenizer.pre_tokenizer.pre_tokenize_str
-        self._spelled = {c: pieces(chr(c))[0][0] for c in range(0x80, 0x250) if chr(c).isalpha()}
+        self._spelled = {c: pieces(chr(c))[0][0] if chr(c).isalpha() else chr(c) for c in range(0x250)}
 
     def _added_tokens(self) -> dict[str, int]:
         tokens = self.tokenizer.get_added_tokens_decoder()
@@ -172,16 +176,14 @@ class WordEncoder:
         return [self.chunks.gathered(of_text) for of_text in numbers]
 
     def _learn_chunks(self, fresh: list[str]) -> None:
-        """A chunk's ids are those of its units; added tokens and chunks beyond Latin are one unit."""
+        """A chunk's ids are those of its units; words, added tokens and chunks beyond Latin are encoded whole."""
         if not fresh:
             return
         number, known, beyond = self.units.number, len(self.units.number), self._beyond_latin.search
+        whole = [chunk.isalpha() or chunk[0] == " " or beyond(chunk) is not None for chunk in fresh]
         of_chunks, sizes = [], []
-        for chunk in fresh:
-            if chunk.isalpha() or chunk[0] == " " or beyond(chunk):
-                of_chunks.append(number[chunk])
-                sizes.append(1)
-            else:
+        for chunk, is_whole in zip(fresh, whole):
+            if not is_whole:
                 parts = self._units.findall(chunk.lower())  # not yet in lower case where a text has more than Latin
                 of_chunks.extend(map(number.__getitem__, parts))
                 sizes.append(len(parts))
@@ -189,29 +191,35 @@ class WordEncoder:
         units = np.array(of_chunks, np.int64)
         self.units.count(units)
         ends = np.concatenate([[0], np.cumsum(self.units.length[units])])
-        last = np.cumsum(sizes)
-        self.chunks.add(self.units.gathered(units), ends[last] - ends[last - sizes])
-
-    def _ids_of(self, unit: str) -> list[int] | None:
-        """The ids of a unit that is a known chunk or lower-case Latin letters; None for any other."""
-        known = self.chunks.number.get(unit, len(self.chunks.length))
-        if known < len(self.chunks.length):
-            return self.chunks.ids[self.chunks.first[known] :][: self.chunks.length[known]].tolist()
-        if not (unit.isalpha() and unit.islower()):
-            return None
-        if not unit.isascii():
-            if self._beyond_latin.search(unit):
-                return None
-            unit = unit.translate(self._spelled)
-        return [token.id for token in self.tokenizer.model.tokenize(unit)]
+        counts = np.array(sizes, np.int64)
+        last = np.cumsum(counts)
+        ids, lengths = self._encoded(list(compress(fresh, whole)))
+        runs = _Table()
+        runs.add(np.concatenate([ids, self.units.gathered(units)]), np.concatenate([lengths, ends[last] - ends[last - counts]]))
+        in_order = np.argsort(np.argsort(~np.array(whole), kind="stable"))
+        self.chunks.add(runs.gathered(in_order), runs.length[in_order])
 
     def _learn_units(self, fresh: list[str]) -> None:
-        ids = [self._ids_of(unit) for unit in fresh]
-        others = [k for k, found in enumerate(ids) if found is None]
-        encoded = self.tokenizer.encode_batch_fast([fresh[k] for k in others], add_special_tokens=False)
-        for k, of_unit in zip(others, encoded):
-            ids[k] = of_unit.ids
-        self.units.add(np.fromiter(chain.from_iterable(ids), np.uint32), np.fromiter(map(len, ids), np.int64, len(ids)))
+        """The ids of what is a known chunk as well are taken from there."""
+        of_chunks = np.array([self.chunks.number.get(unit, len(self.chunks.length)) for unit in fresh], np.int64)
+        is_known = of_chunks < len(self.chunks.length)
+        ids, lengths = self._encoded(list(compress(fresh, ~is_known)))
+        runs, known = _Table(), of_chunks[is_known]
+        runs.add(np.concatenate([self.chunks.gathered(known), ids]), np.concatenate([self.chunks.length[known], lengths]))
+        in_order = np.argsort(np.argsort(~is_known, kind="stable"))
+        self.units.add(runs.gathered(in_order), runs.length[in_order])
+
+    def _encoded(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of ``units``, one after the other, and how many each has."""
+        is_word = [unit.isalpha() and unit.islower() for unit in units]
+        if self._beyond_latin.search("\n".join(compress(units, is_word))):
+            is_word = [of_word and not self._beyond_latin.search(unit) for unit, of_word in zip(units, is_word)]
+        words = "\n".join(compress(units, is_word)).translate(self._spelled).split("\n")
+        merged = map(self.tokenizer.model.tokenize, words)
+        others = [unit for unit, of_word in zip(units, is_word) if not of_word]
+        encoded = iter(self.tokenizer.encode_batch_fast(others, add_special_tokens=False))
+        ids = [[token.id for token in next(merged)] if of_word else next(encoded).ids for of_word in is_word]
+        return np.fromiter(chain.from_iterable(ids), np.uint32), np.fromiter(map(len, ids), np.int64, len(ids))
 
 
 @lru_cache(maxsize=2)
