@@ -106,8 +106,9 @@ class WordEncoder:
     least there. Units are encoded once as well; those of lower-case Latin letters need nothing
     but the tokenizer's merges, over the characters its pre-tokenizer spells bytes with. Elsewhere
     lower case or composed characters may depend on what stands around, and chunks are encoded as
-    they are. ``tests/llm`` hold the ids against the tokenizer's. Tables that have grown to their bound forget what was used least: most words of
-    a text are common ones, and are not encoded again for the sake of many rare ones.
+    they are. ``tests/llm`` hold the ids against the tokenizer's. Tables that have grown to their
+    bound forget what was used least: most words of a text are common ones, and are not encoded
+    again for the sake of many rare ones.
 
     With ``added``, as the operator has it, texts are first cut at the tokenizer's added tokens,
     such as <|endoftext|>, each one id; else these are spelled out.
@@ -139,6 +140,8 @@ class WordEncoder:
         tokens = self.tokenizer.get_added_tokens_decoder()
         if any(token.normalized or token.lstrip or token.rstrip or token.single_word for token in tokens.values()):
             raise ValueError("added tokens that are matched other than as they stand")
+        if any("\n" in token.content for token in tokens.values()):
+            raise ValueError("added tokens with a line's end, which parts the keys of a table")
         return {token.content: k for k, token in tokens.items()}
 
     def _chunks_of(self, text: str) -> list[str]:
