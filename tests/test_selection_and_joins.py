@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -193,6 +194,23 @@ def test_interval_join_deals_a_single_file_of_facts(spark):
     assert sum(counts) == 6000 and len(counts) > 1
 
 
+def test_interval_join_lays_pairs_close(spark, tmp_path):
+    """Pairs of few facts and few spans lie together, so that a file of very many pairs needs few bytes for each."""
+    facts = spark.range(6000).select("id", F.timestamp_millis(F.col("id") * 7919 % 3_600_000).alias("t"))
+    begins = F.col("id") * 104_729 % 3_600_000
+    spans = spark.range(6000).select(
+        F.col("id").alias("span"),
+        F.timestamp_millis(begins).alias("begins"),
+        F.when(F.col("id") % 5 != 0, F.timestamp_millis(begins + F.col("id") * 31 % 3_000_000)).alias("ends"),
+    )
+    joined = interval_join(facts, spans, "t", "begins", "ends").select("id", "span")
+    joined.coalesce(1).write.parquet(out := f"{tmp_path}/pairs", compression="snappy")
+    inside = (F.col("begins") <= F.col("t")) & (F.col("ends").isNull() | (F.col("t") <= F.col("ends")))
+    pairs = facts.join(spans, inside).count()
+    assert spark.read.parquet(out).count() == pairs > 1_000_000
+    assert sum(f.stat().st_size for f in Path(out).glob("*.parquet")) < 0.5 * pairs
+
+
 @needs_data
 def test_interval_join_has_an_equality_key(spark):
     plan = QUERIES["events_in_promotions"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
